@@ -101,7 +101,8 @@ def colliding(canon: DataFrame) -> DataFrame:
     ``canon`` has h1, h2, canon. A bucket of equal texts, however many, leaves each task as one row.
     """
     differ = canon.groupBy("h1", "h2").agg(F.min("canon").alias("lo"), F.max("canon").alias("hi")).where("lo < hi").select("h1", "h2")
-    texts = canon.join(differ, ["h1", "h2"]).distinct()
+    differ = materialise(differ, "fingerprint-differ")  # as a rule none: then no text moves again
+    texts = canon.join(bounded(differ), ["h1", "h2"]).distinct()
     return texts.withColumn("ordinal", F.row_number().over(W.partitionBy("h1", "h2").orderBy("canon")) - 1)
 
 
