@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import small_batches, table
+from .hashtable import HashTable
 
 LONG = 256
 NONE = np.int32(2**30)
@@ -55,40 +56,13 @@ class ByteBpe:
                 if (a := self.ranks.get(token[:k])) is not None and (b := self.ranks.get(token[k:])) is not None:
                     pairs[a << 32 | b] = rank
         self.pairs = pairs
-        self._build(np.fromiter(pairs.keys(), np.uint64, len(pairs)), np.fromiter(pairs.values(), np.int32, len(pairs)))
+        self.table = HashTable(np.fromiter(pairs.keys(), np.uint64, len(pairs)), np.fromiter(pairs.values(), np.int32, len(pairs)), int(NONE))
         self.memory: dict[str, tuple[str, int, bytes]] = {}
 
-    def _build(self, keys: np.ndarray, values: np.ndarray) -> None:
-        """Open addressing: each turn places, in every free slot, one of the keys that want it; the rest step on."""
-        self.bits = max(4, int(len(keys) * 3).bit_length())
-        size = 1 << self.bits
-        self.keys, self.values = np.full(size, np.uint64(2**64 - 1)), np.full(size, NONE, dtype=np.int32)
-        slot, self.steps = self._slot(keys), 0
-        while len(keys):
-            free = self.keys[slot] == np.uint64(2**64 - 1)
-            self.keys[slot[free]] = keys[free]
-            self.values[slot[free]] = values[free]
-            left = self.keys[slot] != keys
-            keys, values, slot = keys[left], values[left], (slot[left] + 1) & (size - 1)
-            self.steps += 1
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
-
     def look_up(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of the token that each pair makes, or NONE."""
         keys = left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64)
-        flat = keys.ravel()
-        slot, out, open_ = self._slot(flat), np.full(flat.shape, NONE, dtype=np.int32), np.arange(flat.size)
-        for _ in range(self.steps):
-            at = self.keys[slot]
-            hit = at == flat[open_]
-            out[open_[hit]] = self.values[slot[hit]]
-            more = ~hit & (at != np.uint64(2**64 - 1))
-            if not more.any():
-                break
-            open_, slot = open_[more], (slot[more] + 1) & ((1 << self.bits) - 1)
-        return out.reshape(keys.shape)
+        return self.table.get(keys.ravel()).reshape(keys.shape)
 
     def _merged(self, pieces: list[bytes]) -> list[list[int]]:
         """Pieces of about one length, merged together in a padded matrix."""
