@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import hex64, materialise, small_batches, table
+from .common import bounded, hex64, materialise, small_batches, table
 from .components import components
 
 #: First bit and bits of the segments of a word.
@@ -189,8 +189,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, words: int = 3, max_bits: i
 
 def first_of_each(docs: DataFrame, **options) -> DataFrame:
     """The documents of ``docs`` that are the first (smallest doc_id) of their component; rows of that id that repeat are kept once."""
-    kept = near_duplicates(docs, **options).where("doc_id = sd_component").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    first = near_duplicates(docs, **options).where("doc_id = sd_component").groupBy("doc_id").agg(F.count(F.lit(1)).alias("sd_rows"))
+    first = materialise(first, "simhash-first")
+    out = docs.join(bounded(first.select("doc_id")), "doc_id", "left_semi")
+    return out if first.where("sd_rows > 1").isEmpty() else out.dropDuplicates(["doc_id"])
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:

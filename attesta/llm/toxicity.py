@@ -27,10 +27,10 @@ from .common import bounded, materialise, small_batches, table
 
 #: Labelled rows that are learned from, at most.
 SAMPLE = 20_000
-#: Terms of the lexicon, at most, and texts that a term must be in.
-TERMS, LEAST = 400, 5
-#: Letters of beginnings of words, and the least letters of a term that may be misspelled.
-STEMS, FUZZY = (4, 8), 5
+#: Terms of the lexicon, at most; toxic texts that a term must be in, and their share.
+TERMS, LEAST, SHARE = 400, 5, 0.005
+#: Letters of beginnings of words, and the least letters of a word and of a beginning that may be misspelled.
+STEMS, FUZZY = (4, 8), (5, 7)
 #: Words on each side that are looked at.
 WINDOW = 6
 QUOTES = "\"“”„«»‹›‘`"
@@ -52,19 +52,46 @@ class Lexicon:
             for ch in t.rstrip("$"):
                 node = node.setdefault(ch, {})
             node.setdefault("", []).append((i, t.endswith("$")))
+        self.stems = sorted({len(t) for t in terms if not t.endswith("$")})
+        self.exact = {t.rstrip("$"): i for i, t in enumerate(terms) if t.endswith("$")}
+        self.begins = {t: i for i, t in enumerate(terms) if not t.endswith("$")}
         # One edit leaves the first or the second half of a term as it is: a word without any such half reaches no term.
-        self.first, self.second = defaultdict(set), set()
+        self.heads, self.tails, self.inner = defaultdict(set), defaultdict(set), defaultdict(set)
         for t in terms:
             w = t.rstrip("$")
+            if not fuzzy or len(w) < FUZZY[0 if t.endswith("$") else 1]:
+                continue
             h = len(w) // 2
-            self.first[h].add(w[:h])
-            self.second.add((h, w[h:]))
-        self.lengths = sorted({(h, len(s)) for h, s in self.second})
-        self.fuzzy = fuzzy
+            if t.endswith("$"):
+                for n in range(len(w) - 1, len(w) + 2):
+                    self.heads[h].add((n, w[:h]))
+                    self.tails[len(w) - h].add((n, w[h:]))
+            else:
+                self.inner[0, h].add(w[:h])
+                for k in range(h - 1, h + 2):
+                    self.inner[k, len(w) - h].add(w[h:])
         self.memory: dict[str, tuple[int, bool] | None] = {}
 
     def _possible(self, w: str) -> bool:
-        return any(w[:h] in s for h, s in self.first.items()) or any((h, w[k : k + n]) in self.second for h, n in self.lengths for k in (h - 1, h, h + 1) if k >= 0)
+        n = len(w)
+        for h, s in self.heads.items():
+            if (n, w[:h]) in s:
+                return True
+        for h, s in self.tails.items():
+            if (n, w[-h:]) in s:
+                return True
+        for (k, h), s in self.inner.items():
+            if w[k : k + h] in s:
+                return True
+        return False
+
+    def _found(self, w: str) -> tuple[int, bool] | None:
+        if (i := self.exact.get(w)) is not None:
+            return i, False
+        for n in self.stems:
+            if (i := self.begins.get(w[:n])) is not None:
+                return i, False
+        return self._walk(w[:64]) if self._possible(w) else None
 
     def _walk(self, w: str) -> tuple[int, bool] | None:
         """The automaton's states are a row of edit distances to the beginnings of ``w``, pruned beyond one edit."""
@@ -75,7 +102,7 @@ class Lexicon:
             node, row, depth = stack.pop()
             for i, whole in node.get("", ()):
                 d = row[n] if whole else min(row)
-                if d == 0 or d == 1 and self.fuzzy and depth >= FUZZY:
+                if d == 1 and depth >= FUZZY[0 if whole else 1]:
                     if best is None or (d, -depth, i) < best:
                         best = (d, -depth, i)
             for ch, child in node.items():
@@ -95,10 +122,10 @@ class Lexicon:
         except KeyError:
             pass
         w = token.strip(EDGES)
-        found = self._walk(w[:64]) if w and self._possible(w) else None
+        found = self._found(w) if w else None
         if w and not w.isalpha() and (found is None or found[1]):
             v = "".join(c for c in w.translate(LOOKS_LIKE) if c.isalpha())
-            alike = self._walk(v[:64]) if v != w and self._possible(v) else None
+            alike = self._found(v) if v != w else None
             if alike is not None:
                 found = found if found is not None and alike[1] else (alike[0], True)
         if len(self.memory) >= REMEMBERED:
@@ -166,7 +193,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, learn_from:
     counts = train.mapInArrow(_term_counts, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     p, q = (F.col("pos") + 0.5) / (pos + 1.0), (F.col("neg") + 0.5) / (neg + 1.0)
     lift = F.log(p / q)
-    top = counts.where(F.col("pos") >= LEAST).withColumn("lift", lift).where(F.col("lift") > 2.5).withColumn("gain", F.col("pos") * F.col("lift")).orderBy(F.desc("gain"), F.desc(F.length("term")), "term").limit(TERMS * 10).collect()
+    top = counts.where(F.col("pos") >= max(LEAST, SHARE * pos)).withColumn("lift", lift).where(F.col("lift") > 2.5).withColumn("gain", F.col("pos") * F.col("lift")).orderBy(F.desc("gain"), F.desc(F.length("term")), "term").limit(TERMS * 10).collect()
     terms: list[str] = []
     weights: list[float] = []
     for r in top:  # a beginning stands for the words that begin with it, unless they were chosen before
@@ -213,9 +240,19 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     return x.select("doc_id", (1 / (1 + F.exp(-total))).alias("score"))
 
 
-def rejected(docs: DataFrame, model: dict) -> DataFrame:
-    """Ids of the documents that score 0.5 or more."""
-    return score(docs, model).where("score >= 0.5").select("doc_id").distinct()
+def kept(docs: DataFrame, model: dict, limit: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose text scores below ``limit``, with their columns untouched."""
+    small_batches(docs.sparkSession)
+    names = docs.columns
+    terms, weights, coefficients = model["terms"], np.array(model["weights"]), np.array(model["coefficients"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = Lexicon(terms)
+        for batch in batches:
+            x = np.array([lexicon.features(t or "", weights) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()], dtype=float).reshape(-1, len(coefficients))
+            yield batch.filter(pa.array(1 / (1 + np.exp(-(x @ coefficients))) < limit))
+
+    return docs.select(*names).mapInArrow(run, docs.schema)
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
