@@ -1,13 +1,433 @@
-"""The registered queries over the driver's tables, each with its DuckDB oracle."""
+"""The registered queries over the driver's tables, each with its DuckDB oracle.
 
+Documents stand for listings: source and doc_id are source and rank, the text is the title, labels give two tri-state flags
+(quality 1: first, toxic 0: second; no label: unknown), benchmark texts are facts.
+"""
 
-def publish_pipeline(spark, sf_dir):
-    raise NotImplementedError
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..operators import browse as B
+from ..operators import protect as P
+from ..operators import reports as R
+from ..operators import resolve as M
+from ..sources import payload as S
+from ..streaming import incremental as I
+
+QUERIES: dict = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+KEY_SQL = "substr(sha256(lower(regexp_replace(text, '[^\\p{L}\\p{N}]+', '', 'g'))), 1, 24)"
+ITEMS_SQL = f"""items AS (SELECT d.doc_id, d.source, d.text, d.lang, d.n_chars, {KEY_SQL} AS key,
+  CASE WHEN l.quality IS NOT NULL THEN l.quality = 1 END AS keypad, CASE WHEN l.toxic IS NOT NULL THEN l.toxic = 0 END AS backlight
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
+MERGED_SQL = f"""{ITEMS_SQL}, ranks AS (SELECT key, source, min(doc_id) AS rank FROM items GROUP BY ALL),
+merged AS (SELECT i.key AS identity_key, array_to_string(list_sort(list(DISTINCT source)), '+') AS sources, count(DISTINCT source) AS source_count,
+  min(doc_id) AS best_rank, bool_and(keypad) AS keypad, bool_and(backlight) AS backlight, count(*) AS records FROM items i GROUP BY i.key),
+gated AS (SELECT *, array_to_string(list_filter([CASE WHEN keypad IS NOT TRUE THEN 'keypad_not_confirmed' END, CASE WHEN backlight IS NOT TRUE THEN 'backlight_not_confirmed' END,
+  CASE WHEN source_count < 2 THEN 'single_source' END], lambda x: x IS NOT NULL), ',') AS reasons FROM merged)"""
+
+
+def items(spark: SparkSession, d: str) -> DataFrame:
+    docs, labels = t(spark, d, "documents"), t(spark, d, "labels")
+    return docs.join(labels, "doc_id", "left").select("doc_id", "source", "text", "lang", "n_chars", T.identity_key(T.identity_text(F.col("text"))).alias("key"), (F.col("quality") == 1).alias("keypad"), (F.col("toxic") == 0).alias("backlight"))
+
+
+def merged(spark: SparkSession, d: str) -> DataFrame:
+    m = M.merge_groups(items(spark, d), "key", "source", "doc_id", "doc_id", ["keypad", "backlight"]).withColumnRenamed("key", "identity_key")
+    return m.withColumn("source_count", F.size("sources").cast("long"))
+
+
+def gated(spark: SparkSession, d: str) -> DataFrame:
+    return M.gate(merged(spark, d), [("keypad_not_confirmed", F.col("keypad")), ("backlight_not_confirmed", F.col("backlight")), ("single_source", F.col("source_count") >= 2)])
+
+
+@query(f"WITH {MERGED_SQL} SELECT identity_key, sources, source_count, best_rank, keypad, backlight, records, reasons = '' AS eligible, reasons FROM gated")
+def publish_pipeline(spark, d):
+    out = gated(spark, d).orderBy(*P.publish_order("source_count", "best_rank", "identity_key"))
+    return out.select("identity_key", F.array_join("sources", "+").alias("sources"), "source_count", "best_rank", "keypad", "backlight", "records", "eligible", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query("SELECT doc_id, trim(regexp_replace(text, '[ \\t\\r\\n\\f\\v]+', ' ', 'g')) AS cleaned FROM documents")
+def clean_text(spark, d):
+    return t(spark, d, "documents").select("doc_id", T.clean(F.col("text")).alias("cleaned"))
+
+
+@query("SELECT doc_id, nullif(try_cast(nullif(regexp_extract(text, '(\\d+(?:\\.\\d+)?)', 1), '') AS DOUBLE), 0) AS number FROM documents")
+def first_number(spark, d):
+    return t(spark, d, "documents").select("doc_id", T.first_number(F.col("text")).alias("number"))
+
+
+@query("SELECT p_partkey, list_max([p_size * 1, p_size * 1024]) AS capacity FROM part")
+def capacity_max(spark, d):
+    named = F.concat(F.col("p_size").cast("string"), F.lit("GB / "), F.col("p_size").cast("string"), F.lit(" TB"))
+    return t(spark, d, "part").select("p_partkey", T.capacity_gb(named).cast("int").alias("capacity"))
+
+
+@query("SELECT page_id, regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1) AS host, coalesce(nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), ''), url) AS title, len(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)) AS links FROM pages")
+def html_title_links(spark, d):
+    links = F.size(F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), 1)).cast("long")
+    return t(spark, d, "pages").select("page_id", T.url_host(F.col("url")).alias("host"), F.coalesce(T.empty_to_null(F.regexp_extract("html", "<title>([^<]*)</title>", 1)), "url").alias("title"), links.alias("links"))
+
+
+@query("""SELECT page_id, link, min(pos) AS first_pos FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS link, generate_subscripts(regexp_extract_all(html, '<a href="([^"]*)"', 1), 1) AS pos FROM pages) GROUP BY ALL""")
+def html_links(spark, d):
+    links = t(spark, d, "pages").select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), 1)).alias("pos", "link"))
+    return links.groupBy("page_id", "link").agg((F.min("pos") + 1).cast("long").alias("first_pos"))
+
+
+@query("SELECT page_id, host, (row_number() OVER (PARTITION BY host ORDER BY page_id)) AS rank FROM (SELECT page_id, regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1) AS host FROM pages)")
+def ranked_scan(spark, d):
+    from pyspark.sql import Window as W
+
+    hosts = t(spark, d, "pages").select("page_id", T.url_host(F.col("url")).alias("host"))
+    return hosts.withColumn("rank", F.row_number().over(W.partitionBy("host").orderBy("page_id")).cast("long"))
+
+
+@query("SELECT p_partkey, CASE WHEN regexp_matches(p_type, 'STEEL|BRASS') THEN 'metal' WHEN regexp_matches(p_type, '^SMALL') THEN 'small' WHEN regexp_matches(p_type, 'A') THEN 'other_a' ELSE 'unknown' END AS class FROM part")
+def classify_pattern_order(spark, d):
+    return t(spark, d, "part").select("p_partkey", T.ordered_class(F.col("p_type"), [("metal", "STEEL|BRASS"), ("small", "^SMALL"), ("other_a", "A")]).alias("class"))
+
+
+@query("SELECT doc_id, CASE lower(regexp_replace(trim(source), '[ _-]+', '', 'g')) WHEN 'src0' THEN 'ZERO' WHEN 'src1' THEN 'ONE' ELSE upper(trim(source)) END AS canonical FROM documents")
+def source_alias_lookup(spark, d):
+    return t(spark, d, "documents").select("doc_id", T.alias(F.col("source"), {"src0": "ZERO", "src1": "ONE"}).alias("canonical"))
+
+
+@query("SELECT p_partkey, CASE WHEN contains(lower(p_name), 'green') THEN 'G' WHEN contains(lower(p_name), 'red') THEN 'R' WHEN contains(lower(p_name), '1') THEN 'N' ELSE left(string_split(p_name, ' ')[1], 24) END AS brand FROM part")
+def brand_infer(spark, d):
+    return t(spark, d, "part").select("p_partkey", T.contains_first(F.col("p_name"), [("green", "G"), ("red", "R"), ("1", "N")], F.substring(F.split("p_name", " ")[0], 1, 24)).alias("brand"))
+
+
+@query(f"WITH {ITEMS_SQL} SELECT doc_id, key FROM items")
+def identity_key(spark, d):
+    return items(spark, d).select("doc_id", "key")
+
+
+@query(f"WITH {ITEMS_SQL} SELECT key, count(*) AS records, min(doc_id) AS first FROM items GROUP BY key HAVING count(*) > 1")
+def identity_groups(spark, d):
+    return items(spark, d).groupBy("key").agg(F.count(F.lit(1)).alias("records"), F.min("doc_id").alias("first")).where("records > 1")
+
+
+@query("WITH u AS (SELECT c_nationkey AS nation, c_name AS name, c_acctbal AS bal, c_custkey AS ord FROM customer UNION ALL SELECT s_nationkey, s_name, NULL, 1000000000 + s_suppkey FROM supplier) SELECT nation, arg_min(name, row(-least(10, length(name)), ord)) AS name, arg_min(bal, row(CASE WHEN bal IS NULL THEN 0 ELSE -3 END, ord)) AS bal FROM u GROUP BY nation")
+def merge_best_value(spark, d):
+    c, s = t(spark, d, "customer"), t(spark, d, "supplier")
+    u = c.select(F.col("c_nationkey").alias("nation"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("bal"), F.col("c_custkey").alias("ord")).unionAll(s.select("s_nationkey", "s_name", F.lit(None).cast("double"), F.col("s_suppkey") + 1000000000))
+    pick = lambda c, kind: M.best_value(F.col(c), T.quality(F.col(c), kind), F.col("ord")).alias(c)
+    return u.groupBy("nation").agg(pick("name", "string"), pick("bal", "number"))
+
+
+@query(f"WITH {ITEMS_SQL} SELECT key, bool_and(keypad) AS keypad, bool_and(backlight) AS backlight FROM items GROUP BY key")
+def merge_tristate(spark, d):
+    return items(spark, d).groupBy("key").agg(M.merged_bool(F.col("keypad")).alias("keypad"), M.merged_bool(F.col("backlight")).alias("backlight"))
+
+
+@query(f"WITH {ITEMS_SQL} SELECT key, source, min(doc_id) AS rank FROM items GROUP BY ALL")
+def merge_source_ranks(spark, d):
+    m = M.merge_groups(items(spark, d), "key", "source", "doc_id", "doc_id", [])
+    return m.select("key", F.explode("source_ranks").alias("source", "rank"))
+
+
+@query(f"WITH {ITEMS_SQL} SELECT key, source, arg_min(left(text, 40), doc_id) AS value FROM items WHERE text <> '' GROUP BY ALL")
+def merge_first_url(spark, d):
+    rows = items(spark, d).withColumn("value", F.substring("text", 1, 40))
+    return M.first_value_map(rows, "key", "source", "value", "doc_id").select("key", F.explode("values").alias("source", "value"))
+
+
+@query("SELECT user_id, event_type AS field, arg_max(json_extract_string(props, '$.k'), event_id) AS value FROM events GROUP BY ALL")
+def merge_last_wins(spark, d):
+    e = t(spark, d, "events").select("user_id", F.col("event_type").alias("field"), F.get_json_object("props", "$.k").alias("value"), "event_id")
+    return M.last_wins(e, "user_id", "field", "value", "event_id")
+
+
+@query(f"WITH {MERGED_SQL} SELECT reason, count(*) AS rows FROM (SELECT unnest(string_split(reasons, ',')) AS reason FROM gated WHERE reasons <> '') GROUP BY reason")
+def rejection_histogram(spark, d):
+    return R.histogram(gated(spark, d).select(F.explode("reasons").alias("r")), F.col("r"), "reason")
+
+
+@query(f"WITH {MERGED_SQL} SELECT identity_key, sources, reasons FROM gated WHERE reasons <> ''")
+def rejected_ledger(spark, d):
+    return gated(spark, d).where(~F.col("eligible")).select("identity_key", F.array_join("sources", "+").alias("sources"), F.array_join("reasons", ",").alias("reasons"))
+
+
+FACT_SQL = "SELECT d.doc_id, arg_min(b.item_id, row(-length(b.text), b.item_id)) AS fact_id FROM documents d JOIN benchmark b ON contains(d.text, b.text) GROUP BY d.doc_id"
+
+
+@query(FACT_SQL)
+def fact_match(spark, d):
+    facts = t(spark, d, "benchmark").select(F.col("item_id").alias("fact_id"), F.col("text").alias("name"))
+    return M.match_facts(t(spark, d, "documents"), facts, "doc_id", F.col("text"))
+
+
+@query(f"WITH m AS ({FACT_SQL}) SELECT d.doc_id, coalesce(l.quality::BIGINT, m.fact_id) AS value, l.quality IS NULL AND m.fact_id IS NOT NULL AS from_fact FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id LEFT JOIN m ON d.doc_id = m.doc_id")
+def fact_fill(spark, d):
+    docs = t(spark, d, "documents").join(t(spark, d, "labels").select("doc_id", F.col("quality").cast("bigint").alias("quality")), "doc_id", "left").join(fact_match(spark, d), "doc_id", "left")
+    value, notes = M.fill(F.col("quality"), F.col("fact_id"), F.create_map(F.lit("quality"), F.lit("label")), "quality")
+    return docs.select("doc_id", value.alias("value"), F.map_contains_key(notes, "quality_fact").alias("from_fact"))
+
+
+@query("SELECT l_orderkey, l_returnflag, array_to_string(list(DISTINCT l_partkey ORDER BY l_partkey), ',') AS urls, bool_or(f) FILTER (rn = 1) AS flag FROM (SELECT *, CASE WHEN l_quantity > 25 THEN true WHEN l_quantity < 10 THEN false END AS f, row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY CASE WHEN l_quantity > 25 OR l_quantity < 10 THEN 0 ELSE 1 END, l_linenumber, l_partkey, l_quantity) AS rn FROM lineitem) GROUP BY ALL")
+def duplicate_fact_merge(spark, d):
+    li = t(spark, d, "lineitem").withColumn("flag", F.when(F.col("l_quantity") > 25, True).when(F.col("l_quantity") < 10, False)).withColumn("ord", F.struct("l_linenumber", "l_partkey", "l_quantity"))
+    out = M.fold_facts(li, ["l_orderkey", "l_returnflag"], ["flag"], "ord", "l_partkey")
+    return out.select("l_orderkey", "l_returnflag", F.array_join(F.array_sort("urls").cast("array<string>"), ",").alias("urls"), "flag")
+
+
+def halves(spark, d):
+    x = items(spark, d).select("key", "doc_id", F.coalesce("backlight", F.lit(False)).alias("ok"))
+    return M.keep_first(x.where("doc_id % 2 = 0"), ["key"], ["doc_id"]), M.keep_first(x.where("doc_id % 3 = 0"), ["key"], ["doc_id"])
+
+
+HALVES_SQL = f"{ITEMS_SQL}, c AS (SELECT key, min(doc_id) AS doc_id, arg_min(coalesce(backlight, false), doc_id) AS ok FROM items WHERE doc_id % 2 = 0 GROUP BY key), b AS (SELECT key, min(doc_id) AS doc_id, arg_min(coalesce(backlight, false), doc_id) AS ok FROM items WHERE doc_id % 3 = 0 GROUP BY key)"
+
+
+@query(f"WITH {HALVES_SQL} SELECT key, doc_id, 'candidate' AS origin FROM c UNION ALL SELECT key, doc_id, 'baseline' FROM b WHERE ok AND key NOT IN (SELECT key FROM c)")
+def preserve_baseline(spark, d):
+    c, b = halves(spark, d)
+    return P.preserve(c, b, "key", F.col("ok")).select("key", "doc_id", "origin")
+
+
+@query(f"WITH {HALVES_SQL} SELECT key FROM b WHERE key NOT IN (SELECT key FROM c)")
+def superset_missing(spark, d):
+    c, b = halves(spark, d)
+    return P.missing_keys(b, c, "key")
+
+
+@query("SELECT DISTINCT source FROM documents WHERE doc_id % 3 = 0 AND source NOT IN (SELECT source FROM documents WHERE doc_id % 4 = 1)")
+def source_regression(spark, d):
+    x = t(spark, d, "documents")
+    return P.missing_keys(x.where("doc_id % 3 = 0"), x.where("doc_id % 4 = 1"), "source")
+
+
+@query(f"WITH {ITEMS_SQL} SELECT * FROM (SELECT 0::BIGINT AS check_ord, 'no key' AS error, count(*) FILTER (key IS NULL) AS rows FROM items UNION ALL SELECT 1, 'not eligible', count(*) FILTER (backlight IS NOT TRUE) FROM items UNION ALL SELECT 2, 'duplicate keys', count(*) FROM (SELECT key FROM items GROUP BY key HAVING count(*) > 1)) WHERE rows > 0")
+def audit_errors(spark, d):
+    return P.audit(items(spark, d), [("no key", F.col("key").isNotNull()), ("not eligible", F.col("backlight"))], "key")
+
+
+@query(f"WITH {MERGED_SQL} SELECT sources, count(*) AS rows FROM gated GROUP BY sources")
+def source_combinations(spark, d):
+    return R.histogram(merged(spark, d), F.array_join("sources", "+"), "sources")
+
+
+@query(f"WITH {MERGED_SQL} SELECT source, count(*) AS rows FROM (SELECT unnest(string_split(sources, '+')) AS source FROM gated) GROUP BY source")
+def manifest_counts(spark, d):
+    return P.manifest(merged(spark, d), "sources")
+
+
+@query(f"WITH {ITEMS_SQL} SELECT source, count(*) AS rows, count(*) FILTER (keypad) AS keypad, count(*) FILTER (backlight) AS backlight, count(*) FILTER (keypad IS NULL) AS unknown FROM items GROUP BY source")
+def evidence_report(spark, d):
+    n = lambda c, name: F.count_if(c).alias(name)
+    return items(spark, d).groupBy("source").agg(F.count(F.lit(1)).alias("rows"), n(F.col("keypad"), "keypad"), n(F.col("backlight"), "backlight"), n(F.col("keypad").isNull(), "unknown"))
+
+
+PAIRS_SQL = f"{ITEMS_SQL}, f AS (SELECT key, source, min(doc_id) AS o FROM items GROUP BY ALL), pairs AS (SELECT a.key, a.source AS source_a, b.source AS source_b, a.o AS ord_a, b.o AS ord_b FROM f a JOIN f b ON a.key = b.key AND a.source < b.source)"
+
+
+@query(f"WITH {PAIRS_SQL} SELECT * FROM pairs")
+def overlap_pairs(spark, d):
+    return R.overlap_pairs(items(spark, d), "key", "source", "doc_id")
+
+
+CLASS_SQL = f"""{PAIRS_SQL}, classed AS (SELECT p.key, p.source_a, p.source_b,
+  CASE WHEN a.lang <> b.lang OR a.keypad <> b.keypad THEN 'incompatible' ELSE 'compatible' END AS status,
+  array_to_string(list_filter([CASE WHEN a.lang <> b.lang THEN 'lang differs' END, CASE WHEN a.keypad <> b.keypad THEN 'keypad differs' END], lambda x: x IS NOT NULL), '; ') AS why
+  FROM pairs p JOIN items a ON a.doc_id = p.ord_a JOIN items b ON b.doc_id = p.ord_b)"""
+
+
+@query(f"WITH {CLASS_SQL} SELECT * FROM classed")
+def overlap_class(spark, d):
+    x = items(spark, d).select("doc_id", "lang", "keypad")
+    side = lambda s: x.withColumnsRenamed({"doc_id": f"ord_{s}", "lang": f"lang_{s}", "keypad": f"keypad_{s}"})
+    p = overlap_pairs(spark, d).join(side("a"), "ord_a").join(side("b"), "ord_b")
+    status, why = R.classify_overlap([(n, F.col(f"{n}_a"), F.col(f"{n}_b")) for n in ("lang", "keypad")])
+    return p.select("key", "source_a", "source_b", status.alias("status"), why.alias("why"))
+
+
+@query(f"WITH {CLASS_SQL} SELECT status, count(*) AS rows FROM classed GROUP BY status")
+def overlap_summary(spark, d):
+    return R.histogram(overlap_class(spark, d), F.col("status"), "status")
+
+
+@query(f"WITH {ITEMS_SQL}, n AS (SELECT key, count(DISTINCT source) AS n FROM items GROUP BY key) SELECT count(*) FILTER (n = 1) AS single, count(*) FILTER (n > 1) AS multi, count(*) AS total, round_even(count(*) FILTER (n = 1) * 100.0 / count(*), 2)::DOUBLE AS single_pct, round_even(count(*) FILTER (n > 1) * 100.0 / count(*), 2)::DOUBLE AS multi_pct FROM n")
+def single_source_rates(spark, d):
+    return R.rates(items(spark, d), "key", "source")
+
+
+@query(f"WITH {ITEMS_SQL} SELECT key, count(*) AS records, min(source) AS source FROM items GROUP BY key HAVING count(DISTINCT source) = 1 ORDER BY records DESC, key LIMIT 30")
+def single_source_products(spark, d):
+    one = items(spark, d).groupBy("key", "source").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.sum("n").alias("records"), F.min("source").alias("source"), F.count(F.lit(1)).alias("s")).where("s = 1")
+    return R.top(one.select("key", "records", "source"), [F.desc("records"), F.asc("key")], 30)
+
+
+@query(f"WITH {ITEMS_SQL}, n AS (SELECT key, count(DISTINCT source) AS n, count(*) AS r FROM items GROUP BY key) SELECT CASE WHEN n > 1 THEN 'multi' WHEN r > 1 THEN 'repeated_in_one' ELSE 'identity_only_single' END AS cause, count(*) AS rows FROM n GROUP BY cause")
+def single_source_causes(spark, d):
+    g = M.merge_groups(items(spark, d), "key", "source", "doc_id", "doc_id", [])
+    return R.histogram(g, F.when(F.size("sources") > 1, "multi").when(F.col("records") > 1, "repeated_in_one").otherwise("identity_only_single"), "cause")
+
+
+@query("SELECT p_partkey, p_name, p_size, p_retailprice FROM part WHERE p_size >= 10 AND coalesce(p_retailprice, 0) <= 1500 AND p_brand = 'Brand#12'")
+def browse_filtered(spark, d):
+    return B.browse(t(spark, d, "part"), {"least": {"p_size": 10}, "most": {"p_retailprice": 1500}, "equals": {"p_brand": "Brand#12"}}).select("p_partkey", "p_name", "p_size", "p_retailprice")
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name || ' ' || p_type), 'st')")
+def browse_search(spark, d):
+    return B.browse(t(spark, d, "part"), {"search": (["p_name", "p_type"], "St ")}).select("p_partkey", "p_name")
+
+
+@query("SELECT p_partkey, p_retailprice FROM part ORDER BY coalesce(p_retailprice, 1e308), p_partkey LIMIT 50")
+def browse_sort_price(spark, d):
+    return B.browse(t(spark, d, "part"), {}, [("p_retailprice", False, 1e308)], "p_partkey", 50).select("p_partkey", "p_retailprice")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem ORDER BY coalesce(l_quantity, -1) DESC, coalesce(l_orderkey, 0), l_linenumber LIMIT 100")
+def browse_sort_quantity(spark, d):
+    return B.browse(t(spark, d, "lineitem"), {}, [("l_quantity", True, -1.0), ("l_orderkey", False, 0)], "l_linenumber", 100).select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+@query("SELECT p_partkey, p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY coalesce(nullif(p_size, 0), 9999), p_partkey) AS place, min(p_partkey) OVER (PARTITION BY p_brand) AS group_ord FROM part")
+def browse_groups(spark, d):
+    return B.grouped(t(spark, d, "part"), "p_brand", "p_size", "p_partkey").select("p_partkey", "p_brand", F.col("place").cast("long").alias("place"), "group_ord")
+
+
+@query("SELECT p_brand AS facet, count(*) AS rows FROM part WHERE p_brand IS NOT NULL GROUP BY p_brand")
+def browse_facets(spark, d):
+    return R.histogram(t(spark, d, "part").where("p_brand IS NOT NULL"), F.col("p_brand"), "facet")
+
+
+@query("SELECT count(*) AS total, count(*) FILTER (n > 1) AS multi, (SELECT count(DISTINCT source) FROM documents) AS sources FROM (SELECT text, count(DISTINCT source) AS n FROM documents GROUP BY text)")
+def kpi_tiles(spark, d):
+    x = t(spark, d, "documents").groupBy(F.sha2("text", 256).alias("k"), "source").agg(F.count(F.lit(1)).alias("n")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    return x.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("n") > 1).alias("multi")).join(F.broadcast(t(spark, d, "documents").agg(F.count_distinct("source").alias("sources"))), F.lit(True))
+
+
+@query("SELECT user_id, min(event_id) AS event_id, arg_min(event_type, event_id) AS event_type FROM events GROUP BY user_id")
+def keep_first(spark, d):
+    return M.keep_first(t(spark, d, "events").select("user_id", "event_id", "event_type"), ["user_id"], ["event_id"])
+
+
+@query("SELECT user_id, min(event_id) AS event_id FROM events WHERE event_id % 5 = 1 AND user_id NOT IN (SELECT user_id FROM events WHERE event_id % 5 = 0) GROUP BY user_id")
+def merge_new_items(spark, d):
+    e = t(spark, d, "events").select("user_id", "event_id")
+    return M.merge_new(e.where("event_id % 5 = 0"), e.where("event_id % 5 = 1"), "user_id", "event_id")
+
+
+@query("SELECT event_id FROM events WHERE event_id NOT IN (SELECT event_id FROM events WHERE value > 10)")
+def worklist(spark, d):
+    e = t(spark, d, "events")
+    return I.worklist(e.select("event_id"), e.select("event_id", F.when(F.coalesce(F.col("value") > 10, F.lit(False)), F.lit(None).cast("string")).otherwise("low").alias("crawl_warning")), "event_id")
+
+
+@query("WITH g AS (SELECT *, sum(CASE WHEN f THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY event_id) AS g FROM (SELECT user_id, event_id, coalesce(value < 20, false) AS f FROM events)) SELECT user_id, max(n) AS longest FROM (SELECT user_id, g, count(*) FILTER (f) AS n FROM g GROUP BY ALL) GROUP BY user_id")
+def empty_streak(spark, d):
+    return M.streaks(t(spark, d, "events"), "user_id", "event_id", F.coalesce(F.col("value") < 20, F.lit(False)))
+
+
+@query("SELECT event_id, hour(ts + INTERVAL 8 HOUR) * 60 + minute(ts + INTERVAL 8 HOUR) AS minutes FROM events WHERE hour(ts + INTERVAL 8 HOUR) * 60 + minute(ts + INTERVAL 8 HOUR) BETWEEN 300 AND 720")
+def window_of_day(spark, d):
+    m = T.minutes_of_day(F.col("ts"), "Asia/Shanghai").cast("long")
+    return t(spark, d, "events").select("event_id", m.alias("minutes")).where(F.col("minutes").between(300, 720))
+
+
+@query("SELECT conv_id, turn, CASE WHEN length(trim(text)) = 0 THEN 'empty' WHEN regexp_matches(text, '(?i)the (of|and)') THEN 'transient' WHEN length(text) > 400 THEN 'progress' WHEN contains(text, 'ß') THEN 'breakage' ELSE 'unknown' END AS class FROM conversations")
+def log_classify(spark, d):
+    rules = [("transient", F.col("text").rlike("(?i)the (of|and)")), ("progress", F.length("text") > 400), ("breakage", F.col("text").contains("ß"))]
+    return t(spark, d, "conversations").select("conv_id", "turn", R.classify_log(F.col("text"), rules).alias("class"))
+
+
+@query("SELECT page_id, coalesce(list_max(list_transform(list_concat(regexp_extract_all(url, '/(\\d+)', 1), regexp_extract_all(url, 'page=(\\d+)', 1)), lambda x: try_cast(x AS BIGINT))), 0) AS amount FROM pages")
+def progress_amount(spark, d):
+    return t(spark, d, "pages").select("page_id", T.max_amount(F.col("url"), [r"/(\d+)", r"page=(\d+)"]).alias("amount"))
+
+
+@query("SELECT l_suppkey % 10 AS grp, arg_min(l_orderkey, row(l_quantity, l_orderkey)) AS picked FROM lineitem WHERE l_linenumber = 1 GROUP BY grp")
+def pool_pick_least_used(spark, d):
+    li = t(spark, d, "lineitem").where("l_linenumber = 1").withColumn("grp", F.col("l_suppkey") % 10)
+    return R.pick(li, "l_orderkey", F.col("l_quantity"), "l_orderkey", ["grp"])
+
+
+@query("SELECT l_suppkey, count(*) AS total, count(*) FILTER (l_returnflag = 'R') AS failed, count(*) FILTER (l_returnflag <> 'R') * 1.0::DOUBLE / count(*) AS score FROM lineitem GROUP BY l_suppkey")
+def pool_stats(spark, d):
+    g = t(spark, d, "lineitem").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("l_returnflag") == "R").alias("failed"))
+    return g.withColumn("score", (F.col("total") - F.col("failed")) * F.lit(1.0) / F.col("total"))
+
+
+@query("SELECT o_custkey, arg_min(o_orderkey, row(-epoch_us(o_orderdate), o_orderkey)) AS o_orderkey FROM orders WHERE o_orderstatus <> 'P' GROUP BY o_custkey")
+def newest_candidate(spark, d):
+    return R.newest(t(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus"), ["o_custkey"], F.col("o_orderstatus") != "P", "o_orderdate", "o_orderkey").select("o_custkey", "o_orderkey")
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events WHERE json_valid(props)")
+def json_lines_lenient(spark, d):
+    return S.objects(t(spark, d, "events"), "props").select("event_id", F.get_json_object("raw", "$.k").alias("k"))
+
+
+@query("SELECT o_custkey, max(o_orderkey) AS page, bool_and(o_orderstatus = 'F') AS complete, array_to_string(list(DISTINCT o_orderpriority ORDER BY o_orderpriority), ',') AS items FROM orders GROUP BY o_custkey")
+def cursor_merge(spark, d):
+    o = t(spark, d, "orders").select("o_custkey", "o_orderkey", F.array("o_orderpriority").alias("items"), (F.col("o_orderstatus") == "F").alias("done"))
+    out = R.merge_cursors(o, "o_custkey", "o_orderkey", "items", "o_orderkey", "done")
+    return out.select("o_custkey", "page", "complete", F.array_join(F.array_sort("items"), ",").alias("items"))
+
+
+@query("SELECT doc_id, pos, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents) WHERE regexp_matches(line, 'password|api_key|License')")
+def line_scan(spark, d):
+    lines = t(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    return lines.select("doc_id", (F.col("pos") + 1).cast("long").alias("pos"), "line").where(F.col("line").rlike("password|api_key|License"))
+
+
+@query("SELECT unnest(string_split(text, chr(10))) AS line FROM benchmark EXCEPT ALL SELECT unnest(string_split(text, chr(10))) FROM documents")
+def line_multiset_diff(spark, d):
+    lines = lambda n: t(spark, d, n).select(F.explode(F.split("text", "\n", -1)).alias("line"))
+    return lines("benchmark").exceptAll(lines("documents"))
+
+
+@query("SELECT doc_id, list_sort(list_distinct([s || 'x', s])) AS tokens FROM (SELECT doc_id, source AS s FROM documents)")
+def source_tokens(spark, d):
+    return t(spark, d, "documents").select("doc_id", F.array_sort(T.source_tokens(F.concat("source", F.lit("x + , - /"), "source"))).alias("tokens"))
+
+
+@query("SELECT doc_id, (n_chars >= 100)::INT + (lang IS NOT NULL)::INT + (source LIKE 'src%')::INT AS present, (n_chars >= 100)::INT + (lang IS NOT NULL)::INT + (source LIKE 'src%')::INT >= 3 AS valid FROM documents")
+def semantic_validity(spark, d):
+    present = (F.col("n_chars") >= 100).cast("int") + F.col("lang").isNotNull().cast("int") + F.col("source").startswith("src").cast("int")
+    return t(spark, d, "documents").select("doc_id", present.alias("present"), (present >= 3).alias("valid"))
+
+
+@query("SELECT coalesce(a.k, b.k) AS key, CASE WHEN a.k IS NULL THEN 'insert' WHEN b.k IS NULL THEN 'keep' ELSE 'update' END AS action FROM (SELECT c_custkey AS k FROM customer WHERE c_custkey % 2 = 0) a FULL JOIN (SELECT c_custkey AS k FROM customer WHERE c_custkey % 3 = 0) b ON a.k = b.k")
+def upsert_actions(spark, d):
+    c = t(spark, d, "customer").select(F.col("c_custkey").alias("key"))
+    return I.upsert(c.where("key % 2 = 0"), c.where("key % 3 = 0"), "key")
+
+
+@query()
+def stream_resume(spark, d):
+    import uuid
+
+    where = (spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/attesta-checkpoints").rstrip("/") + f"/stream-{uuid.uuid4().hex}"
+    I.resumable(spark, d, f"{where}/sink", f"{where}/state", "event_id", "events.parquet")
+    return spark.read.parquet(f"{where}/sink").select("event_id", "user_id", "event_type")
 
 
 def queries():
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql():
-    return {}
+    return dict(ORACLES)
