@@ -28,7 +28,7 @@ from .common import bounded, materialise, small_batches, table
 #: Labelled rows that are learned from, at most.
 SAMPLE = 20_000
 #: Terms of the lexicon, at most; toxic texts that a term must be in, and their share.
-TERMS, LEAST, SHARE = 400, 5, 0.005
+TERMS, LEAST, SHARE = 400, 5, 0.02
 #: Letters of beginnings of words, and the least letters of a word and of a beginning that may be misspelled.
 STEMS, FUZZY = (4, 8), (5, 7)
 #: Words on each side that are looked at.
