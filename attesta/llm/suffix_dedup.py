@@ -4,7 +4,7 @@ Winnowing comes first: of each ``LENGTH`` - ``GRAM`` + 1 consecutive hashes of `
 have the same anchors at the same places, and a string can repeat only where an anchor repeats. The text around each
 repeated anchor (all strings of LENGTH bytes that hold it) is a context; contexts meet by anchor.
 
-Contexts that are equal throughout repeat as they are. The others are indexed: they are dealt into two shards, each shard's
+Of documents with equal texts only the first is looked at, and contexts that are equal throughout repeat as they are. The others are indexed: they are dealt into two shards, each shard's
 Burrows-Wheeler transform is built from its suffix array, and the transforms are merged by refining their interleaving one symbol at a
 time. After LENGTH rounds the blocks of the interleaving are the intervals of suffixes with a common prefix of that
 length; no suffix of the merged text is sorted again. In each interval all but the earliest start is a repeat.
@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -124,26 +125,15 @@ def _runs(doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return doc[at], start[at], start[last] + LENGTH
 
 
-def _repeats(rows: list[tuple[int, int, int, int, bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Covered runs of a batch of whole anchors: rows are (anchor, document, anchor's position, context's start, context), in order."""
-    first: dict[tuple[int, bytes], int] = {}
-    groups: dict[int, int] = {}
-    docs, starts, contexts = [], [], []
-    for k, (h, doc, pos, begin, text) in enumerate(rows):
-        if (h, text) in first:  # the same context came before: all its strings repeat
-            n = len(text) - LENGTH + 1
-            docs.append(np.full(n, doc))
-            starts.append(begin + np.arange(n))
-        else:
-            first[h, text] = k
-            groups[h] = groups.get(h, 0) + 1
-            contexts.append(k)
-    contexts = [k for k in contexts if groups[rows[k][0]] > 1]
+def _repeats(rows: list[tuple[int, int, int, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Covered runs of a batch of whole anchors: rows are (anchor, document, context's start, context), all contexts different."""
+    docs, starts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    contexts = range(len(rows))
     if len(contexts) > 1:
         cut = len(contexts) // 2
         shards = contexts[:cut], contexts[cut:]
-        z, place, block = merged_blocks([rows[k][4] for k in shards[0]], [rows[k][4] for k in shards[1]], LENGTH)
-        size = [np.array([len(rows[k][4]) + 1 for k in s]) for s in shards]
+        z, place, block = merged_blocks([rows[k][3] for k in shards[0]], [rows[k][3] for k in shards[1]], LENGTH)
+        size = [np.array([len(rows[k][3]) + 1 for k in s]) for s in shards]
         base = [np.cumsum(x) - x for x in size]
         doc, start, ok = np.empty(len(z), np.int64), np.empty(len(z), np.int64), np.zeros(len(z), bool)
         for side in (0, 1):
@@ -152,7 +142,7 @@ def _repeats(rows: list[tuple[int, int, int, int, bytes]]) -> Iterator[tuple[np.
             inside = place[m] - base[side][which]
             own = np.array(shards[side])
             doc[m] = np.array([rows[k][1] for k in own])[which]
-            start[m] = np.array([rows[k][3] for k in own])[which] + inside
+            start[m] = np.array([rows[k][2] for k in own])[which] + inside
             ok[m] = inside + LENGTH < size[side][which]
         doc, start, block = doc[ok], start[ok], block[ok]
         order = np.lexsort((start, doc, block))
@@ -162,18 +152,38 @@ def _repeats(rows: list[tuple[int, int, int, int, bytes]]) -> Iterator[tuple[np.
         again = (doc != doc[head]) | (start != start[head])
         docs.append(doc[again])
         starts.append(start[again])
-    if docs:
-        yield _runs(np.concatenate(docs), np.concatenate(starts))
+    return _runs(np.concatenate(docs), np.concatenate(starts))
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows (h, doc, pos, begin, end, digest) sorted by h, doc, pos: runs (doc, a, b) of contexts that came before, and first contexts
+    (doc, pos, null, h) of anchors with several."""
+    anchor, seen, waiting = None, set(), None
+    for batch in batches:
+        out: list[tuple] = []
+        for h, doc, pos, begin, end, digest in zip(*(c.to_pylist() for c in batch.columns)):
+            if h != anchor:
+                anchor, seen, waiting = h, {digest}, (doc, pos, None, h)
+            elif digest in seen:
+                out.append((doc, begin, end, None))
+            else:
+                seen.add(digest)
+                if waiting:
+                    out.append(waiting)
+                    waiting = None
+                out.append((doc, pos, None, h))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["doc", "a", "b", "h"])
 
 
 def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows (h, doc, pos, begin, context) sorted by h, doc, pos."""
+    """Over rows (h, doc, begin, context) sorted by h, doc, begin."""
     held: list[tuple] = []
     size = 0
 
     def emit(rows):
-        for doc, a, b in _repeats(rows):
-            yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(a), pa.array(b)], ["doc", "a", "b"])
+        doc, a, b = _repeats(rows)
+        yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(a), pa.array(b)], ["doc", "a", "b"])
 
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns)):
@@ -181,7 +191,7 @@ def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield from emit(held)
                 held, size = [], 0
             held.append(row)
-            size += len(row[4])
+            size += len(row[3])
     if held:
         yield from emit(held)
 
@@ -204,16 +214,29 @@ def covered(docs: DataFrame) -> DataFrame:
     again = materialise(marks.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "suffix-repeated")
     places = marks.join(bounded(again), "h", "left_semi").groupBy("doc").agg(F.collect_list(F.struct("pos", "h")).alias("marks"))
 
-    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc, text, own in zip(*(c.to_pylist() for c in batch.columns)):
-                data = _bytes(text)
-                begin = [max(0, m["pos"] - REACH) for m in own]
-                yield pa.RecordBatch.from_arrays([pa.array([m["h"] for m in own], pa.int64()), pa.array([doc] * len(own), pa.int64()), pa.array([m["pos"] for m in own], pa.int64()), pa.array(begin, pa.int64()), pa.array([data[b : m["pos"] + LENGTH] for b, m in zip(begin, own)], pa.binary())], ["h", "doc", "pos", "begin", "context"])
+    def contexts(whole: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for doc, text, own in zip(*(c.to_pylist() for c in batch.columns)):
+                    data, hs, pos = _bytes(text), [m["h"] for m in own], [m["pos"] for m in own]
+                    begin, end = [max(0, p - REACH) for p in pos], [min(len(data), p + LENGTH) for p in pos]
+                    cuts = [data[a:b] for a, b in zip(begin, end)]
+                    head = [pa.array(hs, pa.int64()), pa.array([doc] * len(own), pa.int64())]
+                    if whole:
+                        yield pa.RecordBatch.from_arrays([*head, pa.array(begin, pa.int64()), pa.array(cuts, pa.binary())], ["h", "doc", "begin", "context"])
+                    else:
+                        yield pa.RecordBatch.from_arrays([*head, pa.array(pos, pa.int64()), pa.array(begin, pa.int64()), pa.array(end, pa.int64()), pa.array(list(map(xxhash.xxh3_128_digest, cuts)), pa.binary())], ["h", "doc", "pos", "begin", "end", "digest"])
+
+        return run
 
-    around = docs.join(places, "doc").select("doc", "text", "marks").mapInArrow(contexts, "h long, doc long, pos long, begin long, context binary")
-    runs = around.repartition("h").sortWithinPartitions("h", "doc", "pos").mapInArrow(_indexed, "doc long, a long, b long")
-    return materialise(runs, "suffix-runs").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("spans"))
+    # Digests tell which contexts are equal; only the first of each, and only where an anchor has several, are sent on as bytes.
+    digests = docs.join(places, "doc").select("doc", "text", "marks").mapInArrow(contexts(False), "h long, doc long, pos long, begin long, end long, digest binary")
+    compared = materialise(digests.repartition("h").sortWithinPartitions("h", "doc", "pos").mapInArrow(_compared, "doc long, a long, b long, h long"), "suffix-compared")
+    wanted = compared.where("h IS NOT NULL").groupBy("doc").agg(F.collect_list(F.struct(F.col("a").alias("pos"), "h")).alias("marks"))
+    around = docs.join(wanted, "doc").select("doc", "text", "marks").mapInArrow(contexts(True), "h long, doc long, begin long, context binary")
+    runs = materialise(around.repartition("h").sortWithinPartitions("h", "doc", "begin").mapInArrow(_indexed, "doc long, a long, b long"), "suffix-runs")
+    runs = runs.unionAll(compared.where("h IS NULL").select("doc", "a", "b"))
+    return runs.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("spans"))
 
 
 def removed(docs: DataFrame) -> DataFrame:
@@ -222,7 +245,13 @@ def removed(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
     if not rows.groupBy("doc").count().where("count > 1").isEmpty():
         raise ValueError("doc_id must be unique; number the rows of one id by their text first")
-    joined = rows.join(covered(rows), "doc", "left")
+    # Of equal texts only the first can hold a first occurrence; the others go whole.
+    sums = rows.select("doc", F.sha2("text", 256).alias("sum"), F.octet_length("text").cast("long").alias("n"))
+    first = sums.groupBy("sum").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    copies = materialise(sums.join(first, "sum").where("doc <> first").select("doc", "n"), "suffix-copies")
+    spans = covered(rows.join(bounded(copies.select("doc")), "doc", "left_anti"))
+    spans = spans.unionAll(copies.where(F.col("n") >= LENGTH).select("doc", F.array(F.struct(F.lit(0).cast("bigint").alias("a"), F.col("n").alias("b"))).alias("spans")))
+    joined = rows.join(spans, "doc", "left")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
