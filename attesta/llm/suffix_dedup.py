@@ -5,9 +5,9 @@ have the same anchors at the same places, and a string can repeat only where an
 repeated anchor (all strings of LENGTH bytes that hold it) is a context; contexts meet by anchor.
 
 Of documents with equal texts only the first is looked at, and contexts that are equal throughout repeat as they are. The others are indexed: they are dealt into two shards, each shard's
-Burrows-Wheeler transform is built from its suffix array, and the transforms are merged by refining their interleaving one symbol at a
-time. After LENGTH rounds the blocks of the interleaving are the intervals of suffixes with a common prefix of that
-length; no suffix of the merged text is sorted again. In each interval all but the earliest start is a repeat.
+Burrows-Wheeler transform is built from its suffix array, and the transforms are merged by refining their interleaving, first by 7
+symbols, then by as many as the interleaving so far tells apart. The blocks at the end are the intervals of suffixes with a common prefix of
+LENGTH; no suffix of the merged text is sorted again. In each interval all but the earliest start is a repeat.
 
 Defined results: a null text is empty; texts are UTF-8 bytes and matches never cross documents; overlapping matches count; strings are
 judged on the input; doc_id must be unique, anything else is an error; an empty table
@@ -28,8 +28,12 @@ from .common import bounded, materialise, small_batches, table
 
 LENGTH, GRAM = 100, 32
 REACH = LENGTH - GRAM
+#: Symbols that the first interleaving takes: as many as fit into a number.
+GROUP = 7
 #: Bytes of contexts that are indexed together, unless one anchor has more.
-BATCH = 1_000_000
+BATCH = 250_000
+#: Bits for a place in a document; those above them number the documents of a batch.
+START_BITS = 40
 
 
 def gram_hashes(data: bytes) -> np.ndarray:
@@ -64,61 +68,76 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return at, h[at]
 
 
-def _suffix_array(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All suffixes of texts that each end in a mark of their own, in order; and the joined text with marks 0."""
+def _steps(length: int) -> list[int]:
+    """How far each round reaches behind the first: twice as far each time, the last one so that ``length`` symbols are told apart."""
+    out, told = [], min(GROUP, length)
+    while told < length:
+        out.append(min(told, length - told))
+        told += out[-1]
+    return out
+
+
+def _shard(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The suffixes of a shard in the order of their first ``length`` symbols (symbols behind a text's end are 0), by place in the joined
+    text, where a mark ends each text; the rank of each place; how far each place is into its text; and the first GROUP symbols as a number."""
     joined = np.frombuffer(b"\0".join(texts) + b"\0", dtype=np.uint8)
-    ends = np.cumsum([len(t) + 1 for t in texts]) - 1
-    rank = joined.astype(np.int64) + len(texts)
-    rank[ends] = np.arange(len(texts))
-    step, n = 1, len(joined)
-    while True:
-        second = np.zeros(n, np.int64)
-        second[:-step] = rank[step:] + 1
-        key = rank * (n + len(texts) + 300) + second
-        order = np.argsort(key, kind="stable")
-        new = np.empty(n, np.int64)
-        new[order] = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
-        rank, step = new, step * 2
-        if rank[order[-1]] == n - 1 or step >= n:
-            return order, joined
-
-
-def merged_blocks(left: list[bytes], right: list[bytes], rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Shard (0, 1), place in the shard's joined text, and block of every suffix in merged order; a block shares ``rounds`` symbols."""
-    arrays, symbols = [], []
-    for texts in (left, right):
-        order, joined = _suffix_array(texts)
-        # A text's own bytes may be 0: shift symbols by one, so that only marks are 0.
-        ends = np.zeros(len(joined), bool)
-        ends[np.cumsum([len(t) + 1 for t in texts]) - 1] = True
-        before = order - 1
-        symbol = joined[before].astype(np.uint16) + 1
-        symbol[ends[before]] = 0  # the suffix is a whole text (place 0 is one as well)
-        arrays.append(order)
-        symbols.append(symbol)
-    n0, n1, marks = len(arrays[0]), len(arrays[1]), (len(left), len(right))
-    z = np.concatenate([np.zeros(n0, np.uint8), np.ones(n1, np.uint8)])
-    block = np.zeros(n0 + n1, np.int32)
-    fixed = np.concatenate([np.zeros(marks[0], np.uint8), np.ones(marks[1], np.uint8)])
-    for _ in range(rounds):
-        s = np.empty(len(z), np.uint16)
-        s[z == 0], s[z == 1] = symbols[0], symbols[1]
-        perm = np.argsort(s, kind="stable")[sum(marks) :]  # suffixes that begin with a mark keep their order
-        z2 = np.concatenate([fixed, z[perm]])
-        edge = np.concatenate([np.ones(sum(marks) + 1, bool), (s[perm][1:] != s[perm][:-1]) | (block[perm][1:] != block[perm][:-1])])
-        block2 = np.cumsum(edge).astype(np.int32)
-        if (z2 == z).all() and (block2 == block).all():
+    sizes = np.array([len(t) + 1 for t in texts])
+    start = np.repeat(np.cumsum(sizes) - sizes, sizes)
+    inside = np.arange(len(joined)) - start
+    left = np.repeat(sizes - 1, sizes) - inside
+    symbol = joined.astype(np.int64) + 1
+    symbol[left == 0] = 0
+    group = np.zeros(len(joined), np.int64)
+    for i in range(min(GROUP, length)):
+        group <<= 9
+        group[: len(joined) - i] |= np.where(left[: len(joined) - i] > i, symbol[i:], 0)
+    key = group
+    for k in (*_steps(length), 0):
+        order = np.argsort(key)
+        ranks = np.cumsum(np.concatenate([[0], key[order][1:] != key[order][:-1]]))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = ranks
+        if not k or ranks[-1] == len(order) - 1:
             break
-        z, block = z2, block2
+        far = np.flatnonzero(left >= k)
+        key = rank * (len(order) + 1)
+        key[far] += rank[far + k] + 1
+    rank[order] = np.arange(len(order))
+    return order, rank, inside, group
+
+
+def merged_blocks(left: list[bytes], right: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shard (0, 1), place in the shard's joined text, and block of every suffix in merged order; suffixes of a block share ``length`` symbols.
+
+    The interleaving begins with the order by GROUP symbols and is refined as transforms are merged: every suffix, in merged order, puts
+    the suffix k places before it into the block of those k symbols (the transform's symbol, k wide). As that block is known from
+    an earlier interleaving, k doubles from round to round. Each shard's own order is that of all rounds, so a round is one linear merge.
+    """
+    shards = [_shard(left, length), _shard(right, length)]
+    z = block = None
+    for k in (0, *_steps(length)):
+        keys = []
+        for side, (order, rank, inside, group) in enumerate(shards):
+            if not k:
+                keys.append(group[order])
+                continue
+            own = block[z == side]
+            key = own * (len(z) + 1)
+            after = np.flatnonzero(inside[order] >= k)
+            key[rank[order[after] - k]] += own[after] + 1
+            keys.append(key)
+        key = np.concatenate(keys)
+        merged = np.argsort(key, kind="stable")  # two sorted runs
+        z = (merged >= len(keys[0])).astype(np.uint8)
+        key = key[merged]
+        block = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
     place = np.empty(len(z), np.int64)
-    place[z == 0], place[z == 1] = arrays[0], arrays[1]
+    place[z == 0], place[z == 1] = shards[0][0], shards[1][0]
     return z, place, block
 
 
 def _runs(doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(doc, begin, end) of bytes covered by strings of LENGTH at these starts; rows of a document may come in any order."""
-    order = np.lexsort((start, doc))
-    doc, start = doc[order], start[order]
+    """(doc, begin, end) of bytes covered by strings of LENGTH at these starts, which are sorted."""
     first = np.concatenate([[True], (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)]) if len(doc) else np.zeros(0, bool)
     at = np.flatnonzero(first)
     last = np.concatenate([at[1:] - 1, [len(doc) - 1]]) if len(at) else at
@@ -127,32 +146,27 @@ def _runs(doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 def _repeats(rows: list[tuple[int, int, int, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Covered runs of a batch of whole anchors: rows are (anchor, document, context's start, context), all contexts different."""
-    docs, starts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    contexts = range(len(rows))
-    if len(contexts) > 1:
-        cut = len(contexts) // 2
-        shards = contexts[:cut], contexts[cut:]
-        z, place, block = merged_blocks([rows[k][3] for k in shards[0]], [rows[k][3] for k in shards[1]], LENGTH)
-        size = [np.array([len(rows[k][3]) + 1 for k in s]) for s in shards]
-        base = [np.cumsum(x) - x for x in size]
-        doc, start, ok = np.empty(len(z), np.int64), np.empty(len(z), np.int64), np.zeros(len(z), bool)
-        for side in (0, 1):
-            m = np.flatnonzero(z == side)
-            which = np.searchsorted(base[side], place[m], side="right") - 1
-            inside = place[m] - base[side][which]
-            own = np.array(shards[side])
-            doc[m] = np.array([rows[k][1] for k in own])[which]
-            start[m] = np.array([rows[k][2] for k in own])[which] + inside
-            ok[m] = inside + LENGTH < size[side][which]
-        doc, start, block = doc[ok], start[ok], block[ok]
-        order = np.lexsort((start, doc, block))
-        doc, start, block = doc[order], start[order], block[order]
-        head = np.concatenate([[0], np.flatnonzero(block[1:] != block[:-1]) + 1])
-        head = np.repeat(head, np.diff(np.concatenate([head, [len(block)]])))
-        again = (doc != doc[head]) | (start != start[head])
-        docs.append(doc[again])
-        starts.append(start[again])
-    return _runs(np.concatenate(docs), np.concatenate(starts))
+    if len(rows) < 2:
+        return _runs(np.zeros(0, np.int64), np.zeros(0, np.int64))
+    cut = len(rows) // 2
+    z, place, block = merged_blocks([r[3] for r in rows[:cut]], [r[3] for r in rows[cut:]], LENGTH)
+    # One number for a document (its place in their order) and a start in it.
+    docs, own = np.unique(np.array([r[1] for r in rows]), return_inverse=True)
+    at = (own.astype(np.int64) << START_BITS) + np.array([r[2] for r in rows])
+    number, ok = np.empty(len(z), np.int64), np.empty(len(z), bool)
+    for side, (low, high) in enumerate(((0, cut), (cut, len(rows)))):
+        size = np.array([len(r[3]) + 1 for r in rows[low:high]])
+        inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        m, p = z == side, place[z == side]
+        number[m] = (np.repeat(at[low:high], size) + inside)[p]
+        ok[m] = (inside + LENGTH < np.repeat(size, size))[p]
+    number, block = number[ok], block[ok]
+    if not len(number):
+        return _runs(number, number)
+    head = np.concatenate([[0], np.flatnonzero(block[1:] != block[:-1]) + 1])
+    first = np.repeat(np.minimum.reduceat(number, head), np.diff(np.concatenate([head, [len(block)]])))
+    again = np.unique(number[number != first])
+    return _runs(docs[again >> START_BITS], again & ((1 << START_BITS) - 1))
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
