@@ -9,11 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import listings as L
+from ..functions import nodes as N
 from ..functions import text as T
 from ..operators import browse as B
+from ..operators import pool as O
 from ..operators import protect as P
 from ..operators import reports as R
 from ..operators import resolve as M
+from ..sources import archives as A
+from ..sources import markup as H
 from ..sources import payload as S
 from ..streaming import incremental as I
 
@@ -146,10 +151,9 @@ def merge_source_ranks(spark, d):
     return m.select("key", F.explode("source_ranks").alias("source", "rank"))
 
 
-@query(f"WITH {ITEMS_SQL} SELECT key, source, arg_min(left(text, 40), doc_id) AS value FROM items WHERE text <> '' GROUP BY ALL")
+@query(f"WITH {ITEMS_SQL} SELECT key, source, arg_min(text, doc_id) AS value FROM items WHERE text <> '' GROUP BY ALL")
 def merge_first_url(spark, d):
-    rows = items(spark, d).withColumn("value", F.substring("text", 1, 40))
-    return M.first_value_map(rows, "key", "source", "value", "doc_id").select("key", F.explode("values").alias("source", "value"))
+    return M.first_value_map(items(spark, d), "key", "source", "text", "doc_id").select("key", F.explode("values").alias("source", "value"))
 
 
 @query("SELECT user_id, event_type AS field, arg_max(json_extract_string(props, '$.k'), event_id) AS value FROM events GROUP BY ALL")
@@ -192,11 +196,12 @@ def duplicate_fact_merge(spark, d):
 
 
 def halves(spark, d):
-    x = items(spark, d).select("key", "doc_id", F.coalesce("backlight", F.lit(False)).alias("ok"))
-    return M.keep_first(x.where("doc_id % 2 = 0"), ["key"], ["doc_id"]), M.keep_first(x.where("doc_id % 3 = 0"), ["key"], ["doc_id"])
+    """The documents without a label are a candidate publication, the labelled ones its baseline."""
+    x = items(spark, d).select("key", "doc_id", "backlight", F.coalesce("backlight", F.lit(False)).alias("ok"))
+    return tuple(M.keep_first(x.where(w).drop("backlight"), ["key"], ["doc_id"]) for w in ("backlight IS NULL", "backlight IS NOT NULL"))
 
 
-HALVES_SQL = f"{ITEMS_SQL}, c AS (SELECT key, min(doc_id) AS doc_id, arg_min(coalesce(backlight, false), doc_id) AS ok FROM items WHERE doc_id % 2 = 0 GROUP BY key), b AS (SELECT key, min(doc_id) AS doc_id, arg_min(coalesce(backlight, false), doc_id) AS ok FROM items WHERE doc_id % 3 = 0 GROUP BY key)"
+HALVES_SQL = f"{ITEMS_SQL}, c AS (SELECT key, min(doc_id) AS doc_id, arg_min(coalesce(backlight, false), doc_id) AS ok FROM items WHERE backlight IS NULL GROUP BY key), b AS (SELECT key, min(doc_id) AS doc_id, arg_min(coalesce(backlight, false), doc_id) AS ok FROM items WHERE backlight IS NOT NULL GROUP BY key)"
 
 
 @query(f"WITH {HALVES_SQL} SELECT key, doc_id, 'candidate' AS origin FROM c UNION ALL SELECT key, doc_id, 'baseline' FROM b WHERE ok AND key NOT IN (SELECT key FROM c)")
@@ -211,10 +216,10 @@ def superset_missing(spark, d):
     return P.missing_keys(b, c, "key")
 
 
-@query("SELECT DISTINCT source FROM documents WHERE doc_id % 3 = 0 AND source NOT IN (SELECT source FROM documents WHERE doc_id % 4 = 1)")
+@query("SELECT DISTINCT source FROM documents WHERE lang = 'en' AND source NOT IN (SELECT source FROM documents WHERE lang = 'es' AND source IS NOT NULL)")
 def source_regression(spark, d):
     x = t(spark, d, "documents")
-    return P.missing_keys(x.where("doc_id % 3 = 0"), x.where("doc_id % 4 = 1"), "source")
+    return P.missing_keys(x.where("lang = 'en'"), x.where("lang = 'es'"), "source")
 
 
 @query(f"WITH {ITEMS_SQL} SELECT * FROM (SELECT 0::BIGINT AS check_ord, 'no key' AS error, count(*) FILTER (key IS NULL) AS rows FROM items UNION ALL SELECT 1, 'not eligible', count(*) FILTER (backlight IS NOT TRUE) FROM items UNION ALL SELECT 2, 'duplicate keys', count(*) FROM (SELECT key FROM items GROUP BY key HAVING count(*) > 1)) WHERE rows > 0")
@@ -324,10 +329,11 @@ def keep_first(spark, d):
     return M.keep_first(t(spark, d, "events").select("user_id", "event_id", "event_type"), ["user_id"], ["event_id"])
 
 
-@query("SELECT user_id, min(event_id) AS event_id FROM events WHERE event_id % 5 = 1 AND user_id NOT IN (SELECT user_id FROM events WHERE event_id % 5 = 0) GROUP BY user_id")
+@query("SELECT user_id, min(event_id) AS event_id FROM events WHERE event_type = 'view' AND user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase') GROUP BY user_id")
 def merge_new_items(spark, d):
-    e = t(spark, d, "events").select("user_id", "event_id")
-    return M.merge_new(e.where("event_id % 5 = 0"), e.where("event_id % 5 = 1"), "user_id", "event_id")
+    e = t(spark, d, "events")
+    old, new = (e.where(F.col("event_type") == k).select("user_id", "event_id") for k in ("purchase", "view"))
+    return M.merge_new(old, new, "user_id", "event_id")
 
 
 @query("SELECT event_id FROM events WHERE event_id NOT IN (SELECT event_id FROM events WHERE value > 10)")
@@ -358,10 +364,9 @@ def progress_amount(spark, d):
     return t(spark, d, "pages").select("page_id", T.max_amount(F.col("url"), [r"/(\d+)", r"page=(\d+)"]).alias("amount"))
 
 
-@query("SELECT l_suppkey % 10 AS grp, arg_min(l_orderkey, row(l_quantity, l_orderkey)) AS picked FROM lineitem WHERE l_linenumber = 1 GROUP BY grp")
+@query("SELECT l_suppkey, arg_min(l_orderkey, row(l_quantity, l_orderkey)) AS picked FROM lineitem GROUP BY l_suppkey")
 def pool_pick_least_used(spark, d):
-    li = t(spark, d, "lineitem").where("l_linenumber = 1").withColumn("grp", F.col("l_suppkey") % 10)
-    return R.pick(li, "l_orderkey", F.col("l_quantity"), "l_orderkey", ["grp"])
+    return R.pick(t(spark, d, "lineitem"), "l_orderkey", F.col("l_quantity"), "l_orderkey", ["l_suppkey"])
 
 
 @query("SELECT l_suppkey, count(*) AS total, count(*) FILTER (l_returnflag = 'R') AS failed, count(*) FILTER (l_returnflag <> 'R') * 1.0::DOUBLE / count(*) AS score FROM lineitem GROUP BY l_suppkey")
@@ -410,10 +415,10 @@ def semantic_validity(spark, d):
     return t(spark, d, "documents").select("doc_id", present.alias("present"), (present >= 3).alias("valid"))
 
 
-@query("SELECT coalesce(a.k, b.k) AS key, CASE WHEN a.k IS NULL THEN 'insert' WHEN b.k IS NULL THEN 'keep' ELSE 'update' END AS action FROM (SELECT c_custkey AS k FROM customer WHERE c_custkey % 2 = 0) a FULL JOIN (SELECT c_custkey AS k FROM customer WHERE c_custkey % 3 = 0) b ON a.k = b.k")
+@query("SELECT coalesce(a.k, b.k) AS key, CASE WHEN a.k IS NULL THEN 'insert' WHEN b.k IS NULL THEN 'keep' ELSE 'update' END AS action FROM (SELECT c_custkey AS k FROM customer WHERE c_acctbal >= 0) a FULL JOIN (SELECT c_custkey AS k FROM customer WHERE c_mktsegment = 'BUILDING') b ON a.k = b.k")
 def upsert_actions(spark, d):
-    c = t(spark, d, "customer").select(F.col("c_custkey").alias("key"))
-    return I.upsert(c.where("key % 2 = 0"), c.where("key % 3 = 0"), "key")
+    c = t(spark, d, "customer").withColumnRenamed("c_custkey", "key")
+    return I.upsert(c.where("c_acctbal >= 0").select("key"), c.where("c_mktsegment = 'BUILDING'").select("key"), "key")
 
 
 @query()
@@ -425,6 +430,97 @@ def stream_resume(spark, d):
     return spark.read.parquet(f"{where}/sink").select("event_id", "user_id", "event_type")
 
 
+# Listings are spelled out of the parts table: a processor of one of six kinds by size, over an order of marks that sites use.
+MODEL_SQL = """CASE p_size // 9 WHEN 0 THEN 'Intel Core i7-' || (10000 + p_partkey) || 'HX' WHEN 1 THEN '酷睿 Ultra 5 ' || (100 + p_size) || 'U' WHEN 2 THEN 'AMD 锐龙 7 ' || (7000 + p_size) || 'HS'
+  WHEN 3 THEN 'i9-' || (14000 + p_size) || 'K' WHEN 4 THEN 'Ryzen 9 ' || (7000 + p_size) || 'X3D' ELSE 'N' || p_size END"""
+
+
+def processors(spark, d):
+    size, key = F.col("p_size"), F.col("p_partkey")
+    kind = F.floor(size / 9)
+    c = lambda *x: F.concat(*(y if not isinstance(y, str) else F.lit(y) for y in x))
+    n = lambda base: (size + base).cast("string")
+    cpu = F.when(kind == 0, c("Intel Core i7-", (key + 10000).cast("string"), "HX")).when(kind == 1, c("酷睿 Ultra 5 ", n(100), "U")).when(kind == 2, c("AMD 锐龙 7 ", n(7000), "HS"))
+    cpu = cpu.when(kind == 3, c("i9-", n(14000), "K")).when(kind == 4, c("Ryzen 9 ", n(7000), "X3D")).otherwise(c("N", n(0)))
+    return t(spark, d, "part").withColumn("cpu", cpu)
+
+
+VOLTAGE_SQL = "CASE p_size // 9 WHEN 0 THEN CASE WHEN p_partkey < 90000 THEN 'high_performance' ELSE 'unknown' END WHEN 1 THEN 'low_power' WHEN 2 THEN 'standard_performance' WHEN 3 THEN 'desktop_performance' WHEN 4 THEN 'desktop_performance' ELSE 'unknown' END"
+CPU_ID_SQL = """CASE p_size // 9 WHEN 0 THEN 'intel-i7-' || (10000 + p_partkey) || 'hx' WHEN 1 THEN 'intel-ultra5-' || (100 + p_size) || 'u' WHEN 2 THEN 'amd-r7-' || (7000 + p_size) || 'hs'
+  WHEN 3 THEN 'i9' || (14000 + p_size) || 'k' WHEN 4 THEN 'ryzen9' || (7000 + p_size) || 'x3d' ELSE 'n' || p_size END"""
+
+
+@query(f"SELECT p_partkey, {VOLTAGE_SQL} AS voltage FROM part")
+def cpu_voltage(spark, d):
+    return processors(spark, d).select("p_partkey", L.cpu_voltage(F.col("cpu")).alias("voltage"))
+
+
+@query(f"SELECT p_partkey, {CPU_ID_SQL} AS cpu_identity FROM part")
+def cpu_identity(spark, d):
+    return processors(spark, d).select("p_partkey", L.cpu_identity(F.col("cpu"), F.lit(""), F.lit("")).alias("cpu_identity"))
+
+
+@query(f"""WITH v AS (SELECT p_partkey, p_size, p_retailprice > 1200 AS light, {VOLTAGE_SQL} AS voltage FROM part)
+SELECT p_partkey, concat_ws(',', CASE WHEN p_size <= 20 THEN 'numeric_keypad_not_confirmed' END, CASE WHEN light IS NOT TRUE THEN 'keyboard_backlight_not_confirmed' END,
+  CASE WHEN voltage = 'desktop_performance' THEN 'desktop_cpu_product_form_not_confirmed' WHEN voltage NOT IN ('standard_performance', 'high_performance') THEN 'cpu_voltage_not_allowed:' || voltage END) AS reasons FROM v""")
+def admission_gate(spark, d):
+    none = F.lit("")
+    volt, portable = L.voltage(none, F.col("cpu"), none), L.portable_form(F.lit("notebook"), F.col("p_name"), none, none, F.create_map(F.lit("cpu"), F.col("cpu")))
+    reasons = L.admission_reasons(F.when(F.col("p_size") > 20, "支持").otherwise("无"), F.col("p_retailprice") > 1200, volt, portable)
+    return processors(spark, d).select("p_partkey", F.array_join(reasons, ",").alias("reasons"))
+
+
+@query("SELECT p_partkey, (10 + p_size % 8)::DOUBLE AS screen_size, 8 * p_size AS memory_gb, greatest(8 * p_size, 1024 * (p_size % 3)) AS storage_gb, 'RTX ' || (1000 + p_size) AS gpu, true AS dedicated_gpu FROM part")
+def title_fields(spark, d):
+    s = lambda c: c.cast("string")
+    size = F.col("p_size")
+    title = F.concat("p_name", F.lit(" "), s(size * 8), F.lit("GB/"), s(size % 3), F.lit("TB/RTX "), s(size + 1000), F.lit(" "), s(size % 8 + 10), F.lit("英寸"))
+    f = L.title_fields(title)
+    return t(spark, d, "part").select("p_partkey", f.alias("f")).select("p_partkey", *(f"f.{c}" for c in ("screen_size", "memory_gb", "storage_gb", "gpu", "dedicated_gpu")))
+
+
+@query("SELECT c_custkey, c_name AS name, 'trojan' AS type, 'h' || c_nationkey || '.example' AS server, 1000 + c_nationkey AS port, 'p' || c_custkey AS password, lower(c_mktsegment) AS sni FROM customer")
+def node_links(spark, d):
+    s = lambda c: F.col(c).cast("string")
+    link = F.concat(F.lit("trojan://p"), s("c_custkey"), F.lit("@H"), s("c_nationkey"), F.lit(".example:"), (F.col("c_nationkey") + 1000).cast("string"), F.lit("?a=&sni="), F.lower("c_mktsegment"), F.lit("#"), F.url_encode("c_name"))
+    nodes = t(spark, d, "customer").select("c_custkey", N.parse_node(link, ("trojan",)).alias("n"))
+    return nodes.select("c_custkey", "n.name", "n.type", "n.server", "n.port", F.col("n.opts")["password"].alias("password"), F.col("n.opts")["sni"].alias("sni"))
+
+
+@query("""WITH a AS (SELECT o_custkey, arg_max(o_orderpriority, o_orderkey) AS current, arg_max(o_totalprice < 50000, o_orderkey) AS failed, list_sort(list(DISTINCT o_orderpriority) FILTER (o_totalprice < 50000)) AS blocked FROM orders GROUP BY o_custkey),
+p AS (SELECT DISTINCT o_orderpriority AS node FROM orders)
+SELECT o_custkey, current, coalesce(array_to_string(blocked, ','), '') AS blocked, CASE WHEN failed THEN (SELECT min(node) FROM p WHERE node <> current AND NOT list_contains(coalesce(blocked, []), node)) END AS next FROM a""")
+def failover(spark, d):
+    o = t(spark, d, "orders").withColumnRenamed("o_orderpriority", "node")
+    pool = o.select("node").distinct().withColumn("o", F.col("node"))
+    return O.failover(o, pool, "o_custkey", "o_orderkey", "node", "o_totalprice", "o", 50000).withColumn("blocked", F.array_join("blocked", ","))
+
+
+@query("""SELECT user_id, event_id FROM events e LEFT JOIN (SELECT user_id AS u, min(event_id) AS stop FROM events WHERE event_type = 'error' GROUP BY user_id) s ON e.user_id = s.u WHERE stop IS NULL OR event_id < stop""")
+def circuit_breaker(spark, d):
+    return O.prefix_until(t(spark, d, "events").select("user_id", "event_id", "event_type"), "user_id", "event_id", F.col("event_type") == "error").select("user_id", "event_id")
+
+
+@query("SELECT user_id, count(*) FILTER (event_type <> 'error') AS success, count(*) FILTER (event_type = 'error') AS fail, max(ts) AS last_used FROM events GROUP BY user_id")
+def pool_counters(spark, d):
+    return O.counters(t(spark, d, "events"), "user_id", F.col("event_type") != "error", "ts")
+
+
+@query("""SELECT o_custkey, arg_min(o_orderkey, row(-epoch_us(o_orderdate), o_orderkey)) AS o_orderkey FROM orders WHERE starts_with(o_orderpriority, '1') AND o_orderstatus <> 'F' GROUP BY o_custkey""")
+def artifact_candidates(spark, d):
+    o = t(spark, d, "orders").select("o_custkey", "o_orderkey", F.col("o_orderpriority").alias("name"), (F.col("o_orderstatus") == "F").alias("expired"), F.col("o_orderdate").alias("created_at"))
+    return A.newest_artifact(A.candidates(o, "1"), ["o_custkey"], F.lit(True), "o_orderkey").select("o_custkey", "o_orderkey")
+
+
+#: What a list page's card is, on these pages: an item of the menu.
+MENU = {"card": "nav li", "link": ["a[href]"], "price": [], "page_size": 1, "id": [("slug", None)]}
+
+
+@query()
+def list_cards(spark, d):
+    return H.read_cards(t(spark, d, "pages").withColumnRenamed("page_id", "page_no"), MENU)
+
+
 def queries():
     return dict(QUERIES)
 

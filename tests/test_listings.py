@@ -181,3 +181,21 @@ def test_http_source(spark):
     assert got == {"a": (200, "价", None), "busy": (200, "价", None), "gone": (404, None, "HTTP 404")}
     pages = {1: [1] * 100, 2: [2]}
     assert len(http.paged("{page}", lambda u: (200, json.dumps({"n": 2, "x": pages[int(u)]}), u, None))) == 101
+
+
+def test_cards_of_pages_against_a_plain_pattern(spark):
+    import html
+    import re
+    from collections import Counter
+
+    from attesta.plans import catalogue
+
+    d = "/root/testdata/sf0.001"
+    want = Counter()
+    for r in spark.read.parquet(f"{d}/pages.parquet").collect():
+        for nav in re.findall(r"<nav[^>]*>(.*?)</nav>", r["html"] or "", re.S):
+            for href, said in re.findall(r'<li[^>]*>\s*<a[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', nav, re.S):
+                if title := markup.folded(html.unescape(re.sub(r"<[^>]+>", "", said))):
+                    want[(r["page_id"], html.unescape(href), title)] += 1
+    got = Counter((r["page_no"], r["href"], r["title"]) for r in catalogue.list_cards(spark, d).collect())
+    assert sum(want.values()) > 0 and got == want
