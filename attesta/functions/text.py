@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,18 +18,24 @@ def clean(text: Column) -> Column:
 
 def nfkc(text: Column) -> Column:
     """Unicode NFKC, for which Spark has no expression: an Arrow-batched function, applied to texts that are not plain ASCII."""
-    import unicodedata
-
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
 
-    @pandas_udf("string")
+    @F.pandas_udf("string")
     def normal(s: pd.Series) -> pd.Series:
         return s.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 
     return normal(text)
 
 
+def casefolded(text: Column) -> Column:
+    """NFKC, white space folded, full case folding (ß as ss), which lower case is not; Arrow-batched as well."""
+
+    @F.pandas_udf("string")
+    def folded(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: None if t is None else " ".join(unicodedata.normalize("NFKC", t).split()).casefold())
+
+    return folded(text)
+
+
 def empty_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 

@@ -17,6 +17,7 @@ from ..operators import pool as O
 from ..operators import protect as P
 from ..operators import reports as R
 from ..operators import resolve as M
+from ..operators import validate as V
 from ..sources import archives as A
 from ..sources import markup as H
 from ..sources import payload as S
@@ -521,6 +522,25 @@ def list_cards(spark, d):
     return H.read_cards(t(spark, d, "pages").withColumnRenamed("page_id", "page_no"), MENU)
 
 
+@query("SELECT doc_id, lower(replace(trim(regexp_replace(nfc_normalize(text), '[ \\t\\r\\n\\f\\v]+', ' ', 'g')), 'ß', 'ss')) AS folded FROM documents")
+def casefold_text(spark, d):
+    return t(spark, d, "documents").select("doc_id", T.casefolded(F.col("text")).alias("folded"))
+
+
+@query("SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY pos)) AS hit, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE regexp_matches(text, 'password|api_key') AND regexp_matches(text, 'http')) WHERE regexp_matches(line, 'password|api_key|http') AND NOT regexp_matches(line, 'License')")
+def code_scan(spark, d):
+    from pyspark.sql import Window as W
+
+    hits = V.scan_files(t(spark, d, "documents").select("doc_id", "text"), "doc_id", "text", ["password|api_key", "http"], "password|api_key|http", "License")
+    return hits.select("doc_id", F.row_number().over(W.partitionBy("doc_id").orderBy("line_no")).cast("long").alias("hit"), "line")
+
+
+@query("SELECT coalesce(a.k, b.k) AS key, CASE WHEN a.k IS NULL THEN 'unexpected' WHEN b.k IS NULL THEN 'missing' ELSE 'different' END AS error FROM (SELECT c_custkey AS k, c_nationkey AS n FROM customer) a FULL JOIN (SELECT s_suppkey AS k, s_nationkey AS n FROM supplier) b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL OR a.n <> b.n")
+def manifest_differences(spark, d):
+    a = t(spark, d, "customer").select(F.col("c_custkey").alias("key"), F.col("c_nationkey").alias("n"))
+    return V.manifest_differences(a, t(spark, d, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_nationkey").alias("n")), "key", ["n"])
+
+
 def queries():
     return dict(QUERIES)
 
