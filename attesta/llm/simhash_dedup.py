@@ -10,6 +10,11 @@ Equal fingerprints are one node before the index is built, so a group of copies
 the components of its members, never their pairs; the members of a bucket of over ``BUCKET`` are dealt out
 into blocks, and every two blocks are compared in a task of their own.
 
+The pipeline's links are proven: ``similar`` takes SimHash only for candidates, and links two texts if their sets of five-word shingles have
+a Jaccard similarity of 0.8 or more. Its candidates share one of ``SAMPLES`` samples of ``SAMPLED`` bits each, of six words, where a segment
+and its deletion variants would draw on few bits; sets of under ``SMALL`` shingles also share one of their smallest hashes, which two sets of
+that similarity always do. Texts that candidates connect are compared set by set; sets are told apart by the 64-bit hashes of their shingles.
+
 Defined results: A-Z are lower-cased, words are runs without ASCII white space; a null text is the empty text; texts without
 words have fingerprint 0 and are linked like any other; a text with fewer words than a shingle is one shingle; repeated rows
 each get their result; an empty table gives an empty table; other columns pass through, except for those named sd_*.
@@ -17,6 +22,7 @@ each get their result; an empty table gives an empty table; other columns pass t
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,27 +38,50 @@ from .components import components
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Members of a bucket that are compared at once.
 BUCKET = 1024
+#: Keys of a fingerprint of ``similar``, bits of each, words that they are drawn from, and words and differing bits by which candidates are told.
+#: At 0.8 a bit differs with probability 0.151: 192 bits in 29 with a standard deviation of 5. Unrelated texts differ in 96.
+SAMPLES, SAMPLED, DRAWN, COMPARED, CANDIDATE_BITS = 256, 20, 6, 3, 52
+#: Sets of fewer shingles are candidates by their smallest hashes as well: their bits differ more often than the formula says.
+SMALL = 32
 #: Mixed into a shingle's hash for the second and later words of a fingerprint.
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _words(texts: list[str | None], width: int, n: int) -> list[np.ndarray]:
+def _simhashes(hashes: np.ndarray, many: np.ndarray, n: int) -> list[np.ndarray]:
     """n SimHash words a text; the first is that of the plain hashes."""
-    out: list[list[np.ndarray]] = [[] for _ in range(n)]
+    out = []
+    for i in range(n):
+        if i:
+            with np.errstate(over="ignore"):
+                hashes = (hashes ^ hashes >> np.uint64(32)) * MIX
+                hashes ^= hashes >> np.uint64(29)
+        out.append(shingles.simhash(hashes, many))
+    return out
+
+
+def _parts(texts: list[str | None], width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Shingle hashes of texts, about a million characters at a time, and how many each text has."""
     k = 0
     while k < len(texts):
         m, chars = 0, 0
         while k + m < len(texts) and (not m or chars + len(texts[k + m] or "") <= 1_000_000):
             chars += len(texts[k + m] or "")
             m += 1
-        hashes, many = shingles.shingle_hashes(texts[k : k + m], width)
-        for i in range(n):
-            if i:
-                with np.errstate(over="ignore"):
-                    hashes = (hashes ^ hashes >> np.uint64(32)) * MIX
-                    hashes ^= hashes >> np.uint64(29)
-            out[i].append(shingles.simhash(hashes, many))
+        yield shingles.shingle_hashes(texts[k : k + m], width)
         k += m
+
+
+def _sets(texts: list[str | None], width: int) -> Iterator[list[np.ndarray]]:
+    """The sets of shingle hashes of texts, sorted, part by part."""
+    for hashes, many in _parts(texts, width):
+        yield [np.unique(x) for x in np.split(hashes, np.cumsum(many)[:-1])]
+
+
+def _words(texts: list[str | None], width: int, n: int) -> list[np.ndarray]:
+    out: list[list[np.ndarray]] = [[] for _ in range(n)]
+    for hashes, many in _parts(texts, width):
+        for o, w in zip(out, _simhashes(hashes, many, n)):
+            o.append(w)
     return [np.concatenate(x) if x else np.zeros(0, np.uint64) for x in out]
 
 
@@ -151,12 +180,11 @@ def _bucket_links(n_keys: int, n_words: int, max_bits: int, most: int | None):
     return run
 
 
-def _links(nodes: DataFrame, words: int, max_bits: int) -> DataFrame:
-    """(a0.., b0..): links that connect the fingerprints of ``nodes`` (sd_0..) within max_bits as their graph does."""
-    spark = nodes.sparkSession
+def _links(index: DataFrame, words: int, max_bits: int) -> DataFrame:
+    """(a0.., b0..): links that connect the fingerprints of ``index`` (key, sd_0..) with a key in common and within max_bits as their graph does."""
     names = [f"sd_{i}" for i in range(words)]
     schema = ", ".join(f"{s}{i} long" for s in "ab" for i in range(words)) + ", key long"
-    index = nodes.select(F.explode(_keys(words)).alias("key"), *names).repartition("key").sortWithinPartitions("key")
+    index = index.select("key", *names).repartition("key").sortWithinPartitions("key")
     found = materialise(index.mapInArrow(_bucket_links(1, words, max_bits, BUCKET), schema), "simhash-links")
     sides = [f"{s}{i}" for s in "ab" for i in range(words)]
     links = found.where("key IS NULL").select(*sides).distinct()
@@ -170,16 +198,11 @@ def _links(nodes: DataFrame, words: int, max_bits: int) -> DataFrame:
     return links.unionAll(more.select(*sides)).distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, words: int = 3, max_bits: int = 34, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, sd_0.., sd_component) for each row; the component is named by its smallest key.
-
-    The defaults stand for a similarity of 0.8 or more of shingles of five words: there, a bit differs with probability 0.152,
-    so 192 bits differ in 29 with a standard deviation of 5; 34 bits allow for it. Unrelated texts differ in 96.
-    """
+def _components(prints: DataFrame, index: DataFrame, words: int, max_bits: int, key: str) -> DataFrame:
+    """``prints`` with sd_component; equal fingerprints are one node, and ``index`` has the keys of each."""
     names = [f"sd_{i}" for i in range(words)]
-    prints = materialise(fingerprints(docs, width, words, text, key), "simhash-prints")
     nodes = materialise(prints.groupBy(*names).agg(F.min(key).alias("sd_rep")), "simhash-nodes")
-    links = _links(nodes.select(*names), words, max_bits)
+    links = _links(index, words, max_bits)
     for s in "ab":
         links = links.join(nodes.select(*(F.col(n).alias(f"{s}{i}") for i, n in enumerate(names)), F.col("sd_rep").alias(s)), [f"{s}{i}" for i in range(words)])
     roots = components(links.select("a", "b"))
@@ -187,12 +210,121 @@ def near_duplicates(docs: DataFrame, width: int = 5, words: int = 3, max_bits: i
     return prints.join(named, names)
 
 
+def near_duplicates(docs: DataFrame, width: int, words: int, max_bits: int, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, sd_0.., sd_component) for each row; the component is named by its smallest key."""
+    names = [f"sd_{i}" for i in range(words)]
+    prints = materialise(fingerprints(docs, width, words, text, key), "simhash-prints")
+    index = prints.select(*names).distinct().select(F.explode(_keys(words)).alias("key"), *names)
+    return _components(prints, index, words, max_bits, key)
+
+
+def _samples() -> np.ndarray:
+    """The bits of each key of ``similar``."""
+    rng = np.random.default_rng(42)
+    return np.stack([rng.choice(64 * DRAWN, SAMPLED, replace=False) for _ in range(SAMPLES)])
+
+
+def _set_prints(docs: DataFrame, width: int, least: float, text: str, key: str) -> DataFrame:
+    """(key, sd_0.., small): SimHash words of each row's set of shingles; of a small set, the hashes of which a similar one shares at least one."""
+    small_batches(docs.sparkSession)
+    names = [f"sd_{i}" for i in range(DRAWN)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, small = [[] for _ in names], []
+            for sets in _sets(batch.column(1).to_pylist(), width):
+                many = np.array([len(x) for x in sets], dtype=np.int64)
+                for f, w in zip(found, _simhashes(np.concatenate(sets), many, DRAWN)):
+                    f.append(w)
+                # Of n hashes in order, one of the first n - ceil(least * n) + 1 is in every set that shares least * n of them.
+                small += [x[: len(x) - int(np.ceil(least * len(x) - 1e-9)) + 1].view(np.int64).tolist() if 0 < len(x) < SMALL else [] for x in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.concatenate(f).view(np.int64) if f else [], pa.int64()) for f in found), pa.array(small, pa.list_(pa.int64()))], [key, *names, "small"])
+
+    return docs.select(F.col(key).cast("long").alias(key), F.col(text)).mapInArrow(run, ", ".join([f"{key} long", *(f"{n} long" for n in names), "small array<long>"]))
+
+
+def _sampled_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(sd_0.. of COMPARED words, keys) of fingerprints."""
+    samples, value = _samples(), (1 << np.arange(SAMPLED)).astype(np.float32)
+    for batch in batches:
+        words = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(DRAWN)], axis=1)
+        bits = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little").astype(np.float32)
+        keys = np.stack([bits[:, s] @ value for s in samples], axis=1).astype(np.int64) | np.arange(SAMPLES, dtype=np.int64) << SAMPLED
+        small = batch.column(DRAWN).to_pylist()
+        rows = [k.tolist() + [x & (1 << 63) - 1 | 1 << 62 for x in s] for k, s in zip(keys, small)]
+        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(COMPARED)), pa.array(rows, pa.list_(pa.int64()))], [*(f"sd_{i}" for i in range(COMPARED)), "keys"])
+
+
+def _alike(sets: list[np.ndarray], least: float) -> list[tuple[int, int]]:
+    """Links that connect sets as all pairs with a Jaccard similarity of at least ``least`` do; what is connected already is not compared again."""
+    size = np.array([len(x) for x in sets])
+    values, column = np.unique(np.concatenate(sets), return_inverse=True)
+    edge = np.cumsum(size) - size
+    left, out = list(range(len(sets))), []
+    mark = np.zeros(len(values), dtype=bool)
+    while left:
+        queue = [left.pop(0)]
+        while queue and left:
+            i = queue.pop()
+            mark[column[edge[i] : edge[i] + size[i]]] = True
+            rest, queue_ = [], []
+            for j in left:
+                n = int(np.count_nonzero(mark[column[edge[j] : edge[j] + size[j]]])) if least * max(size[i], size[j]) <= min(size[i], size[j]) + 1e-6 else 0
+                (queue_ if n / max(1, size[i] + size[j] - n) >= least else rest).append(j)
+            mark[column[edge[i] : edge[i] + size[i]]] = False
+            out += [(i, j) for j in queue_]
+            queue += queue_
+            left = rest
+    return out
+
+
+def similar(docs: DataFrame, width: int = 5, least: float = 0.8, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, sd_component) for each key: rows are linked if their sets of shingles have a Jaccard similarity of ``least`` or more.
+
+    ``least`` must not be below 0.8, which the candidates stand for.
+    """
+    if least < 0.8:
+        raise ValueError("candidates are made for a similarity of 0.8 or more")
+    prints = materialise(_set_prints(docs, width, least, text, key), "simhash-prints")
+    whole = prints.drop(key).distinct()
+    compared = [f"sd_{i}" for i in range(COMPARED)]
+    index = whole.mapInArrow(_sampled_keys, ", ".join([*(f"{n} long" for n in compared), "keys array<long>"])).select(F.explode("keys").alias("key"), *compared)
+    coarse = materialise(_components(prints.select(key, *compared), index, COMPARED, CANDIDATE_BITS, key).select(key, "sd_component").distinct(), "simhash-candidates")
+    several = coarse.groupBy("sd_component").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sd_component")
+    members = materialise(coarse.join(several, "sd_component", "left_semi"), "simhash-members")
+    texts = docs.select(F.col(key).cast("long").alias(key), F.col(text).alias("text")).join(bounded(members), key).select(key, "sd_component", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [x for sets in _sets(batch.column(2).to_pylist(), width) for x in sets]
+            raw = [x.tobytes() for x in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([hashlib.sha256(x).digest() for x in raw], pa.binary()), pa.array(raw, pa.binary())], [key, "part", "digest", "shingles"])
+
+    sets = materialise(texts.mapInArrow(run, f"{key} long, part long, digest binary, shingles binary"), "simhash-sets")
+    named = materialise(sets.groupBy("digest").agg(F.min(F.struct(key, "part")).alias("m")).select("digest", F.col("m")[key].alias("rep"), F.col("m.part").alias("part")), "simhash-named")  # equal sets are one
+    sizes = named.groupBy("part").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("part", F.ceil(F.col("n") * 2 / BUCKET).alias("blocks"))
+    many = materialise(named.join(sizes, "part").select("rep", "part", "blocks", "digest"), "simhash-several")
+    own = sets.join(many.select(F.col("rep").alias(key), "part", "digest", "blocks"), [key, "part", "digest"]).dropDuplicates([key, "digest"])
+    dealt = own.select("part", F.col(key).alias("rep"), "shingles", "blocks", F.pmod(F.xxhash64(key), F.col("blocks")).alias("own"))
+    # Every two blocks meet in a task of their own; a part of one block meets itself.
+    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select("part", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep", "shingles")
+
+    def verify(got: pa.Table) -> pa.Table:
+        rep = got.column("rep").to_pylist()
+        links = _alike([np.frombuffer(x, dtype=np.uint64) for x in got.column("shingles").to_pylist()], least)
+        return pa.table({"a": pa.array([rep[i] for i, _ in links], pa.int64()), "b": pa.array([rep[j] for _, j in links], pa.int64())})
+
+    links = pairs.groupBy("part", "i", "j").applyInArrow(verify, "a long, b long")
+    copies = sets.join(named.select("digest", "rep"), "digest").where(F.col(key) != F.col("rep")).select(F.col(key).alias("a"), F.col("rep").alias("b"))
+    roots = components(links.unionAll(copies))
+    return coarse.select(key).distinct().join(roots, F.col(key) == F.col("node"), "left").select(key, F.coalesce("root", key).alias("sd_component"))
+
+
 def first_of_each(docs: DataFrame, **options) -> DataFrame:
     """The documents of ``docs`` that are the first (smallest doc_id) of their component; rows of that id that repeat are kept once."""
-    first = near_duplicates(docs, **options).where("doc_id = sd_component").groupBy("doc_id").agg(F.count(F.lit(1)).alias("sd_rows"))
-    first = materialise(first, "simhash-first")
-    out = docs.join(bounded(first.select("doc_id")), "doc_id", "left_semi")
-    return out if first.where("sd_rows > 1").isEmpty() else out.dropDuplicates(["doc_id"])
+    first = materialise(similar(docs, **options).where("doc_id = sd_component").select("doc_id"), "simhash-first")
+    out = docs.join(bounded(first), "doc_id", "left_semi")
+    return out if docs.groupBy("doc_id").count().where("count > 1").isEmpty() else out.dropDuplicates(["doc_id"])
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near duplicates (five-word shingles, similarity 0.8) the document with the smallest doc_id stays."""
+    """Of near duplicates (sets of five-word shingles, Jaccard similarity 0.8, verified) the document with the smallest doc_id stays."""
     return simhash_dedup.first_of_each(docs).select(*COLUMNS)
 
 

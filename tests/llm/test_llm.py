@@ -120,6 +120,25 @@ def test_first_of_each_keeps_one_of_near_copies(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == list(range(12))
 
 
+@pytest.mark.parametrize("bucket", [1024, 6])
+def test_first_of_each_decides_by_exact_similarity(monkeypatch, spark, bucket):
+    monkeypatch.setattr(simhash_dedup, "BUCKET", bucket)
+    rng = random.Random(8)
+    fresh = lambda n: [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+    rows = []
+    for k in range(120):  # one run of changed words: similarities from 0.7 to 0.9, and short texts
+        n = rng.choice([14, 30, 200, 400])
+        base, cut = fresh(n), rng.randint(n // 20, n // 6)
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(base[: n - cut] + fresh(cut)))]
+    sets = {i: {tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for i, t in rows}
+    far = {i for i in sets if i % 2 and len(sets[i] & sets[i - 1]) / len(sets[i] | sets[i - 1]) < 0.8}
+    assert 20 < len(far) < 100
+    kept = {r["doc_id"] for r in simhash_dedup.first_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept & set(range(1, 240, 2)) == far and set(range(0, 240, 2)) <= kept
+    sets = [np.unique(np.array([hash(x) & (2**62 - 1) for x in s], np.uint64)) for s in sets.values()]
+    assert sorted((min(p), max(p)) for p in simhash_dedup._alike(sets, 0.8)) == [(i - 1, i) for i in range(1, 240, 2) if i not in far]
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(50, 51)], "a long, b long")
     assert dict(map(tuple, components.components(links).collect())) == {**{i: 0 for i in range(41)}, 50: 50, 51: 50}
