@@ -28,7 +28,7 @@ from .common import bounded, materialise, small_batches, table
 #: Labelled rows that are learned from, at most.
 SAMPLE = 20_000
 #: Terms of the lexicon, at most; toxic texts that a term must be in, and their share.
-TERMS, LEAST, SHARE = 400, 5, 0.02
+TERMS, LEAST, SHARE = 400, 5, 0.005
 #: Letters of beginnings of words, and the least letters of a word and of a beginning that may be misspelled.
 STEMS, FUZZY = (4, 8), (5, 7)
 #: Words on each side that are looked at.
@@ -94,25 +94,27 @@ class Lexicon:
         return self._walk(w[:64]) if self._possible(w) else None
 
     def _walk(self, w: str) -> tuple[int, bool] | None:
-        """The automaton's states are a row of edit distances to the beginnings of ``w``, pruned beyond one edit."""
+        """The automaton's states are a row of edit distances to the beginnings of ``w``, pruned beyond one edit: those of one letter
+        fewer than the node's depth, as many, and one more. All others are over one."""
         best = None
         n = len(w)
-        stack = [(self.trie, tuple(range(n + 1)), 0)]
+        stack = [(self.trie, 2, 0, 1 if n else 2, 0)]
         while stack:
-            node, row, depth = stack.pop()
+            node, a, b, c, depth = stack.pop()
             for i, whole in node.get("", ()):
-                d = row[n] if whole else min(row)
+                d = (a if depth - 1 == n else b if depth == n else c if depth + 1 == n else 2) if whole else min(a, b, c)
                 if d == 1 and depth >= FUZZY[0 if whole else 1]:
                     if best is None or (d, -depth, i) < best:
                         best = (d, -depth, i)
             for ch, child in node.items():
                 if not ch:
                     continue
-                new = [row[0] + 1]
-                for k in range(1, n + 1):
-                    new.append(min(new[k - 1] + 1, row[k] + 1, row[k - 1] + (w[k - 1] != ch)))
-                if min(new) <= 1:
-                    stack.append((child, tuple(new), depth + 1))
+                # The child's three states are at the beginnings of depth, depth + 1 and depth + 2 letters.
+                x = 2 if depth > n else min(b + 1, 2 if depth < 1 else a + (w[depth - 1] != ch))
+                y = 2 if depth + 1 > n else min(x + 1, c + 1, b + (w[depth] != ch))
+                z = 2 if depth + 2 > n else min(y + 1, c + (w[depth + 1] != ch))
+                if min(x, y, z) <= 1:
+                    stack.append((child, x, y, z, depth + 1))
         return None if best is None else (best[2], best[0] > 0)
 
     def match(self, token: str) -> tuple[int, bool] | None:
@@ -144,10 +146,10 @@ class Lexicon:
         tokens = text.lower().split()
         seen: dict[tuple[int, bool, bool], int] = {}
         memory, match = self.memory, self.match
-        for i, t in enumerate(tokens):
-            m = memory[t] if t in memory else match(t)
-            if m is not None:
-                k = (*m, self.quoted(tokens, i))
+        matched = {t: m for t in set(tokens) if (m := memory[t] if t in memory else match(t)) is not None}
+        for i, t in enumerate(tokens) if matched else ():
+            if t in matched:
+                k = (*matched[t], self.quoted(tokens, i))
                 seen[k] = seen.get(k, 0) + 1
         plain = {t for t, miss, q in seen if not miss and not q}
         missed = {t for t, miss, q in seen if miss and not q}

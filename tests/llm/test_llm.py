@@ -252,6 +252,40 @@ def test_levenshtein_automaton():
     assert lex.quoted('he said "you idiot" then'.split(), 3) and not lex.quoted("you idiot then".split(), 1)
 
 
+def test_levenshtein_automaton_against_whole_rows():
+    rng = random.Random(4)
+    make = lambda a, b: "".join(rng.choice("abc") for _ in range(rng.randint(a, b)))
+    terms = sorted({make(4, 9) + rng.choice(["", "$"]) for _ in range(60)})
+    lex, found = toxicity.Lexicon(terms), 0
+
+    def plain(w):
+        best = []
+        for i, t in enumerate(terms):
+            u, row = t.rstrip("$"), list(range(len(w) + 1))
+            for ch in u:
+                new = [row[0] + 1]
+                for k in range(1, len(w) + 1):
+                    new.append(min(new[-1] + 1, row[k] + 1, row[k - 1] + (w[k - 1] != ch)))
+                row = new
+            if (row[-1] if t.endswith("$") else min(row)) == 1 and len(u) >= toxicity.FUZZY[0 if t.endswith("$") else 1]:
+                best.append((1, -len(u), i))
+        return (min(best)[2], True) if best else None
+
+    for w in [make(0, 11) for _ in range(2000)]:
+        assert lex._walk(w) == plain(w)
+        found += plain(w) is not None
+    assert found > 100
+
+
+def test_toxicity_learns_terms_of_one_in_a_hundred(spark):
+    rng = random.Random(6)
+    text = lambda i: words(rng, 30) + (f" {'abcdefgh'[i % 8] * 4}zz" if i < 64 else " blarg" if i < 800 else "")
+    docs = spark.createDataFrame([(i, text(i)) for i in range(1600)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 800)) for i in range(1600)], "doc_id long, toxic int")
+    terms = toxicity.learn(docs, labels, learn_from=F.lit(True))["terms"]  # eight words, each in 8 of 800 toxic texts
+    assert all(any(f"{c * 4}zz".startswith(t.rstrip("$")) for t in terms) for c in "abcdefgh")
+
+
 def test_toxicity_learns_and_keeps_clean_documents(spark, empty):
     rng = random.Random(3)
     rows = [(i, words(rng, 60) + (" blarg " + words(rng, 5) if i % 4 == 0 else "")) for i in range(400)] + [(1000, None), (1001, "")]
