@@ -141,12 +141,15 @@ def _bucket_links(n_keys: int, n_words: int, max_bits: int, most: int | None):
             edge = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)])) if len(keys) else np.zeros(0, int)
             size = np.diff(np.concatenate([edge, [len(keys)]]))
             a, b, later = [], [], []
+            goes_on = (keys[edge] == hot).all(axis=1) if hot is not None else np.zeros(len(edge), dtype=bool)  # what is left of a bucket passed on, of any size
+            later += [np.arange(e, e + s) for e, s in zip(edge[goes_on], size[goes_on])]
+            edge, size = edge[~goes_on], size[~goes_on]
             two = edge[size == 2]
             d = sum(np.bitwise_count(words[two, w] ^ words[two + 1, w]).astype(np.int64) for w in range(n_words))
             a.append(words[two[d <= max_bits] + 1])
             b.append(words[two[d <= max_bits]])
             for e, s in zip(edge[size > 2], size[size > 2]):
-                if most and s > most or hot is not None and (keys[e] == hot).all():
+                if most and s > most:
                     hot = keys[e].copy()
                     later.append(np.arange(e, e + s))
                 else:

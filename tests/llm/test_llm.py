@@ -120,6 +120,18 @@ def test_first_of_each_keeps_one_of_near_copies(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == list(range(12))
 
 
+@pytest.mark.parametrize("left", [1, 2, 3])
+def test_remainder_of_a_large_bucket_is_passed_on(left):
+    import pyarrow as pa
+
+    names = ["key", "sd_0"]
+    parts = [[(7, i) for i in range(6)], [(7, 100 + i) for i in range(left)] + [(8, 0), (8, 1)]]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*p)], names) for p in parts]
+    out = [r for b in simhash_dedup._bucket_links(1, 1, 4, 4)(iter(batches)) for r in b.to_pylist()]
+    assert sorted(r["a0"] for r in out if r["key"] == 7) == [*range(6), *range(100, 100 + left)]
+    assert [(r["a0"], r["b0"]) for r in out if r["key"] is None] == [(1, 0)]
+
+
 @pytest.mark.parametrize("bucket", [1024, 6])
 def test_first_of_each_decides_by_exact_similarity(monkeypatch, spark, bucket):
     monkeypatch.setattr(simhash_dedup, "BUCKET", bucket)
