@@ -12,8 +12,8 @@ have enough of an item: nothing that could pass is left out. Windows start where
 At the threshold fingerprints differ in 10 bits on average with a standard deviation of 3; a radius of 15 keeps 98 in 100 pairs
 there and nearly all above. Everything is native expressions. Words are runs of letters and digits, lower-cased.
 
-Defined results: a null text is the empty text; an item of fewer than five words is one shingle and found where the document has
-these words in a row as its only words or as a shingle; items without words match nothing; rows of one doc_id are taken together; empty
+Defined results: a null text is the empty text; an item of fewer than five words is one shingle of its words and found where the document has
+these words in a row; items without words match nothing; rows of one doc_id are taken together; empty
 tables give an empty table; other columns are not read.
 """
 
@@ -44,6 +44,18 @@ def with_shingles(df: DataFrame, *keys: str, text: str = "text") -> DataFrame:
     return df.select(*keys, F.element_at(F.transform(F.array(hashes), _shingles), 1).alias("sh"))  # in an array, so that the hashes are made once
 
 
+def _short_matches(docs: DataFrame, own: DataFrame, doc_key: str, text: str) -> DataFrame | None:
+    """(doc, item, start) of each passage that is an item of fewer than WIDTH words; nothing if there is no such item."""
+    widths = sorted(r["n"] for r in own.where(F.col("n") < WIDTH).select("n").distinct().collect())
+    if not widths:
+        return None
+    hashes = docs.select(F.col(doc_key).alias("doc"), F.transform(words(F.col(text)), lambda w: F.xxhash64(w)).alias("hs"))
+    at = lambda k: F.when(F.size("hs") >= k, F.transform(F.sequence(F.lit(0), F.size("hs") - k), lambda i: F.struct(i.alias("start"), F.lit(k).alias("n"), F.xxhash64(F.slice("hs", i + 1, k)).alias("h"))))
+    runs = hashes.select("doc", F.explode(F.concat(*(F.coalesce(at(k), F.expr("cast(array() as array<struct<start:int,n:int,h:bigint>>)")) for k in widths))).alias("r")).select("doc", "r.*")
+    items = materialise(own.where(F.col("n") < WIDTH).select("item", "n", F.col("sh")[0].alias("h")), "benchmark-short")
+    return runs.join(bounded(items), ["n", "h"]).groupBy("doc", "item").agg(F.min("start").alias("start"))
+
+
 def simhash(sh: Column) -> Column:
     """Bits that are set in more than half of the hashes."""
     bit = lambda b: F.aggregate(sh, F.lit(0), lambda acc, h: acc + F.getbit(h, b).cast("int"))
@@ -64,8 +76,10 @@ def _blocks(fp: str) -> Column:
 
 def matches(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id", item_key: str = "item_id", text: str = "text") -> DataFrame:
     """(doc_key, item_key, similarity, start_word, bits) of each document that has a window similar to an item: the best window."""
-    own = with_shingles(items, item_key, text=text).where("size(sh) > 0")
-    own = materialise(own.select(F.col(item_key).alias("item"), "sh", F.size("sh").alias("len"), simhash(F.col("sh")).alias("fp")), "benchmark-items")
+    own = with_shingles(items.withColumn("n", F.size(words(F.col(text)))), item_key, "n", text=text).where("size(sh) > 0")
+    own = materialise(own.select(F.col(item_key).alias("item"), "n", "sh", F.size("sh").alias("len"), simhash(F.col("sh")).alias("fp")), "benchmark-items")
+    short = _short_matches(docs, own, doc_key, text)
+    own = own.where(F.col("n") >= WIDTH)
     grams = own.select("item", "len", F.posexplode("sh").alias("ipos", "h"))
     grams = materialise(grams, "benchmark-shingles")
     texts = with_shingles(docs, doc_key, text=text).withColumnRenamed(doc_key, "doc")
@@ -84,7 +98,8 @@ def matches(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id", item_key
     pairs = probes.join(bounded(index), ["block", "value"]).where(near <= RADIUS).select("doc", "start", "item", "win", "sh", near.alias("bits")).dropDuplicates(["doc", "start", "item", "win"])
     checked = pairs.withColumn("similarity", similarity(F.col("win"), F.col("sh"))).where(F.col("similarity") >= SIMILARITY)
     best = checked.groupBy("doc", "item").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"), (-F.col("bits")).alias("less"))).alias("m"))
-    return best.select(F.col("doc").alias(doc_key), F.col("item").alias(item_key), F.col("m.similarity").alias("similarity"), (-F.col("m.back")).cast("long").alias("start_word"), (-F.col("m.less")).cast("long").alias("bits"))
+    out = best.select(F.col("doc").alias(doc_key), F.col("item").alias(item_key), F.col("m.similarity").alias("similarity"), (-F.col("m.back")).cast("long").alias("start_word"), (-F.col("m.less")).cast("long").alias("bits"))
+    return out if short is None else out.unionAll(short.select(F.col("doc").alias(doc_key), F.col("item").alias(item_key), F.lit(1.0), F.col("start").cast("long"), F.lit(0).cast("long")))
 
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:

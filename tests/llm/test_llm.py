@@ -181,6 +181,14 @@ def test_decontamination_against_brute_force(spark, empty):
     assert decontamination.matches(empty, bench).count() == 0 and decontamination.matches(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_finds_short_items_in_long_texts(spark):
+    docs = spark.createDataFrame([(0, "before it we go to The Lamp, river again and The lamp river"), (1, "the lamp is a river of light"), (2, "lamp river"), (3, "four words are enough"), (4, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(0, "the lamp river"), (1, "river"), (2, "Are. four words enough"), (3, "four words are enough"), (4, "two\nlamps")], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["start_word"]) for r in decontamination.matches(docs, bench).collect()}
+    assert got == {(0, 0): (1.0, 5), (0, 1): (1.0, 7), (1, 1): (1.0, 4), (2, 1): (1.0, 1), (3, 3): (1.0, 0)}
+    assert sorted(r["doc_id"] for r in decontamination.decontaminated(docs, bench).collect()) == [4]
+
+
 def test_bpe_is_tiktoken(docs, texts, empty):
     import tiktoken
 
