@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import materialise, small_batches, table
 from .hashtable import HashTable
 
-ROUNDS = 1
+ROUNDS = 3
 #: Languages with counts of their own, at most.
 CLASSES = 8
 #: Longest piece that is looked up, and longest word that goes through the padded matrices.
@@ -123,44 +123,65 @@ class Lattice:
         n, length = len(words), len(words[0])
         alpha = np.full((length + 1, n), -np.inf)
         alpha[0] = 0.0
-        spans = list(self.edges(words)) if collect is not None else self.edges(words)
-        for i, j, _, score in spans:
-            if i:
-                alpha[j] = np.logaddexp(alpha[j], alpha[i] + score)
-            else:
-                alpha[j] = np.logaddexp(alpha[j], score)
+        # Most spans are a piece in few of the words: only those are looked at.
+        spans = ((i, j, at, piece[at], score[at]) for i, j, piece, score in self.edges(words) if len(at := np.flatnonzero(np.isfinite(score))))
+        spans = list(spans) if collect is not None else spans
+        for i, j, at, _, score in spans:
+            alpha[j, at] = np.logaddexp(alpha[j, at], alpha[i, at] + score)
         total = alpha[length] + self.stop
         if collect is not None:
             beta = np.full((length + 1, n), -np.inf)
             beta[length] = self.stop
-            for i, j, _, score in reversed(spans):
-                beta[i] = np.logaddexp(beta[i], score + beta[j])
-            for i, j, piece, score in spans:
+            for i, j, at, _, score in reversed(spans):
+                beta[i, at] = np.logaddexp(beta[i, at], score + beta[j, at])
+            ids, posts = ([], []), ([], [])
+            for i, j, at, piece, score in spans:
                 with np.errstate(invalid="ignore"):
-                    post = np.exp(alpha[i] + score + beta[j] - total) * weights
+                    post = np.exp(alpha[i, at] + score + beta[j, at] - total[at]) * weights[at]
                 known = (piece >= 0) & (post > 0)
-                collect[1 if i else 0] += np.bincount(piece[known], weights=post[known], minlength=collect.shape[1])
+                ids[i > 0].append(piece[known])
+                posts[i > 0].append(post[known])
                 for k in np.flatnonzero((piece < -1) & (post > 0)):
                     np.add.at(collect[1], self._byte_ids(chr(-2 - int(piece[k]))), post[k])
+            for k in (0, 1):
+                if ids[k]:
+                    collect[k] += np.bincount(np.concatenate(ids[k]), weights=np.concatenate(posts[k]), minlength=collect.shape[1])
         return total
 
-    def long(self, word: str) -> float:
+    def long(self, word: str, collect: np.ndarray | None = None) -> float:
         """The same recursion for one word of any length."""
         n = len(word)
         alpha = [0.0] + [-math.inf] * n
+        spans: list[list[tuple[int, list[int], float]]] = [[] for _ in range(n + 1)]  # by end: begin, pieces, log score
+
+        def total(terms: list[float]) -> float:
+            top = max(terms, default=-math.inf)
+            return top + math.log(sum(math.exp(t - top) for t in terms)) if math.isfinite(top) else top
+
         for j in range(1, n + 1):
             terms = []
             for i in range(max(0, j - PIECE), j):
                 p = self.ids.get(word[i:j])
-                s = (self.later if i else self.first)[p] + (self.go if i else 0.0) if p is not None else -math.inf
+                s, of = (self.later if i else self.first)[p] + (self.go if i else 0.0) if p is not None else -math.inf, [p]
                 if not math.isfinite(s) and j == i + 1 and i:
-                    s = sum(self.later[b] + self.go for b in self._byte_ids(word[i:j]))
+                    of = self._byte_ids(word[i:j])
+                    s = sum(self.later[b] + self.go for b in of)
                 if math.isfinite(s):
                     terms.append(alpha[i] + s)
-            if terms:
-                top = max(terms)
-                alpha[j] = top + math.log(sum(math.exp(t - top) for t in terms))
-        return alpha[n] + self.stop
+                    if collect is not None:
+                        spans[j].append((i, of, s))
+            alpha[j] = total(terms)
+        out = alpha[n] + self.stop
+        if collect is not None and math.isfinite(out):
+            ahead: list[list[float]] = [[] for _ in range(n)] + [[self.stop]]
+            for j in range(n, 0, -1):
+                beta = total(ahead[j])
+                ahead[j] = []
+                for i, of, s in spans[j] if math.isfinite(beta) else ():
+                    ahead[i].append(s + beta)
+                    for p in of:
+                        collect[1 if i else 0, p] += math.exp(alpha[i] + s + beta - out)
+        return out
 
     def score(self, words: list[str], collect: np.ndarray | None = None) -> np.ndarray:
         """Natural log probabilities of words, any order and length."""
@@ -170,9 +191,9 @@ class Lattice:
         for k, w in enumerate(marked):
             by.setdefault(len(w) if len(w) <= WORD else 0, []).append(k)
         for length, of in by.items():
-            if not length:  # too rare to matter to the estimates
+            if not length:
                 for k in of:
-                    out[k] = self.long(marked[k])
+                    out[k] = self.long(marked[k], collect)
                 continue
             for a in range(0, len(of), 4096):
                 part = of[a : a + 4096]

@@ -263,6 +263,18 @@ def test_lattice_sums_all_segmentations():
     assert np.isfinite(lattice.score(["é", "zé" * 40])).all()
 
 
+def test_long_words_are_learned_from_as_short_ones_are(monkeypatch):
+    assert lm_scoring.ROUNDS == 3
+    pieces = ["▁", "▁a", "a", "b", "ab", "ba", "▁ab", *(f"<0x{i:02X}>" for i in range(256))]
+    lattice = lm_scoring.Lattice(pieces, *lm_scoring._start(pieces, [-1.0] * len(pieces)))
+    got = []
+    for most in (48, 200):
+        monkeypatch.setattr(lm_scoring, "WORD", most)
+        got.append(np.zeros((2, len(pieces))))
+        lattice.score(["ab" * 30 + "é" + "b" * 20, "a" * 60], got[-1])
+    assert got[0].sum() > 40 and np.allclose(*got, rtol=1e-9)
+
+
 def test_levenshtein_automaton():
     lex = toxicity.Lexicon(["idiot$", "scum$", "lowei", "disgust"])
     exact = {"idiot": 0, "Idiot!".lower(): 0, "loweixy": 2, "disgusting": 3, "scum,": 1}
