@@ -39,6 +39,8 @@ APART = frozenset("nav footer aside form button dialog".split())
 NAMED = re.compile(r"(?:^|[-_\s])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar|side|widget|menu\w*|nav\w*|breadcrumbs?|pagination|pager|header|masthead|footer|cookies?|consent|notices?|alert|gdpr|newsletter|subscribe|signup|login|share|sharing|social|comments?|replies|disqus|respond|related|recommended|popup|modal|overlay|copyright|search)(?:[-_\s]|$)", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search alert dialog form menu menubar".split())
 MAIN = frozenset(("article", "main"))
+#: Elements that hold blocks; the text in any other block is credited to the nearest of these around it.
+CONTAINER = frozenset("html body div section center article main".split())
 SPACE = re.compile(r"\s+")
 
 
@@ -87,7 +89,7 @@ def tokens(page: str):
                     break
         path, apart, inside = here()
         names = {a.lower(): (x or y or z) for a, x, y, z in ATTRIBUTE.findall(m[4])} if m[4] else {}
-        label = tag + "".join(f".{names[a]}" for a in ("class", "id") if names.get(a))
+        label = tag + "".join(f".{names[a]}" for a in ("class", "id") if names.get(a)).replace("/", "\\")  # "/" parts the elements of a path
         if tag in MAIN:
             inside = inside or not apart
         elif tag not in ("html", "body"):
@@ -107,41 +109,78 @@ def _clean(raw: str) -> str:
     return SPACE.sub(" ", html_lib.unescape(raw)).strip()
 
 
+def _around(path: str) -> list[str]:
+    """The containers of a path, the outermost first."""
+    parts = path.split("/")
+    return ["/".join(parts[: k + 1]) for k in range(1, len(parts)) if parts[k].partition(".")[0] in CONTAINER]
+
+
+def _main_of(elements: list[tuple[str, int, int, int, int]], constants: list[tuple[str, int]]) -> str | None:
+    """The element of (path, pages, total, chars, own) that holds most slot text: all characters in it without those of constant texts.
+
+    The deepest one that is once on a page and holds over half; then up while the element around it has slot text beside its containers,
+    such as the heading of the article.
+    """
+    chars, own = {e[0]: e[3] for e in elements}, {e[0]: e[4] for e in elements}
+    for path, n in constants:
+        around = [p for p in _around(path) if p in chars]
+        for p in around:
+            chars[p] -= n
+        if around:
+            own[around[-1]] -= n
+    whole = max(chars.values(), default=0)
+    best = max((e[0] for e in elements if e[1] == e[2] and whole and chars[e[0]] * 2 > whole), key=lambda p: (p.count("/"), chars[p], p), default=None)
+    while best is not None and (outer := [p for p in _around(best)[:-1] if p in chars]) and own[outer[-1]] > 0:
+        best = outer[-1]
+    return best
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, key, path, is_text, pages, vector, total, chars): of each host's tokens in a batch."""
+    """(host, key, path, is_text, pages, total, chars, own): of each host's tokens in a batch; chars of all text within, own of that outside inner containers."""
     for batch in batches:
         got: dict[tuple[str, int], list] = {}
-        for host, page_id, page in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        for host, page in zip(*(batch.column(i).to_pylist() for i in range(2))):
             own: dict[tuple[int, str, bool], list[int]] = {}
             for t in tokens(page or ""):
                 if t[0] == "open":
-                    own.setdefault((_key("open", t[1], t[4]), t[1], False), [0, 0])[0] += 1
+                    own.setdefault((_key("open", t[1], t[4]), t[1], False), [0, 0, 0])[0] += 1
                 elif t[0] == "text" and not t[2] and (text := _clean(t[4])):
-                    own.setdefault((_key("text", t[1], text), t[1], True), [0, 0])[0] += 1
-                    own.setdefault((_key("open", t[1], t[1].rpartition("/")[2]), t[1], False), [0, 0])[1] += len(text)
-            for (key, path, is_text), (n, chars) in own.items():
+                    one = own.setdefault((_key("text", t[1], text), t[1], True), [0, 0, 0])
+                    one[0] += 1
+                    one[1] += len(text)
+                    around = _around(t[1])
+                    for p in around:
+                        e = own.setdefault((_key("open", p, p.rpartition("/")[2]), p, False), [0, 0, 0])
+                        e[1] += len(text)
+                        e[2] += len(text) if p == around[-1] else 0
+            for (key, path, is_text), (n, chars, direct) in own.items():
                 g = got.setdefault((host, key), [path, is_text, 0, 0, 0, 0])
                 g[2] += n > 0
-                g[3] = (g[3] + xxhash.xxh64_intdigest(f"{page_id}\0{n}".encode())) & (2**63 - 1)
-                g[4] += n
-                g[5] += chars
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in got], pa.string()), pa.array([k[1] for k in got], pa.int64()), *(pa.array([g[i] for g in got.values()], t) for i, t in enumerate((pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64())))], ["host", "key", "path", "is_text", "pages", "vector", "total", "chars"])
+                g[3] += n
+                g[4] += chars
+                g[5] += direct
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in got], pa.string()), pa.array([k[1] for k in got], pa.int64()), *(pa.array([g[i] for g in got.values()], t) for i, t in enumerate((pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64())))], ["host", "key", "path", "is_text", "pages", "total", "chars", "own"])
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """(host, texts, main) of each host: keys of the template's constant texts, and the element that holds most slot text."""
     small_batches(pages.sparkSession)
-    own = pages.select(host_of(F.col("url")).alias("host"), F.col("page_id").cast("string").alias("page_id"), F.coalesce("html", F.lit("")).alias("html"))
-    totals = own.groupBy("host").agg(F.count(F.lit(1)).alias("of"))
-    counts = own.mapInArrow(_counts, "host string, key long, path string, is_text boolean, pages long, vector long, total long, chars long")
-    # Vectors are sums of 63-bit hashes; decimals hold the sum of any number of them.
-    found = counts.groupBy("host", "key", "is_text").agg(F.max("path").alias("path"), F.sum("pages").alias("pages"), F.sum(F.col("vector").cast("decimal(20,0)")).alias("vector"), F.sum("total").alias("total"), F.sum("chars").alias("chars"))
+    read = pages.select(host_of(F.col("url")).alias("host"), F.col("page_id").cast("string").alias("page_id"), F.coalesce("html", F.lit("")).alias("html"))
+    totals = read.groupBy("host").agg(F.count(F.lit(1)).alias("of"))
+    own = read.select("host", "html")
+    counts = own.mapInArrow(_counts, "host string, key long, path string, is_text boolean, pages long, total long, chars long, own long")
+    found = counts.groupBy("host", "key", "is_text").agg(F.max("path").alias("path"), *(F.sum(c).alias(c) for c in ("pages", "total", "chars", "own")))
     valid = found.join(totals, "host").where((F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= SUPPORT * F.col("of")))
-    classes = valid.groupBy("host", "vector", "pages", "total").agg(
-        F.filter(F.collect_list(F.when(F.col("is_text"), F.col("key"))), lambda k: k.isNotNull()).alias("texts"),
-        F.max(F.when(~F.col("is_text") & (F.col("chars") > 0), F.struct("chars", "path"))).alias("slot"),
-    )
-    return materialise(classes.groupBy("host").agg(F.flatten(F.collect_list("texts")).alias("texts"), F.max("slot")["path"].alias("main")), "html-templates")
+    elements = F.collect_list(F.when(~F.col("is_text") & (F.col("chars") > 0), F.struct("path", "pages", "total", "chars", "own")))
+    constants = F.collect_list(F.when(F.col("is_text"), F.struct("path", "chars")))
+    hosts = valid.groupBy("host").agg(F.collect_list(F.when(F.col("is_text"), F.col("key"))).alias("texts"), elements.alias("elements"), constants.alias("constants"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            main = [_main_of([tuple(e.values()) for e in es], [tuple(c.values()) for c in cs]) for es, cs in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(main, pa.string())], ["host", "texts", "main"])
+
+    return materialise(hosts.mapInArrow(run, "host string, texts array<long>, main string"), "html-templates")
 
 
 def text_of(page: str, constant: frozenset[int] | set[int], main: str | None) -> str:

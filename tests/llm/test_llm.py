@@ -90,6 +90,17 @@ def test_html(spark):
     assert html_extraction.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def texts_of_pages(spark, rows):
+    return {r["page_id"]: r["text"] for r in html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_html_without_article_keeps_headings_and_lists(spark):
+    page = '<body><div class="w-1/2"><div class=top><p>Site</p></div><div class=c><h1>Title {0}</h1><div class=t><p>{1}</p><h2>Part {0}</h2><ul><li>item {0}</li></ul><blockquote>said {0}</blockquote><p class=x>other {0}</p></div></div><div class=r><p>see {0}</p></div></div>'
+    out = texts_of_pages(spark, [(i, "http://d/x", page.format(i, f"long text {i} " * 9)) for i in range(9)])
+    long = " ".join(["long text 4"] * 9)
+    assert out[4] == f"Title 4\n\n{long}\n\nPart 4\n\nitem 4\n\nsaid 4\n\nother 4"
+
+
 def plain_simhash(t, width):
     import xxhash
 
