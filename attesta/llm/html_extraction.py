@@ -1,14 +1,12 @@
-"""HTML extraction by equivalence classes of tokens.
+"""HTML extraction by the tokens that a host's pages share.
 
-A page is read as tokens: opening tags and whole text nodes, each with the path of elements around it. Over the pages of a host each token
-has an occurrence vector (how often it is on which page). Tokens with equal vectors form a class; a class that is on at least
-``SUPPORT`` of the host's pages and on ``LEAST_PAGES`` of them is valid. Valid classes nest by the paths of their members: the
-tags give the template's tree, the texts its constant parts. What remains between them are slots. The text of a page is
-that of the slots in its article (or main) element, or, where a host's pages have none, in the template's element that holds most
-slot text; slots under menus, headers, footers, sidebars, notices, adverts, forms and reader comments go.
+A page is read as tokens: opening tags and whole text nodes, each with the path of elements around it. A token that is on at least
+``SUPPORT`` of the host's pages and on ``LEAST_PAGES`` of them belongs to the host's template; copies of a page count once. The text of
+a page is that in its article (or main) element, all of it, or, where a page has none, in the template's element that holds most
+text beside the template's own; blocks of the template's texts alone, and those under menus, headers, footers, sidebars, notices, adverts,
+forms and reader comments, go. This is a support filter with rules for tags: tokens are not grouped by their occurrence vectors.
 
-Vectors are never gathered: a vector is the sum over pages of a hash of (page, count), so equal vectors have equal sums, and sums are made on
-the map side. A host's template holds only tokens of half its pages, so it is bounded by the tokens of a page or two, however many pages
+A host's template holds only tokens of half its pages, so it is bounded by the tokens of a page or two, however many pages
 the host has; pages meet it in a join that is broadcast up to a checked size.
 
 Defined results: a null html is empty and gives an empty text; a null or malformed url is a host of its own; references are decoded, white
@@ -27,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, materialise, small_batches, table
+from .common import BROADCAST_ROWS, bounded, materialise, small_batches, table
 
 SUPPORT, LEAST_PAGES = 0.5, 8
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|select|head)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S | re.I)
@@ -166,8 +164,10 @@ def templates(pages: DataFrame) -> DataFrame:
     """(host, texts, main) of each host: keys of the template's constant texts, and the element that holds most slot text."""
     small_batches(pages.sparkSession)
     read = pages.select(host_of(F.col("url")).alias("host"), F.col("page_id").cast("string").alias("page_id"), F.coalesce("html", F.lit("")).alias("html"))
-    totals = read.groupBy("host").agg(F.count(F.lit(1)).alias("of"))
-    own = read.select("host", "html")
+    # Copies of a page count once: what they repeat is no template.
+    once = materialise(read.groupBy("host", F.xxhash64("html").alias("h"), F.length("html").alias("n")).agg(F.min("page_id").alias("page_id")), "html-pages")
+    totals = once.groupBy("host").agg(F.count(F.lit(1)).alias("of"))
+    own = read.join(bounded(once.select("host", "page_id")), ["host", "page_id"], "left_semi").select("host", "html")
     counts = own.mapInArrow(_counts, "host string, key long, path string, is_text boolean, pages long, total long, chars long, own long")
     found = counts.groupBy("host", "key", "is_text").agg(F.max("path").alias("path"), *(F.sum(c).alias(c) for c in ("pages", "total", "chars", "own")))
     valid = found.join(totals, "host").where((F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= SUPPORT * F.col("of")))
@@ -212,7 +212,7 @@ def text_of(page: str, constant: frozenset[int] | set[int], main: str | None) ->
         elif t[0] == "text" and not t[2] and keep(t):
             run.append(t[4])
             if not varies and (text := _clean(t[4])):
-                varies = not (constant and _key("text", t[1], text) in constant)
+                varies = t[3] or not (constant and _key("text", t[1], text) in constant)  # in an article, all is its own
     end()
     return "\n\n".join(blocks)
 

@@ -101,6 +101,14 @@ def test_html_without_article_keeps_headings_and_lists(spark):
     assert out[4] == f"Title 4\n\n{long}\n\nPart 4\n\nitem 4\n\nsaid 4\n\nother 4"
 
 
+def test_html_keeps_articles_that_are_repeated(spark):
+    page = "<body><p>{}</p><article><h1>One</h1><h2>Summary</h2><p>text {}</p></article>"
+    out = texts_of_pages(spark, [(i, "http://a/x", page.format(i, "same" if i < 9 else i)) for i in range(12)])
+    assert out[3] == "One\n\nSummary\n\ntext same" and out[11] == "One\n\nSummary\n\ntext 11"
+    out = texts_of_pages(spark, [(i, "http://b/x", "<body><div><p>copied text</p></div>" if i < 9 else f"<body><div><p>own {i}</p></div>") for i in range(12)])
+    assert out[3] == "copied text" and out[11] == "own 11"
+
+
 def plain_simhash(t, width):
     import xxhash
 
