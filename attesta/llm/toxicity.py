@@ -1,20 +1,25 @@
 """Toxicity: a lexicon learned from labels, Levenshtein automata over its trie, and context windows.
 
-Learning: of the labelled rows that may be learned from, at most ``SAMPLE`` (those with the smallest hash of the id) are read. Words and
-beginnings of words that toxic texts have and clean ones lack make the lexicon, kept as a trie. For a word, the states of its
-Levenshtein automaton (one edit, for terms of at least ``FUZZY`` letters) are carried down the trie; a term that they reach is a match.
-Each match looks at a window of words around it: inside quotation marks, or beside a word of reporting, it counts as
-quoted. A logistic model over the matches (exact, misspelled, each quoted or not) gives the score.
+Learning: of the labelled rows that may be learned from, at most ``SAMPLE`` (those with the smallest hash of the id) are read, and of near
+copies among them (equal least hashes of shingles) one. Words and beginnings of words that toxic texts have and clean ones lack make the lexicon,
+kept as a trie. For a word, the states of its Levenshtein automaton (one edit, for terms of at least ``FUZZY`` letters) are carried
+down the trie; a term that they reach is a match. A term's weight is its log lift; that of its misspellings is lifted or lowered by
+how often they occur in toxic and in clean texts. Each match gets a score of its window of words: 1 inside quotation marks, ``REPORTED`` after a word of
+reporting, 0 otherwise; by so much it is quoted and not abuse.
 
-Scoring reads whole texts, and nothing but texts. The model is a few hundred terms and seven weights, whatever the corpus.
+A logistic model over the sums of weights (used, quoted) and the share of words gives the score. Labelled rows hold few quoted terms, so that clean ones also come as a variant that
+quotes a term and is still clean. Coefficients have the signs that they stand for, and are found by steps that never make the fit worse.
 
-Defined results: a null text is the empty text, which scores what the model gives without matches; without any labelled row, or of one
-kind only, the score is the share of toxic labels, smoothed; rows that repeat score alike; empty tables give empty tables;
-a document with several labels is toxic if one is; other columns are not read.
+Scoring reads whole texts, and nothing but texts. The model is the terms of the sample and four coefficients, whatever the corpus.
+
+Defined results: a null text is the empty text, which scores what the model gives without matches; without labelled rows of both kinds
+nothing tells toxic texts apart, so that every text scores the smoothed share of toxic labels, below a half; rows that repeat score alike; empty
+tables give empty tables; a document with several labels is toxic if one is; other columns are not read.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -23,16 +28,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import shingles
 from .common import bounded, materialise, small_batches, table
 
 #: Labelled rows that are learned from, at most.
 SAMPLE = 20_000
-#: Terms of the lexicon, at most; toxic texts that a term must be in, and their share.
-TERMS, LEAST, SHARE = 400, 5, 0.005
+#: Toxic texts that a term must be in, their share of all, and the least log lift of a term.
+LEAST, SHARE, LIFT = 5, 0.005, 2.5
+#: Sum of weights beyond which more terms say no more.
+ENOUGH = 20.0
+#: Weight of the rates of exact matches in those of misspelled ones, in texts.
+PRIOR = 2.0
 #: Letters of beginnings of words, and the least letters of a word and of a beginning that may be misspelled.
 STEMS, FUZZY = (4, 8), (5, 7)
-#: Words on each side that are looked at.
-WINDOW = 6
+#: Words on each side that are looked at, and the share that a word of reporting takes from a match.
+WINDOW, REPORTED = 6, 0.5
 QUOTES = "\"“”„«»‹›‘`"
 REPORTING = frozenset("said says wrote called quote quoted word term insult sagte schrieb nannte wort dit écrit mot terme dijo escribió llamó palabra".split())
 LOOKS_LIKE = str.maketrans("013457@$!", "oieastasi")
@@ -91,7 +101,7 @@ class Lexicon:
         for n in self.stems:
             if (i := self.begins.get(w[:n])) is not None:
                 return i, False
-        return self._walk(w[:64]) if self._possible(w) else None
+        return self._walk(w) if self._possible(w) else None
 
     def _walk(self, w: str) -> tuple[int, bool] | None:
         """The automaton's states are a row of edit distances to the beginnings of ``w``, pruned beyond one edit: those of one letter
@@ -135,27 +145,37 @@ class Lexicon:
         self.memory[token] = found
         return found
 
-    def quoted(self, tokens: list[str], i: int) -> bool:
+    def quoted(self, tokens: list[str], i: int) -> float:
+        """How far the window around a match says that it is quoted, from 0 to 1."""
         before, after = tokens[max(0, i - WINDOW) : i + 1], tokens[i : i + WINDOW + 1]
         opened = any(t[0] in QUOTES for t in before if t)
         closed = any(q in t[1:] for t in after for q in QUOTES if q in t)
-        return opened and closed or any(t.strip(EDGES) in REPORTING for t in before[-3:-1])
+        return 1.0 if opened and closed else REPORTED if any(t.strip(EDGES) in REPORTING for t in before[-3:-1]) else 0.0
 
-    def features(self, text: str, weights: np.ndarray) -> list[float]:
-        """Weights of the different terms matched exactly, misspelled, and quoted; numbers of the first two; share of words; any."""
-        tokens = text.lower().split()
-        seen: dict[tuple[int, bool, bool], int] = {}
+    def found(self, tokens: list[str]) -> dict[int, tuple[int, bool]]:
+        """The matches of a text: term and whether misspelled, by place."""
         memory, match = self.memory, self.match
         matched = {t: m for t in set(tokens) if (m := memory[t] if t in memory else match(t)) is not None}
-        for i, t in enumerate(tokens) if matched else ():
-            if t in matched:
-                k = (*matched[t], self.quoted(tokens, i))
-                seen[k] = seen.get(k, 0) + 1
-        plain = {t for t, miss, q in seen if not miss and not q}
-        missed = {t for t, miss, q in seen if miss and not q}
-        said = {t for t, miss, q in seen if q}
-        hits = sum(n for (_, _, q), n in seen.items() if not q)
-        return [float(weights[list(plain)].sum()) if plain else 0.0, float(weights[list(missed)].sum()) if missed else 0.0, float(weights[list(said)].sum()) if said else 0.0, min(len(plain), 5), min(len(missed), 5), min(100.0 * hits / max(1, len(tokens)), 10.0), 1.0]
+        return {i: matched[t] for i, t in enumerate(tokens) if t in matched} if matched else {}
+
+    def features(self, tokens: list[str], exact: list[float], missed: list[float]) -> list[float]:
+        """Sums of weights of the different terms matched and of those quoted, up to ENOUGH; share of words; 1."""
+        least: dict[tuple[int, bool], float] = {}
+        hits = 0.0
+        for i, m in self.found(tokens).items():
+            q = self.quoted(tokens, i)
+            least[m] = min(q, least.get(m, 1.0))
+            hits += (1 - q) * (missed[m[0]] / exact[m[0]] if m[1] else 1.0)
+        sums = [0.0, 0.0]
+        for (term, miss), q in least.items():  # a term that is used somewhere is not quoted
+            w = missed[term] if miss else exact[term]
+            sums[0] += w * (1 - q)
+            sums[1] += w * q
+        return [*(min(x, ENOUGH) for x in sums), min(100.0 * hits / max(1, len(tokens)), 10.0), 1.0]
+
+
+def words_of(text: str | None) -> list[str]:
+    return (text or "").lower().split()
 
 
 def crc_of(key: Column) -> Column:
@@ -167,94 +187,169 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, list[int]] = {}
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             found = set()
-            for t in set((text or "").lower().split()):
+            for t in set(words_of(text)):
                 w = t.strip(EDGES)
-                if w.isalpha() and len(w) <= 40:
+                if w.isalpha():
                     found.add(w + "$")
                     found.update(w[:k] for k in range(STEMS[0], STEMS[1] + 1) if len(w) >= k)
             for t in found:
-                counts.setdefault(t, [0, 0])[1 if toxic else 0] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array([v[1] for v in counts.values()], pa.int64()), pa.array([v[0] for v in counts.values()], pa.int64())], ["term", "pos", "neg"])
+                counts.setdefault(t, [0, 0])[0 if toxic else 1] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), *(pa.array([v[k] for v in counts.values()], pa.int64()) for k in (0, 1))], ["term", "pos", "neg"])
+
+
+def _copy_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text, toxic, k1, k2): two least hashes of the shingles, in which near copies agree as a rule."""
+    for batch in batches:
+        keys = []
+        for text in batch.column(0).to_pylist():
+            hashes, many = shingles.shingle_hashes([text], 3)
+            with np.errstate(over="ignore"):
+                keys.append([int(h.min()) >> 1 if many[0] else 0 for h in (hashes, hashes * np.uint64(0x9E3779B97F4A7C15))])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1))], ["text", "toxic", "k1", "k2"])
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, learn_from: Column | None = None) -> dict:
-    """The model: terms, their weights, and the coefficients of the logistic model."""
+    """The model: terms, their weights exact and misspelled, and the coefficients of the logistic model."""
     spark = docs.sparkSession
     small_batches(spark)
     rows = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
     rows = rows.where(crc_of(F.col("doc_id")) % 5 != 0 if learn_from is None else learn_from)
     chosen = rows.groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     chosen = materialise(chosen, "toxicity-labels")
-    train = materialise(docs.select("doc_id", "text").join(bounded(chosen), "doc_id").select("text", "toxic"), "toxicity-sample")
+    read = docs.select("doc_id", "text").join(bounded(chosen), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "toxic")
+    once = read.mapInArrow(_copy_keys, "text string, toxic int, k1 long, k2 long").groupBy("k1", "k2", "toxic").agg(F.min("text").alias("text"))
+    train = materialise(once.select("text", "toxic"), "toxicity-sample")
     n = dict(train.groupBy("toxic").count().collect())
     pos, neg = n.get(1, 0), n.get(0, 0)
-    base = float(np.log((pos + 0.5) / (neg + 0.5)))
-    empty = {"terms": [], "weights": [], "coefficients": [0.0] * 6 + [base]}
+    empty = {"terms": [], "exact": [], "missed": [], "coefficients": [0.0] * 3 + [min(-0.01, float(np.log((pos + 0.5) / (neg + 0.5))))]}
     if not pos or not neg:
         return empty
     counts = train.mapInArrow(_term_counts, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    p, q = (F.col("pos") + 0.5) / (pos + 1.0), (F.col("neg") + 0.5) / (neg + 1.0)
-    lift = F.log(p / q)
-    top = counts.where(F.col("pos") >= max(LEAST, SHARE * pos)).withColumn("lift", lift).where(F.col("lift") > 2.5).withColumn("gain", F.col("pos") * F.col("lift")).orderBy(F.desc("gain"), F.desc(F.length("term")), "term").limit(TERMS * 10).collect()
-    terms: list[str] = []
-    weights: list[float] = []
-    for r in top:  # a beginning stands for the words that begin with it, unless they were chosen before
-        w = r["term"].rstrip("$")
-        if not any(w.startswith(t) or t.startswith(w) for t in (x.rstrip("$") for x in terms)):
-            terms.append(r["term"])
-            weights.append(float(r["lift"]))
-        if len(terms) == TERMS:
-            break
-    if not terms:
+    top = counts.where((F.col("pos") >= max(LEAST, SHARE * pos)) & (F.col("pos") * neg > F.col("neg") * pos)).collect()  # as many as the sample has
+    model = _lexicon([(r["term"], r["pos"], r["neg"]) for r in top], pos, neg)
+    if not model["terms"]:
         return empty
-    found = _featured(train.withColumn("doc_id", F.col("toxic").cast("long")).select("doc_id", "text"), terms, weights).select("doc_id", "x").toPandas()
-    return {"terms": terms, "weights": weights, "coefficients": _logistic(np.array(found["x"].tolist(), dtype=float), found["doc_id"].to_numpy(float)).tolist()}
+    _weigh_misspelled(model, train, pos, neg)
+    found = train.mapInArrow(_examples(model), "toxic double, x array<double>").toPandas()
+    x, y = np.array(found["x"].tolist(), dtype=float), found["toxic"].to_numpy(float)
+    model["coefficients"] = _logistic(x, y, np.array([0, -np.inf, 0, -np.inf]), np.array([np.inf, 0, np.inf, np.inf])).tolist()
+    if not np.isfinite(model["coefficients"]).all():
+        raise ValueError(f"the toxicity model did not converge: {model['coefficients']}")
+    return model
+
+
+def _lexicon(counts: list[tuple[str, int, int]], pos: int, neg: int) -> dict:
+    """Terms and their weights, out of (term, toxic texts, clean texts), of so many texts of each kind."""
+    rows = [(p * lift, len(t), t, lift, p, q) for t, p, q in counts if p >= max(LEAST, SHARE * pos) and (lift := float(np.log((p + 0.5) / (pos + 1) * (neg + 1) / (q + 0.5)))) > LIFT]
+    model, own, begun = {"terms": [], "exact": [], "missed": [], "counts": []}, set(), set()
+    for _, _, term, lift, p, q in sorted(rows, key=lambda r: (-r[0], -r[1], r[2])):  # a beginning stands for the words that begin with it, unless they were chosen before
+        w = term.rstrip("$")
+        if w not in begun and not any(w[:k] in own for k in range(1, len(w) + 1)):
+            own.add(w)
+            begun.update(w[:k] for k in range(1, len(w) + 1))
+            model["terms"].append(term)
+            model["exact"].append(lift)
+            model["counts"].append((p, q))
+    return model
+
+
+def _weigh_misspelled(model: dict, train: DataFrame, pos: int, neg: int) -> None:
+    """Weights of misspelled terms: log lifts of their own counts, with the rates of the exact term as a prior."""
+    seen = {r["term"]: (r["pos"], r["neg"]) for r in train.mapInArrow(_missed_counts(model["terms"]), "term long, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).collect()}
+    for i, (p, q) in enumerate(model.pop("counts")):
+        p_, q_ = seen.get(i, (0, 0))
+        rate = ((p_ + PRIOR * (p + 0.5) / (pos + 1)) / (pos + PRIOR)) / ((q_ + PRIOR * (q + 0.5) / (neg + 1)) / (neg + PRIOR))
+        model["missed"].append(float(min(model["exact"][i], max(0.0, np.log(rate)))))
+
+
+def _missed_counts(terms: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(term, toxic texts, clean texts) that have it misspelled."""
+        lexicon = Lexicon(terms)
+        counts: dict[int, list[int]] = {}
+        for batch in batches:
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for i in {i for i, miss in lexicon.found(words_of(text)).values() if miss}:
+                    counts.setdefault(i, [0, 0])[0 if toxic else 1] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int64()), *(pa.array([v[k] for v in counts.values()], pa.int64()) for k in (0, 1))], ["term", "pos", "neg"])
+
+    return run
+
 
+def _examples(model: dict):
+    """Features of the rows learned from and of their variants."""
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Newton's method with a ridge on all but the constant."""
-    w = np.zeros(x.shape[1])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, exact, missed = model["terms"], model["exact"], model["missed"]
+        lexicon = Lexicon(terms)
+        of = lambda ws: lexicon.features(ws, exact, missed)
+        for batch in batches:
+            y, x = [], []
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ws = words_of(text)
+                x.append(of(ws))
+                if not toxic:
+                    k = zlib.crc32(text.encode("utf-8", "surrogatepass"))
+                    at = k % (len(ws) + 1)
+                    x.append(of([*ws[:at], '"' + terms[k % len(terms)].rstrip("$") + '"', *ws[at:]]))
+                y += [float(toxic)] * (len(x) - len(y))
+            yield pa.RecordBatch.from_arrays([pa.array(y, pa.float64()), pa.array(x, pa.list_(pa.float64()))], ["toxic", "x"])
+
+    return run
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, low: np.ndarray, high: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """Newton steps within bounds, with a ridge on all but the constant; a step that does not lower the loss is halved, so that it cannot run away."""
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 1e-3
-    for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(penalty), x.T @ (y - p) - penalty * w)
-        w += step
-        if np.abs(step).max() < 1e-6:
+    loss = lambda w: float(np.logaddexp(0, x @ w).sum() - y @ (x @ w) + (penalty * w * w).sum() / 2)
+    w = np.clip(np.zeros(x.shape[1]), low, high)
+    now = loss(w)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
+        slope = x.T @ (p - y) + penalty * w
+        free = ~((w <= low) & (slope > 0) | (w >= high) & (slope < 0))
+        step = np.zeros_like(w)
+        xf = x[:, free]
+        step[free] = np.linalg.solve((xf * (p * (1 - p))[:, None]).T @ xf + np.diag(penalty[free]), slope[free])
+        size = 1.0
+        while size > 1e-9 and not (new := loss(np.clip(w - size * step, low, high))) < now - 1e-12:
+            size /= 2
+        if size <= 1e-9:
+            break
+        w, gained, now = np.clip(w - size * step, low, high), now - new, new
+        if gained < 1e-9 * max(1.0, now):
             break
     return w
 
 
-def _featured(docs: DataFrame, terms: list[str], weights: list[float]) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, w = Lexicon(terms), np.array(weights)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([lexicon.features(t or "", w) for t in batch.column(1).to_pylist()], pa.list_(pa.float64()))], ["doc_id", "x"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, x array<double>")
+def _scores(texts: list[str | None], lexicon: Lexicon, model: dict) -> np.ndarray:
+    x = np.array([lexicon.features(words_of(t), model["exact"], model["missed"]) for t in texts], dtype=float).reshape(-1, len(model["coefficients"]))
+    return 1 / (1 + np.exp(-np.clip(x @ np.array(model["coefficients"]), -500, 500)))
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """(doc_id, score) of each row of ``docs``."""
     small_batches(docs.sparkSession)
-    x = _featured(docs, model["terms"], model["weights"])
-    total = sum((F.col("x")[i] * F.lit(c) for i, c in enumerate(model["coefficients"])), F.lit(0.0))
-    return x.select("doc_id", (1 / (1 + F.exp(-total))).alias("score"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = Lexicon(model["terms"])
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_scores(batch.column(1).to_pylist(), lexicon, model))], ["doc_id", "score"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
 
 
 def kept(docs: DataFrame, model: dict, limit: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose text scores below ``limit``, with their columns untouched."""
+    """The rows of ``docs`` that are not found to score ``limit`` or more, with their columns untouched."""
     small_batches(docs.sparkSession)
-    names = docs.columns
-    terms, weights, coefficients = model["terms"], np.array(model["weights"]), np.array(model["coefficients"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon(terms)
+        lexicon = Lexicon(model["terms"])
         for batch in batches:
-            x = np.array([lexicon.features(t or "", weights) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()], dtype=float).reshape(-1, len(coefficients))
-            yield batch.filter(pa.array(1 / (1 + np.exp(-(x @ coefficients))) < limit))
+            yield batch.filter(pa.array(~(_scores(batch.column(batch.schema.get_field_index("text")).to_pylist(), lexicon, model) >= limit)))
 
-    return docs.select(*names).mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -350,6 +350,76 @@ def test_toxicity_learns_and_keeps_clean_documents(spark, empty):
     assert toxicity.score(docs, none).count() == 402 and toxicity.score(empty, model).count() == 0
 
 
+def test_toxicity_catches_misspelled_terms_and_leaves_quotations(spark):
+    rng = random.Random(9)
+    terms = "blargish vornak snelpter".split()
+    abuse = lambda t: words(rng, 12) + f" you {t} " + words(rng, 12)
+    rows = [(i, abuse(terms[i % 3]) if i % 4 == 0 else words(rng, 25)) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.learn(docs, spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(600)], "doc_id long, toxic int"))
+    assert model["coefficients"][0] > 0 >= model["coefficients"][1]
+    tests = [abuse(t) for t in ("blargish", "blargsh", "vornaak", "vurnak", "sne1pter", "snelptr", "Vornak!" )] + [words(rng, 12) + f' they wrote "{t}" here ' + words(rng, 12) for t in terms] + [words(rng, 30), "x" * 200_000, "vornak" * 9000, None]
+    got = {r["doc_id"]: r["score"] >= 0.5 for r in toxicity.score(spark.createDataFrame(list(enumerate(tests)), "doc_id long, text string"), model).collect()}
+    assert [got[i] for i in range(len(tests))] == [True] * 7 + [False] * 5 + [got[12], False]
+
+
+def test_toxicity_with_labels_of_one_kind_keeps_all(spark, docs, texts):
+    for y in (0, 1):
+        model = toxicity.learn(docs, spark.createDataFrame([(i, y) for i in range(len(texts))], "doc_id long, toxic int"))
+        assert toxicity.kept(docs, model).count() == len(texts)
+
+
+def test_toxicity_fit_does_not_run_away():
+    free = np.full(2, np.inf)
+    rng = np.random.default_rng(0)
+    for k in range(60):  # few texts, copied often, with sums far apart: plain Newton steps end at constants of millions
+        n, m = rng.integers(5, 3000), rng.integers(100, 14000)
+        x = np.concatenate([np.column_stack([rng.choice(rng.uniform(0, 800, rng.integers(1, 9)), n), np.ones(n)]), np.column_stack([rng.choice([0.0, 0.0, 0.0, 5.0, rng.uniform(0, 300)], m), np.ones(m)])])
+        y = np.repeat([1.0, 0.0], [n, m])
+        w = toxicity._logistic(x, y, -free, free)
+        assert np.isfinite(w).all() and np.logaddexp(0, x @ w).sum() - y @ (x @ w) <= len(y) * math.log(2) + 1e-6 and abs(w).max() < 1000
+
+
+def test_toxicity_against_brute_force(spark):
+    rng = random.Random(12)
+    model = {"terms": ["blargish$", "vornak"], "exact": [5.0, 4.0], "missed": [3.0, 1.0], "coefficients": [0.7, -0.5, 0.3, -2.0]}
+    odd = ["blargish", "blargsh", "vornaks", "vornk", '"vornak"', "said", "blargish,"]
+    tests = [" ".join(rng.choice(odd + WORDS * 2) for _ in range(rng.randint(0, 30))) for _ in range(200)]
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            new = [i + 1]
+            for j, y in enumerate(b):
+                new.append(min(new[-1] + 1, row[j + 1] + 1, row[j] + (x != y)))
+            row = new
+        return row
+
+    def kind(w):
+        w = w.strip(toxicity.EDGES)
+        if w == "blargish" or w.startswith("vornak"):
+            return (0 if w == "blargish" else 1), False
+        if distance("blargish", w)[-1] == 1:
+            return 0, True
+        return None  # "vornak" is too short a beginning to be misspelled
+
+    def plain(t):
+        ws, best, hits = t.lower().split(), {}, 0
+        for i, w in enumerate(ws):
+            if (m := kind(w)) is None:
+                continue
+            near, after = ws[max(0, i - 6) : i + 1], ws[i : i + 7]
+            q = 1.0 if any(x.startswith('"') for x in near) and any('"' in x[1:] for x in after) else 0.5 if "said" in ws[max(0, i - 2) : i] else 0.0
+            best[m] = min(q, best.get(m, 1.0))
+            hits += (1 - q) * (model["missed"][m[0]] / model["exact"][m[0]] if m[1] else 1)
+        used = sum((1 - q) * model["missed" if miss else "exact"][k] for (k, miss), q in best.items())
+        said = sum(q * model["missed" if miss else "exact"][k] for (k, miss), q in best.items())
+        return 1 / (1 + math.exp(-(0.7 * min(used, 20) - 0.5 * min(said, 20) + 0.3 * min(100 * hits / max(1, len(ws)), 10) - 2.0)))
+
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(spark.createDataFrame(list(enumerate(tests)), "doc_id long, text string"), model).collect()}
+    assert all(abs(got[i] - plain(t)) < 1e-12 for i, t in enumerate(tests)) and len({round(x, 6) for x in got.values()}) > 30
+
+
 def test_preferences(spark):
     rows = [(2, 0, "user", "hi"), (2, 1, "assistant", "a"), (3, 0, "user", "hi"), (3, 1, "assistant", "b"), (3, 2, None, None), (4, 0, "user", "alone"), (6, 0, "user", "x"), (7, 0, "user", "x")]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
