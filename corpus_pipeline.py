@@ -51,14 +51,16 @@ STAGES = [
     ("byte-level BPE", encoded),
 ]
 
-#: Models, hashes and merges have no SQL form; tests hold the stages against plain versions.
+#: Models, hashes and merges have no SQL form; tests/llm/test_pipeline.py holds the stages against brute force on a small fixture.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             docs = materialise(docs, f"pipeline-{k}")
+            if docs.isEmpty() and not before.isEmpty():
+                raise RuntimeError(f"the stage {name} left no document; it was given some")
     return docs
