@@ -1,10 +1,15 @@
-"""HTML extraction by the tokens that a host's pages share.
+"""HTML extraction by equivalence classes of tokens: a host's template is deduced, and the main one of its slots extracted.
 
-A page is read as tokens: opening tags and whole text nodes, each with the path of elements around it. A token that is on at least
-``SUPPORT`` of the host's pages and on ``LEAST_PAGES`` of them belongs to the host's template; copies of a page count once. The text of
-a page is that in its article (or main) element, all of it, or, where a page has none, in the template's element that holds most
-text beside the template's own; blocks of the template's texts alone, and those under menus, headers, footers, sidebars, notices, adverts,
-forms and reader comments, go. This is a support filter with rules for tags: tokens are not grouped by their occurrence vectors.
+A page is read as tokens: opening tags and whole text nodes, each with the path of elements around it. A token's occurrence vector says how often each
+page of the host has it; tokens of equal vectors are an equivalence class (vectors are compared by 128-bit digests, made page by
+page and combined by exclusive or; copies of a page count once). Classes on at least ``SUPPORT`` of the host's pages and ``LEAST_PAGES`` of them are
+kept and nested: a class lies in the class of the nearest element around it, and is parted where its tokens lie in different ones.
+The nested classes are the template. Texts of the class of an element around them are the template's own; all other text fills slots.
+
+The main slot is that of the deepest element, once on its pages, that holds over half of the slot text; a page's text is that slot,
+without what is in it under menus, footers, forms, notices, adverts and reader comments (by their elements, roles and whole class names). An
+article element in it keeps even the texts that all pages have. Pages without the template's main element, and hosts of too few pages to deduce a template from,
+fall back on article or main elements, and then on all that is under no such element.
 
 A host's template holds only tokens of half its pages, so it is bounded by the tokens of a page or two, however many pages
 the host has; pages meet it in a join that is broadcast up to a checked size.
@@ -27,14 +32,15 @@ from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, bounded, materialise, small_batches, table
 
-SUPPORT, LEAST_PAGES = 0.5, 8
+SUPPORT, LEAST_PAGES = 0.5, 3
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|select|head)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S | re.I)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-APART = frozenset("nav footer aside form button dialog".split())
-NAMED = re.compile(r"(?:^|[-_\s])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar|side|widget|menu\w*|nav\w*|breadcrumbs?|pagination|pager|header|masthead|footer|cookies?|consent|notices?|alert|gdpr|newsletter|subscribe|signup|login|share|sharing|social|comments?|replies|disqus|respond|related|recommended|popup|modal|overlay|copyright|search)(?:[-_\s]|$)", re.I)
+APART = frozenset("nav footer form button dialog".split())
+#: Class names and ids of parts that are not the article, each a whole name.
+NAMED = re.compile(r"ads?|adverts?|advertisements?|adsense|sponsor(?:ed|s)?|promos?|banner|sidebars?|side-?bar|widgets?|menus?|nav|navbar|navigation|breadcrumbs?|pagination|pager|site-?header|masthead|footer|site-?footer|(?:cookie-?)?(?:consent|notices?|banner)|cookies?|alerts?|gdpr|newsletter|subscribe|signup|login|share|sharing|social|comments?|comment-?list|replies|disqus|respond|popup|modal|overlay|copyright|search", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search alert dialog form menu menubar".split())
 MAIN = frozenset(("article", "main"))
 #: Elements that hold blocks; the text in any other block is credited to the nearest of these around it.
@@ -91,7 +97,7 @@ def tokens(page: str):
         if tag in MAIN:
             inside = inside or not apart
         elif tag not in ("html", "body"):
-            apart = apart or tag in APART or tag == "header" and not inside or names.get("role", "").lower() in ROLES or any(NAMED.search(names.get(a, "")) for a in ("class", "id"))
+            apart = apart or tag in APART or tag in ("header", "aside") and not inside or names.get("role", "").lower() in ROLES or any(NAMED.fullmatch(x) for a in ("class", "id") for x in names.get(a, "").split())
         path = f"{path}/{label}" if tag in BLOCK else path
         stack.append((tag, path, apart, inside))
         yield ("open", path, apart, inside, label)
@@ -113,31 +119,60 @@ def _around(path: str) -> list[str]:
     return ["/".join(parts[: k + 1]) for k in range(1, len(parts)) if parts[k].partition(".")[0] in CONTAINER]
 
 
-def _main_of(elements: list[tuple[str, int, int, int, int]], constants: list[tuple[str, int]]) -> str | None:
-    """The element of (path, pages, total, chars, own) that holds most slot text: all characters in it without those of constant texts.
+def nested(found: list[dict]) -> dict[str, tuple]:
+    """The class of each element of a host's template, by path: its vector and the class around it. ``found``: path, is_text, v1, v2."""
+    out: dict[str, tuple] = {}
+    for e in sorted((e for e in found if not e["is_text"]), key=lambda e: e["path"].count("/")):
+        vector, around, path = (e["v1"], e["v2"]), None, e["path"]
+        while around is None and "/" in path:
+            path = path.rpartition("/")[0]
+            around = out.get(path)
+        # An element with the vector of the one around it is of its class; another begins a class of its own in there.
+        out[e["path"]] = around if around is not None and around[0] == vector else (vector, around)
+    return out
+
+
+def _constant(path: str, vector: tuple, classes: dict[str, tuple]) -> bool:
+    """Whether a text is the template's: it is on the pages that an element around it is on, as often."""
+    while path:
+        if path in classes and classes[path][0] == vector:
+            return True
+        path = path.rpartition("/")[0]
+    return False
+
+
+def deduced(found: list[dict]) -> tuple[list[int], str | None]:
+    """The keys of the template's own texts, and the element that holds the main slot. ``found``: key, path, is_text, v1, v2, pages, total, chars, own.
 
-    The deepest one that is once on a page and holds over half; then up while the element around it has slot text beside its containers,
-    such as the heading of the article.
+    Slot text is all characters in an element without those of the template's texts. The deepest element that is once on its pages and holds over half of
+    it is the main one; then up, unless it is an article itself, while the element around it has slot text beside its containers, such as the heading of the article.
     """
-    chars, own = {e[0]: e[3] for e in elements}, {e[0]: e[4] for e in elements}
-    for path, n in constants:
-        around = [p for p in _around(path) if p in chars]
+    classes = nested(found)
+    texts = [e for e in found if e["is_text"] and _constant(e["path"], (e["v1"], e["v2"]), classes)]
+    elements = [e for e in found if not e["is_text"] and e["chars"]]
+    chars, own = {e["path"]: e["chars"] for e in elements}, {e["path"]: e["own"] for e in elements}
+    for e in texts:
+        around = [p for p in _around(e["path"]) if p in chars]
         for p in around:
-            chars[p] -= n
+            chars[p] -= e["chars"]
         if around:
-            own[around[-1]] -= n
+            own[around[-1]] -= e["chars"]
     whole = max(chars.values(), default=0)
-    best = max((e[0] for e in elements if e[1] == e[2] and whole and chars[e[0]] * 2 > whole), key=lambda p: (p.count("/"), chars[p], p), default=None)
-    while best is not None and (outer := [p for p in _around(best)[:-1] if p in chars]) and own[outer[-1]] > 0:
+    best = max((e["path"] for e in elements if e["pages"] == e["total"] and whole and chars[e["path"]] * 2 > whole), key=lambda p: (p.count("/"), chars[p], p), default=None)
+    while best is not None and best.rpartition("/")[2].partition(".")[0] not in MAIN and (outer := [p for p in _around(best)[:-1] if p in chars]) and own[outer[-1]] > 0:
         best = outer[-1]
-    return best
+    return [e["key"] for e in texts], best
+
+
+FOUND = "key long, path string, is_text boolean, v1 long, v2 long, pages long, total long, chars long, own long"
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, key, path, is_text, pages, total, chars, own): of each host's tokens in a batch; chars of all text within, own of that outside inner containers."""
+    """(host, key, path, is_text, v1, v2, pages, total, chars, own): of each host's tokens in a batch; chars of all text within, own of that outside inner containers."""
+    names = [x.split()[0] for x in FOUND.split(", ")]
     for batch in batches:
         got: dict[tuple[str, int], list] = {}
-        for host, page in zip(*(batch.column(i).to_pylist() for i in range(2))):
+        for host, of, page in zip(*(batch.column(i).to_pylist() for i in range(3))):
             own: dict[tuple[int, str, bool], list[int]] = {}
             for t in tokens(page or ""):
                 if t[0] == "open":
@@ -151,45 +186,55 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         e = own.setdefault((_key("open", p, p.rpartition("/")[2]), p, False), [0, 0, 0])
                         e[1] += len(text)
                         e[2] += len(text) if p == around[-1] else 0
+            counts = {n: xxhash.xxh3_128_intdigest(f"{of}\0{n}") for n in {v[0] for v in own.values()}}
             for (key, path, is_text), (n, chars, direct) in own.items():
-                g = got.setdefault((host, key), [path, is_text, 0, 0, 0, 0])
-                g[2] += n > 0
-                g[3] += n
-                g[4] += chars
-                g[5] += direct
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in got], pa.string()), pa.array([k[1] for k in got], pa.int64()), *(pa.array([g[i] for g in got.values()], t) for i, t in enumerate((pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64())))], ["host", "key", "path", "is_text", "pages", "total", "chars", "own"])
+                g = got.setdefault((host, key), [path, is_text, 0, 0, 0, 0, 0, 0])
+                if n:
+                    g[2] ^= counts[n] >> 64
+                    g[3] ^= counts[n] & (1 << 64) - 1
+                g[4] += n > 0
+                g[5] += n
+                g[6] += chars
+                g[7] += direct
+        for g in got.values():
+            g[2], g[3] = g[2] - (1 << 63), g[3] - (1 << 63)
+        columns = [*zip(*got.values())] or [()] * 8
+        types = (pa.string(), pa.bool_(), *[pa.int64()] * 6)
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in got], pa.string()), pa.array([k[1] for k in got], pa.int64()), *(pa.array(c, t) for c, t in zip(columns, types))], ["host", *names])
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, texts, main) of each host: keys of the template's constant texts, and the element that holds most slot text."""
+    """(host, texts, main) of each host: keys of the template's own texts, and the element that holds the main slot."""
     small_batches(pages.sparkSession)
-    read = pages.select(host_of(F.col("url")).alias("host"), F.col("page_id").cast("string").alias("page_id"), F.coalesce("html", F.lit("")).alias("html"))
+    read = pages.select(host_of(F.col("url")).alias("host"), F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("page_id"), F.coalesce("html", F.lit("")).alias("html"))
     # Copies of a page count once: what they repeat is no template.
     once = materialise(read.groupBy("host", F.xxhash64("html").alias("h"), F.length("html").alias("n")).agg(F.min("page_id").alias("page_id")), "html-pages")
     totals = once.groupBy("host").agg(F.count(F.lit(1)).alias("of"))
-    own = read.join(bounded(once.select("host", "page_id")), ["host", "page_id"], "left_semi").select("host", "html")
-    counts = own.mapInArrow(_counts, "host string, key long, path string, is_text boolean, pages long, total long, chars long, own long")
-    found = counts.groupBy("host", "key", "is_text").agg(F.max("path").alias("path"), *(F.sum(c).alias(c) for c in ("pages", "total", "chars", "own")))
+    own = read.join(bounded(once.select("host", "page_id", "h")), ["host", "page_id"]).where(F.col("h") == F.xxhash64("html")).select("host", F.concat_ws("/", "h", "page_id").alias("of"), "html")
+    if not read.groupBy("host", "page_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        own = own.dropDuplicates(["host", "of"])  # rows that repeat, id and all
+    counts = own.mapInArrow(_counts, f"host string, {FOUND}")
+    even = F.lit(-(1 << 63)).cast("bigint")  # digests are shifted by half their range
+    vectors = (F.bit_xor(F.col(c).bitwiseXOR(even)).alias(c) for c in ("v1", "v2"))
+    found = counts.groupBy("host", "key", "is_text").agg(F.max("path").alias("path"), *vectors, *(F.sum(c).alias(c) for c in ("pages", "total", "chars", "own")))
     valid = found.join(totals, "host").where((F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= SUPPORT * F.col("of")))
-    elements = F.collect_list(F.when(~F.col("is_text") & (F.col("chars") > 0), F.struct("path", "pages", "total", "chars", "own")))
-    constants = F.collect_list(F.when(F.col("is_text"), F.struct("path", "chars")))
-    hosts = valid.groupBy("host").agg(F.collect_list(F.when(F.col("is_text"), F.col("key"))).alias("texts"), elements.alias("elements"), constants.alias("constants"))
+    hosts = valid.groupBy("host").agg(F.collect_list(F.struct(*(x.split()[0] for x in FOUND.split(", ")))).alias("found"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            main = [_main_of([tuple(e.values()) for e in es], [tuple(c.values()) for c in cs]) for es, cs in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(main, pa.string())], ["host", "texts", "main"])
+            made = [deduced(x) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in made], pa.list_(pa.int64())), pa.array([x for _, x in made], pa.string())], ["host", "texts", "main"])
 
     return materialise(hosts.mapInArrow(run, "host string, texts array<long>, main string"), "html-templates")
 
 
 def text_of(page: str, constant: frozenset[int] | set[int], main: str | None) -> str:
-    """The slots of the page's main part, block by block."""
+    """The main slot of the page, block by block."""
     found = list(tokens(page))
-    if any(t[0] == "open" and t[3] for t in found):
-        keep = lambda t: t[3]
-    elif main and any(t[0] == "open" and t[1] == main for t in found):
+    if main and any(t[0] == "open" and t[1] == main for t in found):
         keep = lambda t: (t[1] + "/").startswith(main + "/")
+    elif any(t[0] == "open" and t[3] for t in found):
+        keep = lambda t: t[3]
     else:
         keep = lambda t: True
     blocks: list[str] = []
