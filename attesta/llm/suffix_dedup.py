@@ -1,17 +1,20 @@
 """Suffix-array dedup: every byte covered by a string of ``LENGTH`` bytes that starts earlier somewhere is removed.
 
-Winnowing comes first: of each ``LENGTH`` - ``GRAM`` + 1 consecutive hashes of ``GRAM`` bytes the least is an anchor, so equal strings of LENGTH bytes
-have the same anchors at the same places, and a string can repeat only where an anchor repeats. The text around each
-repeated anchor (all strings of LENGTH bytes that hold it) is a context; contexts meet by anchor.
+Winnowing comes first: of each ``LENGTH`` - ``GRAM`` + 1 consecutive hashes of ``GRAM`` bytes the leftmost least is the anchor of the string of LENGTH bytes
+that they make up. Every string has one anchor, and equal strings have equal ones, so a string can repeat only where its anchor's hash
+repeats. The strings that share an anchor's place are its context; contexts meet by the anchor's hash.
 
-Of documents with equal texts only the first is looked at, and contexts that are equal throughout repeat as they are. The others are indexed: they are dealt into two shards, each shard's
-Burrows-Wheeler transform is built from its suffix array, and the transforms are merged by refining their interleaving, first by 7
+Contexts that are equal throughout, told by 128-bit digests, repeat as they are, first within a task and then by anchor. The others are indexed: they are dealt into two shards, each
+shard's Burrows-Wheeler transform is built from its suffix array, and the transforms are merged by refining their interleaving, first by 7
 symbols, then by as many as the interleaving so far tells apart. The blocks at the end are the intervals of suffixes with a common prefix of
 LENGTH; no suffix of the merged text is sorted again. In each interval all but the earliest start is a repeat.
 
+An anchor with over ``HOT`` places has its strings told apart one by one instead of its contexts, each by its own hash, so that no task gets all
+contexts of one passage, however many documents hold it. Of documents with equal texts, told by SHA-256, only the first is looked at.
+
 Defined results: a null text is empty; texts are UTF-8 bytes and matches never cross documents; overlapping matches count; strings are
-judged on the input; doc_id must be unique, anything else is an error; an empty table
-gives an empty table; other columns are not read.
+judged on the input; rows of one doc_id follow each other in the order of their texts (equal rows: the first stays), null ids come first; an empty
+table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,6 +35,10 @@ REACH = LENGTH - GRAM
 GROUP = 7
 #: Bytes of contexts that are indexed together, unless one anchor has more.
 BATCH = 250_000
+#: Places of an anchor beyond which its strings meet one by one.
+HOT = 4096
+#: Digests that a task holds before it passes them on.
+HELD = 250_000
 #: Bits for a place in a document; those above them number the documents of a batch.
 START_BITS = 40
 
@@ -57,15 +64,27 @@ def _sliding(h: np.ndarray, width: int, of) -> np.ndarray:
     return of(h[: len(h) - (width - n)], h[width - n :]) if n < width else h
 
 
-def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the anchors of a text."""
+def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Positions and hashes of the anchors of a text, and the first and last start of the strings that each is the anchor of."""
     if len(data) < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        none = np.zeros(0, np.int64)
+        return none, np.zeros(0, np.uint64), none, none
     h = gram_hashes(data)
     least = _sliding(h, REACH + 1, np.minimum)
     padded = np.concatenate([np.zeros(REACH, np.uint64), least, np.zeros(REACH, np.uint64)])
     at = np.flatnonzero(_sliding(padded, REACH + 1, np.maximum) == h)
-    return at, h[at]
+    own = h[at]
+    # A window's leftmost least has no equal or lesser hash to its left and no lesser one to its right; the nearest such are anchors themselves.
+    low, high = np.maximum(at - REACH, 0), np.minimum(at, len(data) - LENGTH)
+    k = 1
+    while k < len(at) and len(near := np.flatnonzero(at[k:] - at[:-k] <= REACH)):
+        beaten = near[own[near] <= own[near + k]] + k
+        low[beaten] = np.maximum(low[beaten], at[beaten - k] + 1)
+        beaten = near[own[near + k] < own[near]]
+        high[beaten] = np.minimum(high[beaten], at[beaten + k] - REACH - 1)
+        k += 1
+    ok = low <= high
+    return at[ok], own[ok], low[ok], high[ok]
 
 
 def _steps(length: int) -> list[int]:
@@ -169,23 +188,73 @@ def _repeats(rows: list[tuple[int, int, int, bytes]]) -> tuple[np.ndarray, np.nd
     return _runs(docs[again >> START_BITS], again & ((1 << START_BITS) - 1))
 
 
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows (doc, text, marks): the first places (h, doc, begin, last, digest) of each context in the task, and runs (null, doc, begin, last, null) of the others."""
+    first: dict[bytes, tuple[int, int, int, int]] = {}
+    whole: dict[bytes, tuple[int, int]] = {}  # contexts of hot anchors
+    runs: list[tuple[int, int, int]] = []
+
+    def meet(digest: bytes, h: int, doc: int, begin: int, last: int) -> bool:
+        """Whether the context came before."""
+        old = first.get(digest)
+        if old is not None and (old[1], old[2]) < (doc, begin):
+            runs.append((doc, begin, last))
+            return True
+        if old is not None:
+            runs.append(old[1:])
+        first[digest] = (h, doc, begin, last)
+        return False
+
+    def flush():
+        rows = [*first.values()]
+        columns = [*zip(*rows)] if rows else [(), (), (), ()]
+        others = [*zip(*runs)] if runs else [(), (), ()]
+        none = [None] * len(runs)
+        yield pa.RecordBatch.from_arrays([pa.array([*columns[0], *none], pa.int64()), *(pa.array([*columns[i + 1], *others[i]], pa.int64()) for i in range(3)), pa.array([*first, *none], pa.binary())], ["h", "doc", "begin", "last", "digest"])
+        first.clear()
+        runs.clear()
+
+    for batch in batches:
+        for doc, text, own in zip(*(c.to_pylist() for c in batch.columns)):
+            data = _bytes(text)
+            for m in own:
+                at, h = m["at"], m["h"]
+                begin, last = (at >> 14) - (at >> 7 & 127), (at >> 14) - (at & 127)
+                digest = xxhash.xxh3_128_digest(data[begin : last + LENGTH])
+                if not m["hot"]:
+                    meet(digest, h, doc, begin, last)
+                elif (old := whole.get(digest)) is not None and old < (doc, begin):
+                    runs.append((doc, begin, last))
+                else:
+                    whole[digest] = (doc, begin)
+                    for s in range(begin, last + 1):
+                        one = xxhash.xxh3_128_digest(data[s : s + LENGTH])
+                        meet(one, int.from_bytes(one[:8], "little", signed=True), doc, s, s)
+            if len(first) > HELD or len(runs) > HELD:
+                yield from flush()
+                whole.clear()
+    yield from flush()
+
+
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows (h, doc, pos, begin, end, digest) sorted by h, doc, pos: runs (doc, a, b) of contexts that came before, and first contexts
-    (doc, pos, null, h) of anchors with several."""
+    """Over rows (h, doc, begin, last, digest) sorted by h, doc, begin: runs (doc, a, b) of contexts that came before, and first contexts
+    (doc, begin, last, h) of anchors with several."""
     anchor, seen, waiting = None, set(), None
     for batch in batches:
         out: list[tuple] = []
-        for h, doc, pos, begin, end, digest in zip(*(c.to_pylist() for c in batch.columns)):
-            if h != anchor:
-                anchor, seen, waiting = h, {digest}, (doc, pos, None, h)
+        for h, doc, begin, last, digest in zip(*(c.to_pylist() for c in batch.columns)):
+            if digest is None:
+                out.append((doc, begin, last + LENGTH, None))
+            elif h != anchor:
+                anchor, seen, waiting = h, {digest}, (doc, begin, last, h)
             elif digest in seen:
-                out.append((doc, begin, end, None))
+                out.append((doc, begin, last + LENGTH, None))
             else:
                 seen.add(digest)
                 if waiting:
                     out.append(waiting)
                     waiting = None
-                out.append((doc, pos, None, h))
+                out.append((doc, begin, last, h))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["doc", "a", "b", "h"])
 
@@ -214,58 +283,59 @@ def _bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, doc, begin, context) over rows (doc, text, marks)."""
+    for batch in batches:
+        for doc, text, own in zip(*(c.to_pylist() for c in batch.columns)):
+            data = _bytes(text)
+            yield pa.RecordBatch.from_arrays([pa.array([m["h"] for m in own], pa.int64()), pa.array([doc] * len(own), pa.int64()), pa.array([m["begin"] for m in own], pa.int64()), pa.array([data[m["begin"] : m["last"] + LENGTH] for m in own], pa.binary())], ["h", "doc", "begin", "context"])
+
+
 def covered(docs: DataFrame) -> DataFrame:
     """(doc, spans): runs of repeated bytes of each document that has any. ``docs``: doc (its place in the order), text."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                at, h = anchors(_bytes(text))
+                at, h, low, high = anchors(_bytes(text))
                 if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.full(len(at), doc)), pa.array(at)], ["h", "doc", "pos"])
-
-    marks = materialise(docs.mapInArrow(found, "h long, doc long, pos long"), "suffix-anchors")
-    again = materialise(marks.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "suffix-repeated")
-    places = marks.join(bounded(again), "h", "left_semi").groupBy("doc").agg(F.collect_list(F.struct("pos", "h")).alias("marks"))
-
-    def contexts(whole: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for doc, text, own in zip(*(c.to_pylist() for c in batch.columns)):
-                    data, hs, pos = _bytes(text), [m["h"] for m in own], [m["pos"] for m in own]
-                    begin, end = [max(0, p - REACH) for p in pos], [min(len(data), p + LENGTH) for p in pos]
-                    cuts = [data[a:b] for a, b in zip(begin, end)]
-                    head = [pa.array(hs, pa.int64()), pa.array([doc] * len(own), pa.int64())]
-                    if whole:
-                        yield pa.RecordBatch.from_arrays([*head, pa.array(begin, pa.int64()), pa.array(cuts, pa.binary())], ["h", "doc", "begin", "context"])
-                    else:
-                        yield pa.RecordBatch.from_arrays([*head, pa.array(pos, pa.int64()), pa.array(begin, pa.int64()), pa.array(end, pa.int64()), pa.array(list(map(xxhash.xxh3_128_digest, cuts)), pa.binary())], ["h", "doc", "pos", "begin", "end", "digest"])
-
-        return run
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.full(len(at), doc)), pa.array(at << 14 | at - low << 7 | at - high)], ["h", "doc", "at"])
 
+    marks = materialise(docs.mapInArrow(found, "h long, doc long, at long"), "suffix-anchors")
+    again = materialise(marks.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", (F.col("n") > HOT).alias("hot")), "suffix-repeated")
+    places = marks.join(bounded(again), "h").groupBy("doc").agg(F.collect_list(F.struct("at", "h", "hot")).alias("marks"))
     # Digests tell which contexts are equal; only the first of each, and only where an anchor has several, are sent on as bytes.
-    digests = docs.join(places, "doc").select("doc", "text", "marks").mapInArrow(contexts(False), "h long, doc long, pos long, begin long, end long, digest binary")
-    compared = materialise(digests.repartition("h").sortWithinPartitions("h", "doc", "pos").mapInArrow(_compared, "doc long, a long, b long, h long"), "suffix-compared")
-    wanted = compared.where("h IS NOT NULL").groupBy("doc").agg(F.collect_list(F.struct(F.col("a").alias("pos"), "h")).alias("marks"))
-    around = docs.join(wanted, "doc").select("doc", "text", "marks").mapInArrow(contexts(True), "h long, doc long, begin long, context binary")
+    digests = docs.join(places, "doc").select("doc", "text", "marks").mapInArrow(_digests, "h long, doc long, begin long, last long, digest binary")
+    digests = digests.repartition(F.coalesce("h", F.xxhash64("doc", "begin"))).sortWithinPartitions("h", "doc", "begin")
+    compared = materialise(digests.mapInArrow(_compared, "doc long, a long, b long, h long"), "suffix-compared")
+    wanted = compared.where("h IS NOT NULL").groupBy("doc").agg(F.collect_list(F.struct(F.col("a").alias("begin"), F.col("b").alias("last"), "h")).alias("marks"))
+    around = docs.join(wanted, "doc").select("doc", "text", "marks").mapInArrow(_contexts, "h long, doc long, begin long, context binary")
     runs = materialise(around.repartition("h").sortWithinPartitions("h", "doc", "begin").mapInArrow(_indexed, "doc long, a long, b long"), "suffix-runs")
     runs = runs.unionAll(compared.where("h IS NULL").select("doc", "a", "b"))
     return runs.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("spans"))
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """(doc, doc_id, text): documents by their id, or, where ids repeat or are null, by a number in the order of id and text."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    if rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL").isEmpty():
+        return rows.select(F.col("doc_id").alias("doc"), "doc_id", "text")
+    ordered = rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    return materialise(ordered.select(F.monotonically_increasing_id().alias("doc"), "doc_id", "text"), "suffix-numbered")
+
+
 def removed(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, spans, kept) of each row of ``docs`` (doc_id, text): the maximal removed runs and the bytes that stay."""
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
-    if not rows.groupBy("doc").count().where("count > 1").isEmpty():
-        raise ValueError("doc_id must be unique; number the rows of one id by their text first")
+    named = _numbered(docs)
+    rows = named.select("doc", "text")
     # Of equal texts only the first can hold a first occurrence; the others go whole.
     sums = rows.select("doc", F.sha2("text", 256).alias("sum"), F.octet_length("text").cast("long").alias("n"))
     first = sums.groupBy("sum").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
     copies = materialise(sums.join(first, "sum").where("doc <> first").select("doc", "n"), "suffix-copies")
     spans = covered(rows.join(bounded(copies.select("doc")), "doc", "left_anti"))
     spans = spans.unionAll(copies.where(F.col("n") >= LENGTH).select("doc", F.array(F.struct(F.lit(0).cast("bigint").alias("a"), F.col("n").alias("b"))).alias("spans")))
-    joined = rows.join(spans, "doc", "left")
+    joined = named.join(spans, "doc", "left")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -283,7 +353,7 @@ def removed(docs: DataFrame) -> DataFrame:
                 kept.append(b"".join(data[a:b] for a, b in zip(at[::2], at[1::2])))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
 
-    return joined.select("doc", "text", "spans").mapInArrow(keep, "doc_id long, n_bytes long, spans array<struct<a: long, b: long>>, kept binary")
+    return joined.select("doc_id", "text", "spans").mapInArrow(keep, "doc_id long, n_bytes long, spans array<struct<a: long, b: long>>, kept binary")
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
