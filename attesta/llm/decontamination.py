@@ -5,16 +5,17 @@ bits over its shingles of five words. Fingerprints are cut into ``RADIUS`` + 1 b
 so a join on equal blocks finds them all. Each candidate is then verified by the weighted similarity of the
 shingles themselves: sum of the smaller over sum of the larger multiplicities, 0.8 or more.
 
-A window that shares no shingle with an item has similarity 0 to it, and one that shares less than 0.8 of the item's shingles
-stays below 0.8. So only windows around shared shingles are fingerprinted, and only in documents that
-have enough of an item: nothing that could pass is left out. Windows start where a shared shingle puts the item's start.
+Windows are fingerprinted where they can matter: a window that shares no shingle with an item has similarity 0 to it, and one that shares less
+than 0.8 of the item's shingles stays below 0.8. So a document's windows are those around its shared shingles, for items of which it has
+enough; they start where a shared shingle puts the item's start, and meet that item's blocks only: never all windows
+all items, however many of either there are. Shingles are fetched for pairs whose fingerprints are near enough.
 
 At the threshold fingerprints differ in 10 bits on average with a standard deviation of 3; a radius of 15 keeps 98 in 100 pairs
 there and nearly all above. Everything is native expressions. Words are runs of letters and digits, lower-cased.
 
 Defined results: a null text is the empty text; an item of fewer than five words is one shingle of its words and found where the document has
-these words in a row; items without words match nothing; rows of one doc_id are taken together; empty
-tables give an empty table; other columns are not read.
+these words in a row; items without words match nothing; rows of one doc_id are taken together, and so are rows of one item_id that repeat; null ids match
+nothing; empty tables give an empty table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded, materialise, table
+from .common import BROADCAST_ROWS, bounded, materialise, table
 
 WIDTH, RADIUS, BITS, SIMILARITY = 5, 15, 4, 0.8
 
@@ -86,17 +87,19 @@ def matches(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id", item_key
     hits = texts.select("doc", F.posexplode("sh").alias("pos", "h")).join(bounded(grams), "h")
     hits = materialise(hits.select("doc", "item", "len", "pos", "ipos").distinct(), "benchmark-hits")
     # A window of similarity s has at least s of the item's shingles.
-    enough = hits.groupBy("doc", "item").agg(F.count_distinct("ipos").alias("got"), F.max("len").alias("need")).where(F.col("got") >= SIMILARITY * F.col("need")).select("doc", "item")
-    starts = materialise(hits.join(enough, ["doc", "item"], "left_semi").select("doc", "item", "len", F.greatest(F.col("pos") - F.col("ipos"), F.lit(0)).alias("start")).distinct(), "benchmark-starts")
+    enough = hits.groupBy("doc", "item", "len").agg(F.count_distinct("ipos").alias("got")).where(F.col("got") >= SIMILARITY * F.col("len")).select("doc", "item", "len")
+    starts = materialise(hits.join(enough, ["doc", "item", "len"], "left_semi").select("doc", "item", "len", F.greatest(F.col("pos") - F.col("ipos"), F.lit(0)).alias("start")).distinct(), "benchmark-starts")
     found = materialise(starts.select("doc").distinct(), "benchmark-found")
     again = with_shingles(docs.join(bounded(found.withColumnRenamed("doc", doc_key)), doc_key, "left_semi"), doc_key, text=text).withColumnRenamed(doc_key, "doc")
-    windows = starts.select("doc", "start", "len").distinct().join(again, "doc").select("doc", "start", F.expr("slice(sh, start + 1, len)").alias("win")).where("size(win) > 0")
-    windows = materialise(windows.select("doc", "start", "win", simhash(F.col("win")).alias("wfp")), "benchmark-windows")
-    probes = windows.select("doc", "start", "win", "wfp", F.explode(_blocks("wfp")).alias("b")).select("*", "b.*").drop("b")
-    index = materialise(own.select("item", "sh", "fp", F.explode(_blocks("fp")).alias("b")).select("item", "sh", "fp", "b.*"), "benchmark-index")
+    windows = starts.join(again, "doc").select("doc", "start", "item", "len", F.expr("slice(sh, start + 1, len)").alias("win")).where("size(win) > 0")
+    windows = materialise(windows.select("*", simhash(F.col("win")).alias("wfp")), "benchmark-windows")
+    probes = windows.select("doc", "start", "item", "wfp", F.explode(_blocks("wfp")).alias("b")).select("doc", "start", "item", "wfp", "b.*")
+    index = materialise(own.select("item", "fp", F.explode(_blocks("fp")).alias("b")).select("item", "fp", "b.*"), "benchmark-index")
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("wfp")))
-    pairs = probes.join(bounded(index), ["block", "value"]).where(near <= RADIUS).select("doc", "start", "item", "win", "sh", near.alias("bits")).dropDuplicates(["doc", "start", "item", "win"])
-    checked = pairs.withColumn("similarity", similarity(F.col("win"), F.col("sh"))).where(F.col("similarity") >= SIMILARITY)
+    pairs = probes.join(bounded(index), ["item", "block", "value"]).where(near <= RADIUS).groupBy("doc", "start", "item").agg(F.min(near).alias("bits"))
+    texts_ = windows.select("doc", "start", "item", "win").join(pairs, ["doc", "start", "item"])
+    items_ = own.select("item", "sh")
+    checked = texts_.join(F.broadcast(items_) if grams.count() <= BROADCAST_ROWS else items_, "item").withColumn("similarity", similarity(F.col("win"), F.col("sh"))).where(F.col("similarity") >= SIMILARITY)
     best = checked.groupBy("doc", "item").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"), (-F.col("bits")).alias("less"))).alias("m"))
     out = best.select(F.col("doc").alias(doc_key), F.col("item").alias(item_key), F.col("m.similarity").alias("similarity"), (-F.col("m.back")).cast("long").alias("start_word"), (-F.col("m.less")).cast("long").alias("bits"))
     return out if short is None else out.unionAll(short.select(F.col("doc").alias(doc_key), F.col("item").alias(item_key), F.lit(1.0), F.col("start").cast("long"), F.lit(0).cast("long")))
