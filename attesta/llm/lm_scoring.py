@@ -1,16 +1,16 @@
 """LM scoring by subword lattices.
 
-A word's probability mixes its count in the training texts with the marginal probability of its spelling: the sum, over all segmentations
-into pieces of an existing vocabulary, of the product of the pieces' probabilities, by a forward recursion in log space.
-The vocabulary's own scores (ranks of merges) give the first piece probabilities; ``ROUNDS`` rounds of expectation maximisation over all
-distinct training words re-estimate them. The mixture is absolute discounting: each seen word gives up a
-discount, found from the words seen once and twice, to the lattice, so that the probabilities of all words sum to one.
+A word's probability is the sum, over all its segmentations, of the product of the pieces' probabilities, by a forward recursion in log space. The
+pieces are those of an existing vocabulary, and the words of the training texts, each of which is a segmentation of one piece. Pieces of the
+vocabulary start with its own scores (ranks of merges); ``ROUNDS`` rounds of expectation maximisation over all distinct training words re-estimate
+them. A training word's piece has its count less a discount, found from the words seen once and twice; what the discount leaves goes to the
+vocabulary's pieces, so that the probabilities of all words sum to one.
 The training texts' languages (the ``CLASSES`` most frequent, the others as one) each have counts that are mixed in the same way with those
 of all texts. A text's score is the log10 of its marginal probability: over languages, of the product over its words and its end.
 The language of a scored text is never read.
 
 Counts cover every training text and grow with the corpus; of it, the driver sees sums and one number for each vocabulary piece.
-Words are looked up block by block (a split of the input file): a block's distinct words are joined to their scores and
+Words are looked up block by block (a split of the input file, parted further where its texts have over ``BLOCK`` bytes): a block's distinct words are joined to their scores and
 meet the block's texts in one task, so that neither tokens nor the word table are broadcast or shuffled one by one.
 
 Defined results: A-Z are lower-cased, words are runs without ASCII white space; a null text and one without words consist of their end
@@ -29,14 +29,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, small_batches, table
+from .common import bounded, materialise, small_batches, table
 from .hashtable import HashTable
 
 ROUNDS = 3
 #: Languages with counts of their own, at most.
 CLASSES = 8
-#: Longest piece that is looked up, and longest word that goes through the padded matrices.
-PIECE, WORD = 16, 48
+#: Longest word that goes through the padded matrices; longer ones go through the same recursion one by one.
+WORD = 48
+#: Bytes of texts that meet their words in one task, unless one text has more.
+BLOCK = 24_000_000
 #: Distinct words that a task counts before it passes them on.
 COUNTED = 600_000
 BASE = np.uint64(1_000_003)
@@ -92,8 +94,8 @@ class Lattice:
         self.go, self.stop = math.log(go_on), math.log1p(-go_on)
         self.ids = {p: i for i, p in enumerate(pieces) if p and not (len(p) == 6 and p.startswith("<0x"))}
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(pieces) if len(p) == 6 and p.startswith("<0x")}
-        usable = [(p, i) for p, i in self.ids.items() if len(p) <= PIECE]
-        self.table = HashTable(hashed([p for p, _ in usable]), np.array([i for _, i in usable], dtype=np.int32), -1)
+        self.most = max(map(len, self.ids), default=1)
+        self.table = HashTable(hashed([*self.ids]), np.array([*self.ids.values()], dtype=np.int32), -1)
 
     def _byte_ids(self, ch: str) -> list[int]:
         return [self.bytes[b] for b in ch.encode("utf-8", "surrogatepass")]
@@ -104,7 +106,7 @@ class Lattice:
         n, length = codes.shape
         for i in range(length):
             h = np.full(n, 7, dtype=np.uint64)
-            for j in range(i + 1, min(length, i + PIECE) + 1):
+            for j in range(i + 1, min(length, i + self.most) + 1):
                 with np.errstate(over="ignore"):
                     h = h * BASE + codes[:, j - 1]
                 piece = self.table.get(h)
@@ -160,7 +162,7 @@ class Lattice:
 
         for j in range(1, n + 1):
             terms = []
-            for i in range(max(0, j - PIECE), j):
+            for i in range(max(0, j - self.most), j):
                 p = self.ids.get(word[i:j])
                 s, of = (self.later if i else self.first)[p] + (self.go if i else 0.0) if p is not None else -math.inf, [p]
                 if not math.isfinite(s) and j == i + 1 and i:
@@ -221,7 +223,7 @@ def _again(pieces: list[str], expected: np.ndarray, first: np.ndarray, later: np
 
 
 def held_out(key: Column) -> Column:
-    return F.crc32(key.cast("string").cast("binary")) % 5 == 1
+    return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 5 == 1
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -338,8 +340,13 @@ def score(docs: DataFrame, path: str | None = None, rounds: int = ROUNDS) -> Dat
 
 
 def blocked(docs: DataFrame) -> DataFrame:
-    """``docs``, a plain scan of files, with held_out and the block of each row: its split of its file."""
-    return docs.select("doc_id", "text", "lang", held_out(F.col("doc_id")).alias("held_out"), F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("block"))
+    """``docs``, a plain scan of files, with held_out and the block of each row: its split of its file, or a part of that by its id."""
+    split = F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("split")
+    rows = docs.select("doc_id", "text", "lang", held_out(F.col("doc_id")).alias("held_out"), split)
+    sizes = rows.groupBy("split").agg(F.ceil(F.sum(F.octet_length("text")) / BLOCK).alias("parts")).where("parts > 1")
+    large = bounded(materialise(sizes, "lm-splits"))
+    block = F.when(F.col("parts").isNull(), F.col("split")).otherwise(F.xxhash64("split", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.col("parts"))))
+    return rows.join(large, "split", "left").select("doc_id", "text", "lang", "held_out", block.alias("block"))
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:

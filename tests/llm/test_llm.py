@@ -109,6 +109,51 @@ def test_html_keeps_articles_that_are_repeated(spark):
     assert out[3] == "copied text" and out[11] == "own 11"
 
 
+def test_html_keeps_what_is_named_like_a_part_but_is_article(spark):
+    body = '<nav>menu</nav><article><div class="article-header"><h1>Title {0}</h1></div><h1 class="page-header">Second {0}</h1><p>long text of page {0}</p><section class="related-work"><p>others {0}</p></section><p class="side-effects">harm {0}</p><aside><p>aside {0}</p></aside><div class="ad">buy</div></article>'
+    for n in (1, 5):  # without and with a template
+        out = texts_of_pages(spark, [(i, f"http://n{n}/x", body.format(i)) for i in range(n)])
+        assert out[0] == "Title 0\n\nSecond 0\n\nlong text of page 0\n\nothers 0\n\nharm 0\n\naside 0"
+
+
+def test_html_template_is_that_of_the_occurrence_vectors(spark):
+    rng = random.Random(21)
+    rows = []
+    for host in range(6):
+        for i in range(rng.choice([2, 4, 7, 9])):
+            parts = ["<div class=top><p>Site</p>" + "".join(f"<a>{x}</a>" for x in "ab"[: rng.randint(1, 2)]) + "</div>"]
+            if rng.random() < 0.7:
+                parts.append(f"<div class=x><p>{rng.choice(['same', words(rng, 2)])}</p></div>")
+            parts.append("<div class=c><p>Read on</p>" + "".join(f"<p>{words(rng, rng.randint(1, 9))}</p>" for _ in range(rng.randint(1, 4))) + "</div>")
+            parts += ["<div class=r><ul>" + "".join(f"<li>{rng.choice('pqr')}</li>" for _ in range(rng.randint(1, 3))) + "</ul></div>"] * rng.randint(0, 1)
+            rows.append((len(rows), f"http://h{host}/{i}", "<body>" + "".join(parts)))
+    got = {r["host"]: (set(r["texts"]), r["main"]) for r in html_extraction.templates(spark.createDataFrame(rows + rows[:1], "page_id long, url string, html string")).collect()}
+    key, clean, around = html_extraction._key, html_extraction._clean, html_extraction._around
+    want = {}
+    for host in {u.split("/")[2] for _, u, _ in rows}:
+        pages = sorted({p for _, u, p in rows if u.split("/")[2] == host})
+        opens, texts = Counter(), Counter()
+        for n, p in enumerate(pages):
+            for t in html_extraction.tokens(p):
+                if t[0] == "open":
+                    opens[t[1], n] += 1
+                elif t[0] == "text" and clean(t[4]):
+                    texts[(t[1], clean(t[4])), n] += 1
+        vector = lambda c, k: tuple(c[k, n] for n in range(len(pages)))
+        valid = lambda v: sum(map(bool, v)) >= max(html_extraction.LEAST_PAGES, html_extraction.SUPPORT * len(pages))
+        elements = {p: vector(opens, p) for p, _ in opens if valid(vector(opens, p))}
+        constant = {k for k, _ in texts if valid(v := vector(texts, k)) and any(elements.get("/".join(k[0].split("/")[:j])) == v for j in range(1, len(k[0].split("/")) + 1))}
+        slots = {(k, n): c * len(k[1]) for (k, n), c in texts.items() if k not in constant}
+        chars = {p: sum(c for (k, _), c in slots.items() if p in around(k[0])) for p in elements}
+        own = {p: sum(c for (k, _), c in slots.items() if around(k[0])[-1:] == [p]) for p in elements}
+        best = max((p for p, v in elements.items() if set(v) <= {0, 1} and chars[p] and chars[p] * 2 > max(chars.values())), key=lambda p: (p.count("/"), chars[p], p), default=None)
+        while best and (outer := [p for p in around(best)[:-1] if p in elements]) and own[outer[-1]]:
+            best = outer[-1]
+        if elements:
+            want[host] = ({key("text", p, x) for p, x in constant}, best)
+    assert got == want and any(t for t, _ in want.values()) and any(m and m.endswith("div.c") for _, m in want.values())
+
+
 def plain_simhash(t, width):
     import xxhash
 
@@ -223,21 +268,56 @@ def test_bpe_is_tiktoken(docs, texts, empty):
     assert byte_bpe.digests(empty).count() == 0
 
 
-def test_suffix_dedup_against_brute_force(spark, docs, texts, empty):
-    seen, want = set(), {}
-    for i, t in enumerate(texts):
+def plain_suffix_dedup(texts):
+    seen, want = set(), []
+    for t in texts:
         b = (t or "").encode()
         cov = bytearray(len(b))
         for k in range(len(b) - 99):
             if (w := b[k : k + 100]) in seen:
                 cov[k : k + 100] = b"\1" * 100
             seen.add(w)
-        want[i] = (len(b), bytes(c for c, f in zip(b, cov) if not f), sum(1 for k in range(len(b)) if cov[k] and (not k or not cov[k - 1])))
-    out = suffix_dedup.removed(docs.select("doc_id", "text")).collect()
+        want.append((len(b), bytes(c for c, f in zip(b, cov) if not f), sum(1 for k in range(len(b)) if cov[k] and (not k or not cov[k - 1]))))
+    return want
+
+
+@pytest.mark.parametrize("hot", [4096, 1])
+def test_suffix_dedup_against_brute_force(monkeypatch, spark, docs, texts, empty, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    want = dict(enumerate(plain_suffix_dedup(texts)))
+    out = suffix_dedup.removed(docs).collect()
     assert {r["doc_id"]: (r["n_bytes"], bytes(r["kept"]), len(r["spans"])) for r in out} == want
     assert suffix_dedup.removed(empty).count() == 0
-    with pytest.raises(ValueError):
-        suffix_dedup.removed(spark.createDataFrame([(1, "a"), (1, "b")], "doc_id long, text string"))
+
+
+def test_suffix_dedup_of_ids_that_repeat(spark, texts):
+    some = [t or "" for t in texts[5:30]]
+    rows = [(i // 3 if i < 20 else None, t) for i, t in enumerate(some + some[:4])]
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    want = sorted((-1 if i is None else i, *w) for (i, _), w in zip(order, plain_suffix_dedup([t for _, t in order])))
+    out = suffix_dedup.removed(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_bytes"], bytes(r["kept"]), len(r["spans"])) for r in out) == want
+
+
+def test_suffix_dedup_of_a_passage_that_all_documents_share(monkeypatch, spark):
+    monkeypatch.setattr(suffix_dedup, "HOT", 64)
+    monkeypatch.setattr(suffix_dedup, "HELD", 500)
+    rng = random.Random(11)
+    passage = words(rng, 40)
+    texts = [words(rng, rng.randint(0, 12)) + " " + passage[: rng.choice([120, 150, len(passage)])] + " " + words(rng, rng.randint(0, 12)) for _ in range(1500)]
+    out = suffix_dedup.removed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_bytes"], bytes(r["kept"]), len(r["spans"])) for r in out} == dict(enumerate(plain_suffix_dedup(texts)))
+
+
+def test_every_string_has_one_anchor():
+    rng = random.Random(4)
+    for data in (words(rng, 300).encode(), b"x" * 400, b"ab" * 150 + b"c" * 130, bytes(rng.choice(b"ab") for _ in range(900)), b"y" * 99):
+        at, h, low, high = suffix_dedup.anchors(data)
+        starts = [(s, p, v) for p, v, a, b in zip(at, h, low, high) for s in range(a, b + 1)]
+        assert sorted(s for s, _, _ in starts) == list(range(max(0, len(data) - 99)))
+        by = {}
+        for s, p, v in starts:
+            assert by.setdefault(data[s : s + 100], (p - s, v)) == (p - s, v)
 
 
 def test_merged_transform_orders_like_one_sort():
