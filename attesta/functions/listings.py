@@ -1,4 +1,4 @@
-"""Typed attributes of product listings, as column expressions. Texts are taken as they are: apply ``text.nfkc`` first where needed.
+"""Typed attributes of product listings, as column expressions. Names, titles and processors are read in compatible form (``text.compatible``).
 
 All patterns are read with Unicode classes and without regard to case unless a function says otherwise.
 """
@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import clean, coerce_bool, contains_first, empty_to_null, tri_state
+from .text import clean, coerce_bool, compatible, contains_first, empty_to_null, let, tri_state
 
 # ---- fixed values -------------------------------------------------------------------------------------------------------
 SOURCE_ALIASES = {
@@ -97,9 +97,8 @@ def text_of(c: Column) -> Column:
 
 def source_name(value: Column) -> Column:
     """The canonical source; unknown names in upper case, none as UNKNOWN."""
-    v = F.trim(text_of(value))
     known = F.create_map(*(F.lit(x) for kv in SOURCE_ALIASES.items() for x in kv))
-    return F.coalesce(F.try_element_at(known, F.lower(F.regexp_replace(v, r"(?U)[\s_-]+", ""))), empty_to_null(F.upper(v)), F.lit("UNKNOWN"))
+    return let(F.trim(compatible(text_of(value))), lambda v: F.coalesce(F.try_element_at(known, F.lower(F.regexp_replace(v, r"(?U)[\s_-]+", ""))), empty_to_null(F.upper(v)), F.lit("UNKNOWN")))
 
 
 def atomic_sources(names: Column, joined: Column) -> Column:
@@ -116,8 +115,7 @@ def source_count(text: Column) -> Column:
 
 def brand(value: Column, title: Column) -> Column:
     """The canonical brand of the first alias that the brand (or, where there is none, the title) contains; else the brand as given."""
-    given = F.trim(text_of(value))
-    return contains_first(F.coalesce(empty_to_null(given), text_of(title)), list(BRANDS.items()), given)
+    return let(F.trim(compatible(text_of(value))), lambda given: contains_first(F.coalesce(empty_to_null(given), text_of(title)), list(BRANDS.items()), given))
 
 
 def brand_of_title(title: Column) -> Column:
@@ -127,7 +125,7 @@ def brand_of_title(title: Column) -> Column:
 
 def identity_text(value: Column) -> Column:
     """Lower case without configuration figures; letters, digits and marks only."""
-    t = F.lower(text_of(value))
+    t = F.lower(compatible(text_of(value)))
     for p in CONFIGURATION:
         t = F.regexp_replace(t, f"(?U){p}", "")
     return F.regexp_replace(t, r"(?U)[\W_]+", "")
@@ -135,16 +133,14 @@ def identity_text(value: Column) -> Column:
 
 def model_of_title(title: Column) -> Column:
     """The model in a marketing title: promotions and the brand label go from its head, everything from the first configuration figure on from its tail."""
-    original = F.trim(text_of(title))
-    body = F.regexp_replace(F.regexp_replace(original, PROMOTION, ""), BRAND_IN_BRACKETS, "")
-    head = clean(F.split(body, rx("|".join(TITLE_STOPS)), 2)[0])
-    return F.coalesce(empty_to_null(F.regexp_replace(head, r"^[()（）]+|[()（）]+$", "")), original)
+    body = lambda t: F.regexp_replace(F.regexp_replace(t, PROMOTION, ""), BRAND_IN_BRACKETS, "")
+    head = lambda t: clean(F.split(body(t), rx("|".join(TITLE_STOPS)), 2)[0])
+    return let(F.trim(compatible(text_of(title))), lambda t: F.coalesce(empty_to_null(F.regexp_replace(head(t), r"^[()（）]+|[()（）]+$", "")), t))
 
 
 def cpu_model(text: Column) -> Column:
     """The processor that a text names, else the text."""
-    t = F.trim(text_of(text))
-    return F.coalesce(*(clean(found(t, p)) for p in CPU_MODELS), t)
+    return let(F.trim(compatible(text_of(text))), lambda t: F.coalesce(*(clean(found(t, p)) for p in CPU_MODELS), t))
 
 
 def cpu_fields(cpu: Column) -> Column:
@@ -157,50 +153,52 @@ def cpu_fields(cpu: Column) -> Column:
 
 def cpu_voltage(cpu: Column) -> Column:
     """low_power, standard_performance, high_performance, desktop_performance or unknown, by the model's suffix."""
-    m = F.replace(F.upper(cpu_model(cpu)), F.lit(" "), F.lit(""))
-    ends = lambda s: m.rlike(rf"(?U){s}(?:\b|$)")
-    out = F.when(m.rlike(f"(?U){'|'.join(rf'{s}(?:\b|$)' for s in LOW_POWER)}"), "low_power")
-    for s in PERFORMANCE:
-        out = out.when(ends(s), "high_performance" if s in HIGH else "standard_performance")
-    return out.when(m.rlike(f"(?U){DESKTOP_MODELS}"), "desktop_performance").otherwise("unknown")
+
+    def judged(m: Column) -> Column:
+        out = F.when(m.rlike(f"(?U){'|'.join(rf'{s}(?:\b|$)' for s in LOW_POWER)}"), "low_power")
+        for s in PERFORMANCE:
+            out = out.when(m.rlike(rf"(?U){s}(?:\b|$)"), "high_performance" if s in HIGH else "standard_performance")
+        return out.when(m.rlike(f"(?U){DESKTOP_MODELS}"), "desktop_performance").otherwise("unknown")
+
+    return let(F.replace(F.upper(cpu_model(cpu)), F.lit(" "), F.lit("")), judged)
 
 
 def cpu_identity(cpu: Column, model: Column, title: Column) -> Column:
     """One name for the spellings of a processor; where none is recognised, the folded text of ``cpu``."""
-    all_ = F.concat_ws(" ", text_of(cpu), text_of(model), text_of(title))
-    known = [F.when(all_.rlike(rx(p)), F.lower(F.concat(F.lit(name), found(all_, p, 1), F.lit("-"), found(all_, p, 2), found(all_, p, 3)))) for name, p in CPU_NAMES]
-    return F.coalesce(*known, identity_text(cpu_model(cpu)))
+    known = lambda t: F.coalesce(*(F.when(t.rlike(rx(p)), F.lower(F.concat(F.lit(name), found(t, p, 1), F.lit("-"), found(t, p, 2), found(t, p, 3)))) for name, p in CPU_NAMES))
+    return F.coalesce(let(compatible(F.concat_ws(" ", text_of(cpu), text_of(model), text_of(title))), known), identity_text(cpu_model(cpu)))
 
 
 def model_family(model: Column, title: Column, brand_given: Column, sources: Column, model_identity: Column) -> Column:
     """The product family that identity is built on: no configuration, brand, sub-brand or processor words at its head."""
     own = empty_to_null(text_of(model_identity))
-    raw = F.trim(F.coalesce(empty_to_null(text_of(model)), text_of(title)))
-    by_source = F.when(F.arrays_overlap(sources, F.array(F.lit("ZOL"), F.lit("PConline"))), F.trim(F.split(raw, r"[（(]", 2)[0]))
-    by_source = by_source.when((F.size(sources) == 1) & F.array_contains(sources, "JD"), model_of_title(raw)).otherwise(raw)
-    text = F.coalesce(F.trim(own), by_source)
-    whole, canonical = identity_text(text), brand(brand_given, title)
+    cut_at = lambda raw: F.when(F.arrays_overlap(sources, F.array(F.lit("ZOL"), F.lit("PConline"))), F.trim(F.split(raw, r"[（(]", 2)[0])).when((F.size(sources) == 1) & F.array_contains(sources, "JD"), model_of_title(raw)).otherwise(raw)
+    text = F.coalesce(F.trim(own), let(F.trim(compatible(F.coalesce(empty_to_null(text_of(model)), text_of(title)))), cut_at))
     aliases: dict[str, list[str]] = {}
     for a, b in BRANDS.items():
         aliases.setdefault(b, []).append(a)
-    of = lambda table: F.coalesce(F.try_element_at(F.create_map(*(x for k, v in table.items() for x in (F.lit(k), F.array(*map(F.lit, v))))), canonical), F.array().cast("array<string>"))
+    of = lambda table, name: F.coalesce(F.try_element_at(F.create_map(*(x for k, v in table.items() for x in (F.lit(k), F.array(*map(F.lit, v))))), name), F.array().cast("array<string>"))
 
     def longest(labels: Column, t: Column) -> Column:
         hit = F.filter(F.transform(labels, lambda a: F.struct(F.length(a).alias("n"), identity_text(a).alias("t"))), lambda s: (s["t"] != "") & t.startswith(s["t"]))
         return F.coalesce(F.array_max(hit)["t"], F.lit(""))
 
     cut = lambda t, head: F.substr(t, F.length(head) + 1)
-    family = cut(whole, longest(F.concat(F.array(text_of(brand_given), canonical), of(aliases)), whole))
     first = lambda labels, t: F.coalesce(F.get(F.filter(labels, lambda a: t.startswith(a)), F.lit(0)), F.lit(""))
-    family = cut(family, first(of(SUB_BRANDS), family))
-    family = cut(family, first(F.array(*map(F.lit, CPU_WORDS)), family))
-    return F.coalesce(empty_to_null(family), whole)
+
+    def bare(whole: Column, name: Column) -> Column:
+        family = let(whole, lambda t: cut(t, longest(F.concat(F.array(text_of(brand_given), name), of(aliases, name)), t)))
+        family = let(family, lambda t: cut(t, first(of(SUB_BRANDS, name), t)))
+        family = let(family, lambda t: cut(t, first(F.array(*map(F.lit, CPU_WORDS)), t)))
+        return F.coalesce(empty_to_null(family), whole)
+
+    return let(identity_text(text), lambda whole: let(brand(brand_given, title), lambda name: bare(whole, name)))
 
 
 def listing_key(brand_given: Column, model: Column, title: Column, cpu: Column, sources: Column, model_identity: Column) -> Column:
     """24 hex digits of brand, family and processor; null where all are empty."""
     parts = [identity_text(brand(brand_given, title)), model_family(model, title, brand_given, sources, model_identity), cpu_identity(cpu, model, title)]
-    return F.when(F.concat(*parts) != "", F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 24))
+    return let(F.concat_ws("|", *parts), lambda t: F.when(t != "||", F.substring(F.sha2(t, 256), 1, 24)))
 
 
 def keyboard_flags(text: Column) -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -16,14 +18,45 @@ def clean(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"[ \t\r\n\f\x0b]+", " "))
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)``, with the value made once however often ``f`` names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def plain_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.length(text)
+
+
 def nfkc(text: Column) -> Column:
-    """Unicode NFKC, for which Spark has no expression: an Arrow-batched function, applied to texts that are not plain ASCII."""
+    """Unicode NFKC, for which Spark has no expression: an Arrow-batched function that gets the texts that are not plain ASCII."""
 
     @F.pandas_udf("string")
     def normal(s: pd.Series) -> pd.Series:
         return s.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 
-    return normal(text)
+    return F.coalesce(normal(F.when(~plain_ascii(text), text)), text)
+
+
+#: Characters that listings have in other forms: spaces, superscripts and fractions, signs, Roman and circled numbers, units, ligatures, full-width forms.
+FORMS = ((0xA0, 0xA0), (0xB2, 0xB3), (0xB9, 0xB9), (0xBC, 0xBE), (0x2000, 0x200A), (0x2122, 0x2122), (0x2160, 0x217F), (0x2460, 0x2473), (0x3000, 0x3000), (0x338E, 0x33A1), (0xFB00, 0xFB06), (0xFF01, 0xFF5E))
+
+
+@lru_cache(1)
+def _compatible() -> tuple[str, str, tuple[tuple[str, str], ...]]:
+    """Characters that NFKC turns into one other character, those characters, and the ones that it turns into several, with these."""
+    found = [(chr(c), n) for lo, hi in FORMS for c in range(lo, hi + 1) if (n := unicodedata.normalize("NFKC", chr(c))) != chr(c)]
+    one = [(a, b) for a, b in found if len(b) == 1]
+    return "".join(a for a, _ in one), "".join(b for _, b in one), tuple((a, b) for a, b in found if len(b) > 1)
+
+
+def compatible(text: Column) -> Column:
+    """The characters of FORMS in the form that NFKC gives them, as native expressions; others stay as they are, which ``nfkc`` changes too."""
+    old, new, several = _compatible()
+    marks = "".join(a for a, _ in several)
+    table = F.str_to_map(F.lit("\x01".join(f"{a}\x02{b}" for a, b in several)), F.lit("\x01"), F.lit("\x02"))
+    apart = lambda t: F.array_join(F.transform(F.split(t, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+    wide = let(text, lambda t: F.when(plain_ascii(t), t).otherwise(F.translate(t, old, new)))
+    return let(wide, lambda t: F.when(plain_ascii(t), t).when(t.rlike(f"[{marks}]"), apart(t)).otherwise(t))
 
 
 def casefolded(text: Column) -> Column:
@@ -56,9 +89,9 @@ def amount_before(text: Column, units: str) -> Column:
 
 
 def capacity_gb(text: Column) -> Column:
-    """The largest capacity named in a text, terabytes as 1,024 gigabytes."""
-    of = lambda unit, by: F.transform(F.regexp_extract_all(text, F.lit(rf"(?i)(\d+)\s*{unit}"), 1), lambda x: x.cast("bigint") * by)
-    return F.array_max(F.concat(of("GB", 1), of("TB", 1024)))
+    """The largest capacity named in a text, terabytes as 1,024 gigabytes; fractions of the largest are cut."""
+    of = lambda t, unit, by: F.transform(F.regexp_extract_all(t, F.lit(rf"(?i){NUMBER}\s*{unit}"), 1), lambda x: x.cast("double") * by)
+    return F.floor(F.array_max(let(compatible(text), lambda t: F.concat(of(t, "GB", 1), of(t, "TB", 1024)))))
 
 
 def tri_state(text: Column, negative: str, positive: str, negation_first: bool = True) -> Column:
@@ -94,10 +127,8 @@ def alias(text: Column, table: dict[str, str], otherwise: Column | None = None)
 
 def contains_first(text: Column, needles: list[tuple[str, str]], otherwise: Column) -> Column:
     """The value of the first needle (needle, value) that the lower-cased text contains."""
-    out = otherwise
-    for needle, value in reversed(needles):
-        out = F.when(F.lower(text).contains(needle), F.lit(value)).otherwise(out)
-    return out
+    hit = let(F.lower(text), lambda t: F.coalesce(*(F.when(t.contains(needle), F.lit(value)) for needle, value in needles)))
+    return F.coalesce(hit, otherwise)
 
 
 def source_tokens(text: Column, nulls: tuple[str, ...] = ("", "-", "none", "null")) -> Column:
@@ -141,3 +172,32 @@ def max_amount(text: Column, patterns: list[str]) -> Column:
     """The largest number that any pattern's first group finds; 0 if none."""
     found = F.concat(*(F.transform(F.regexp_extract_all(text, F.lit(p), 1), lambda x: x.try_cast("bigint")) for p in patterns))
     return F.coalesce(F.array_max(found), F.lit(0).cast("bigint"))
+
+
+def number(c: Column) -> Column:
+    """A field as a number, whatever type it came in; what is none is null."""
+    return c.cast("string").try_cast("double")
+
+
+def money(c: Column) -> Column:
+    """A price for display: whole, with thousands separators; what is none is said to be open."""
+    n = number(c)
+    return F.when(n.isNull() | F.isnan(n), "价格待确认").otherwise(F.concat(F.lit("¥"), F.format_number(F.round(n, 0), 0)))
+
+
+def display(c: Column, suffix: str = "") -> Column:
+    """A value for display, with its unit, or a dash; a whole number without its point, markup escaped."""
+    t = F.regexp_replace(c.cast("string"), r"^(-?\d+)\.0$", "$1")
+    for mark, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#039;")):
+        t = F.replace(t, F.lit(mark), F.lit(name))
+    return F.coalesce(F.concat(empty_to_null(t), F.lit(suffix)), F.lit("—"))
+
+
+def utc_second(ts: Column) -> Column:
+    """An instant in ISO form, to the second, in UTC."""
+    return F.date_format(F.date_trunc("second", F.to_utc_timestamp(ts, F.current_timezone())), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+
+
+def canonical_json(names: list[str]) -> Column:
+    """The columns as a JSON object with its keys in order and nulls kept, so that equal rows give equal texts."""
+    return F.to_json(F.struct(*sorted(names)), {"ignoreNullFields": "false"})

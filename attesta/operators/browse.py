@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..functions import text as T
+
 
 def compile_filters(spec: dict[str, Any]) -> list[Column]:
     """Predicates of a specification.
@@ -26,9 +28,68 @@ def compile_filters(spec: dict[str, Any]) -> list[Column]:
     out += [F.col(c).eqNullSafe(F.lit(True)) for c in spec.get("is_true", ())]
     out += [~F.col(c).eqNullSafe(F.lit(True)) for c in spec.get("not_true", ())]
     out += [F.col(c).isin(*v) for c, v in spec.get("among", {}).items()]
+    out += [~F.col(c).eqNullSafe(F.lit(v)) for c, v in spec.get("differs", {}).items()]
+    return out
+
+
+def forced(config: dict[str, Any]) -> dict[str, Any]:
+    """The specification of a configuration's forced rules: ``value`` (true or another), ``allowed_values`` or ``not_equals`` by field."""
+    out: dict[str, Any] = {}
+    for name, rule in config.get("forced", {}).items():
+        column = rule.get("field", name)
+        if "allowed_values" in rule:
+            out.setdefault("among", {})[column] = rule["allowed_values"]
+        elif "not_equals" in rule:
+            out.setdefault("differs", {})[column] = rule["not_equals"]
+        elif rule.get("value") is True:
+            out.setdefault("is_true", []).append(column)
+        else:
+            out.setdefault("equals", {})[column] = rule.get("value")
     return out
 
 
+#: Sort modes: (column, descending, what a missing value counts as); most fall back on the rank.
+LAST = 2**53 - 1
+_RANK = ("source_rank", False, LAST)
+SORTS = {
+    "source_rank": [("source_count", True, 0), _RANK], "source_count": [("source_count", True, 0), _RANK], "price_asc": [("price", False, LAST)], "price_desc": [("price", True, -1)],
+    "screen_desc": [("screen_size", True, 0), _RANK], "refresh_desc": [("refresh_rate", True, 0), _RANK], "memory_desc": [("memory_gb", True, 0), _RANK], "storage_desc": [("storage_gb", True, 0), _RANK],
+    "numpad_first": [("numeric_keypad", True, 0), _RANK], "backlight_first": [("keyboard_backlight", True, 0), _RANK],
+}
+
+
+def sorted_by(df: DataFrame, mode: str, tie: str) -> DataFrame:
+    """``df`` in the order of a mode; an unknown mode is that of the rank. Texts that begin with a number count as it, flags as 1 and 0."""
+    value = lambda c: F.regexp_extract(F.col(c).cast("string"), r"^\s*([+-]?\d*\.?\d+)", 1).try_cast("double") if df.schema[c].dataType.simpleString() == "string" else F.col(c).cast("double")
+    keys = [(lambda x, d=down: x.desc() if d else x.asc())(F.coalesce(value(c), F.lit(float(v)))) for c, down, v in SORTS.get(mode, SORTS["source_rank"])]
+    return df.orderBy(*keys, tie)
+
+
+def facet(df: DataFrame, column: str) -> DataFrame:
+    """(value) of the different values of a column, in the order of Chinese dictionaries."""
+    return df.where(F.coalesce(F.col(column), F.lit("")) != "").select(F.col(column).alias("value")).distinct().orderBy(F.collate("value", "zh"), "value")
+
+
+def presented(df: DataFrame) -> DataFrame:
+    """Listings as a table or card shows them: link, texts with units, price, tags and badges."""
+    links = F.coalesce(T.empty_to_null(F.col("source_url")), F.get(F.map_values(F.map_filter("source_urls", lambda _, v: v != "")), F.lit(0)), F.lit("#"))
+    title = F.coalesce(T.empty_to_null(F.col("title")), F.col("model"))
+    dedicated = F.coalesce(F.col("dedicated_gpu"), F.lit(False))
+    tags = F.array(F.when(F.col("cpu_voltage_type") == "desktop_performance", "桌面级 CPU · 形态已核验").otherwise("H 系"), F.when(dedicated, "独显").otherwise("集显"), F.lit("数字键盘"), F.lit("背光"))
+    show = lambda c, unit="": T.display(F.col(c), unit)
+    return df.select(
+        links.alias("link"), title.alias("title"), F.coalesce(T.empty_to_null(F.col("brand")), F.lit("品牌待确认")).alias("brand"), (F.coalesce("source_count", F.lit(0)) >= 2).alias("multi"), tags.alias("tags"),
+        show("cpu").alias("cpu"), show("gpu").alias("gpu"), show("screen_size", "″").alias("screen"), F.concat_ws(" · ", show("resolution"), show("refresh_rate", "Hz")).alias("display"),
+        show("memory_gb", "GB").alias("memory"), show("storage_gb", "GB SSD").alias("storage"), T.money(F.col("price")).alias("price"), F.coalesce("atomic_source_names", F.array().cast("array<string>")).alias("badges"), show("source_rank").alias("rank"),
+    )
+
+
+def pills(config: dict[str, Any], allowed: str = "H / HX / HS / HK；桌面级 CPU 仅限形态证据例外") -> list[str]:
+    """What the forced rules of a configuration are called."""
+    said = lambda r: "是" if r.get("value") is True else allowed if r.get("allowed_values") else r.get("value")
+    return [f"{r.get('label')} · {said(r)}" for r in config.get("forced", {}).values()]
+
+
 def active_filters(spec: dict[str, Any]) -> int:
     return sum(len(v) if isinstance(v, (dict, list)) else 1 for v in spec.values())
 
@@ -51,6 +112,15 @@ def short_identity(title: Column, most: int = 18, least: int = 4) -> Column:
 
 
 def grouped(df: DataFrame, group: str, rank: str, order: str) -> DataFrame:
-    """Rows with their place in their group (unranked last) and the group's first appearance."""
-    w = W.partitionBy(group).orderBy(F.coalesce(F.nullif(F.col(rank), F.lit(0)), F.lit(9999)), order)
-    return df.withColumn("place", F.row_number().over(w)).withColumn("group_ord", F.min(order).over(W.partitionBy(group)))
+    """Rows with their place in their group (unranked last) and the group's first appearance.
+
+    Places are counted within parts of a group, dealt by rank, and the parts before are added, so that a group of any size is many tasks' work.
+    """
+    at = F.coalesce(F.nullif(F.col(rank), F.lit(0)), F.lit(9999))
+    x = df.withColumn("_r", at).withColumn("_part", F.floor(at / 8))
+    w = W.partitionBy(group, "_part").orderBy("_r", order)
+    parts = df.groupBy(group, F.floor(at / 8).alias("_part")).agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_o"))
+    before = F.coalesce(F.sum("_n").over(W.partitionBy(group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    parts = parts.withColumn("_before", before).withColumn("group_ord", F.min("_o").over(W.partitionBy(group))).drop("_n", "_o")
+    out = x.withColumn("_p", F.row_number().over(w)).join(parts.withColumnsRenamed({group: "_g"}), F.col(group).eqNullSafe(F.col("_g")) & (x["_part"] == parts["_part"]))
+    return out.withColumn("place", (F.col("_p") + F.col("_before")).cast("int")).select(*df.columns, "place", "group_ord")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.nodes import excluded
@@ -38,20 +38,66 @@ def fastest(nodes: DataFrame, name: str, history: str, order: str, reserved: lis
     return nodes.where(~F.col(name).isin(list(reserved)) & (last > 0)).agg(F.min_by(name, F.struct(last.alias("l"), F.col(order).alias("o"))).alias("picked"))
 
 
-def failover(attempts: DataFrame, nodes: DataFrame, key: str, order: str, node: str, rows: str, node_order: str, least: int = 2, most_nodes: int = 10_000) -> DataFrame:
+def failover(attempts: DataFrame, nodes: DataFrame, key: str, order: str, node: str, rows: str, node_order: str, least: int = 2) -> DataFrame:
     """(key, current, blocked, next): an attempt with fewer than ``least`` rows blocks its node for that key; next is the first node in order that is neither blocked nor current.
 
-    Every key goes through the pool in order, so the pool is one array beside each key; it is checked to have at most ``most_nodes``.
+    Places in the pool are numbered; the next node is the first number that no blocked node of the key has, found among as many numbers as the key has blocked nodes
+    and one more, so that the pool never stands beside every key.
     """
-    if (n := nodes.count()) > most_nodes:
-        raise ValueError(f"a pool of {n} nodes; at most {most_nodes} can be gone through for each key")
     per = attempts.groupBy(key).agg(F.max_by(node, order).alias("current"), F.max_by(F.col(rows) < least, F.col(order)).alias("failed"), F.array_sort(F.collect_set(F.when(F.col(rows) < least, F.col(node)))).alias("blocked"))
-    pool = nodes.agg(F.array_sort(F.collect_list(F.struct(F.col(node_order).alias("o"), F.col(node).alias("n")))).alias("_pool"))
-    free = F.get(F.filter("_pool", lambda p: ~F.array_contains(F.col("blocked"), p["n"]) & (p["n"] != F.col("current"))), F.lit(0))["n"]
-    return per.join(F.broadcast(pool)).select(key, "current", "blocked", F.when(F.col("failed"), free).alias("next"))
+    places = nodes.select(F.col(node).alias("_n"), F.col(node_order).alias("_o")).orderBy("_o", "_n")
+    places = places.select("_n", F.struct("_o", "_n").alias("_s"))
+    ranked = places.groupBy().agg(F.array_sort(F.collect_list("_s")).alias("_all")).select(F.posexplode("_all").alias("_place", "_s")).select("_place", F.col("_s._n").alias("_n"))
+    taken = per.select(key, F.explode(F.array_distinct(F.array_append("blocked", F.col("current")))).alias("_n")).join(ranked, "_n").groupBy(key).agg(F.array_sort(F.collect_list("_place")).alias("_taken"))
+    free = F.array_min(F.array_except(F.sequence(F.lit(0), F.size("_taken")), F.col("_taken")))
+    x = per.join(taken, key, "left").withColumn("_place", F.coalesce(free, F.lit(0)))
+    return x.join(ranked.withColumnRenamed("_n", "_next"), "_place", "left").select(key, "current", "blocked", F.when(F.col("failed"), F.col("_next")).alias("next"))
 
 
 def prefix_until(pages: DataFrame, part: str, order: str, stop: Column) -> DataFrame:
     """The rows of each part before the first one that stops it: what a circuit breaker keeps."""
     firsts = pages.where(stop).groupBy(part).agg(F.min(order).alias("_stop"))
     return pages.join(firsts, part, "left").where(F.col("_stop").isNull() | (F.col(order) < F.col("_stop"))).drop("_stop")
+
+
+def with_stats(nodes: DataFrame, stats: DataFrame, name: str) -> DataFrame:
+    """``nodes`` with their counters; a node that was never used has none."""
+    return nodes.join(stats.select(name, "success", "fail"), name, "left").fillna(0, ["success", "fail"])
+
+
+def available(nodes: DataFrame, most_failed: float = 0.8) -> DataFrame:
+    """The nodes of which fewer than that share of uses failed; all of them, if none is left."""
+    rate = F.col("fail") / F.greatest(F.col("success") + F.col("fail"), F.lit(1))
+    ok = nodes.where(rate < most_failed)
+    return nodes if ok.isEmpty() else ok
+
+
+def round_robin(nodes: DataFrame, name: str, order: str, turn: int) -> str | None:
+    """The node whose turn it is, in order; none of an empty pool. Only its place is counted, then one row is read."""
+    n = nodes.count()
+    if not n:
+        return None
+    row = nodes.orderBy(order).select(name).offset(turn % n).limit(1).first()
+    return row[0]
+
+
+def listing(nodes: DataFrame, name: str, order: str, limit: int = 50) -> DataFrame:
+    """(name, rate): the first nodes of a pool with their successes and uses."""
+    total = F.col("success") + F.col("fail")
+    return nodes.orderBy(order).limit(limit).select(name, F.when(total > 0, F.format_string("%d/%d", F.col("success"), total)).otherwise("N/A").alias("rate"))
+
+
+def save_pool(nodes: DataFrame, stats: DataFrame, settings: DataFrame, folder: str) -> None:
+    """Nodes, counters and settings (keywords, subscriptions) as JSON lines."""
+    for name, df in (("nodes", nodes), ("stats", stats), ("settings", settings)):
+        df.write.mode("overwrite").json(f"{folder}/{name}")
+
+
+def load_pool(spark: SparkSession, folder: str, schemas: dict[str, str]) -> dict[str, DataFrame]:
+    """What ``save_pool`` wrote; a part that is missing is empty."""
+    out = {}
+    for name, schema in schemas.items():
+        where = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        there = where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+        out[name] = spark.read.schema(schema).json(f"{folder}/{name}") if there else spark.createDataFrame([], schema)
+    return out

@@ -18,10 +18,12 @@ def overlap_pairs(df: DataFrame, key: str, source: str, order: str) -> DataFrame
 
 
 def classify_overlap(tests: list[tuple[str, Column, Column]]) -> tuple[Column, Column]:
-    """compatible, incompatible or unknown, and why: (name, a, b) are compared where both are known."""
+    """compatible, incompatible or unknown, and why: a difference of any (name, a, b) decides; without one, all must be known on both sides."""
     differ = F.filter(F.array(*(F.when(a != b, F.lit(f"{n} differs")) for n, a, b in tests)), lambda x: x.isNotNull())
-    known = sum(((a.isNotNull() & b.isNotNull()).cast("int") for _, a, b in tests), F.lit(0))
-    return F.when(F.size(differ) > 0, "incompatible").when(known == 0, "unknown").otherwise("compatible"), F.array_join(differ, "; ")
+    known = F.lit(True)
+    for _, a, b in tests:
+        known = known & a.isNotNull() & b.isNotNull()
+    return F.when(F.size(differ) > 0, "incompatible").when(known, "compatible").otherwise("unknown"), F.array_join(differ, "; ")
 
 
 def histogram(df: DataFrame, by: Column, name: str) -> DataFrame:

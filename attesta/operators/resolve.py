@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..functions import listings as L
+
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
     """The first row of each key in the given order."""
@@ -53,17 +55,54 @@ def gate(df: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
     return df.withColumn("reasons", reasons).withColumn("eligible", F.size("reasons") == 0)
 
 
-def match_facts(df: DataFrame, facts: DataFrame, key: str, title: Column, most_facts: int = 100_000) -> DataFrame:
-    """(key, fact_id): of the facts whose name the title contains, the longest, then the first.
+#: Characters of the pieces by which short names are looked up.
+GRAM = 12
+
 
-    ``facts`` has fact_id and name. The containment test has no equality to shuffle on, so the facts are
-    held against every title: they are a stated query set, checked to be at most ``most_facts``.
+def contained(df: DataFrame, names: DataFrame, key: str, text: Column) -> DataFrame:
+    """(key, fact_id, name): the names that a text contains. ``names`` has fact_id and name; blank names are in nothing.
+
+    A text that contains a name has each word inside it, between blanks, as a word of its own; so names are looked up by their longest inner word, and those without
+    one by their first characters, in equality joins. What is found is compared whole.
+    """
+    spoken = F.split("name", " ")
+    inner = F.filter(F.slice(spoken, 2, F.greatest(F.size(spoken) - 2, F.lit(0))), lambda w: w != "")
+    word = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    named = names.where(F.length("name") > 0).withColumn("_w", word).withColumn("_n", F.least(F.length("name"), F.lit(GRAM)))
+    texts = df.select(F.col(key), text.alias("_t"))
+    by_word = named.where("_w IS NOT NULL").select("fact_id", F.col("_w").alias("_g"))
+    pairs = texts.select(key, F.explode(F.array_distinct(F.split("_t", " "))).alias("_g")).join(by_word, "_g").select(key, "fact_id")
+    for n in sorted(r["_n"] for r in named.where("_w IS NULL").select("_n").distinct().collect()):  # GRAM widths at most
+        grams = named.where((F.col("_n") == n) & F.col("_w").isNull()).select("fact_id", F.substring("name", 1, n).alias("_g"))
+        pieces = F.array_distinct(F.regexp_extract_all("_t", F.lit(rf"(?s)(?=(.{{{n}}}))"), 1))
+        pairs = pairs.unionAll(texts.select(key, F.explode(pieces).alias("_g")).join(grams, "_g").select(key, "fact_id"))
+    whole = texts.join(pairs.distinct(), key).join(named.select("fact_id", "name"), "fact_id")
+    return whole.where(F.col("_t").contains(F.col("name"))).select(key, "fact_id", "name").distinct()
+
+
+def match_facts(df: DataFrame, facts: DataFrame, key: str, title: Column) -> DataFrame:
+    """(key, fact_id): of the facts whose name the title contains, the longest, then the first. ``facts`` has fact_id and name."""
+    return contained(df, facts, key, title).groupBy(key).agg(F.min_by("fact_id", F.struct((-F.length("name")).alias("l"), F.col("fact_id").alias("f"))).alias("fact_id"))
+
+
+def fact_for(df: DataFrame, facts: DataFrame, key: str, title: Column) -> DataFrame:
+    """(key, fact): the fact of a listing's series and size, as a struct.
+
+    The title's series must contain the fact's, both without spaces, figures and edition words; a fact with a size asks for that size. Of several, the first with a size,
+    else the first. ``facts`` has fact_id (its place), series, size_inch and what is to be known.
     """
-    n = facts.count()
-    if n > most_facts:
-        raise ValueError(f"{n} facts; at most {most_facts} can be matched by containment")
-    pairs = df.select(F.col(key), title.alias("_t")).join(F.broadcast(facts), F.col("_t").contains(F.col("name")))
-    return pairs.groupBy(key).agg(F.min_by("fact_id", F.struct((-F.length("name")).alias("l"), F.col("fact_id").alias("f"))).alias("fact_id"))
+    named = facts.withColumn("name", L.normal_series(F.col("series"))).where(F.coalesce("series", F.lit("")) != "")
+    texts = df.select(F.col(key), L.normal_series(title).alias("_s"), L.screen_of_title(title).alias("_size"))
+    found = contained(texts, named.select("fact_id", "name"), key, F.col("_s")).select(key, "fact_id")
+    # A series of figures alone is in every title: by size, or the first without one.
+    bare = named.where("name = ''")
+    found = found.unionAll(texts.join(bare.where(F.coalesce("size_inch", F.lit("")) != "").select("fact_id", F.col("size_inch").alias("_size")), "_size").select(key, "fact_id"))
+    if (first := bare.where(F.coalesce("size_inch", F.lit("")) == "").agg(F.min("fact_id")).first()[0]) is not None:
+        found = found.unionAll(texts.select(key, F.lit(first)))
+    size = F.coalesce("size_inch", F.lit(""))
+    fits = found.join(texts.select(key, "_size"), key).join(facts, "fact_id").where((size == "") | (size == F.col("_size")))
+    order = F.struct((size == "").alias("unsized"), F.col("fact_id").alias("f"))
+    return fits.groupBy(key).agg(F.min_by(F.struct(*facts.columns), order).alias("fact"))
 
 
 def fill(value: Column, fact: Column, evidence: Column, name: str) -> tuple[Column, Column]:

@@ -82,9 +82,9 @@ def first_number(spark, d):
     return t(spark, d, "documents").select("doc_id", T.first_number(F.col("text")).alias("number"))
 
 
-@query("SELECT p_partkey, list_max([p_size * 1, p_size * 1024]) AS capacity FROM part")
+@query("SELECT p_partkey, floor(greatest(p_size + 0.7, p_size % 2 * 1536))::INT AS capacity FROM part")
 def capacity_max(spark, d):
-    named = F.concat(F.col("p_size").cast("string"), F.lit("GB / "), F.col("p_size").cast("string"), F.lit(" TB"))
+    named = F.concat(F.col("p_size").cast("string"), F.lit(".7ＧＢ / "), F.when(F.col("p_size") % 2 == 1, "1.5 TB").otherwise("none"))
     return t(spark, d, "part").select("p_partkey", T.capacity_gb(named).cast("int").alias("capacity"))
 
 
@@ -217,10 +217,10 @@ def superset_missing(spark, d):
     return P.missing_keys(b, c, "key")
 
 
-@query("SELECT DISTINCT source FROM documents WHERE lang = 'en' AND source NOT IN (SELECT source FROM documents WHERE lang = 'es' AND source IS NOT NULL)")
+@query("SELECT DISTINCT source FROM documents WHERE source IS NOT NULL AND source NOT IN (SELECT source FROM documents WHERE doc_id % 7 = 0 AND length(source) = 4 AND source IS NOT NULL)")
 def source_regression(spark, d):
     x = t(spark, d, "documents")
-    return P.missing_keys(x.where("lang = 'en'"), x.where("lang = 'es'"), "source")
+    return P.missing_keys(x, x.where("doc_id % 7 = 0 AND length(source) = 4"), "source")
 
 
 @query(f"WITH {ITEMS_SQL} SELECT * FROM (SELECT 0::BIGINT AS check_ord, 'no key' AS error, count(*) FILTER (key IS NULL) AS rows FROM items UNION ALL SELECT 1, 'not eligible', count(*) FILTER (backlight IS NOT TRUE) FROM items UNION ALL SELECT 2, 'duplicate keys', count(*) FROM (SELECT key FROM items GROUP BY key HAVING count(*) > 1)) WHERE rows > 0")
@@ -253,7 +253,7 @@ def overlap_pairs(spark, d):
 
 
 CLASS_SQL = f"""{PAIRS_SQL}, classed AS (SELECT p.key, p.source_a, p.source_b,
-  CASE WHEN a.lang <> b.lang OR a.keypad <> b.keypad THEN 'incompatible' ELSE 'compatible' END AS status,
+  CASE WHEN a.lang <> b.lang OR a.keypad <> b.keypad THEN 'incompatible' WHEN a.lang IS NULL OR b.lang IS NULL OR a.keypad IS NULL OR b.keypad IS NULL THEN 'unknown' ELSE 'compatible' END AS status,
   array_to_string(list_filter([CASE WHEN a.lang <> b.lang THEN 'lang differs' END, CASE WHEN a.keypad <> b.keypad THEN 'keypad differs' END], lambda x: x IS NOT NULL), '; ') AS why
   FROM pairs p JOIN items a ON a.doc_id = p.ord_a JOIN items b ON b.doc_id = p.ord_b)"""
 
@@ -330,10 +330,10 @@ def keep_first(spark, d):
     return M.keep_first(t(spark, d, "events").select("user_id", "event_id", "event_type"), ["user_id"], ["event_id"])
 
 
-@query("SELECT user_id, min(event_id) AS event_id FROM events WHERE event_type = 'view' AND user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase') GROUP BY user_id")
+@query("SELECT user_id, min(event_id) AS event_id FROM events WHERE event_type = 'view' AND user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase' AND event_id % 50 = 0) GROUP BY user_id")
 def merge_new_items(spark, d):
     e = t(spark, d, "events")
-    old, new = (e.where(F.col("event_type") == k).select("user_id", "event_id") for k in ("purchase", "view"))
+    old, new = (e.where(k).select("user_id", "event_id") for k in ("event_type = 'purchase' AND event_id % 50 = 0", "event_type = 'view'"))
     return M.merge_new(old, new, "user_id", "event_id")
 
 
@@ -410,19 +410,13 @@ def source_tokens(spark, d):
     return t(spark, d, "documents").select("doc_id", F.array_sort(T.source_tokens(F.concat("source", F.lit("x + , - /"), "source"))).alias("tokens"))
 
 
-@query("SELECT doc_id, (n_chars >= 100)::INT + (lang IS NOT NULL)::INT + (source LIKE 'src%')::INT AS present, (n_chars >= 100)::INT + (lang IS NOT NULL)::INT + (source LIKE 'src%')::INT >= 3 AS valid FROM documents")
-def semantic_validity(spark, d):
-    present = (F.col("n_chars") >= 100).cast("int") + F.col("lang").isNotNull().cast("int") + F.col("source").startswith("src").cast("int")
-    return t(spark, d, "documents").select("doc_id", present.alias("present"), (present >= 3).alias("valid"))
-
-
 @query("SELECT coalesce(a.k, b.k) AS key, CASE WHEN a.k IS NULL THEN 'insert' WHEN b.k IS NULL THEN 'keep' ELSE 'update' END AS action FROM (SELECT c_custkey AS k FROM customer WHERE c_acctbal >= 0) a FULL JOIN (SELECT c_custkey AS k FROM customer WHERE c_mktsegment = 'BUILDING') b ON a.k = b.k")
 def upsert_actions(spark, d):
     c = t(spark, d, "customer").withColumnRenamed("c_custkey", "key")
     return I.upsert(c.where("c_acctbal >= 0").select("key"), c.where("c_mktsegment = 'BUILDING'").select("key"), "key")
 
 
-@query()
+@query("SELECT event_id, user_id, event_type FROM events")
 def stream_resume(spark, d):
     import uuid
 
@@ -514,12 +508,16 @@ def artifact_candidates(spark, d):
 
 
 #: What a list page's card is, on these pages: an item of the menu.
-MENU = {"card": "nav li", "link": ["a[href]"], "price": [], "page_size": 1, "id": [("slug", None)]}
+MENU = {"card": "nav li", "link": ["a[href]"], "price": [], "page_size": 40, "id": [("slug", None)]}
+
+
+NAV_SQL = "nav AS (SELECT page_id, regexp_extract(html, '<nav>(.*?)</nav>', 1, 's') AS n FROM pages)"
 
 
-@query()
+@query(f"""WITH {NAV_SQL}, li AS (SELECT page_id, unnest(regexp_extract_all(n, '<a href="([^"]*)">([^<]*)</a>', 1)) AS href, unnest(regexp_extract_all(n, '<a href="([^"]*)">([^<]*)</a>', 2)) AS title, generate_subscripts(regexp_extract_all(n, '<a href="([^"]*)">([^<]*)</a>', 1), 1) AS place FROM nav)
+SELECT page_id AS page_no, (greatest(page_id, 1) - 1) * 40 + place AS source_rank, trim(regexp_replace(href, '[^\\p{{L}}\\p{{N}}\\p{{M}}_]+', '-', 'g'), '-') AS source_product_id, trim(title) AS title, href FROM li""")
 def list_cards(spark, d):
-    return H.read_cards(t(spark, d, "pages").withColumnRenamed("page_id", "page_no"), MENU)
+    return H.read_cards(t(spark, d, "pages").withColumnRenamed("page_id", "page_no"), MENU).select("page_no", F.col("source_rank").cast("long").alias("source_rank"), "source_product_id", "title", "href")
 
 
 @query("SELECT doc_id, lower(replace(trim(regexp_replace(nfc_normalize(text), '[ \\t\\r\\n\\f\\v]+', ' ', 'g')), 'ß', 'ss')) AS folded FROM documents")
@@ -527,11 +525,11 @@ def casefold_text(spark, d):
     return t(spark, d, "documents").select("doc_id", T.casefolded(F.col("text")).alias("folded"))
 
 
-@query("SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY pos)) AS hit, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE regexp_matches(text, 'password|api_key') AND regexp_matches(text, 'http')) WHERE regexp_matches(line, 'password|api_key|http') AND NOT regexp_matches(line, 'License')")
+@query("SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY pos)) AS hit, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE regexp_matches(text, 'License') AND regexp_matches(text, 'the')) WHERE regexp_matches(line, 'License|the ') AND NOT regexp_matches(line, 'and')")
 def code_scan(spark, d):
     from pyspark.sql import Window as W
 
-    hits = V.scan_files(t(spark, d, "documents").select("doc_id", "text"), "doc_id", "text", ["password|api_key", "http"], "password|api_key|http", "License")
+    hits = V.scan_files(t(spark, d, "documents").select("doc_id", "text"), "doc_id", "text", ["License", "the"], "License|the ", "and")
     return hits.select("doc_id", F.row_number().over(W.partitionBy("doc_id").orderBy("line_no")).cast("long").alias("hit"), "line")
 
 

@@ -15,7 +15,10 @@ def _array(v: Column, names: tuple[str, ...]) -> Column:
 
 
 def read_payload(spark: SparkSession, path: str, names: tuple[str, ...] = ENVELOPES, strict: bool = True) -> DataFrame:
-    """(pos, raw, n_keys): the records of a JSON array, or of the first of the named members; ``raw`` keeps which keys are present."""
+    """(pos, raw, n_keys): the records of a JSON array, or of the first of the named members; ``raw`` keeps which keys are present.
+
+    Without ``strict``, what holds no list gives no rows.
+    """
     doc = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("v"))
     rows = doc.select(_array(F.col("v"), names).alias("a"))
     if strict and not rows.where("a IS NOT NULL").take(1):
@@ -24,6 +27,52 @@ def read_payload(spark: SparkSession, path: str, names: tuple[str, ...] = ENVELO
     return exploded.withColumn("n_keys", F.size(F.json_object_keys("raw")))
 
 
+class PayloadError(ValueError):
+    """A payload that does not have the shape asked for."""
+
+
+def read_rows(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
+    """The rows of a list, or of an object's ``items`` or ``data``, and which of the three it was; anything else, no rows, or a row that is no object is an error."""
+    doc = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("v"))
+    shape = F.when(F.schema_of_variant("v").startswith("ARRAY"), "list")
+    for n in ("items", "data"):
+        shape = shape.when(F.schema_of_variant(F.try_variant_get("v", f"$.{n}", "variant")).startswith("ARRAY"), n)
+    found = doc.select(shape.alias("s")).first()
+    if found is None or found["s"] is None:
+        raise PayloadError(f"{path} is neither a list nor an object of items or data")
+    rows = read_payload(spark, path, () if found["s"] == "list" else (found["s"],))
+    odd, n = rows.agg(F.count_if(F.col("n_keys").isNull()), F.count(F.lit(1))).first()
+    if not n or odd:
+        raise PayloadError(f"{path} has no rows" if not n else f"{path} has {odd} rows that are no objects")
+    return rows, found["s"]
+
+
+def read_optional(spark: SparkSession, path: str, names: tuple[str, ...] = ENVELOPES) -> DataFrame | None:
+    """The records of a payload that may be missing or empty: none then. One that is there and is no payload is an error."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(where) or fs.getContentSummary(where).getLength() == 0:
+        return None
+    return read_payload(spark, path, names)
+
+
+def read_facts(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table of facts with the schema given; a file that is missing or is no JSON is an empty table, so that it never stops what asks it."""
+    try:
+        found = read_optional(spark, path, ())
+    except ValueError:
+        found = None
+    if found is None:
+        return spark.createDataFrame([], schema)
+    return found.select(F.from_json("raw", schema).alias("r")).select("r.*")
+
+
+def object_or_empty(text: Column) -> Column:
+    """A JSON object as a variant; what is missing, broken or no object is an empty one."""
+    v = F.try_parse_json(text)
+    return F.coalesce(F.when(F.schema_of_variant(v).startswith("OBJECT"), v), F.parse_json(F.lit("{}")))
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(raw) of the lines that are JSON objects; blank, broken and other lines are skipped."""
     return objects(spark.read.text(path), "value")
@@ -33,9 +82,14 @@ def objects(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.schema_of_variant(F.try_parse_json(column)).startswith("OBJECT")).select("*", F.trim(column).alias("raw"))
 
 
+#: A JSON string, without backtracking.
+STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+
+
 def strict_json(text: Column) -> Column:
-    """True where a text is JSON without repeated keys and without numbers that are not finite."""
-    return F.try_parse_json(text).isNotNull() & ~text.rlike(r"(?<![\w\"])-?(?:NaN|Infinity)|\d[eE]\+?(?:[4-9]\d\d|3[1-9]\d|309|\d{4,})")
+    """True where a text is JSON without repeated keys and without numbers that are not finite; what strings hold is not looked at."""
+    bare = F.regexp_replace(text, STRING, '""')
+    return F.try_parse_json(text).isNotNull() & ~bare.rlike(r"NaN|Infinity|\d[eE]\+?(?:[4-9]\d\d|3[1-9]\d|309|\d{4,})")
 
 
 def append_lines(df: DataFrame, path: str) -> None:

@@ -137,12 +137,19 @@ def zipped(files):
 
 def test_archives(spark, tmp_path):
     good = zipped([("json/1.json", json.dumps(record(1))), ("other/x", "y")])
-    assert list(archives.safe_members(good)) == ["1.json"]
-    for bad in ([("json/../1.json", "{}")], [("json/a.json", "{}")], [("json/1.json", json.dumps(record(2)))], [("x", "y")], [("json/1.json", "{")]):
-        with pytest.raises(archives.UnsafeArchive):
-            archives.safe_members(zipped(bad))
-    with pytest.raises(archives.UnsafeArchive):
-        archives.safe_members(b"not a zip")
+    bad = {
+        "outside": [("json/../1.json", "{}")], "named": [("json/a.json", "{}")], "id": [("json/1.json", json.dumps(record(2)))], "none": [("x", "y")], "broken": [("json/1.json", "{")], "deep": [("json/x/1.json", json.dumps(record(1)))],
+        "latin": [("json/1.json", json.dumps(record(1), ensure_ascii=False).encode("gb18030"))], "few": [("json/1.json", json.dumps(record(1) | {"CPU型号": "无"}))], "old": [("json/1.json", json.dumps(record(1) | {"上市时间": "2019年"}))], "twice": [("json/1.json", json.dumps(record(1))), ("json\\1.json", json.dumps(record(1)))],
+    }
+    for n, files in bad.items():
+        (tmp_path / f"{n}.bad").write_bytes(zipped(files))
+    (tmp_path / "zip.bad").write_bytes(b"not a zip")
+    (tmp_path / "good.bad").write_bytes(good)
+    got = {x["path"].rsplit("/", 1)[1][:-4]: (x["member"], x["error"]) for x in archives.read_records(spark, f"{tmp_path}/*.bad").collect()}
+    assert got.pop("good") == ("1.json", None) and set(got) == {*bad, "zip"} and all(m is None and e for m, e in got.values())
+    assert got["outside"][1].endswith("leads outside") and got["none"][1] == "no records" and got["zip"][1] == "the archive cannot be read" and got["twice"][1] == "a name comes twice" and "fewer than 4" in got["few"][1] and "year" in got["old"][1]
+    small = archives.LIMITS | {"members": 1}
+    assert [x["error"] for x in archives.archive_faults(archives.members(spark, f"{tmp_path}/good.bad"), "json", small).collect()] == ["too many members"]
     assert archives.choose_member(["b.json", "x/latest.json", "a.json"]) == "x/latest.json" and archives.choose_member(["b.JSON", "a.json"]) == "a.json" and archives.choose_member(["a"]) is None
     for n, c in (("old.zip", good), ("new.zip", zipped([("json/a.json", "{}")]))):
         (tmp_path / n).write_bytes(c)
