@@ -187,7 +187,8 @@ def _links(index: DataFrame, words: int, max_bits: int) -> DataFrame:
     """(a0.., b0..): links that connect the fingerprints of ``index`` (key, sd_0..) with a key in common and within max_bits as their graph does."""
     names = [f"sd_{i}" for i in range(words)]
     schema = ", ".join(f"{s}{i} long" for s in "ab" for i in range(words)) + ", key long"
-    index = index.select("key", *names).repartition("key").sortWithinPartitions("key")
+    # In order, so that a group's members are linked to the same few of them whichever buckets they meet in.
+    index = index.select("key", *names).repartition("key").sortWithinPartitions("key", *names)
     found = materialise(index.mapInArrow(_bucket_links(1, words, max_bits, BUCKET), schema), "simhash-links")
     sides = [f"{s}{i}" for s in "ab" for i in range(words)]
     links = found.where("key IS NULL").select(*sides).distinct()
@@ -197,7 +198,7 @@ def _links(index: DataFrame, words: int, max_bits: int) -> DataFrame:
     sizes = hot.groupBy("key").agg(F.ceil(F.count(F.lit(1)) * 2 / BUCKET).alias("blocks"))
     dealt = hot.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64(*names), F.col("blocks")))
     pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *names)
-    more = pairs.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_bucket_links(3, words, max_bits, None), schema)
+    more = pairs.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", *names).mapInArrow(_bucket_links(3, words, max_bits, None), schema)
     return links.unionAll(more.select(*sides)).distinct()
 
 
@@ -313,6 +314,7 @@ def similar(docs: DataFrame, width: int = 5, least: float = 0.8, text: str = "te
     pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select("part", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep", "shingles")
 
     def verify(got: pa.Table) -> pa.Table:
+        got = got.sort_by("rep")
         rep = got.column("rep").to_pylist()
         links = _alike([np.frombuffer(x, dtype=np.uint64) for x in got.column("shingles").to_pylist()], least)
         return pa.table({"a": pa.array([rep[i] for i, _ in links], pa.int64()), "b": pa.array([rep[j] for _, j in links], pa.int64())})

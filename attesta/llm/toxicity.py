@@ -19,6 +19,7 @@ tables give empty tables; a document with several labels is toxic if one is; oth
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -47,8 +48,8 @@ QUOTES = "\"“”„«»‹›‘`"
 REPORTING = frozenset("said says wrote called quote quoted word term insult sagte schrieb nannte wort dit écrit mot terme dijo escribió llamó palabra".split())
 LOOKS_LIKE = str.maketrans("013457@$!", "oieastasi")
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "…–—¡¿" + QUOTES
-#: Distinct words that a worker remembers; changes no result.
-REMEMBERED = 300_000
+#: Distinct words that a worker remembers, and terms that it counts before it passes them on; neither changes a result.
+REMEMBERED, COUNTED = 300_000, 400_000
 
 
 class Lexicon:
@@ -183,8 +184,16 @@ def crc_of(key: Column) -> Column:
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, toxic texts, clean texts), each term once, or a few times where a task has very many."""
+    counts: dict[str, list[int]] = {}
+
+    def flush():
+        for k in range(0, len(counts), 50_000):
+            part = dict(itertools.islice(counts.items(), k, k + 50_000))
+            yield pa.RecordBatch.from_arrays([pa.array(list(part), pa.string()), *(pa.array([v[i] for v in part.values()], pa.int64()) for i in (0, 1))], ["term", "pos", "neg"])
+        counts.clear()
+
     for batch in batches:
-        counts: dict[str, list[int]] = {}
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             found = set()
             for t in set(words_of(text)):
@@ -194,7 +203,9 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     found.update(w[:k] for k in range(STEMS[0], STEMS[1] + 1) if len(w) >= k)
             for t in found:
                 counts.setdefault(t, [0, 0])[0 if toxic else 1] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), *(pa.array([v[k] for v in counts.values()], pa.int64()) for k in (0, 1))], ["term", "pos", "neg"])
+        if len(counts) > COUNTED:
+            yield from flush()
+    yield from flush()
 
 
 def _copy_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
