@@ -23,8 +23,8 @@ from pyspark.sql import Window as W
 
 from .common import bounded, hex64, materialise, table
 
-#: Code points that have compatibility decompositions, except for Hangul syllables, which follow a rule.
-RANGES = ((0x00A0, 0x33FF), (0xA640, 0xABFF), (0xF900, 0xFFFF), (0x11000, 0x11FFF), (0x1D100, 0x1D7FF), (0x1EE00, 0x1F2FF), (0x2F800, 0x2FA1F))
+#: Code points without a decomposition that a table may have between two with one.
+GAP = 600
 HANGUL, L0, V0, T0, V_COUNT, T_COUNT = 0xAC00, 0x1100, 0x1161, 0x11A7, 21, 28
 OTHER_SPACE = r"\t-\r\x1c-\x1f\x85   "
 
@@ -36,7 +36,15 @@ def _strings(values: list[str]) -> Column:
 
 @lru_cache(1)
 def _decompositions() -> tuple[tuple[int, int, list[str]], ...]:
-    return tuple((lo, hi, [unicodedata.normalize("NFKD", chr(c)) for c in range(lo, hi + 1)]) for lo, hi in RANGES)
+    """Tables (first, last, values) that cover every code point with a decomposition, but for Hangul syllables, which follow a rule."""
+    runs: list[list[int]] = []
+    for c in range(0x80, 0x110000):
+        if not (0xD800 <= c < 0xE000 or HANGUL <= c < HANGUL + 11172) and unicodedata.normalize("NFKD", chr(c)) != chr(c):
+            if runs and c - runs[-1][1] <= GAP:
+                runs[-1][1] = c
+            else:
+                runs.append([c, c])
+    return tuple((lo, hi, [unicodedata.normalize("NFKD", chr(c)) for c in range(lo, hi + 1)]) for lo, hi in runs)
 
 
 @lru_cache(1)
@@ -122,7 +130,7 @@ def suffixed(h1: Column, h2: Column, ordinal: Column) -> Column:
 
 
 #: Bits of the id that each level of the search for the next id takes off; together 64.
-LEVELS = (10, 10, 12, 12, 20)
+LEVELS = (10, 10, 12, 12, 10, 10)
 
 
 def next_ids(ids: DataFrame) -> DataFrame:

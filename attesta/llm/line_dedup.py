@@ -9,7 +9,7 @@ nor a line on each of them meets in one task. A host has at most (mean lines per
 
 Defined results: a null text stays null; a null host is a host of its own; a repeated row is another page; a line
 repeated on a page counts once; a text all of whose lines go becomes empty; an empty table gives an empty table;
-other columns pass through untouched.
+other columns pass through untouched, but for columns named ld_lines and ld_dropped, which the counts replace.
 """
 
 from __future__ import annotations
@@ -42,17 +42,22 @@ def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", max_r
 def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text", max_ratio: float = 0.05, min_pages: int = 5) -> DataFrame:
     """``docs`` with the lines dropped from ``text``, and the columns ld_lines and ld_dropped."""
     found = materialise(boilerplate(docs, host, text, max_ratio, min_pages), "boilerplate-lines")
-    sets = found.groupBy("host").agg(F.collect_set("key").alias("ld_keys")).withColumnRenamed("host", "ld_host")
+    sets = found.groupBy("host").agg(F.collect_set("key").alias("ld_keys")).select(F.col("host").alias("ld_host"), "ld_keys", F.transform("ld_keys", lambda k: k["h1"]).alias("ld_h1"))
     if found.count() <= BROADCAST_ROWS:
         sets = F.broadcast(sets)
-    host_of = F.coalesce(F.col(host).cast("string"), F.lit("\x00"))
-    raw = F.split(F.col(text), "\n", -1)
-    keep = F.when(F.col("ld_keys").isNull(), raw).otherwise(F.filter(raw, lambda x: ~F.array_contains(F.col("ld_keys"), _key(F.btrim(x, F.lit(BLANKS))))))
-    out = docs.join(sets, host_of == F.col("ld_host"), "left").withColumn("ld_kept", keep)
-    new = F.when(F.col("ld_keys").isNull(), F.col(text)).otherwise(F.array_join("ld_kept", "\n"))
-    others = [F.col(c) if c != text else new.alias(text) for c in docs.columns]
-    lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(raw))
-    kept = F.when(F.col(text).isNull(), 0).otherwise(F.size("ld_kept"))
+    names = {c: f"in_{c}" for c in docs.columns}
+    t = F.col(f"in_{text}")
+    key = lambda x: _key(F.btrim(x, F.lit(BLANKS)))
+    # The host's lines that the page has are found by a set of numbers; only those are compared whole.
+    own = F.array_intersect(F.transform(F.split(t, "\n", -1), lambda x: F.xxhash64(F.btrim(x, F.lit(BLANKS)))), "ld_h1")
+    out = docs.withColumnsRenamed(names).join(sets, F.coalesce(F.col(f"in_{host}").cast("string"), F.lit("\x00")) == F.col("ld_host"), "left").withColumn("ld_own", own)
+    raw = F.split(t, "\n", -1)
+    few = F.filter(raw, lambda x: ~(F.array_contains("ld_own", F.xxhash64(F.btrim(x, F.lit(BLANKS)))) & F.array_contains("ld_keys", key(x))))
+    out = out.withColumn("ld_kept", F.when(F.col("ld_keys").isNull() | (F.size("ld_own") == 0), raw).otherwise(few))
+    new = F.when(F.col("ld_keys").isNull(), t).otherwise(F.array_join("ld_kept", "\n"))
+    others = [F.col(v).alias(c) if c != text else new.alias(text) for c, v in names.items() if c not in ("ld_lines", "ld_dropped")]
+    lines = F.when(t.isNull(), 0).otherwise(F.size(raw))
+    kept = F.when(t.isNull(), 0).otherwise(F.size("ld_kept"))
     return out.select(*others, lines.cast("long").alias("ld_lines"), (lines - kept).cast("long").alias("ld_dropped"))
 
 
