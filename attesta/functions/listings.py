@@ -5,6 +5,9 @@ All patterns are read with Unicode classes and without regard to case unless a f
 
 from __future__ import annotations
 
+from urllib.parse import urljoin, urlsplit
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -113,6 +116,11 @@ def source_count(text: Column) -> Column:
     return F.when(t.contains("+"), F.size(F.split(t, r"\+"))).when(t.contains("仅"), 1).when(t.contains(","), F.size(F.split(t, ","))).otherwise(1)
 
 
+def single_source(count: Column) -> Column:
+    """Whether a row has one source; none counts as one."""
+    return F.coalesce(F.nullif(count, F.lit(0)), F.lit(1)) < 2
+
+
 def brand(value: Column, title: Column) -> Column:
     """The canonical brand of the first alias that the brand (or, where there is none, the title) contains; else the brand as given."""
     return let(F.trim(compatible(text_of(value))), lambda given: contains_first(F.coalesce(empty_to_null(given), text_of(title)), list(BRANDS.items()), given))
@@ -284,11 +292,15 @@ def from_spec(specs: Column, *names: str) -> Column:
 
 def absolute_url(base: str, href: Column) -> Column:
     """A link as an absolute address: with a scheme as it is, ``//host`` over https, ``/path`` at the base's host, else beside the base."""
-    from urllib.parse import urlsplit
-
     at = urlsplit(base)
     root, folder = f"{at.scheme}://{at.netloc}", at.path.rsplit("/", 1)[0]
-    return F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href).when(href.startswith("//"), F.concat(F.lit("https:"), href)).when(href.startswith("/"), F.concat(F.lit(root), href)).when(href == "", F.lit(base)).otherwise(F.concat(F.lit(f"{root}{folder}/"), href))
+
+    @F.pandas_udf("string")
+    def joined(links: pd.Series) -> pd.Series:
+        return links.map(lambda x: None if x is None else urljoin(base, x))
+
+    hard = href.rlike(r"(?:^|/)\.{1,2}(?:/|$)|^[?#]")  # dots and queries are resolved by rules of their own
+    return F.when(hard, joined(F.when(hard, href))).when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href).when(href.startswith("//"), F.concat(F.lit("https:"), href)).when(href.startswith("/"), F.concat(F.lit(root), href)).when(href == "", F.lit(base)).otherwise(F.concat(F.lit(f"{root}{folder}/"), href))
 
 
 def portable_form(category: Column, title: Column, model: Column, form: Column, evidence: Column) -> Column:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import re
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -170,6 +174,99 @@ def subscription_links(body: Column) -> Column:
     return F.filter(F.transform(F.split(text, r"\r?\n"), lambda x: F.trim(x)), lambda x: x.contains("://"))
 
 
+def _scalar(text: str):
+    t = text.strip()
+    if len(t) > 1 and t[0] == t[-1] and t[0] in "\"'":
+        return t[1:-1].replace("''", "'") if t[0] == "'" else json.loads(t)
+    if t in ("true", "false"):
+        return t == "true"
+    return None if t in ("", "~", "null") else int(t) if re.fullmatch(r"-?\d+", t) else float(t) if re.fullmatch(r"-?\d+\.\d+", t) else t
+
+
+def _flow(text: str):
+    """A value in flow style: maps and lists in brackets, or a scalar."""
+    t = text.strip()
+    if not t or t[0] not in "{[":
+        return _scalar(t)
+    parts, depth, quote, begun = [], 0, "", 0
+    for i, c in enumerate(t[1:-1]):
+        if quote:
+            quote = "" if c == quote else quote
+        elif c in "\"'":
+            quote = c
+        elif c in "{[":
+            depth += 1
+        elif c in "}]":
+            depth -= 1
+        elif c == "," and not depth:
+            parts.append(t[1:-1][begun:i])
+            begun = i + 1
+    parts = [p for p in (*parts, t[1:-1][begun:]) if p.strip()]
+    if t[0] == "[":
+        return [_flow(p) for p in parts]
+    return {str(_scalar(k)): _flow(v) for k, _, v in (p.partition(":") for p in parts)}
+
+
+def _block(lines: list[tuple[int, str]], at: int, indent: int):
+    """The block value whose lines begin at ``at`` with this indentation, and the line behind it: a list of items, or a map."""
+    as_list = lines[at][1].startswith("- ") or lines[at][1] == "-"
+    out = [] if as_list else {}
+    while at < len(lines) and lines[at][0] == indent and (lines[at][1].startswith("-") == as_list):
+        text = lines[at][1]
+        if as_list:
+            inner = text[1:].lstrip()
+            if inner[:1] in ("{", "[") or not re.match(r"[^\s:\"']+:(?:\s|$)", inner):
+                out.append(_flow(inner))
+                at += 1
+            else:  # a map that begins beside its dash
+                deep = indent + len(text) - len(inner)
+                value, at = _block([*lines[:at], (deep, inner), *lines[at + 1 :]], at, deep)
+                out.append(value)
+            continue
+        key, _, rest = text.partition(":")
+        at += 1
+        if rest.strip():
+            out[str(_scalar(key))] = _flow(rest)
+        elif at < len(lines) and (lines[at][0] > indent or lines[at][0] == indent and lines[at][1].startswith("-")):
+            out[str(_scalar(key))], at = _block(lines, at, lines[at][0])
+        else:
+            out[str(_scalar(key))] = None
+    return out, at
+
+
+def yaml_nodes(body: Column) -> Column:
+    """The nodes of a YAML subscription's ``proxies`` list as JSON objects: block and flow style, as such lists are written; null where there is none."""
+
+    def read(text: str | None) -> list[str] | None:
+        lines = [(len(x) - len(x.lstrip(" ")), x.strip()) for x in (text or "").splitlines() if x.strip() and not x.lstrip().startswith("#")]
+        start = next((i for i, (n, x) in enumerate(lines) if not n and x.startswith("proxies:")), None)
+        if start is None:
+            return None
+        try:
+            if lines[start][1] != "proxies:":
+                found = _flow(lines[start][1].partition(":")[2])
+            else:
+                found = _block(lines, start + 1, lines[start + 1][0])[0] if start + 1 < len(lines) else []
+        except (IndexError, ValueError):
+            return None
+        return [json.dumps(p, ensure_ascii=False) for p in found if isinstance(p, dict)] if isinstance(found, list) else None
+
+    @F.pandas_udf("array<string>")
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(read)
+
+    return run(body)
+
+
+def yaml_node(node: Column) -> Column:
+    """A node of a YAML subscription as the same struct that links give; null without a name, server or port."""
+    get = lambda n: F.get_json_object(node, f"$.{n}")
+    options = F.map_filter(F.from_json(node, "map<string,string>"), lambda k, v: ~k.isin("name", "type", "server", "port") & v.isNotNull())
+    port = get("port").try_cast("int")
+    made = F.struct(get("name").alias("name"), get("type").alias("type"), get("server").alias("server"), port.alias("port"), options.alias("opts"))
+    return F.when(empty_to_null(get("name")).isNotNull() & empty_to_null(get("server")).isNotNull() & port.isNotNull(), made)
+
+
 def secret_urls(raw: Column) -> Column:
     """The different http and https addresses in a secret: a JSON list, text or object of them, or a list with commas, semicolons or white space."""
     as_list = F.when(raw.rlike(r"^\s*\["), F.from_json(raw, "array<string>")).when(raw.rlike(r"^\s*\{"), F.map_values(F.from_json(raw, "map<string,string>"))).when(raw.rlike('^\\s*"'), F.array(F.get_json_object(F.concat(F.lit('{"x":'), raw, F.lit("}")), "$.x")))

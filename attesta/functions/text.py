@@ -154,6 +154,49 @@ def quality(c: Column, kind: str) -> Column:
     return F.when(c.isNull(), 0).otherwise(by)
 
 
+def clean_text(text: Column) -> Column:
+    """NFKC, then white space collapsed and trimmed; nothing is the empty text."""
+    return clean(F.coalesce(nfkc(text), F.lit("")))
+
+
+def redacted_url(url: Column) -> Column:
+    """An address without its path, which may hold a secret."""
+    host = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]+)", 1)
+    return F.when(F.coalesce(host, F.lit("")) == "", "<invalid-url>").otherwise(F.concat(host, F.lit("/***")))
+
+
+def redacted_log(text: Column) -> Column:
+    """A log without names and passwords in addresses and without long tokens."""
+    return F.regexp_replace(F.regexp_replace(text, r"(://)[^/@\s]+@", "$1***@"), r"[A-Za-z0-9+/=_\-]{24,}", "***")
+
+
+def with_defaults(text: Column, defaults: dict[str, str | float], broken: dict[str, str | float]) -> Column:
+    """The fields of a JSON object as a struct: a default for one that is missing or of another kind; all ``broken`` where the text is no JSON."""
+    v = F.try_parse_json(text)
+    kind = lambda d: "double" if isinstance(d, float) else "string"
+    get = {n: F.when(v.isNull(), F.lit(broken.get(n, d))).otherwise(F.coalesce(F.try_variant_get(v, f"$.{n}", "string").try_cast(kind(d)), F.lit(d))) for n, d in defaults.items()}
+    return F.struct(*(c.alias(n) for n, c in get.items()))
+
+
+def without_nulls(text: Column) -> Column:
+    """A JSON text without the members of objects that are null, at any depth; elements of lists stay."""
+    import json
+
+    def bare(v):
+        return {k: bare(x) for k, x in v.items() if x is not None} if isinstance(v, dict) else [bare(x) for x in v] if isinstance(v, list) else v
+
+    @F.pandas_udf("string")
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: None if t is None else json.dumps(bare(json.loads(t)), ensure_ascii=False))
+
+    return run(text)
+
+
+def request_manifest(prompt: Column, version: str = "v1") -> Column:
+    """struct(version, request_id, prompt_sha256) that binds an answer to its prompt."""
+    return let(F.sha2(prompt, 256), lambda h: F.struct(F.lit(version).alias("version"), F.substring(h, 1, 16).alias("request_id"), h.alias("prompt_sha256")))
+
+
 def redacted(text: Column) -> Column:
     """User names and passwords in URLs become stars."""
     return F.regexp_replace(text, r"(\w+://)[^/@\s]+@", "$1***@")

@@ -101,3 +101,12 @@ def load_pool(spark: SparkSession, folder: str, schemas: dict[str, str]) -> dict
         there = where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
         out[name] = spark.read.schema(schema).json(f"{folder}/{name}") if there else spark.createDataFrame([], schema)
     return out
+
+
+def subscribed(pool: DataFrame, nodes: DataFrame, name: str, order: str, keywords: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """The nodes of a subscription that the pool takes, and (added, excluded, known): how many it took, left out by keyword, and had already or twice."""
+    new = insert_new(pool, nodes, name, order, list(keywords))
+    out = excluded(F.col(name), list(keywords)) if keywords else F.lit(False)
+    added = new.agg(F.count(F.lit(1)).alias("added"))
+    counts = nodes.agg(F.count_if(out).alias("excluded"), F.count(F.lit(1)).alias("all"))
+    return new, counts.join(F.broadcast(added), F.lit(True)).select("added", "excluded", (F.col("all") - F.col("excluded") - F.col("added")).alias("known"))

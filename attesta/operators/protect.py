@@ -35,6 +35,11 @@ def require_rows(df: DataFrame, least: int, name: str) -> DataFrame:
     return df
 
 
+def guarded_write(df: DataFrame, path: str, least: int, name: str) -> None:
+    """Writes JSON lines, unless there are too few rows: then what is there stays."""
+    require_rows(df, least, name).write.mode("overwrite").json(path)
+
+
 def audit(df: DataFrame, checks: list[tuple[str, Column]], key: str) -> DataFrame:
     """(check_ord, error, rows): the row checks that fail, with how many rows do, and repeated keys. One pass and one aggregation of keys."""
     counts = df.agg(*(F.count_if(~F.coalesce(ok, F.lit(False))).alias(f"c{i}") for i, (_, ok) in enumerate(checks)))

@@ -63,3 +63,27 @@ def newest(df: DataFrame, keys: list[str], valid: Column, created: str, tie: str
 def merge_cursors(df: DataFrame, key: str, order: str, items: str, page: str, done: str) -> DataFrame:
     """Cursors of one key as one: different items in order, the furthest page, complete if all are."""
     return df.groupBy(key).agg(F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(order, items))), lambda x: x[items]))).alias("items"), F.max(page).alias("page"), F.bool_and(done).alias("complete"))
+
+
+def most_common(df: DataFrame, by: Column, name: str, order: str, n: int) -> DataFrame:
+    """The ``n`` most frequent values with their counts; of equals the one that came first."""
+    return df.groupBy(by.alias(name)).agg(F.count(F.lit(1)).alias("rows"), F.min(order).alias("_first")).orderBy(F.desc("rows"), "_first").limit(n).drop("_first")
+
+
+def merge_bundles(states: DataFrame, key: str) -> DataFrame:
+    """Conflicting cursors of one key as one. ``states``: key, side (0 theirs, 1 ours, 2 current), items, skipped (a map), brand_index, page, plan, complete, total.
+
+    Items are united, the current side's first; what was skipped is that of the last side that says so. The place is never made up of two: the earliest of those with the same plan of
+    brands, or the beginning where plans differ. It is complete if every side is. There are three sides at most, so a key's states are few.
+    """
+    sides = F.array_sort(F.collect_list(F.struct("side", "items", F.map_entries("skipped").alias("skipped"), "brand_index", "page", "plan", "complete", "total")))
+    x = states.groupBy(key).agg(sides.alias("s")).withColumn("placed", F.filter("s", lambda v: v["brand_index"].isNotNull() & v["page"].isNotNull()))
+    items = F.array_distinct(F.flatten(F.reverse(F.transform("s", lambda v: F.coalesce(v["items"], F.array().cast("array<string>"))))))
+    pairs = F.flatten(F.transform("s", lambda v: F.coalesce(v["skipped"], F.expr("cast(array() as array<struct<key:string,value:string>>)"))))
+    skipped = F.aggregate(pairs, F.create_map().cast("map<string,string>"), lambda m, e: F.map_concat(F.map_filter(m, lambda k, _: k != e["key"]), F.map_from_entries(F.array(e))))
+    plans = F.transform("placed", lambda v: F.coalesce(v["plan"], F.array().cast("array<string>")))
+    agree = (F.size("placed") <= 1) | ((F.size(F.array_distinct(plans)) == 1) & (F.size(plans[0]) > 0))
+    first = F.array_min(F.transform("placed", lambda v: F.struct(v["brand_index"], v["page"])))
+    place = F.when(agree, first).otherwise(F.struct(F.lit(0).alias("brand_index"), F.lit(1).alias("page")))
+    out = x.select(key, items.alias("items"), skipped.alias("skipped"), place.alias("p"), F.forall("s", lambda v: F.coalesce(v["complete"], F.lit(False))).alias("complete"), F.coalesce(F.array_max(F.transform("s", lambda v: v["total"])), F.size(items)).alias("total"))
+    return out.select(key, "items", "skipped", F.col("p.brand_index").alias("brand_index"), F.col("p.page").alias("page"), "complete", "total")

@@ -38,6 +38,11 @@ def walked(path: Column, skipped: list[str], kinds: list[str]) -> Column:
     return ~F.arrays_overlap(parts, F.array(*map(F.lit, skipped))) & path.rlike(rf"\.(?:{'|'.join(kinds)})$")
 
 
+def skipped(path: Column, patterns: list[str]) -> Column:
+    """Whether any pattern is found in a path, with forward slashes and in any case."""
+    return F.replace(path, F.lit("\\"), F.lit("/")).rlike("(?i)" + "|".join(f"(?:{p})" for p in patterns))
+
+
 def blocks(lines: DataFrame, path: str, order: str, line: str, marker: str) -> DataFrame:
     """(path, start, block): the list item (``- name:`` or ``- uses:``, by indentation) around each line that matches ``marker``.
 

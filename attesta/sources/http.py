@@ -7,6 +7,7 @@ error, so that one of them does not cost a scan the rest; addresses are dealt ov
 
 from __future__ import annotations
 
+import itertools
 import json
 import random
 import time
@@ -84,10 +85,21 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(HttpPages)
 
 
-def paged(first: str, get=fetch, size: int = 100, most: int = 1000) -> list[dict]:
+def subscription(url: str, get=fetch, hops: int = 3) -> str:
+    """The body of a subscription; one that is an address leads on, ``hops`` times at most, after which it is empty, as one that cannot be fetched is."""
+    for _ in range(hops):
+        _, body, _, error = get(url)
+        text = "" if error else (body or "").strip()
+        if not text.startswith(("http://", "https://")):
+            return text
+        url = text.split()[0]
+    return ""
+
+
+def paged(first: str, get=fetch, size: int = 100) -> list[dict]:
     """All entries of a listing whose address takes ``{page}``: pages are read until one has fewer than ``size`` entries."""
     out: list[dict] = []
-    for page in range(1, most + 1):
+    for page in itertools.count(1):
         status, body, _, error = get(first.format(page=page))
         if error:
             raise OSError(f"page {page}: {error}")
@@ -96,4 +108,3 @@ def paged(first: str, get=fetch, size: int = 100, most: int = 1000) -> list[dict
         out += batch
         if len(batch) < size:
             return out
-    raise OSError(f"more than {most} pages")

@@ -107,3 +107,19 @@ def write_payload(df: DataFrame, path: str) -> None:
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+
+
+def read_logs(spark: SparkSession, paths: list[str]) -> str:
+    """The texts of the logs that are there, joined in the order given; others are passed over. A handful of files of one run."""
+    found = []
+    for p in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(p)
+        fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(where) and fs.getFileStatus(where).isFile():
+            found += [r["text"] for r in read_log(spark, p).collect()]
+    return "\n".join(found)
+
+
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """(path, sha256) of files."""
+    return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"))

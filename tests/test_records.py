@@ -180,3 +180,90 @@ def test_payloads_fail_soft_or_strictly(spark, tmp_path):
 def test_capacities_and_compatible_forms(spark):
     assert [one(spark, x, T.capacity_gb) for x in ("1.5TB", "512GB + 1 tb", "１６ＧＢ", "16.9GB", "none", None)] == [1536, 1024, 16, 16, None, None]
     assert one(spark, "ＡＢ①㎏ﬁ（½）　x", T.compatible) == "AB1kgfi(1⁄2) x" and one(spark, "plain", T.compatible) == "plain" and one(spark, None, T.compatible) is None
+
+
+def test_texts_are_redacted_completed_and_bound(spark):
+    assert one(spark, "https://u:p@h.example/a?token=1", T.redacted_url) == "https://u:p@h.example/***" and one(spark, "x", T.redacted_url) == "<invalid-url>"
+    assert one(spark, "ss://" + "A" * 30 + " http://me:pw@h/x", T.redacted_log) == "ss:*** http://***@h/x"
+    full = lambda t: tuple(one(spark, t, lambda c: T.with_defaults(c, {"patch": "", "confidence": 0.0}, {"patch": "?"})))
+    assert [full(t) for t in ('{"patch": "d", "confidence": "0.5"}', '{"confidence": "x"}', "{")] == [("d", 0.5), ("", 0.0), ("?", 0.0)]
+    assert json.loads(one(spark, '{"a": null, "b": {"c": null, "d": [1, null, {"e": null}]}}', T.without_nulls)) == {"b": {"d": [1, None, {}]}}
+    m = one(spark, "prompt", T.request_manifest)
+    assert len(m["prompt_sha256"]) == 64 and m["request_id"] == m["prompt_sha256"][:16] and one(spark, " Ａ \n b", T.clean_text) == "A b"
+    from urllib.parse import urljoin
+
+    from attesta.functions import listings as L
+
+    base = "https://h.example/a/b/c.html?q=1"
+    for link in ("../x", "./y", "?p=2", "#top", "z/../w", "//o/x", "/r", "http://k/", "v.html", "", "../../../u"):
+        assert one(spark, link, lambda c: L.absolute_url(base, c)) == urljoin(base, link), link
+    assert [one(spark, n, L.single_source, "int") for n in (0, None, 1, 2)] == [True, True, True, False]
+
+
+def test_yaml_subscriptions(spark):
+    from attesta.functions import nodes
+    from attesta.sources import http
+
+    text = """
+port: 7890
+proxies:
+  - {name: "a, b", type: ss, server: h1, port: 443, opts: {x: 1, y: [p, q]}, password: 'it''s'}
+  - name: c
+    type: vmess
+    server: h2
+    port: 80
+    ws-opts:
+      path: /x
+      headers:
+        Host: h3
+    alpn:
+      - h2
+      - h3
+    tls: true
+  # a comment
+  - name: broken
+    type: ss
+rules:
+  - MATCH,DIRECT
+"""
+    got = [json.loads(x) for x in one(spark, text, nodes.yaml_nodes)]
+    assert got[0] == {"name": "a, b", "type": "ss", "server": "h1", "port": 443, "opts": {"x": 1, "y": ["p", "q"]}, "password": "it's"}
+    assert got[1] == {"name": "c", "type": "vmess", "server": "h2", "port": 80, "ws-opts": {"path": "/x", "headers": {"Host": "h3"}}, "alpn": ["h2", "h3"], "tls": True}
+    parsed = [one(spark, json.dumps(x), nodes.yaml_node) for x in got]
+    assert (parsed[1]["name"], parsed[1]["port"], parsed[1]["opts"]["tls"]) == ("c", 80, "true") and parsed[2] is None
+    assert one(spark, "vmess://x", nodes.yaml_nodes) is None and one(spark, "proxies:", nodes.yaml_nodes) == [] and one(spark, None, nodes.yaml_nodes) is None
+    chain = {"u1": "http://u2", "http://u2": " http://u3\n", "http://u3": "ss://x", "loop": "http://loop", "http://loop": "http://loop"}
+    get = lambda u: (200, chain[u], u, None) if u in chain else (None, None, u, "x")
+    assert http.subscription("u1", get) == "ss://x" and http.subscription("loop", get) == "" and http.subscription("gone", get) == ""
+    listed = {1: [1] * 3, 2: [1] * 3, 3: [1]}
+    assert len(http.paged("p{page}", lambda u: (200, json.dumps(listed[int(u[1:])]), u, None), 3)) == 7
+    pool_, new = spark.createDataFrame([("a",)], "name string"), spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), ("ad x", 4)], "name string, o int")
+    taken, counts = pool.subscribed(pool_, new, "name", "o", ["AD"])
+    assert [r["name"] for r in taken.collect()] == ["b"] and tuple(counts.first()) == (1, 1, 2)
+
+
+def test_cursors_and_upserts(spark, tmp_path):
+    from attesta.operators import protect, reports, validate
+    from attesta.streaming import incremental
+
+    schema = "k string, side int, items array<string>, skipped map<string,string>, brand_index int, page int, plan array<string>, complete boolean, total int"
+    rows = [("a", 0, ["x", "y"], {"s": "old", "t": "1"}, 2, 1, ["p", "q"], True, 5), ("a", 1, ["z"], None, 1, 9, ["p", "q"], True, None), ("a", 2, ["y"], {"s": "new"}, None, None, None, True, 3), ("b", 0, None, None, 1, 1, ["p"], True, None), ("b", 2, ["v"], None, 3, 3, ["q"], None, None)]
+    out = {r["k"]: r for r in reports.merge_bundles(spark.createDataFrame(rows, schema), "k").collect()}
+    assert (out["a"]["items"], out["a"]["skipped"], out["a"]["brand_index"], out["a"]["page"], out["a"]["complete"], out["a"]["total"]) == (["y", "z", "x"], {"s": "new", "t": "1"}, 1, 9, True, 5)
+    assert (out["b"]["brand_index"], out["b"]["page"], out["b"]["complete"], out["b"]["total"]) == (0, 1, False, 1)
+    top = reports.most_common(spark.createDataFrame([("b", 0), ("a", 1), ("a", 2), ("b", 3), ("c", 4)], "v string, o int"), F.col("v"), "v", "o", 2)
+    assert [tuple(r) for r in top.collect()] == [("b", 2), ("a", 2)]
+    df = spark.createDataFrame([("k1", 1, "x"), ("k1", 2, "y"), ("k2", 3, "z")], "k string, o int, v string")
+    sink = incremental.upsert_sink(f"file://{tmp_path}/state", "k", "o")
+    sink(df, 0)
+    sink(df.where("o = 2").withColumn("v", F.lit("new")), 1)
+    sink(df.where("o = 2").withColumn("v", F.lit("new")), 1)
+    assert sorted((r["k"], r["v"]) for r in incremental.read_newest(spark, f"file://{tmp_path}/state").collect()) == [("k1", "new"), ("k2", "z")] and incremental.read_newest(spark, f"file://{tmp_path}/none") is None
+    with pytest.raises(PublishGuardError):
+        protect.guarded_write(df, f"file://{tmp_path}/few", 4, "the scan")
+    protect.guarded_write(df, f"file://{tmp_path}/few", 3, "the scan")
+    assert spark.read.json(f"file://{tmp_path}/few").count() == 3
+    (tmp_path / "l1").write_text("one")
+    (tmp_path / "l2").write_text("two")
+    assert payload.read_logs(spark, [f"file://{tmp_path}/{n}" for n in ("l2", "gone", "l1")]) == "two\none" and len(payload.file_digests(spark, f"file://{tmp_path}/l1").first()["sha256"]) == 64
+    assert one(spark, "A\\.GIT\\x.py", lambda c: validate.skipped(c, [r"\.git/"])) is True and one(spark, "a/b.py", lambda c: validate.skipped(c, [r"\.git/"])) is False
