@@ -41,6 +41,8 @@ BUCKET = 1024
 #: Keys of a fingerprint of ``similar``, bits of each, words that they are drawn from, and words and differing bits by which candidates are told.
 #: At 0.8 a bit differs with probability 0.151: 192 bits in 29 with a standard deviation of 5. Unrelated texts differ in 96.
 SAMPLES, SAMPLED, DRAWN, COMPARED, CANDIDATE_BITS = 256, 20, 6, 3, 52
+#: Samples of the first round; the others say only what those have not connected.
+FIRST = 16
 #: Sets of fewer shingles are candidates by their smallest hashes as well: their bits differ more often than the formula says.
 SMALL = 32
 #: Mixed into a shingle's hash for the second and later words of a fingerprint.
@@ -110,13 +112,13 @@ def _keys(words: int) -> F.Column:
     return F.expr(f"array({', '.join(out)})")
 
 
-def _grouped(words: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Members that are linked to another one in their component: (member, first member of the component)."""
+def _grouped(words: np.ndarray, max_bits: int, part: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Members that are linked to another one in their component: (member, first member of the component). Members of one part are linked already."""
     n = len(words)
     near = np.zeros((n, n), dtype=np.uint16)
     for w in range(words.shape[1]):
         near += np.bitwise_count(words[:, w, None] ^ words[None, :, w])
-    near = near <= max_bits
+    near = near <= max_bits if part is None else (near <= max_bits) | (part[:, None] == part[None, :])
     label = np.arange(n)
     while True:
         new = np.where(near, label[None, :], n).min(axis=1)
@@ -129,7 +131,12 @@ def _grouped(words: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _bucket_links(n_keys: int, n_words: int, max_bits: int, most: int | None):
-    """Over rows (keys..., words...) sorted by keys: links (a0.., b0.., null) and, of buckets over ``most``, the rows themselves (words, null, keys)."""
+    """Over rows (keys..., words...) sorted by keys: links (a0.., b0.., null) and, of buckets over ``most``, the rows themselves (words, null, keys).
+
+    Four keys are a bucket's, those of two blocks, and that of the row's own: where the blocks differ, what is connected within each is so by the task of the block and
+    itself, and one link of each of their components says the rest.
+    """
+    bucket = min(n_keys, 3)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [*(f"a{i}" for i in range(n_words)), *(f"b{i}" for i in range(n_words)), "key"]
@@ -138,7 +145,7 @@ def _bucket_links(n_keys: int, n_words: int, max_bits: int, most: int | None):
         def emit(keys, words):
             """Whole buckets."""
             nonlocal hot
-            edge = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)])) if len(keys) else np.zeros(0, int)
+            edge = np.flatnonzero(np.concatenate([[True], (keys[1:, :bucket] != keys[:-1, :bucket]).any(axis=1)])) if len(keys) else np.zeros(0, int)
             size = np.diff(np.concatenate([edge, [len(keys)]]))
             a, b, later = [], [], []
             goes_on = (keys[edge] == hot).all(axis=1) if hot is not None else np.zeros(len(edge), dtype=bool)  # what is left of a bucket passed on, of any size
@@ -154,6 +161,12 @@ def _bucket_links(n_keys: int, n_words: int, max_bits: int, most: int | None):
                     later.append(np.arange(e, e + s))
                 else:
                     i, j = _grouped(words[e : e + s], max_bits)
+                    if n_keys > bucket and keys[e, 1] != keys[e, 2]:
+                        linked = np.zeros(s, dtype=bool)
+                        for part in (keys[e : e + s, 3] == keys[e, 1], keys[e : e + s, 3] == keys[e, 2]):
+                            at = np.flatnonzero(part)
+                            linked[at[_grouped(words[e + at], max_bits)[0]]] = True
+                        i, j = i[~linked[i]], j[~linked[i]]
                     a.append(words[e + i])
                     b.append(words[e + j])
             a, b, later = np.concatenate(a), np.concatenate(b), np.concatenate(later) if later else np.zeros(0, int)
@@ -167,7 +180,7 @@ def _bucket_links(n_keys: int, n_words: int, max_bits: int, most: int | None):
             keys, words = np.stack(cols[:n_keys], axis=1), np.stack(cols[n_keys:], axis=1).view(np.uint64)
             if held is not None:
                 keys, words = np.concatenate([held[0], keys]), np.concatenate([held[1], words])
-            last = np.flatnonzero((keys != keys[-1]).any(axis=1))
+            last = np.flatnonzero((keys[:, :bucket] != keys[-1, :bucket]).any(axis=1))
             cut = last[-1] + 1 if len(last) else 0
             if most and len(keys) - cut > most:  # a large bucket goes on: pass on what there is of it
                 yield from emit(keys[:cut], words[:cut])
@@ -197,8 +210,8 @@ def _links(index: DataFrame, words: int, max_bits: int) -> DataFrame:
         return links
     sizes = hot.groupBy("key").agg(F.ceil(F.count(F.lit(1)) * 2 / BUCKET).alias("blocks"))
     dealt = hot.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64(*names), F.col("blocks")))
-    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *names)
-    more = pairs.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", *names).mapInArrow(_bucket_links(3, words, max_bits, None), schema)
+    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", *names)
+    more = pairs.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "own", *names).mapInArrow(_bucket_links(4, words, max_bits, None), schema)
     return links.unionAll(more.select(*sides)).distinct()
 
 
@@ -247,16 +260,92 @@ def _set_prints(docs: DataFrame, width: int, least: float, text: str, key: str)
     return docs.select(F.col(key).cast("long").alias(key), F.col(text)).mapInArrow(run, ", ".join([f"{key} long", *(f"{n} long" for n in names), "small array<long>"]))
 
 
-def _sampled_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(sd_0.. of COMPARED words, keys) of fingerprints."""
-    samples, value = _samples(), (1 << np.arange(SAMPLED)).astype(np.float32)
-    for batch in batches:
-        words = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(DRAWN)], axis=1)
-        bits = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little").astype(np.float32)
-        keys = np.stack([bits[:, s] @ value for s in samples], axis=1).astype(np.int64) | np.arange(SAMPLES, dtype=np.int64) << SAMPLED
-        small = batch.column(DRAWN).to_pylist()
-        rows = [k.tolist() + [x & (1 << 63) - 1 | 1 << 62 for x in s] for k, s in zip(keys, small)]
-        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(COMPARED)), pa.array(rows, pa.list_(pa.int64()))], [*(f"sd_{i}" for i in range(COMPARED)), "keys"])
+def _sampled_keys(first: bool):
+    """(sd_0.. of COMPARED words, part, keys) of fingerprints (sd_0.., small, part): the keys of the first samples, or all others."""
+    of = range(FIRST) if first else range(FIRST, SAMPLES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        samples, value = _samples(), (1 << np.arange(SAMPLED)).astype(np.float32)
+        for batch in batches:
+            words = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(DRAWN)], axis=1)
+            bits = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little").astype(np.float32)
+            keys = np.stack([bits[:, samples[k]] @ value for k in of], axis=1).astype(np.int64) | np.array(of, dtype=np.int64) << SAMPLED
+            small = [[]] * len(keys) if first else batch.column(DRAWN).to_pylist()
+            rows = [k.tolist() + [x & (1 << 63) - 1 | 1 << 62 for x in s] for k, s in zip(keys, small)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(COMPARED)), batch.column(DRAWN + 1), pa.array(rows, pa.list_(pa.int64()))], [*(f"sd_{i}" for i in range(COMPARED)), "part", "keys"])
+
+    return run
+
+
+def _part_links(n_keys: int, n_words: int, max_bits: int, most: int | None):
+    """Over rows (keys..., words..., part) sorted by keys: links (a, b) between parts that have members within max_bits in a bucket, as their graph connects them, and,
+    of buckets over ``most``, the rows themselves (key, words, part)."""
+    names = ["a", "b", "key", *(f"sd_{i}" for i in range(n_words)), "part"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, hot = None, None
+
+        def emit(keys, words, part):
+            """Whole buckets."""
+            nonlocal hot
+            if not len(keys):
+                return
+            edge = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)]))
+            size = np.diff(np.concatenate([edge, [len(keys)]]))
+            mixed = np.maximum.reduceat(part, edge) != np.minimum.reduceat(part, edge)
+            goes_on = (keys[edge] == hot).all(axis=1) if hot is not None else np.zeros(len(edge), dtype=bool)
+            large = goes_on | (size > most) if most else goes_on
+            if large.any():
+                hot = keys[edge[large][-1]].copy()
+            links = set()
+            two = edge[mixed & ~large & (size == 2)]
+            d = sum(np.bitwise_count(words[two, w] ^ words[two + 1, w]).astype(np.int64) for w in range(n_words))
+            links.update(zip(part[two[d <= max_bits]].tolist(), part[two[d <= max_bits] + 1].tolist()))
+            for e, n in zip(edge[mixed & ~large & (size > 2)], size[mixed & ~large & (size > 2)]):
+                own = part[e : e + n]
+                i, j = _grouped(words[e : e + n], max_bits, own)
+                links.update((x, y) for x, y in zip(own[i].tolist(), own[j].tolist()) if x != y)
+            if links:
+                found = np.array(sorted({(max(x), min(x)) for x in links}), dtype=np.int64)
+                none = pa.nulls(len(found), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found[:, 0])), pa.array(np.ascontiguousarray(found[:, 1])), *[none] * (n_words + 2)], names)
+            later = np.concatenate([np.arange(e, e + n) for e, n in zip(edge[large], size[large])]) if large.any() else []
+            if len(later):
+                none = pa.nulls(len(later), pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, pa.array(np.ascontiguousarray(keys[later, 0])), *(pa.array(np.ascontiguousarray(words[later, w]).view(np.int64)) for w in range(n_words)), pa.array(part[later])], names)
+
+        for batch in batches:
+            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            keys, words, part = np.stack(cols[:n_keys], axis=1), np.stack(cols[n_keys:-1], axis=1).view(np.uint64), cols[-1]
+            if held is not None:
+                keys, words, part = (np.concatenate(x) for x in zip(held, (keys, words, part)))
+            last = np.flatnonzero((keys != keys[-1]).any(axis=1))
+            cut = last[-1] + 1 if len(last) else 0
+            yield from emit(keys[:cut], words[:cut], part[:cut])
+            held = keys[cut:], words[cut:], part[cut:]
+            if most and len(held[0]) > most:  # a large bucket goes on: pass on what there is of it
+                yield from emit(*held)
+                held = None
+        if held is not None:
+            yield from emit(*held)
+
+    return run
+
+
+def _links_of_parts(index: DataFrame, words: int, max_bits: int) -> DataFrame:
+    """(a, b): links between the parts of ``index`` (key, sd_0.., part) with a key in common and within max_bits."""
+    names = [f"sd_{i}" for i in range(words)]
+    schema = ", ".join(f"{c} long" for c in ("a", "b", "key", *names, "part"))
+    index = index.select("key", *names, "part").repartition("key").sortWithinPartitions("key", *names)
+    found = materialise(index.mapInArrow(_part_links(1, words, max_bits, BUCKET), schema), "simhash-links")
+    links = found.where("key IS NULL").select("a", "b")
+    hot = found.where("key IS NOT NULL").select("key", *names, "part")
+    # A large bucket of one part has nothing to say.
+    sizes = hot.groupBy("key").agg(F.ceil(F.count(F.lit(1)) * 2 / BUCKET).alias("blocks"), F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("key", "blocks")
+    dealt = hot.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64(*names), F.col("blocks")))
+    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *names, "part")
+    more = pairs.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", *names).mapInArrow(_part_links(3, words, max_bits, None), schema)
+    return links.unionAll(more.select("a", "b")).distinct()
 
 
 def _alike(sets: list[np.ndarray], least: float) -> list[tuple[int, int]]:
@@ -290,10 +379,19 @@ def similar(docs: DataFrame, width: int = 5, least: float = 0.8, text: str = "te
     if least < 0.8:
         raise ValueError("candidates are made for a similarity of 0.8 or more")
     prints = materialise(_set_prints(docs, width, least, text, key), "simhash-prints")
-    whole = prints.drop(key).distinct()
     compared = [f"sd_{i}" for i in range(COMPARED)]
-    index = whole.mapInArrow(_sampled_keys, ", ".join([*(f"{n} long" for n in compared), "keys array<long>"])).select(F.explode("keys").alias("key"), *compared)
-    coarse = materialise(_components(prints.select(key, *compared), index, COMPARED, CANDIDATE_BITS, key).select(key, "sd_component").distinct(), "simhash-candidates")
+    drawn = [f"sd_{i}" for i in range(DRAWN)]
+    nodes = materialise(prints.groupBy(*compared).agg(F.min(key).alias("part")), "simhash-nodes")
+    schema = ", ".join([*(f"{n} long" for n in compared), "part long", "keys array<long>"])
+
+    def index(parts: DataFrame, first: bool) -> DataFrame:
+        whole = prints.select(*drawn, "small").distinct().join(parts, compared).select(*drawn, "small", "part")
+        return whole.mapInArrow(_sampled_keys(first), schema).select(F.explode("keys").alias("key"), *compared, "part")
+
+    for first in (True, False):
+        roots = components(_links_of_parts(index(nodes, first), COMPARED, CANDIDATE_BITS))
+        nodes = materialise(nodes.join(roots, F.col("part") == F.col("node"), "left").select(*compared, F.coalesce("root", "part").alias("part")), "simhash-nodes")
+    coarse = materialise(prints.select(key, *compared).join(nodes, compared).select(key, F.col("part").alias("sd_component")).distinct(), "simhash-candidates")
     several = coarse.groupBy("sd_component").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sd_component")
     members = materialise(coarse.join(several, "sd_component", "left_semi"), "simhash-members")
     texts = docs.select(F.col(key).cast("long").alias(key), F.col(text).alias("text")).join(bounded(members), key).select(key, "sd_component", "text")
