@@ -37,15 +37,23 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a local session may do without one, and then has one of its own."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         where = f"file://{tempfile.gettempdir()}/attesta-checkpoints"
-    return where.rstrip("/")
+    return f"{where.rstrip('/')}/attesta-{spark.sparkContext.applicationId}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Removes the intermediate tables of this application; tables that were returned must have been read by then."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back.
+    """Write ``df`` as Parquet to the shared folder and read it back; ``clean`` removes it, as the tables that are returned read it lazily.
 
     Cuts the lineage in a way that survives lost executors, and gives the reader exact sizes.
     """
