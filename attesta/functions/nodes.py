@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import empty_to_null
+from .text import empty_to_null, let
 
 AUTHORITY = r"^[A-Za-z0-9+.\-]+://(?:([^/?#]*)@)?(\[[^\]/?#]*\]|[^:/?#@]*)(?::(\d+))?(?:[/?#]|$)"
 
@@ -165,7 +165,8 @@ SCHEMES = {
 def parse_node(link: Column, schemes: tuple[str, ...] = tuple(SCHEMES)) -> Column:
     """The node of a link of any of the schemes; null for others and for broken ones."""
     t = F.trim(link)
-    return F.coalesce(*(F.when(t.startswith(f"{s}://"), SCHEMES[s](t)) for s in schemes))
+    node = F.coalesce(*(F.when(t.startswith(f"{s}://"), SCHEMES[s](t)) for s in schemes))
+    return let(node, lambda n: F.when(F.coalesce(n["server"], F.lit("")) != "", n))
 
 
 def subscription_links(body: Column) -> Column:

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from .resolve import keep_first
 
 
-def overlap_pairs(df: DataFrame, key: str, source: str, order: str) -> DataFrame:
-    """(key, a, b, ord_a, ord_b) of each pair of sources that share a key, by the first record of each; sources are few, records many."""
-    first = df.where(F.col(key).isNotNull()).groupBy(key, source).agg(F.min(order).alias("o"))
-    per_key = first.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(source).alias("s"), "o"))).alias("x")).where("size(x) > 1")
+def overlap_pairs(df: DataFrame, key: str, source: str, order: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(key, source_a, source_b, ord_a, ord_b) of each pair of sources that share a key, by the first record of each, with what it carries as ``_a`` and ``_b``; sources are few, records many."""
+    first = df.where(F.col(key).isNotNull()).groupBy(key, source).agg(F.min_by(F.struct(*carry, F.col(order).alias("o")), order).alias("r"))
+    per_key = first.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(source).alias("s"), "r"))).alias("x")).where("size(x) > 1")
     a = per_key.select(key, "x", F.posexplode("x").alias("i", "a"))
     b = a.select(key, "a", F.explode(F.expr("slice(x, i + 2, size(x))")).alias("b"))
-    return b.select(key, F.col("a.s").alias("source_a"), F.col("b.s").alias("source_b"), F.col("a.o").alias("ord_a"), F.col("b.o").alias("ord_b"))
+    return b.select(key, F.col("a.s").alias("source_a"), F.col("b.s").alias("source_b"), F.col("a.r.o").alias("ord_a"), F.col("b.r.o").alias("ord_b"), *(F.col(f"{s}.r.{c}").alias(f"{c}_{s}") for c in carry for s in "ab"))
 
 
 def classify_overlap(tests: list[tuple[str, Column, Column]]) -> tuple[Column, Column]:

@@ -260,9 +260,7 @@ CLASS_SQL = f"""{PAIRS_SQL}, classed AS (SELECT p.key, p.source_a, p.source_b,
 
 @query(f"WITH {CLASS_SQL} SELECT * FROM classed")
 def overlap_class(spark, d):
-    x = items(spark, d).select("doc_id", "lang", "keypad")
-    side = lambda s: x.withColumnsRenamed({"doc_id": f"ord_{s}", "lang": f"lang_{s}", "keypad": f"keypad_{s}"})
-    p = overlap_pairs(spark, d).join(side("a"), "ord_a").join(side("b"), "ord_b")
+    p = R.overlap_pairs(items(spark, d), "key", "source", "doc_id", ("lang", "keypad"))
     status, why = R.classify_overlap([(n, F.col(f"{n}_a"), F.col(f"{n}_b")) for n in ("lang", "keypad")])
     return p.select("key", "source_a", "source_b", status.alias("status"), why.alias("why"))
 
@@ -420,7 +418,10 @@ def upsert_actions(spark, d):
 def stream_resume(spark, d):
     import uuid
 
-    where = (spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/attesta-checkpoints").rstrip("/") + f"/stream-{uuid.uuid4().hex}"
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    where = (shared or "file:///tmp/attesta-checkpoints").rstrip("/") + f"/stream-{uuid.uuid4().hex}"
     I.resumable(spark, d, f"{where}/sink", f"{where}/state", "event_id", "events.parquet")
     return spark.read.parquet(f"{where}/sink").select("event_id", "user_id", "event_type")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import listings as L
+from ..functions import nodes as P
 from ..functions import text as T
 from ..operators import browse as B
 from ..operators import coverage as C
@@ -304,3 +305,21 @@ def portable_desktops(spark, d):
     portable = L.portable_form(F.lit("notebook"), F.col("p_name"), none, F.when(k, "移动工作站").otherwise(""), F.create_map(F.lit("cpu"), F.lit("LGA 1700")))
     reasons = L.admission_reasons(F.lit("支持"), F.lit(True), L.voltage(none, F.lit("i9-13900K"), none), portable)
     return t(spark, d, "part").select("p_partkey", F.array_join(reasons, ",").alias("reasons"))
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN 'vless' WHEN 1 THEN 'ss' WHEN 2 THEN 'hysteria2' WHEN 3 THEN 'tuic' WHEN 4 THEN 'vmess' ELSE 'wireguard' END AS type, c_name AS name, 'h' || c_nationkey || '.example' AS server, 1000 + c_nationkey AS port, 'k' || c_custkey AS secret,
+CASE c_custkey % 6 WHEN 0 THEN 'true' WHEN 1 THEN 'aes' WHEN 2 THEN 's.example' WHEN 3 THEN 'cubic' WHEN 4 THEN 'auto' ELSE '1280' END AS more FROM customer WHERE c_custkey % 7 <> 3""")
+def node_schemes(spark, d):
+    """Links of six schemes; those without a port are broken and give nothing."""
+    k, c = F.col("c_custkey"), lambda *x: F.concat(*(F.lit(y) if isinstance(y, str) else y for y in x))
+    key, host = c("k", k.cast(S)), c("h", F.col("c_nationkey").cast(S), ".example")
+    port = F.when(k % 7 != 3, (F.col("c_nationkey") + 1000).cast(S)).otherwise("x")
+    name, b64 = F.url_encode("c_name"), lambda t: F.base64(F.encode(t, "UTF-8"))
+    at = c("@", host, ":", port)
+    vmess = b64(F.to_json(F.struct(F.col("c_name").alias("ps"), host.alias("add"), port.alias("port"), key.alias("id"))))
+    links = [c("vless://", key, at, "?security=tls&sni=s#", name), c("ss://", b64(c("aes:", key)), at, "#", name), c("hysteria2://", key, at, "?sni=s.example#", name), c("tuic://", key, ":pw", at, "#", name), c("vmess://", vmess), c("wireguard://", key, at, "#", name)]
+    link = F.element_at(F.array(*links), (k % 6 + 1).cast("int"))
+    n = t(spark, d, "customer").select("c_custkey", P.parse_node(link).alias("n")).where("n IS NOT NULL").select("c_custkey", "n.*")
+    first = lambda *names: F.coalesce(*(F.try_element_at("opts", F.lit(x)) for x in names))
+    more = F.when(F.col("type") == "vless", first("tls")).when(F.col("type").isin("ss", "vmess"), first("cipher")).when(F.col("type") == "hysteria2", first("sni")).when(F.col("type") == "tuic", first("congestion-controller")).otherwise(first("mtu"))
+    return n.select("c_custkey", "type", "name", "server", "port", F.when(F.col("type") == "wireguard", first("private-key")).otherwise(first("uuid", "password")).alias("secret"), more.alias("more"))
