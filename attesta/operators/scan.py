@@ -185,38 +185,77 @@ def detail_url(id_: Column, base: str = "https://detail.zol.com.cn") -> Column:
     return F.format_string(f"{base}/%d/%d/param.shtml", F.floor((id_ + 999) / 1000).cast("bigint"), id_)
 
 
-def with_details(items: DataFrame, pages: DataFrame, url: str = "spec_url") -> DataFrame:
-    """``items`` with the specifications of their detail page: ``pages`` has url, specs (a map), error. An item whose page failed keeps what its title says, and a warning."""
-    side = pages.select(F.col("url").alias(url), "specs", F.col("error").alias("_error"), F.lit(True).alias("_read")).dropDuplicates([url])
-    out = items.join(side, url, "left")
-    failed = F.col(url).isNotNull() & (F.col("_read").isNull() | F.col("_error").isNotNull())
-    return out.withColumn("crawl_warning", F.when(failed, F.concat(F.lit("detail_failed:"), F.coalesce("_error", F.lit("missing"))))).drop("_error", "_read")
+# The names that the sources' specification pages have for the same things.
+_WEIGHT, _FORM = ("笔记本重量", "产品重量", "重量"), ("产品类型", "产品定位")
+DETAILS = {
+    "ZOL": {"cpu": ("CPU型号", "处理器型号"), "gpu": ("显卡芯片", "显卡型号"), "storage": ("硬盘容量", "存储容量"), "battery": ("电池容量", "电池类型"), "weight": _WEIGHT, "ports": ("数据接口", "视频接口", "音频接口", "其它接口"), "form": (*_FORM, "包装清单")},
+    "JD": {"cpu": ("CPU型号", "处理器", "处理器型号"), "gpu": ("显卡型号", "显示芯片"), "storage": ("固态硬盘", "硬盘容量", "总容量"), "battery": ("电池容量", "电池能量"), "weight": ("产品净重", *_WEIGHT), "ports": ("接口", "USB", "雷电"), "form": (*_FORM, "商品类别", "类型")},
+    "PConline": {"cpu": ("CPU型号", "处理器型号", "CPU"), "gpu": ("显卡芯片", "显卡型号"), "storage": ("硬盘容量", "存储容量"), "battery": ("电池容量", "电池类型"), "weight": _WEIGHT, "ports": ("接口",), "form": (*_FORM, "产品特点", "包装清单")},
+}
+KEYBOARD_WINDOW = r".{0,20}(?:数字小键盘|数字键区|背光键盘|键盘背光).{0,20}"
+
+
+def detail_page(source: str, url: Column) -> Column:
+    """The address of the page that has a listing's specifications; null where its own address tells none."""
+    if source == "ZOL":
+        return detail_url(product_id(url))
+    return F.regexp_replace(url, r"(?<!_detail)\.html$", "_detail.html") if source == "PConline" else url
+
 
+def with_details(items: DataFrame, pages: DataFrame, url: str = "spec_url", source: str = "ZOL") -> DataFrame:
+    """``items`` with the specifications of their detail page and what kept them from having any. ``pages`` has url, specs (a map), error, and may have risk (a page that asks who is there) and page_text.
 
-def assembled(items: DataFrame) -> DataFrame:
-    """``items`` (title, specs, crawl_warning) with all attributes: those of the specifications, or else of the title."""
-    told, specs = L.title_fields(F.col("title")), F.col("specs")
-    spec = lambda *names: L.from_spec(specs, *names)
-    df = items.withColumn("_t", told).withColumn("_cpu", F.coalesce(T.empty_to_null(spec("CPU型号", "处理器型号")), L.text_of(F.col("title")))).withColumn("_keys", spec("键盘描述", "键盘"))
-    df = df.withColumn("_gpu", F.coalesce(T.empty_to_null(spec("显卡芯片", "显卡型号")), F.col("_t.gpu"))).withColumn("_gpu_type", spec("显卡类型"))
-    flags, gpu, cpu = L.keyboard_flags(F.col("_keys")), L.gpu_fields(F.col("_gpu_type"), F.col("_gpu")), L.cpu_fields(F.col("_cpu"))
+    An item whose page failed keeps what its title says, and a warning.
+    """
+    more = [c for c in ("risk", "page_text") if c in pages.columns]
+    side = pages.select(F.col("url").alias(url), "specs", F.col("error").alias("_error"), F.lit(True).alias("_read"), *more).dropDuplicates([url])
+    out = items.join(side, url, "left")
+    warning = F.when(F.col(url).isNotNull() & (F.col("_read").isNull() | F.col("_error").isNotNull()), F.concat(F.lit("detail_failed:"), F.coalesce("_error", F.lit("missing"))))
+    if "risk" in more:
+        warning = warning.when(F.col("risk"), "detail_risk_verification")
+    if source == "JD":
+        warning = warning.when(F.coalesce(F.size("specs"), F.lit(0)) <= 0, "detail_specs_unavailable")
+    return out.withColumn("crawl_warning", warning).drop("_error", "_read", "risk")
+
+
+def assembled(items: DataFrame, source: str = "ZOL") -> DataFrame:
+    """``items`` (title, specs, crawl_warning, and page_text of the second source) with all attributes: those of the specifications, or else of the title."""
+    names, specs = DETAILS[source], F.col("specs")
+    spec = lambda *n: L.from_spec(specs, *n)
     nonzero = lambda c: F.when(c != 0, c)
-    parts = lambda wanted: F.array_join(F.map_values(F.map_filter(specs, wanted)), "；")
-    ports = parts(lambda k, _: F.contains(k, F.lit("数据接口")) | F.contains(k, F.lit("视频接口")) | F.contains(k, F.lit("音频接口")) | F.contains(k, F.lit("其它接口")))
-    form = T.clean(parts(lambda k, _: k.isin("产品类型", "产品定位", "包装清单")))
+    within = lambda words, k: F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(k, w))
+    entries = lambda ok: F.map_entries(F.map_filter(specs, lambda k, _: ok(k)))
+    joined = lambda ok, of: F.array_join(F.transform(entries(ok), of), "；")
+    value, both = (lambda e: e["value"]), (lambda e: F.concat(e["key"], F.lit("：" if source == "PConline" else ": "), e["value"]))
+    title = L.text_of(F.col("title"))
+    if source == "ZOL":
+        keys = spec("键盘描述", "键盘")
+    elif source == "JD":  # some pages say it in their text alone
+        seen = F.array_join(F.regexp_extract_all("page_text", F.lit(KEYBOARD_WINDOW), 0), " ") if "page_text" in items.columns else F.lit("")
+        keys = F.coalesce(T.empty_to_null(joined(lambda k: F.contains(k, F.lit("键盘")), value)), seen, F.lit(""))
+    else:
+        keys = joined(lambda k: F.lit(True), both)
+    df = items.withColumn("_t", L.title_fields(F.col("title"), loose=source == "JD", flags=source != "PConline")).withColumn("_cpu", F.coalesce(T.empty_to_null(spec(*names["cpu"])), title)).withColumn("_keys", keys)
+    df = df.withColumn("_gpu", F.coalesce(T.empty_to_null(spec(*names["gpu"])), F.col("_t.gpu"))).withColumn("_gpu_type", spec("显卡类型"))
+    flags, cpu = L.keyboard_flags(F.col("_keys")), L.cpu_fields(F.col("_cpu"))
+    gpu = L.gpu_fields(F.col("_gpu_type"), F.coalesce(T.empty_to_null(F.col("_gpu")), title) if source == "JD" else F.col("_gpu"))
+    is_port = lambda k: within(names["ports"], k)
+    ports = F.transform(entries(is_port), both) if source == "JD" else F.filter(F.transform(F.split(joined(is_port, value), r"[；;]"), T.clean), lambda x: x != "")
+    form = T.clean(joined(lambda k: k.isin(*names["form"]), value))
+    form = F.coalesce(T.empty_to_null(form), T.clean(title)) if source == "JD" else form
+    said = lambda flag: F.when(flag.isNotNull(), F.col("_keys")).otherwise("") if source == "PConline" else F.col("_keys")
     detail = F.struct(
         L.cpu_model(F.col("_cpu")).alias("cpu"), cpu["brand"].alias("cpu_brand"), cpu["family"].alias("cpu_family"), L.cpu_voltage(F.col("_cpu")).alias("cpu_voltage_type"),
         F.coalesce(flags["keypad"], F.col("_t.numeric_keypad")).alias("numeric_keypad"), F.coalesce(flags["backlight"], F.col("_t.keyboard_backlight")).alias("keyboard_backlight"),
         F.col("_gpu").alias("gpu"), gpu["type"].alias("gpu_type"), gpu["dedicated"].alias("dedicated_gpu"),
         F.coalesce(nonzero(T.first_number(spec("屏幕尺寸"))), F.col("_t.screen_size")).alias("screen_size"), T.empty_to_null(spec("屏幕分辨率", "分辨率")).alias("resolution"),
         nonzero(T.first_number(spec("屏幕刷新率", "刷新率"))).alias("refresh_rate"),
-        F.coalesce(nonzero(T.capacity_gb(spec("内存容量"))).cast("int"), F.col("_t.memory_gb")).alias("memory_gb"), F.coalesce(nonzero(T.capacity_gb(spec("硬盘容量", "存储容量"))).cast("int"), F.col("_t.storage_gb")).alias("storage_gb"),
-        T.amount_before(spec("电池容量", "电池类型"), "Wh|瓦时").alias("battery_wh"), F.coalesce(nonzero(T.first_number(spec("笔记本重量", "产品重量", "重量"))), F.col("_t.weight_kg")).alias("weight_kg"),
-        F.filter(F.transform(F.split(ports, r"[；;]"), T.clean), lambda x: x != "").alias("ports"), form.alias("product_form"),
-        F.create_map(F.lit("numeric_keypad"), F.col("_keys"), F.lit("keyboard_backlight"), F.col("_keys"), F.lit("cpu"), F.col("_cpu"), F.lit("gpu"), T.clean(F.concat_ws(" ", "_gpu_type", "_gpu")), F.lit("product_form"), form).alias("evidence"),
+        F.coalesce(nonzero(T.capacity_gb(spec("内存容量"))).cast("int"), F.col("_t.memory_gb")).alias("memory_gb"), F.coalesce(nonzero(T.capacity_gb(spec(*names["storage"]))).cast("int"), F.col("_t.storage_gb")).alias("storage_gb"),
+        T.amount_before(spec(*names["battery"]), "Wh|瓦时").alias("battery_wh"), F.coalesce(nonzero(T.first_number(spec(*names["weight"]))), F.col("_t.weight_kg")).alias("weight_kg"), ports.alias("ports"), form.alias("product_form"),
+        F.create_map(F.lit("numeric_keypad"), said(flags["keypad"]), F.lit("keyboard_backlight"), said(flags["backlight"]), F.lit("cpu"), F.col("_cpu"), F.lit("gpu"), T.clean(F.concat_ws(" ", "_gpu_type", "_gpu")), F.lit("product_form"), form).alias("evidence"),
     )
     known = ["cpu", "cpu_brand", "cpu_family", "cpu_voltage_type", "numeric_keypad", "keyboard_backlight", "gpu", "gpu_type", "dedicated_gpu", "screen_size", "memory_gb", "storage_gb", "weight_kg"]
-    df = df.withColumn("_d", F.when(F.col("specs").isNotNull() & F.col("crawl_warning").isNull(), detail))
-    own = [c for c in items.columns if c not in [*known, "resolution", "refresh_rate", "battery_wh", "ports", "product_form", "evidence"]]
     more = ["resolution", "refresh_rate", "battery_wh", "ports", "product_form", "evidence"]
+    df = df.withColumn("_d", F.when(F.col("specs").isNotNull() & F.col("crawl_warning").isNull(), detail))
+    own = [c for c in items.columns if c not in [*known, *more, "page_text"]]
     return df.select(*own, *(F.when(F.col("_d").isNotNull(), F.col(f"_d.{c}")).otherwise(F.col(f"_t.{c}")).alias(c) for c in known), *(F.col(f"_d.{c}").alias(c) for c in more))

@@ -267,3 +267,19 @@ def test_cursors_and_upserts(spark, tmp_path):
     (tmp_path / "l2").write_text("two")
     assert payload.read_logs(spark, [f"file://{tmp_path}/{n}" for n in ("l2", "gone", "l1")]) == "two\none" and len(payload.file_digests(spark, f"file://{tmp_path}/l1").first()["sha256"]) == 64
     assert one(spark, "A\\.GIT\\x.py", lambda c: validate.skipped(c, [r"\.git/"])) is True and one(spark, "a/b.py", lambda c: validate.skipped(c, [r"\.git/"])) is False
+
+
+def test_details_of_three_sources(spark):
+    specs = {"CPU型号": "Intel 酷睿 i9-13900HX", "键盘": "背光键盘 带数字小键盘", "显卡型号": "RTX 4060", "内存容量": "32GB", "固态硬盘": "2TB", "硬盘容量": "1TB", "USB接口": "3个", "数据接口": "USB", "产品净重": "2.5kg", "重量": "2.4kg", "产品类型": "游戏本", "电池容量": "80Wh"}
+    rows = [(1, "m 16G 512G", "https://detail.zol.com.cn/notebook/index2165921.shtml"), (2, "m 16G 512G", "b"), (3, "m 16G 512G", "c"), (4, "m 16G 512G", "d")]
+    items = spark.createDataFrame(rows, "i int, title string, spec_url string")
+    pages = spark.createDataFrame([(rows[0][2], specs, None, False, None), ("b", None, None, True, None), ("c", {}, None, False, None), ("d", {"内存容量": "8GB"}, None, False, "机身 背光键盘 好")], "url string, specs map<string,string>, error string, risk boolean, page_text string")
+    jd = {r["i"]: r for r in scan.assembled(scan.with_details(items, pages, source="JD"), "JD").collect()}
+    assert [jd[i]["crawl_warning"] for i in (1, 2, 3, 4)] == [None, "detail_risk_verification", "detail_specs_unavailable", None]
+    a = jd[1]
+    assert (a["cpu"], a["numeric_keypad"], a["keyboard_backlight"], a["gpu_type"], a["memory_gb"], a["storage_gb"], a["weight_kg"], a["battery_wh"], a["product_form"]) == ("i9-13900HX", True, True, "dedicated", 32, 2048, 2.5, 80.0, "游戏本")
+    assert sorted(a["ports"]) == ["USB接口: 3个", "数据接口: USB"] and jd[2]["memory_gb"] == 16 and jd[4]["keyboard_backlight"] is True and jd[4]["memory_gb"] == 8 and jd[4]["product_form"] == "m 16G 512G"
+    pc = {r["i"]: r for r in scan.assembled(scan.with_details(items, pages.drop("risk", "page_text"), source="PConline"), "PConline").collect()}
+    assert pc[1]["storage_gb"] == 1024 and pc[1]["weight_kg"] == 2.4 and "CPU型号：Intel" in pc[1]["evidence"]["numeric_keypad"] and pc[4]["evidence"]["numeric_keypad"] == ""
+    assert [r[0] for r in items.coalesce(1).select(scan.detail_page("ZOL", F.col("spec_url"))).collect()] == ["https://detail.zol.com.cn/2166/2165921/param.shtml", None, None, None]
+    assert one(spark, "https://h/1.html", lambda c: scan.detail_page("PConline", c)) == "https://h/1_detail.html" and one(spark, "https://h/1_detail.html", lambda c: scan.detail_page("PConline", c)) == "https://h/1_detail.html"
