@@ -182,7 +182,7 @@ def product_id(url: Column) -> Column:
 
 def detail_url(id_: Column, base: str = "https://detail.zol.com.cn") -> Column:
     """A product's specification page, in the folder of its thousand, rounded up."""
-    return F.format_string(f"{base}/%d/%d/param.shtml", F.floor((id_ + 999) / 1000).cast("bigint"), id_)
+    return F.when(id_.isNotNull(), F.format_string(f"{base}/%d/%d/param.shtml", F.floor((id_ + 999) / 1000).cast("bigint"), id_))
 
 
 # The names that the sources' specification pages have for the same things.
