@@ -111,15 +111,15 @@ def short_identity(title: Column, most: int = 18, least: int = 4) -> Column:
     return F.when(F.length(head) <= most, head).when(cut > least, F.regexp_extract(F.substring(head, 1, most), r"^(.*) [^ ]*$", 1)).otherwise(F.substring(head, 1, most))
 
 
-def grouped(df: DataFrame, group: str, rank: str, order: str) -> DataFrame:
+def grouped(df: DataFrame, group: str, rank: str, order: str, width: int = 8) -> DataFrame:
     """Rows with their place in their group (unranked last) and the group's first appearance.
 
-    Places are counted within parts of a group, dealt by rank, and the parts before are added, so that a group of any size is many tasks' work.
+    Places are counted within parts of a group, ``width`` ranks each, and the parts before are added, so that a group of any size is many tasks' work.
     """
     at = F.coalesce(F.nullif(F.col(rank), F.lit(0)), F.lit(9999))
-    x = df.withColumn("_r", at).withColumn("_part", F.floor(at / 8))
+    x = df.withColumn("_r", at).withColumn("_part", F.floor(at / width))
     w = W.partitionBy(group, "_part").orderBy("_r", order)
-    parts = df.groupBy(group, F.floor(at / 8).alias("_part")).agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_o"))
+    parts = df.groupBy(group, F.floor(at / width).alias("_part")).agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_o"))
     before = F.coalesce(F.sum("_n").over(W.partitionBy(group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     parts = parts.withColumn("_before", before).withColumn("group_ord", F.min("_o").over(W.partitionBy(group))).drop("_n", "_o")
     out = x.withColumn("_p", F.row_number().over(w)).join(parts.withColumnsRenamed({group: "_g"}), F.col(group).eqNullSafe(F.col("_g")) & (x["_part"] == parts["_part"]))

@@ -62,7 +62,10 @@ def newest(df: DataFrame, keys: list[str], valid: Column, created: str, tie: str
 
 def merge_cursors(df: DataFrame, key: str, order: str, items: str, page: str, done: str) -> DataFrame:
     """Cursors of one key as one: different items in order, the furthest page, complete if all are."""
-    return df.groupBy(key).agg(F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(order, items))), lambda x: x[items]))).alias("items"), F.max(page).alias("page"), F.bool_and(done).alias("complete"))
+    once = df.select(key, F.col(order).alias("_o"), F.posexplode(items).alias("_i", "_x")).groupBy(key, "_x").agg(F.min(F.struct("_o", "_i")).alias("_at"))
+    united = once.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_x"))), lambda e: e["_x"]).alias("items"))
+    rest = df.groupBy(key).agg(F.max(page).alias("page"), F.bool_and(done).alias("complete"))
+    return rest.join(united, key, "left").select(key, F.coalesce("items", F.array().cast("array<string>")).alias("items"), "page", "complete")
 
 
 def most_common(df: DataFrame, by: Column, name: str, order: str, n: int) -> DataFrame:

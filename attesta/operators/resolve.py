@@ -112,10 +112,12 @@ def fill(value: Column, fact: Column, evidence: Column, name: str) -> tuple[Colu
 
 
 def fold_facts(facts: DataFrame, keys: list[str], flags: list[str], order: str, url: str) -> DataFrame:
-    """Facts that agree on the keys: the first known value of each flag, and the different URLs in order."""
-    first = [F.min_by(f, F.when(F.col(f).isNotNull(), F.col(order))).alias(f) for f in flags]
-    urls = F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct(order, url))), lambda x: x[url])).alias("urls")
-    return facts.groupBy(*keys).agg(*first, urls)
+    """Facts that agree on the keys: the first known value of each flag, and the different URLs in order; URLs are told apart before they are gathered."""
+    first = facts.groupBy(*keys).agg(*(F.min_by(f, F.when(F.col(f).isNotNull(), F.col(order))).alias(f) for f in flags))
+    once = facts.groupBy(*keys, url).agg(F.min(order).alias("_o")).groupBy(*keys)
+    urls = once.agg(F.transform(F.array_sort(F.collect_list(F.struct("_o", url))), lambda x: x[url]).alias("urls"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return first.join(urls.withColumnsRenamed({k: f"_{k}" for k in keys}), same).drop(*(f"_{k}" for k in keys))
 
 
 def merge_new(state: DataFrame, new: DataFrame, key: str, order: str) -> DataFrame:

@@ -102,10 +102,8 @@ def html_links(spark, d):
 
 @query("SELECT page_id, host, (row_number() OVER (PARTITION BY host ORDER BY page_id)) AS rank FROM (SELECT page_id, regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1) AS host FROM pages)")
 def ranked_scan(spark, d):
-    from pyspark.sql import Window as W
-
-    hosts = t(spark, d, "pages").select("page_id", T.url_host(F.col("url")).alias("host"))
-    return hosts.withColumn("rank", F.row_number().over(W.partitionBy("host").orderBy("page_id")).cast("long"))
+    hosts = t(spark, d, "pages").select("page_id", T.url_host(F.col("url")).alias("host"), (F.col("page_id") + 1).alias("r"))
+    return B.grouped(hosts, "host", "r", "page_id", 1024).select("page_id", "host", F.col("place").cast("long").alias("rank"))
 
 
 @query("SELECT p_partkey, CASE WHEN regexp_matches(p_type, 'STEEL|BRASS') THEN 'metal' WHEN regexp_matches(p_type, '^SMALL') THEN 'small' WHEN regexp_matches(p_type, 'A') THEN 'other_a' ELSE 'unknown' END AS class FROM part")
