@@ -111,6 +111,46 @@ def short_identity(title: Column, most: int = 18, least: int = 4) -> Column:
     return F.when(F.length(head) <= most, head).when(cut > least, F.regexp_extract(F.substring(head, 1, most), r"^(.*) [^ ]*$", 1)).otherwise(F.substring(head, 1, most))
 
 
+#: Marks at which a long title may be cut.
+CUTS = (" ", "·", "-", "【")
+
+
+def product_line(model: Column, title: Column, brand: Column, most: int = 18, least: int = 4) -> Column:
+    """struct(key, name, brand) of the line that listings are shown under: the model up to its first parenthesis; a longer one without any is cut at the last mark
+    within ``most`` characters, if that is beyond ``least``."""
+    whole = F.coalesce(T.empty_to_null(model), title, F.lit(""))
+
+    def named(t: Column) -> Column:
+        head = F.substring(t, 1, most)
+        last = lambda mark: F.when(F.contains(head, F.lit(mark)), most - F.instr(F.reverse(F.rpad(head, most, "\0")), mark)).otherwise(-1)
+        at = F.greatest(*map(last, CUTS))
+        return F.when(at > least, F.trim(F.substr(head, F.lit(1), at))).otherwise(F.trim(head))
+
+    base = T.let(whole, lambda t: T.let(F.trim(F.split(t, r"[（(]", 2)[0]), lambda b: F.when((b == t) & (F.length(b) > most), named(b)).otherwise(b)))
+    of = F.trim(F.coalesce(brand, F.lit("")))
+    return F.struct(F.concat(F.lit("spu|"), of, F.lit("|"), F.regexp_replace(base, r"\s+", "")).alias("key"), F.coalesce(T.empty_to_null(base), whole).alias("name"), of.alias("brand"))
+
+
+#: What a listing's filters ask of it.
+_EQUAL = {"cpuBrand": "cpu_brand", "gpuType": "gpu_type", "brand": "brand"}
+_LEAST = {"screenMin": "screen_size", "refreshMin": "refresh_rate", "memoryMin": "memory_gb", "storageMin": "storage_gb", "batteryMin": "battery_wh", "priceMin": "price"}
+_ONLY = {"numpadOnly": "numeric_keypad", "backlightOnly": "keyboard_backlight"}
+
+
+def listing_spec(filters: dict[str, Any]) -> dict[str, Any]:
+    """The specification of a listing's filters by their names; those that are empty or off ask nothing."""
+    on = {k: v for k, v in filters.items() if v not in (None, "", False)}
+    out: dict[str, Any] = {}
+    if str(on.get("search", "")).strip():
+        out["search"] = (["title", "model", "cpu", "gpu", "brand"], str(on["search"]))
+    out["equals"] = {c: on[k] for k, c in _EQUAL.items() if k in on}
+    out["least"] = {c: on[k] for k, c in _LEAST.items() if k in on} | ({"source_count": 2} if "multiOnly" in on else {})
+    out["most"] = {"price": on["priceMax"]} if "priceMax" in on else {}
+    out["is_true"] = [c for k, c in _ONLY.items() if k in on]
+    out["not_true"] = ["dedicated_gpu"] if "hideDedicated" in on else []
+    return {k: v for k, v in out.items() if v}
+
+
 def grouped(df: DataFrame, group: str, rank: str, order: str, width: int = 8) -> DataFrame:
     """Rows with their place in their group (unranked last) and the group's first appearance.
 

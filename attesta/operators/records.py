@@ -6,6 +6,8 @@ all records leaves each task as one row; maps are folded by (identity, source) o
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -126,6 +128,13 @@ def payload_sources(items: DataFrame, declared: DataFrame | None = None) -> Data
     return found.where("source <> 'UNKNOWN'").distinct()
 
 
+def missing_identities(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
+    """(identity_key) of what the baseline may publish and the candidate lacks; both are derived anew, so that a new way to make keys does not look like a loss."""
+    old = completed(baseline).withColumn("cpu_voltage_type", voltage_of()).where(F.size(reasons_of()) == 0)
+    keys = lambda df: df.select(key_of(df).alias("identity_key")).where("identity_key IS NOT NULL").distinct()
+    return keys(old).join(keys(completed(candidate)), "identity_key", "left_anti")
+
+
 def audit_payload(items: DataFrame, count: int | None = None, baseline: DataFrame | None = None, order: str = "identity_key") -> DataFrame:
     """(check_ord, row_ord, error): everything that keeps a payload from being published, check by check and row by row; no row if nothing does."""
     df = completed(items)
@@ -166,14 +175,18 @@ def preserve(candidate: DataFrame, baseline: DataFrame | None, order: str, facts
     return merged, {"candidate_count": candidate.count(), "baseline_count": n, "preserved_count": kept}
 
 
-def publish(merged: DataFrame, folder: str, generated_at: str, baseline: DataFrame | None = None, least: int = 0, schema_version: int = 1) -> DataFrame:
-    """Writes items, rejected, manifest and envelope under ``folder`` and returns the manifest; a payload that fails the audit, or of fewer than ``least`` items, is refused before anything is written.
+def publish(merged: DataFrame, folder: str, generated_at: str, baseline: DataFrame | None = None, least: int = 0, schema_version: int = 1, config: str | None = None) -> DataFrame:
+    """Writes items, rejected, manifest, envelope and, if given, the configuration (JSON) under ``folder`` and returns the manifest; a payload that fails the audit, or of fewer than ``least`` items, is refused before anything is written.
 
     Items are JSON lines in publication order of any number of files; the envelope names them, and holds count, sources and requirements.
     """
     merged = merged.persist()  # read by each count, check and file
     try:
-        return _publish(merged, folder, generated_at, baseline, least, schema_version)
+        out = _publish(merged, folder, generated_at, baseline, least, schema_version)
+        if config is not None:
+            spark = merged.sparkSession
+            spark.createDataFrame([(json.dumps(json.loads(config), ensure_ascii=False, separators=(",", ":")),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/filter_conditions")
+        return out
     finally:
         merged.unpersist()
 
@@ -193,8 +206,6 @@ def _publish(merged: DataFrame, folder: str, generated_at: str, baseline: DataFr
     by_source = F.map_from_entries(F.array_sort(F.collect_list(F.struct("source", "rows"))))
     head = counts.agg(by_source.alias("sourceCounts")).select(F.lit(schema_version).alias("schemaVersion"), F.lit(generated_at).alias("updatedAt"), F.lit(n).alias("rowCount"), "sourceCounts")
     head.select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.mode("overwrite").text(f"{folder}/manifest")
-    import json
-
     pipeline = json.dumps({"rejected_count": rejected.count(), "requirements": REQUIREMENTS})
     envelope = head.select(F.to_json(F.struct(F.lit(schema_version).alias("schema_version"), F.lit(generated_at).alias("generated_at"), F.lit(n).alias("count"), F.map_keys("sourceCounts").alias("sources"), F.lit("items").alias("items"))).alias("e"))
     envelope.select(F.concat(F.expr("substring(e, 1, length(e) - 1)"), F.lit(f', "pipeline": {pipeline}}}')).alias("value")).coalesce(1).write.mode("overwrite").text(f"{folder}/payload")

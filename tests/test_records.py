@@ -63,7 +63,9 @@ def test_audit_and_publication(spark, tmp_path):
     rows = [{"title": f"联想 Y{i}", "source": "zol+jd" if i else "zol", "numeric_keypad": True, "keyboard_backlight": i != 3 or None, "source_rank": i} for i in range(5)]
     records.merge_records(listings(spark, rows), "ord").write.parquet(f"file://{tmp_path}/merged")
     merged = spark.read.parquet(f"file://{tmp_path}/merged")
-    manifest = records.publish(merged, f"file://{tmp_path}/out", "2024-01-01T00:00:00+00:00", least=4).first()
+    manifest = records.publish(merged, f"file://{tmp_path}/out", "2024-01-01T00:00:00+00:00", least=4, config='{"a": 1}').first()
+    assert spark.read.text(f"file://{tmp_path}/out/filter_conditions").first()[0] == '{"a":1}'
+    assert records.missing_identities(merged.where("title = '联想 Y1'"), merged).count() == 0 and [r[0] for r in records.missing_identities(merged, merged.where("title <> '联想 Y1'")).collect()] == [r[0] for r in merged.where("title = '联想 Y1'").select("identity_key").collect()]
     assert manifest["rowCount"] == 4 and manifest["sourceCounts"].asDict() == {"JD": 3, "ZOL": 4}
     items = [json.loads(r[0]) for r in spark.read.text(f"file://{tmp_path}/out/items").collect()]
     assert [x["title"] for x in items] == ["联想 Y1", "联想 Y2", "联想 Y4", "联想 Y0"]
@@ -283,3 +285,20 @@ def test_details_of_three_sources(spark):
     assert pc[1]["storage_gb"] == 1024 and pc[1]["weight_kg"] == 2.4 and "CPU型号：Intel" in pc[1]["evidence"]["numeric_keypad"] and pc[4]["evidence"]["numeric_keypad"] == ""
     assert [r[0] for r in items.coalesce(1).select(scan.detail_page("ZOL", F.col("spec_url"))).collect()] == ["https://detail.zol.com.cn/2166/2165921/param.shtml", None, None, None]
     assert one(spark, "https://h/1.html", lambda c: scan.detail_page("PConline", c)) == "https://h/1_detail.html" and one(spark, "https://h/1_detail.html", lambda c: scan.detail_page("PConline", c)) == "https://h/1_detail.html"
+
+
+def test_product_lines_and_listing_filters(spark):
+    def plain(model, title, brand):
+        m = str(model or title or "")
+        base = m.replace("(", "（").split("（")[0].strip()
+        if base == m and len(base) > 18:
+            cut = base[:18]
+            sp = max(cut.rfind(c) for c in " ·-【")
+            base = cut[:sp].strip() if sp > 4 else cut.strip()
+        return f"spu|{(brand or '').strip()}|{''.join(base.split())}", base or m, (brand or "").strip()
+
+    rows = [("联想 Y7000P（16GB）", None, "联想"), ("", "a long title of many words", None), ("abcd efghijklmnopqrstuvwxyz", "t", " b "), ("abcde-fghijklmnopqrstuvwxyz", "t", "b"), ("【自营】惠普·暗影精灵10 16英寸 游戏本电脑", "", "惠普"), ("short", None, None), (None, None, None), ("x" * 40, None, None)]
+    df = spark.createDataFrame(rows, "m string, t string, b string").coalesce(1)
+    assert [tuple(r[0]) for r in df.select(browse.product_line(F.col("m"), F.col("t"), F.col("b"))).collect()] == [plain(*r) for r in rows]
+    spec = browse.listing_spec({"search": " Y7 ", "hideDedicated": True, "brand": "", "memoryMin": 16, "priceMax": 9000, "numpadOnly": True, "multiOnly": False})
+    assert spec == {"search": (["title", "model", "cpu", "gpu", "brand"], " Y7 "), "least": {"memory_gb": 16}, "most": {"price": 9000}, "is_true": ["numeric_keypad"], "not_true": ["dedicated_gpu"]}
