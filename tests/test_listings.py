@@ -5,7 +5,6 @@ import threading
 import zipfile
 from http.server import BaseHTTPRequestHandler, HTTPServer
 
-import pytest
 from pyspark.sql import functions as F
 
 from attesta.functions import listings as L
