@@ -125,8 +125,19 @@ def merge_new(state: DataFrame, new: DataFrame, key: str, order: str) -> DataFra
     return keep_first(new.join(state.select(key).distinct(), key, "left_anti"), [key], [order])
 
 
-def streaks(df: DataFrame, part: str, order: str, flag: Column) -> DataFrame:
-    """(part, longest run of rows in order for which the flag holds): gaps and islands within each part."""
-    w = W.partitionBy(part).orderBy(order)
-    runs = df.select(part, order, flag.alias("_f")).withColumn("_g", F.sum(F.when(F.col("_f"), 0).otherwise(1)).over(w))
-    return runs.groupBy(part, "_g").agg(F.count_if(F.col("_f")).alias("_n")).groupBy(part).agg(F.max("_n").alias("longest"))
+def streaks(df: DataFrame, part: str, order: str, flag: Column, width: int = 4096) -> DataFrame:
+    """(part, longest run of rows in order for which the flag holds): gaps and islands.
+
+    Runs are counted within stretches of ``width`` numbers of the order; those that cross their borders are put together from what each stretch begins and ends with, so
+    that a part of any size is many tasks' work.
+    """
+    stretch = [part, "_b"]
+    w = W.partitionBy(*stretch).orderBy(order)
+    rows = df.select(part, F.floor(F.col(order) / width).alias("_b"), order, flag.alias("_f"))
+    runs = rows.withColumn("_g", F.sum(F.when(F.col("_f"), 0).otherwise(1)).over(w)).groupBy(*stretch, "_g").agg(F.count_if(F.col("_f")).alias("_n"))
+    ends = runs.groupBy(*stretch).agg(F.max("_n").alias("longest"), F.coalesce(F.min_by("_n", "_g"), F.lit(0)).alias("_first"), F.min("_g").alias("_low"), F.max_by("_n", "_g").alias("_last"), F.max("_g").alias("_gaps"))
+    ends = ends.withColumn("_first", F.when(F.col("_low") == 0, F.col("_first")).otherwise(0))
+    ends = ends.withColumn("_run", F.sum(F.when(F.col("_gaps") > 0, 1).otherwise(0)).over(W.partitionBy(part).orderBy("_b")))
+    crossing = F.array(F.struct(F.col("_run").alias("r"), F.col("_last").alias("n")), F.when(F.col("_gaps") > 0, F.struct((F.col("_run") - 1).alias("r"), F.col("_first").alias("n"))))
+    crossed = ends.select(part, F.explode(F.filter(crossing, lambda x: x.isNotNull())).alias("x")).groupBy(part, "x.r").agg(F.sum("x.n").alias("longest"))
+    return ends.select(part, "longest").unionAll(crossed.select(part, "longest")).groupBy(part).agg(F.max("longest").alias("longest"))

@@ -341,7 +341,7 @@ def worklist(spark, d):
 
 @query("WITH g AS (SELECT *, sum(CASE WHEN f THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY event_id) AS g FROM (SELECT user_id, event_id, coalesce(value < 20, false) AS f FROM events)) SELECT user_id, max(n) AS longest FROM (SELECT user_id, g, count(*) FILTER (f) AS n FROM g GROUP BY ALL) GROUP BY user_id")
 def empty_streak(spark, d):
-    return M.streaks(t(spark, d, "events"), "user_id", "event_id", F.coalesce(F.col("value") < 20, F.lit(False)))
+    return M.streaks(t(spark, d, "events"), "user_id", "event_id", F.coalesce(F.col("value") < 20, F.lit(False)), 64)
 
 
 @query("SELECT event_id, hour(ts + INTERVAL 8 HOUR) * 60 + minute(ts + INTERVAL 8 HOUR) AS minutes FROM events WHERE hour(ts + INTERVAL 8 HOUR) * 60 + minute(ts + INTERVAL 8 HOUR) BETWEEN 300 AND 720")

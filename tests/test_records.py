@@ -302,3 +302,20 @@ def test_product_lines_and_listing_filters(spark):
     assert [tuple(r[0]) for r in df.select(browse.product_line(F.col("m"), F.col("t"), F.col("b"))).collect()] == [plain(*r) for r in rows]
     spec = browse.listing_spec({"search": " Y7 ", "hideDedicated": True, "brand": "", "memoryMin": 16, "priceMax": 9000, "numpadOnly": True, "multiOnly": False})
     assert spec == {"search": (["title", "model", "cpu", "gpu", "brand"], " Y7 "), "least": {"memory_gb": 16}, "most": {"price": 9000}, "is_true": ["numeric_keypad"], "not_true": ["dedicated_gpu"]}
+
+
+def test_streaks_across_stretches(spark):
+    import random
+
+    rng = random.Random(1)
+    rows = [(p, o, rng.random() < q) for p, q in enumerate([0.5, 0.9, 0.99, 1, 0]) for o in rng.sample(range(3000), 200)]
+    want = {}
+    for p in range(5):
+        best = run = 0
+        for _, _, f in sorted(r for r in rows if r[0] == p):
+            run = run + 1 if f else 0
+            best = max(best, run)
+        want[p] = best
+    df = spark.createDataFrame(rows, "p int, o int, f boolean")
+    for width in (1, 50, 5000):
+        assert dict(map(tuple, resolve.streaks(df, "p", "o", F.col("f"), width).collect())) == want
