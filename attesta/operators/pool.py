@@ -41,13 +41,13 @@ def fastest(nodes: DataFrame, name: str, history: str, order: str, reserved: lis
 def failover(attempts: DataFrame, nodes: DataFrame, key: str, order: str, node: str, rows: str, node_order: str, least: int = 2) -> DataFrame:
     """(key, current, blocked, next): an attempt with fewer than ``least`` rows blocks its node for that key; next is the first node in order that is neither blocked nor current.
 
-    Places in the pool are numbered; the next node is the first number that no blocked node of the key has, found among as many numbers as the key has blocked nodes
-    and one more, so that the pool never stands beside every key.
+    The next node is among the first in order, one more than any key has blocked and in use; those are numbered, and a key's is the first number that it has not used, so
+    that the pool never stands beside every key.
     """
     per = attempts.groupBy(key).agg(F.max_by(node, order).alias("current"), F.max_by(F.col(rows) < least, F.col(order)).alias("failed"), F.array_sort(F.collect_set(F.when(F.col(rows) < least, F.col(node)))).alias("blocked"))
-    places = nodes.select(F.col(node).alias("_n"), F.col(node_order).alias("_o")).orderBy("_o", "_n")
-    places = places.select("_n", F.struct("_o", "_n").alias("_s"))
-    ranked = places.groupBy().agg(F.array_sort(F.collect_list("_s")).alias("_all")).select(F.posexplode("_all").alias("_place", "_s")).select("_place", F.col("_s._n").alias("_n"))
+    most = per.agg(F.coalesce(F.max(F.size("blocked")), F.lit(0))).first()[0] + 2
+    places = nodes.select(F.struct(F.col(node_order).alias("o"), F.col(node).alias("n")).alias("_s")).orderBy("_s").limit(most)
+    ranked = places.agg(F.array_sort(F.collect_list("_s")).alias("_all")).select(F.posexplode("_all").alias("_place", "_s")).select("_place", F.col("_s.n").alias("_n"))
     taken = per.select(key, F.explode(F.array_distinct(F.array_append("blocked", F.col("current")))).alias("_n")).join(ranked, "_n").groupBy(key).agg(F.array_sort(F.collect_list("_place")).alias("_taken"))
     free = F.array_min(F.array_except(F.sequence(F.lit(0), F.size("_taken")), F.col("_taken")))
     x = per.join(taken, key, "left").withColumn("_place", F.coalesce(free, F.lit(0)))
