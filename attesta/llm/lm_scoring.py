@@ -74,7 +74,7 @@ def hashed(pieces: list[str]) -> np.ndarray:
     return h
 
 
-def gathered(batches: Iterator[pa.RecordBatch], rows: int = 20_000) -> Iterator[pa.RecordBatch]:
+def gathered(batches: Iterator[pa.RecordBatch], rows: int = 60_000) -> Iterator[pa.RecordBatch]:
     """The rows in larger batches: words are short, and matrices of many words are worth their overhead."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -95,39 +95,50 @@ class Lattice:
         self.ids = {p: i for i, p in enumerate(pieces) if p and not (len(p) == 6 and p.startswith("<0x"))}
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(pieces) if len(p) == 6 and p.startswith("<0x")}
         self.most = max(map(len, self.ids), default=1)
-        self.table = HashTable(hashed([*self.ids]), np.array([*self.ids.values()], dtype=np.int32), -1)
+        # Beginnings of pieces are looked up as well, so that a span goes on only where a longer piece may follow.
+        begun = {p[:k] for p in self.ids for k in range(1, len(p))}
+        self.goes_on = np.zeros(len(pieces), dtype=bool)
+        self.goes_on[[i for p, i in self.ids.items() if p in begun]] = True
+        begun -= self.ids.keys()
+        self.table = HashTable(hashed([*self.ids, *begun]), np.array([*self.ids.values(), *[-2] * len(begun)], dtype=np.int32), -1)
 
     def _byte_ids(self, ch: str) -> list[int]:
         return [self.bytes[b] for b in ch.encode("utf-8", "surrogatepass")]
 
     def edges(self, words: list[str]):
-        """For words of one length: (begin, end, piece of each word or -1, log score) of all spans that may be pieces, and the length."""
+        """For words of one length: (begin, end, words, piece of each, log score) of all spans that are pieces in some of them. A character that is none is below -1."""
         codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64).reshape(len(words), -1)
         n, length = codes.shape
         for i in range(length):
-            h = np.full(n, 7, dtype=np.uint64)
+            live, h = np.arange(n), np.full(n, 7, dtype=np.uint64)
+            logs = self.later + self.go if i else self.first
             for j in range(i + 1, min(length, i + self.most) + 1):
                 with np.errstate(over="ignore"):
-                    h = h * BASE + codes[:, j - 1]
-                piece = self.table.get(h)
-                score = np.where(piece >= 0, (self.later if i else self.first)[piece] + (self.go if i else 0.0), -np.inf)
-                if j == i + 1 and i:  # a character without a piece of its own is spelled in bytes
-                    lost = np.flatnonzero(~np.isfinite(score))
-                    if len(lost):
-                        cs, inv = np.unique(codes[lost, i], return_inverse=True)
-                        spelled = np.array([sum(self.later[b] + self.go for b in self._byte_ids(chr(int(c)))) for c in cs])
-                        score[lost] = spelled[inv]
-                        piece[lost] = -2 - codes[lost, i].astype(np.int64)
-                yield i, j, piece, score
+                    h = h * BASE + codes[live, j - 1]
+                found = self.table.get(h)
+                known = np.flatnonzero(found >= 0)
+                known = known[np.isfinite(logs[found[known]])]
+                at, piece = live[known], found[known]
+                if len(at):
+                    yield i, j, at, piece.astype(np.int64), logs[piece]
+                if j == i + 1 and i and len(at) < n:  # a character without a piece of its own is spelled in bytes
+                    lost = np.setdiff1d(live, at, assume_unique=True)
+                    cs, inv = np.unique(codes[lost, i], return_inverse=True)
+                    spelled = np.array([sum(self.later[b] + self.go for b in self._byte_ids(chr(int(c)))) for c in cs])
+                    ok = np.isfinite(spelled[inv])
+                    if ok.any():
+                        yield i, j, lost[ok], -2 - codes[lost[ok], i].astype(np.int64), spelled[inv][ok]
+                more = (found == -2) | (found >= 0) & self.goes_on[found]
+                live, h = live[more], h[more]
+                if not len(live):
+                    break
 
     def forward(self, words: list[str], collect: np.ndarray | None = None, weights: np.ndarray | None = None) -> np.ndarray:
         """Log probabilities of words of one length (with their mark of beginning). collect: gets the expected pieces, first and later."""
         n, length = len(words), len(words[0])
         alpha = np.full((length + 1, n), -np.inf)
         alpha[0] = 0.0
-        # Most spans are a piece in few of the words: only those are looked at.
-        spans = ((i, j, at, piece[at], score[at]) for i, j, piece, score in self.edges(words) if len(at := np.flatnonzero(np.isfinite(score))))
-        spans = list(spans) if collect is not None else spans
+        spans = list(self.edges(words)) if collect is not None else self.edges(words)
         for i, j, at, _, score in spans:
             alpha[j, at] = np.logaddexp(alpha[j, at], alpha[i, at] + score)
         total = alpha[length] + self.stop
@@ -197,8 +208,8 @@ class Lattice:
                 for k in of:
                     out[k] = self.long(marked[k], collect)
                 continue
-            for a in range(0, len(of), 4096):
-                part = of[a : a + 4096]
+            for a in range(0, len(of), 16_384):
+                part = of[a : a + 16_384]
                 out[part] = self.forward([marked[k] for k in part], collect, np.ones(len(part)))
         return out
 
