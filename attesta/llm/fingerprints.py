@@ -130,14 +130,14 @@ def suffixed(h1: Column, h2: Column, ordinal: Column) -> Column:
 
 
 #: Bits of the id that each level of the search for the next id takes off; together 64.
-LEVELS = (10, 10, 12, 12, 10, 10)
+LEVELS = (10, 12, 14, 14, 14)
 
 
 def next_ids(ids: DataFrame) -> DataFrame:
     """(id, next_id) for each distinct id; after the last comes the first.
 
     The ids of a block of 1,024 are put in order together, then the first ids of blocks in blocks of blocks, and so on:
-    no task has more than the ids of a few blocks, whatever the ids are.
+    no window has more than 16,384 rows, whatever the ids are.
     """
 
     def succ(level: DataFrame, widths: tuple[int, ...]) -> DataFrame:
@@ -169,7 +169,7 @@ def edited(docs: DataFrame, links: DataFrame) -> DataFrame:
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """The digest columns of the query: each document's fingerprint beside those of its edited text and the next document."""
     docs = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    needs = docs.groupBy("id").agg(F.floor(F.max(F.length("text")) / 4).cast("int").alias("need"))
+    needs = materialise(docs.groupBy("id").agg(F.floor(F.max(F.length("text")) / 4).cast("int").alias("need")), "fingerprint-needs")  # each level of next_ids reads it anew
     links = materialise(next_ids(needs).join(needs, "id"), "fingerprint-links")
     pairs = edited(docs, links)
     both = pairs.select("id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), canonical(F.col("text")).alias("a"), canonical(F.col("edited")).alias("b"))
