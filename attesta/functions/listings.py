@@ -5,6 +5,7 @@ All patterns are read with Unicode classes and without regard to case unless a f
 
 from __future__ import annotations
 
+import re
 from urllib.parse import urljoin, urlsplit
 
 import pandas as pd
@@ -184,18 +185,18 @@ def model_family(model: Column, title: Column, brand_given: Column, sources: Col
     text = F.coalesce(F.trim(own), let(F.trim(compatible(F.coalesce(empty_to_null(text_of(model)), text_of(title)))), cut_at))
     aliases: dict[str, list[str]] = {}
     for a, b in BRANDS.items():
-        aliases.setdefault(b, []).append(a)
+        aliases.setdefault(b, []).append(re.sub(r"[\W_]+", "", a.lower()))
     of = lambda table, name: F.coalesce(F.try_element_at(F.create_map(*(x for k, v in table.items() for x in (F.lit(k), F.array(*map(F.lit, v))))), name), F.array().cast("array<string>"))
 
     def longest(labels: Column, t: Column) -> Column:
-        hit = F.filter(F.transform(labels, lambda a: F.struct(F.length(a).alias("n"), identity_text(a).alias("t"))), lambda s: (s["t"] != "") & t.startswith(s["t"]))
+        hit = F.transform(F.filter(labels, lambda a: (a != "") & t.startswith(a)), lambda a: F.struct(F.length(a).alias("n"), a.alias("t")))
         return F.coalesce(F.array_max(hit)["t"], F.lit(""))
 
     cut = lambda t, head: F.substr(t, F.length(head) + 1)
     first = lambda labels, t: F.coalesce(F.get(F.filter(labels, lambda a: t.startswith(a)), F.lit(0)), F.lit(""))
 
     def bare(whole: Column, name: Column) -> Column:
-        family = let(whole, lambda t: cut(t, longest(F.concat(F.array(text_of(brand_given), name), of(aliases, name)), t)))
+        family = let(whole, lambda t: cut(t, longest(F.concat(F.array(identity_text(brand_given), identity_text(name)), of(aliases, name)), t)))
         family = let(family, lambda t: cut(t, first(of(SUB_BRANDS, name), t)))
         family = let(family, lambda t: cut(t, first(F.array(*map(F.lit, CPU_WORDS)), t)))
         return F.coalesce(empty_to_null(family), whole)

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import listings as L
-from ..functions.text import quality
+from ..functions.text import let, quality
 from .protect import PublishGuardError, require_rows
 from .resolve import fact_for
+from .staging import staged
 
 #: A listing; other columns are merged by quality as well.
 LISTING = """title string, model string, model_identity string, brand string, cpu string, cpu_voltage_type string, price double, product_form string,
@@ -34,9 +35,10 @@ def completed(df: DataFrame) -> DataFrame:
     return df
 
 
-def key_of(df: DataFrame) -> Column:
+def key_of(df: DataFrame, sources: Column | None = None) -> Column:
     """The identity, always derived anew: keys that came with a record are evidence of its source alone."""
-    return L.listing_key(F.col("brand"), F.col("model"), F.col("title"), F.col("cpu"), L.atomic_sources(F.col("atomic_source_names"), F.col("source")), F.col("model_identity"))
+    of = lambda s: L.listing_key(F.col("brand"), F.col("model"), F.col("title"), F.col("cpu"), s, F.col("model_identity"))
+    return of(sources) if sources is not None else let(L.atomic_sources(F.col("atomic_source_names"), F.col("source")), of)
 
 
 def _quality(df: DataFrame, name: str) -> Column:
@@ -64,9 +66,11 @@ def merge_records(records: DataFrame, order: str, facts: DataFrame | None = None
     """
     df = completed(records)
     names = [c for c in df.columns if c not in RULED and c != order]
-    df = df.withColumn("_sources", L.atomic_sources(F.col("atomic_source_names"), F.col("source"))).withColumn("_key", key_of(df))
+    df = df.withColumn("_sources", L.atomic_sources(F.col("atomic_source_names"), F.col("source")))
+    df = df.withColumn("_key", key_of(df, F.col("_sources")))
     fields = sum((F.col(c).isNotNull().cast("int") for c in records.columns if c != order), F.lit(0))
     df = df.withColumn("_ord", F.struct((-F.size("_sources")).alias("s"), (-fields).alias("f"), F.col(order).alias("o")))
+    df = staged(df, "listings")  # identities are dear, and read by each of the folds
     best = (F.min_by(c, F.struct((-_quality(df, c)).alias("q"), F.col("_ord").alias("o"))).alias(c) for c in names)
     flags = (F.bool_and(c).alias(c) for c in ("numeric_keypad", "keyboard_backlight"))
     merged = df.groupBy("_key").agg(*best, *flags, F.count(F.lit(1)).alias("records"))
@@ -91,7 +95,7 @@ def merge_records(records: DataFrame, order: str, facts: DataFrame | None = None
     out = out.withColumn("evidence", F.coalesce("evidence", F.create_map().cast("map<string,string>"))).withColumn("atomic_source_names", F.coalesce("atomic_source_names", F.array().cast("array<string>")))
     out = out.withColumn("source", F.array_join("atomic_source_names", "+")).withColumn("source_count", F.size("atomic_source_names"))
     out = out.withColumn("brand", L.brand(F.col("brand"), F.col("title"))).withColumn("cpu", L.cpu_model(F.col("cpu"))).withColumn("cpu_voltage_type", voltage_of())
-    out = out.withColumn("identity_key", key_of(out))
+    out = out.withColumn("identity_key", key_of(out, F.col("atomic_source_names")))
     out = apply_facts(out, facts) if facts is not None else out
     return out.withColumn("rejection_reasons", reasons_of()).withColumn("publish_eligible", F.size("rejection_reasons") == 0)
 
