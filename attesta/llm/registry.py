@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, chat_formatting, decontamination, fingerprints, html_extraction, line_dedup, lm_scoring, simhash_dedup, suffix_dedup, toxicity
+from . import byte_bpe, chat_formatting, decontamination, filter_audit, fingerprints, html_extraction, lexical_search, line_dedup, lm_scoring, packing, simhash_dedup, suffix_dedup, toxicity
 
-MODULES = (line_dedup, fingerprints, html_extraction, simhash_dedup, decontamination, byte_bpe, suffix_dedup, lm_scoring, toxicity, chat_formatting)
+MODULES = (line_dedup, fingerprints, html_extraction, simhash_dedup, decontamination, byte_bpe, suffix_dedup, lm_scoring, toxicity, chat_formatting, packing, filter_audit, lexical_search)
 
 
 def queries() -> dict:
