@@ -7,7 +7,7 @@ kept and nested: a class lies in the class of the nearest element around it, and
 The nested classes are the template. Texts of the class of an element around them are the template's own; all other text fills slots.
 
 The main slot is that of the deepest element, once on its pages, that holds over half of the slot text; a page's text is that slot,
-without what is in it under menus, footers, forms, notices, adverts and reader comments (by their elements, roles and whole class names). An
+without what is in it under menus, footers, forms, notices, adverts and reader comments (by their elements, roles, and class names and ids, whole or by the words in them). An
 article element in it keeps even the texts that all pages have. Pages without the template's main element, and hosts of too few pages to deduce a template from,
 fall back on article or main elements, and then on all that is under no such element.
 
@@ -24,6 +24,7 @@ from __future__ import annotations
 import html as html_lib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -41,6 +42,10 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 APART = frozenset("nav footer form button dialog".split())
 #: Class names and ids of parts that are not the article, each a whole name.
 NAMED = re.compile(r"ads?|adverts?|advertisements?|adsense|sponsor(?:ed|s)?|promos?|banner|sidebars?|side-?bar|widgets?|menus?|nav|navbar|navigation|breadcrumbs?|pagination|pager|site-?header|masthead|footer|site-?footer|(?:cookie-?)?(?:consent|notices?|banner)|cookies?|alerts?|gdpr|newsletter|subscribe|signup|login|share|sharing|social|comments?|comment-?list|replies|disqus|respond|popup|modal|overlay|copyright|search", re.I)
+#: Words that make a name of several such (parted by hyphens, underscores or capitals) one of these parts, and words that tell of something else.
+NAMING = frozenset("ad ads advert adverts advertisement advertisements adsense sponsor sponsors sponsored promo promos promotion banner sidebar sidebars widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs pagination pager masthead footer consent notice notices cookie cookies gdpr newsletter subscribe signup login share sharing social comment comments replies disqus respond popup modal overlay copyright related recommended".split())
+ELSE = frozenset("no not non without with has category tag topic type format".split())
+PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 ROLES = frozenset("navigation banner contentinfo complementary search alert dialog form menu menubar".split())
 MAIN = frozenset(("article", "main"))
 #: Elements that hold blocks; the text in any other block is credited to the nearest of these around it.
@@ -48,6 +53,15 @@ CONTAINER = frozenset("html body div section center article main".split())
 SPACE = re.compile(r"\s+")
 
 
+@lru_cache(100_000)
+def named_apart(name: str) -> bool:
+    """Whether a class name or an id is that of an advert, a menu, comments and the like."""
+    if NAMED.fullmatch(name):
+        return True
+    parts = [p.lower() for p in PARTS.findall(name)]
+    return not NAMING.isdisjoint(parts) and ELSE.isdisjoint(parts)
+
+
 def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^\s*[A-Za-z][A-Za-z0-9+.\-]*://([^/?#:\s]*)", 1)), F.lit(""))
 
@@ -97,7 +111,7 @@ def tokens(page: str):
         if tag in MAIN:
             inside = inside or not apart
         elif tag not in ("html", "body"):
-            apart = apart or tag in APART or tag in ("header", "aside") and not inside or names.get("role", "").lower() in ROLES or any(NAMED.fullmatch(x) for a in ("class", "id") for x in names.get(a, "").split())
+            apart = apart or tag in APART or tag in ("header", "aside") and not inside or names.get("role", "").lower() in ROLES or any(named_apart(x) for a in ("class", "id") for x in names.get(a, "").split())
         path = f"{path}/{label}" if tag in BLOCK else path
         stack.append((tag, path, apart, inside))
         yield ("open", path, apart, inside, label)

@@ -424,10 +424,15 @@ def similar(docs: DataFrame, width: int = 5, least: float = 0.8, text: str = "te
 
 
 def first_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The documents of ``docs`` that are the first (smallest doc_id) of their component; rows of that id that repeat are kept once."""
+    """The documents of ``docs`` that are the first (smallest doc_id) of their component; rows of that id that repeat are kept once.
+
+    A row without doc_id is no other's copy and has none: all of them stay.
+    """
     first = materialise(similar(docs, **options).where("doc_id = sd_component").select("doc_id"), "simhash-first")
-    out = docs.join(bounded(first), "doc_id", "left_semi")
-    return out if docs.groupBy("doc_id").count().where("count > 1").isEmpty() else out.dropDuplicates(["doc_id"])
+    out = docs.join(bounded(first), "doc_id", "left_semi").select(*docs.columns)
+    if not docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
+        out = out.dropDuplicates(["doc_id"])
+    return out.unionByName(docs.where("doc_id IS NULL"))
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:

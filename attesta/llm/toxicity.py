@@ -44,7 +44,9 @@ PRIOR = 2.0
 STEMS, FUZZY = (4, 8), (5, 7)
 #: Words on each side that are looked at, and the share that a word of reporting takes from a match.
 WINDOW, REPORTED = 6, 0.5
-QUOTES = "\"“”„«»‹›‘`"
+#: Quotation marks by family. Before a word one opens, and after a word it closes, whichever of the family it is: languages differ in that.
+FAMILIES = {q: f for f, marks in enumerate(('"', "“”„", "«»", "‹›", "‘’", "`")) for q in marks}
+QUOTES = "".join(FAMILIES)
 REPORTING = frozenset("said says wrote called quote quoted word term insult sagte schrieb nannte wort dit écrit mot terme dijo escribió llamó palabra".split())
 LOOKS_LIKE = str.maketrans("013457@$!", "oieastasi")
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "…–—¡¿" + QUOTES
@@ -146,12 +148,11 @@ class Lexicon:
         self.memory[token] = found
         return found
 
-    def quoted(self, tokens: list[str], i: int) -> float:
-        """How far the window around a match says that it is quoted, from 0 to 1."""
-        before, after = tokens[max(0, i - WINDOW) : i + 1], tokens[i : i + WINDOW + 1]
-        opened = any(t[0] in QUOTES for t in before if t)
-        closed = any(q in t[1:] for t in after for q in QUOTES if q in t)
-        return 1.0 if opened and closed else REPORTED if any(t.strip(EDGES) in REPORTING for t in before[-3:-1]) else 0.0
+    def quoted(self, tokens: list[str], i: int, quotations: list[tuple[int, int]]) -> float:
+        """How far the window around a match says that it is quoted, from 0 to 1: in full if a quotation begins and ends in it, around the match."""
+        if any(i - WINDOW <= a <= i <= b <= i + WINDOW for a, b in quotations):
+            return 1.0
+        return REPORTED if any(t.strip(EDGES) in REPORTING for t in tokens[max(0, i - 2) : i]) else 0.0
 
     def found(self, tokens: list[str]) -> dict[int, tuple[int, bool]]:
         """The matches of a text: term and whether misspelled, by place."""
@@ -163,8 +164,10 @@ class Lexicon:
         """Sums of weights of the different terms matched and of those quoted, up to ENOUGH; share of words; 1."""
         least: dict[tuple[int, bool], float] = {}
         hits = 0.0
-        for i, m in self.found(tokens).items():
-            q = self.quoted(tokens, i)
+        found = self.found(tokens)
+        spans = quotations(tokens) if found else []
+        for i, m in found.items():
+            q = self.quoted(tokens, i, spans)
             least[m] = min(q, least.get(m, 1.0))
             hits += (1 - q) * (missed[m[0]] / exact[m[0]] if m[1] else 1.0)
         sums = [0.0, 0.0]
@@ -175,12 +178,51 @@ class Lexicon:
         return [*(min(x, ENOUGH) for x in sums), min(100.0 * hits / max(1, len(tokens)), 10.0), 1.0]
 
 
+def quotations(tokens: list[str]) -> list[tuple[int, int]]:
+    """The first and last token of each quotation that is opened and closed; quotations may lie in one another.
+
+    A mark before a word opens (anew, if its family is open), one after a word closes what is open of its family, with all that was
+    opened within. A mark that stands alone closes if its family is open, and opens otherwise. Marks within a word are none, nor are
+    those that nothing opens or closes.
+    """
+    out: list[tuple[int, int]] = []
+    opened: list[tuple[int, int]] = []  # (family, token)
+
+    def mark(family: int, opens: bool | None, i: int) -> None:
+        at = next((k for k in range(len(opened) - 1, -1, -1) if opened[k][0] == family), None)
+        if opens is None:
+            opens = at is None
+        if at is not None:
+            if not opens:
+                out.append((opened[at][1], i))
+            del opened[at:]
+        if opens:
+            opened.append((family, i))
+
+    for i, t in enumerate(tokens):
+        if t[:1].isalnum() and t[-1:].isalnum():
+            continue
+        head = len(t) - len(t.lstrip(EDGES))
+        if head == len(t):
+            for c in t:
+                if c in FAMILIES:
+                    mark(FAMILIES[c], None, i)
+            continue
+        for c in t[:head]:
+            if c in FAMILIES:
+                mark(FAMILIES[c], True, i)
+        for c in t[len(t.rstrip(EDGES)) :]:
+            if c in FAMILIES:
+                mark(FAMILIES[c], False, i)
+    return out
+
+
 def words_of(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
 
 def crc_of(key: Column) -> Column:
-    return F.crc32(key.cast("string").cast("binary"))
+    return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary"))  # 0 where there is no key
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,6 +16,10 @@ DOCS = "doc_id long, text string, lang string, source string, n_chars long, ld_l
 WORDS = "the of and lamp river stone green walk éclair straße 12 over under moss fern".split()
 
 
+def quoted(lex, text, i):
+    return lex.quoted(text.split(), i, toxicity.quotations(text.split()))
+
+
 def words(rng, n):
     return " ".join(rng.choice(WORDS) + rng.choice(["", "s", "ing", "er", ","]) for _ in range(n))
 
@@ -380,7 +384,7 @@ def test_levenshtein_automaton():
     assert all(lex.match(w) == (i, False) for w, i in exact.items())
     assert all(lex.match(w) == (i, True) for w, i in {"idot": 0, "1diot": 0, "idiott": 0, "odiot": 0, "disgsting": 3}.items())
     assert [lex.match(w) for w in ("idoti", "scun", "the", "", "lowex")] == [None] * 5
-    assert lex.quoted('he said "you idiot" then'.split(), 3) and not lex.quoted("you idiot then".split(), 1)
+    assert quoted(lex, 'he said "you idiot" then', 3) and not quoted(lex, "you idiot then", 1)
 
 
 def test_levenshtein_automaton_against_whole_rows():
