@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions import text as T
+from .staging import staged
 
 
 def compile_filters(spec: dict[str, Any]) -> list[Column]:
@@ -151,16 +152,26 @@ def listing_spec(filters: dict[str, Any]) -> dict[str, Any]:
     return {k: v for k, v in out.items() if v}
 
 
-def grouped(df: DataFrame, group: str, rank: str, order: str, width: int = 8) -> DataFrame:
-    """Rows with their place in their group (unranked last) and the group's first appearance.
+def numbered(df: DataFrame, groups: list[str], orders: list[str]) -> DataFrame:
+    """``df`` with the place of each row in its group, from 1, in the order of ``orders``.
 
-    Places are counted within parts of a group, ``width`` ranks each, and the parts before are added, so that a group of any size is many tasks' work.
+    Rows are dealt by ranges of group and order, ties of the first orders by the later ones, and numbered where they lie; to that is added
+    how many of the group lie in the ranges before. So a group of any size is the work of as many tasks as it has ranges.
     """
-    at = F.coalesce(F.nullif(F.col(rank), F.lit(0)), F.lit(9999))
-    x = df.withColumn("_r", at).withColumn("_part", F.floor(at / width))
-    w = W.partitionBy(group, "_part").orderBy("_r", order)
-    parts = df.groupBy(group, F.floor(at / width).alias("_part")).agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_o"))
-    before = F.coalesce(F.sum("_n").over(W.partitionBy(group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    parts = parts.withColumn("_before", before).withColumn("group_ord", F.min("_o").over(W.partitionBy(group))).drop("_n", "_o")
-    out = x.withColumn("_p", F.row_number().over(w)).join(parts.withColumnsRenamed({group: "_g"}), F.col(group).eqNullSafe(F.col("_g")) & (x["_part"] == parts["_part"]))
-    return out.withColumn("place", (F.col("_p") + F.col("_before")).cast("int")).select(*df.columns, "place", "group_ord")
+    ranges = df.repartitionByRange(*groups, *orders).sortWithinPartitions(*groups, *orders)
+    # The number of a row in its task, and the task's: bounds of ranges are drawn anew in each run, so they are written down once.
+    laid = staged(ranges.withColumn("_id", F.monotonically_increasing_id()), "numbered").withColumns({"_task": F.shiftright("_id", 33), "_at": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))})
+    parts = laid.groupBy(*groups, "_task").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = F.coalesce(F.sum("_n").over(W.partitionBy(*groups).orderBy("_task").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    side = parts.select(*(F.col(g).alias(f"_g_{g}") for g in groups), F.col("_task").alias("_t"), (before - F.col("_first") + 1).alias("_add"))
+    same = F.col("_task") == F.col("_t")
+    for g in groups:
+        same &= F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    return laid.join(side, same).withColumn("place", F.col("_at") + F.col("_add")).select(*df.columns, "place")
+
+
+def grouped(df: DataFrame, group: str, rank: str, order: str) -> DataFrame:
+    """Rows with their place in their group (unranked last) and the group's first appearance."""
+    out = numbered(df.withColumn("_r", F.coalesce(F.nullif(F.col(rank), F.lit(0)), F.lit(9999))), [group], ["_r", order])
+    first = out.groupBy(F.col(group).alias("_g")).agg(F.min(order).alias("group_ord"))
+    return out.join(first, F.col(group).eqNullSafe(F.col("_g"))).select(*df.columns, F.col("place").cast("int").alias("place"), "group_ord")

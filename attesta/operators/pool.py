@@ -110,3 +110,12 @@ def subscribed(pool: DataFrame, nodes: DataFrame, name: str, order: str, keyword
     added = new.agg(F.count(F.lit(1)).alias("added"))
     counts = nodes.agg(F.count_if(out).alias("excluded"), F.count(F.lit(1)).alias("all"))
     return new, counts.join(F.broadcast(added), F.lit(True)).select("added", "excluded", (F.col("all") - F.col("excluded") - F.col("added")).alias("known"))
+
+
+def dealt(requests: DataFrame, order: str, nodes: DataFrame, name: str = "name", start: int = 0) -> DataFrame:
+    """``requests`` with the node that serves each: round robin over the nodes in the order of their names, all requests in one pass. Without nodes, none has any."""
+    from .browse import numbered
+
+    ring = numbered(nodes.select(F.col(name).alias("node")), [], ["node"]).withColumn("_k", F.col("place") - 1).drop("place")
+    turn = F.pmod(F.col("place") - 1 + start, F.lit(max(1, ring.count())))
+    return numbered(requests, [], [order]).withColumn("_k", turn).join(ring, "_k", "left").drop("_k", "place")

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions import listings as L
 
@@ -125,19 +131,38 @@ def merge_new(state: DataFrame, new: DataFrame, key: str, order: str) -> DataFra
     return keep_first(new.join(state.select(key).distinct(), key, "left_anti"), [key], [order])
 
 
-def streaks(df: DataFrame, part: str, order: str, flag: Column, width: int = 4096) -> DataFrame:
-    """(part, longest run of rows in order for which the flag holds): gaps and islands.
+def streaks(df: DataFrame, part: str, order: str, flag: Column) -> DataFrame:
+    """(part, longest run of rows in order for which the flag holds).
 
-    Runs are counted within stretches of ``width`` numbers of the order; those that cross their borders are put together from what each stretch begins and ends with, so
-    that a part of any size is many tasks' work.
+    Rows are dealt by ranges of part and order, so that a part of any size is many tasks' work. Each task sums up what it has of a part: rows, the runs that
+    begin and end it, and the longest; the sums of a part, one a task, are put together in their order.
     """
-    stretch = [part, "_b"]
-    w = W.partitionBy(*stretch).orderBy(order)
-    rows = df.select(part, F.floor(F.col(order) / width).alias("_b"), order, flag.alias("_f"))
-    runs = rows.withColumn("_g", F.sum(F.when(F.col("_f"), 0).otherwise(1)).over(w)).groupBy(*stretch, "_g").agg(F.count_if(F.col("_f")).alias("_n"))
-    ends = runs.groupBy(*stretch).agg(F.max("_n").alias("longest"), F.coalesce(F.min_by("_n", "_g"), F.lit(0)).alias("_first"), F.min("_g").alias("_low"), F.max_by("_n", "_g").alias("_last"), F.max("_g").alias("_gaps"))
-    ends = ends.withColumn("_first", F.when(F.col("_low") == 0, F.col("_first")).otherwise(0))
-    ends = ends.withColumn("_run", F.sum(F.when(F.col("_gaps") > 0, 1).otherwise(0)).over(W.partitionBy(part).orderBy("_b")))
-    crossing = F.array(F.struct(F.col("_run").alias("r"), F.col("_last").alias("n")), F.when(F.col("_gaps") > 0, F.struct((F.col("_run") - 1).alias("r"), F.col("_first").alias("n"))))
-    crossed = ends.select(part, F.explode(F.filter(crossing, lambda x: x.isNotNull())).alias("x")).groupBy(part, "x.r").agg(F.sum("x.n").alias("longest"))
-    return ends.select(part, "longest").unionAll(crossed.select(part, "longest")).groupBy(part).agg(F.max("longest").alias("longest"))
+    kind = df.schema[part].dataType
+    schema = StructType([StructField("part", kind), StructField("task", LongType()), *(StructField(n, LongType()) for n in ("n", "head", "tail", "most"))])
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        out: list[list] = []  # part, task, rows, run at the beginning, run at the end, longest
+        for batch in batches:
+            keys, on = batch.column(0), np.asarray(batch.column(1).to_numpy(zero_copy_only=False), dtype=bool)
+            if not len(on):
+                continue
+            codes = keys.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(np.diff(codes)) + 1).tolist(), len(on)]
+            for a, b in zip(cuts, cuts[1:]):
+                off = np.flatnonzero(~on[a:b])
+                n = b - a
+                edges = np.concatenate([[-1], off, [n]])
+                new = [keys[a].as_py(), task, n, int(edges[1]), int(n - 1 - edges[-2]), int(np.diff(edges).max()) - 1]
+                if out and out[-1][0] == new[0]:
+                    old = out.pop()
+                    new = [old[0], task, old[2] + n, old[2] + new[3] if old[3] == old[2] else old[3], n + old[4] if new[4] == n else new[4], max(old[5], new[5], old[4] + new[3])]
+                out.append(new)
+        types = [f.type for f in to_arrow_schema(schema)]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], names=schema.names)
+
+    rows = df.select(F.col(part), F.coalesce(flag, F.lit(False)).alias("_f"), order).repartitionByRange(part, order).sortWithinPartitions(part, order)
+    parts = rows.select(part, "_f").mapInArrow(sums, schema).groupBy("part").agg(F.array_sort(F.collect_list(F.struct("task", "n", "head", "tail", "most"))).alias("s"))
+    zero = F.struct(F.lit(0).cast("long").alias("tail"), F.lit(0).cast("long").alias("most"))
+    joined = F.aggregate("s", zero, lambda a, x: F.struct(F.when(x["tail"] == x["n"], a["tail"] + x["n"]).otherwise(x["tail"]).alias("tail"), F.greatest(a["most"], x["most"], a["tail"] + x["head"]).alias("most")))
+    return parts.select(F.col("part").alias(part), joined["most"].alias("longest"))

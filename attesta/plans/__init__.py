@@ -1,3 +1,3 @@
 """Registered queries and their oracles."""
 
-from . import catalogue, extended  # noqa: F401  the second adds its queries to the first's registry
+from . import catalogue, extended, streams  # noqa: F401  the others add their queries to the first's registry

@@ -21,6 +21,7 @@ from ..operators import validate as V
 from ..sources import archives as A
 from ..sources import markup as H
 from ..sources import payload as S
+from ..operators.staging import scratch
 from ..streaming import incremental as I
 
 QUERIES: dict = {}
@@ -103,7 +104,7 @@ def html_links(spark, d):
 @query("SELECT page_id, host, (row_number() OVER (PARTITION BY host ORDER BY page_id)) AS rank FROM (SELECT page_id, regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1) AS host FROM pages)")
 def ranked_scan(spark, d):
     hosts = t(spark, d, "pages").select("page_id", T.url_host(F.col("url")).alias("host"), (F.col("page_id") + 1).alias("r"))
-    return B.grouped(hosts, "host", "r", "page_id", 1024).select("page_id", "host", F.col("place").cast("long").alias("rank"))
+    return B.grouped(hosts, "host", "r", "page_id").select("page_id", "host", F.col("place").cast("long").alias("rank"))
 
 
 @query("SELECT p_partkey, CASE WHEN regexp_matches(p_type, 'STEEL|BRASS') THEN 'metal' WHEN regexp_matches(p_type, '^SMALL') THEN 'small' WHEN regexp_matches(p_type, 'A') THEN 'other_a' ELSE 'unknown' END AS class FROM part")
@@ -341,7 +342,7 @@ def worklist(spark, d):
 
 @query("WITH g AS (SELECT *, sum(CASE WHEN f THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY event_id) AS g FROM (SELECT user_id, event_id, coalesce(value < 20, false) AS f FROM events)) SELECT user_id, max(n) AS longest FROM (SELECT user_id, g, count(*) FILTER (f) AS n FROM g GROUP BY ALL) GROUP BY user_id")
 def empty_streak(spark, d):
-    return M.streaks(t(spark, d, "events"), "user_id", "event_id", F.coalesce(F.col("value") < 20, F.lit(False)), 64)
+    return M.streaks(t(spark, d, "events"), "user_id", "event_id", F.col("value") < 20)
 
 
 @query("SELECT event_id, hour(ts + INTERVAL 8 HOUR) * 60 + minute(ts + INTERVAL 8 HOUR) AS minutes FROM events WHERE hour(ts + INTERVAL 8 HOUR) * 60 + minute(ts + INTERVAL 8 HOUR) BETWEEN 300 AND 720")
@@ -414,12 +415,7 @@ def upsert_actions(spark, d):
 
 @query("SELECT event_id, user_id, event_type FROM events")
 def stream_resume(spark, d):
-    import uuid
-
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    where = (shared or "file:///tmp/attesta-checkpoints").rstrip("/") + f"/stream-{uuid.uuid4().hex}"
+    where = scratch(spark, "stream")
     I.resumable(spark, d, f"{where}/sink", f"{where}/state", "event_id", "events.parquet")
     return spark.read.parquet(f"{where}/sink").select("event_id", "user_id", "event_type")
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .keyed import KeyedTable
+
 
 def resumable(spark: SparkSession, source: str, sink: str, checkpoint: str, key: str, pattern: str = "*.parquet") -> int:
     """Append the rows of new files whose key is new to ``sink``; returns the batches run. Calling it again goes on from the checkpoint.
@@ -29,36 +31,13 @@ def upsert(current: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return a.join(b, key, "full").select(key, F.when(F.col("_a").isNull(), "insert").when(F.col("_b").isNull(), "keep").otherwise("update").alias("action"))
 
 
-def upserted(current: DataFrame | None, new: DataFrame, key: str, order: str) -> DataFrame:
-    """The rows of both; of a key that both have the new one, and of new rows of one key the last in order."""
-    last = new.groupBy(key).agg(F.max_by(F.struct(*new.columns), order).alias("r")).select("r.*")
-    return last if current is None else current.join(last.select(key), key, "left_anti").select(*current.columns).unionByName(last, allowMissingColumns=True)
-
-
-def upsert_sink(folder: str, key: str, order: str):
-    """A function for ``foreachBatch``: each batch writes a whole new version beside the last, so that one that is tried again writes the same."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        before = versions(batch.sparkSession, folder)
-        older = [v for v in before if v < batch_id]
-        current = batch.sparkSession.read.parquet(f"{folder}/version={max(older)}") if older else None
-        upserted(current, batch, key, order).write.mode("overwrite").parquet(f"{folder}/version={batch_id}")
-
-    return write
-
-
-def versions(spark: SparkSession, folder: str) -> list[int]:
-    """The versions that were written whole."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = fs.listStatus(where) if fs.exists(where) else []
-    names = [str(f.getPath()) for f in found]
-    return sorted(int(n.rpartition("=")[2]) for n in names if "version=" in n and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{n}/_SUCCESS")))
+def upsert_sink(spark: SparkSession, folder: str, key: str, order: str, **options):
+    """A function for ``foreachBatch`` that upserts each batch into a keyed table; one that is tried again changes nothing."""
+    return KeyedTable(spark, folder, key, **options).sink(order)
 
 
-def read_newest(spark: SparkSession, folder: str) -> DataFrame | None:
-    found = versions(spark, folder)
-    return spark.read.parquet(f"{folder}/version={found[-1]}") if found else None
+def read_newest(spark: SparkSession, folder: str, key: str) -> DataFrame | None:
+    return KeyedTable(spark, folder, key).read()
 
 
 def run_budget(now: str, end: str, total: int, buffer: int = 900, least: int = 300):

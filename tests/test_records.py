@@ -256,11 +256,11 @@ def test_cursors_and_upserts(spark, tmp_path):
     top = reports.most_common(spark.createDataFrame([("b", 0), ("a", 1), ("a", 2), ("b", 3), ("c", 4)], "v string, o int"), F.col("v"), "v", "o", 2)
     assert [tuple(r) for r in top.collect()] == [("b", 2), ("a", 2)]
     df = spark.createDataFrame([("k1", 1, "x"), ("k1", 2, "y"), ("k2", 3, "z")], "k string, o int, v string")
-    sink = incremental.upsert_sink(f"file://{tmp_path}/state", "k", "o")
+    sink = incremental.upsert_sink(spark, f"file://{tmp_path}/state", "k", "o")
     sink(df, 0)
     sink(df.where("o = 2").withColumn("v", F.lit("new")), 1)
     sink(df.where("o = 2").withColumn("v", F.lit("new")), 1)
-    assert sorted((r["k"], r["v"]) for r in incremental.read_newest(spark, f"file://{tmp_path}/state").collect()) == [("k1", "new"), ("k2", "z")] and incremental.read_newest(spark, f"file://{tmp_path}/none") is None
+    assert sorted((r["k"], r["v"]) for r in incremental.read_newest(spark, f"file://{tmp_path}/state", "k").collect()) == [("k1", "new"), ("k2", "z")] and incremental.read_newest(spark, f"file://{tmp_path}/none", "k") is None
     with pytest.raises(PublishGuardError):
         protect.guarded_write(df, f"file://{tmp_path}/few", 4, "the scan")
     protect.guarded_write(df, f"file://{tmp_path}/few", 3, "the scan")
@@ -317,5 +317,9 @@ def test_streaks_across_stretches(spark):
             best = max(best, run)
         want[p] = best
     df = spark.createDataFrame(rows, "p int, o int, f boolean")
-    for width in (1, 50, 5000):
-        assert dict(map(tuple, resolve.streaks(df, "p", "o", F.col("f"), width).collect())) == want
+    for ranges in ("1", "3", "40"):
+        spark.conf.set("spark.sql.shuffle.partitions", ranges)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        assert dict(map(tuple, resolve.streaks(df, "p", "o", F.col("f")).collect())) == want
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
