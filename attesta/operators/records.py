@@ -41,6 +41,21 @@ def key_of(df: DataFrame, sources: Column | None = None) -> Column:
     return of(sources) if sources is not None else let(L.atomic_sources(F.col("atomic_source_names"), F.col("source")), of)
 
 
+INPUTS = ("brand", "model", "title", "cpu", "model_identity", "atomic_source_names", "source")
+
+
+def with_key(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with its canonical ``_sources`` and its identity ``_key``: derived once for each different input, which is dear, and joined."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:  # a few large splits
+        df = df.repartition(cores)
+    told = df.withColumn("_in", F.sha2(F.to_json(F.struct(*INPUTS)), 256))
+    once = told.groupBy("_in").agg(F.first(F.struct(*INPUTS)).alias("x")).select("_in", "x.*").repartition(cores, "_in")
+    named = staged(once.select("_in", *INPUTS, L.atomic_sources(F.col("atomic_source_names"), F.col("source")).alias("_sources")), f"{name}-inputs").repartition(cores, "_in")
+    keys = staged(named.select("_in", "_sources", key_of(named, F.col("_sources")).alias("_key")), f"{name}-keys")
+    return told.join(keys, "_in").drop("_in")
+
+
 def _quality(df: DataFrame, name: str) -> Column:
     kind = df.schema[name].dataType
     by = "boolean" if isinstance(kind, T.BooleanType) else "number" if isinstance(kind, T.NumericType) else "array" if isinstance(kind, T.ArrayType) else "string"
@@ -66,38 +81,35 @@ def merge_records(records: DataFrame, order: str, facts: DataFrame | None = None
     """
     df = completed(records)
     names = [c for c in df.columns if c not in RULED and c != order]
-    df = df.withColumn("_sources", L.atomic_sources(F.col("atomic_source_names"), F.col("source")))
-    df = df.withColumn("_key", key_of(df, F.col("_sources")))
     fields = sum((F.col(c).isNotNull().cast("int") for c in records.columns if c != order), F.lit(0))
-    df = df.withColumn("_ord", F.struct((-F.size("_sources")).alias("s"), (-fields).alias("f"), F.col(order).alias("o")))
-    df = staged(df, "listings")  # identities are dear, and read by each of the folds
+    keyed = with_key(df, "listings")
+    df = staged(keyed.withColumn("_ord", F.struct((-F.size("_sources")).alias("s"), (-fields).alias("f"), F.col(order).alias("o"))), "keyed-listings")  # read by each of the folds
     best = (F.min_by(c, F.struct((-_quality(df, c)).alias("q"), F.col("_ord").alias("o"))).alias(c) for c in names)
     flags = (F.bool_and(c).alias(c) for c in ("numeric_keypad", "keyboard_backlight"))
     merged = df.groupBy("_key").agg(*best, *flags, F.count(F.lit(1)).alias("records"))
 
-    def entries(column: str, name: str) -> Column:
-        """A record's map as (source, value) with canonical names, in its order."""
-        kind = df.schema[column].dataType.valueType.simpleString()
-        given = F.transform(F.coalesce(F.map_entries(column), F.expr(f"cast(array() as array<struct<key:string,value:{kind}>>)")), lambda e, i: F.struct(L.source_name(e["key"]).alias("source"), e["value"].alias(name), i.alias("i")))
-        own = F.transform("_sources", lambda s, i: F.struct(s.alias("source"), F.col({"url": "source_url", "rank": "source_rank"}[name]).cast(kind).alias(name), (i + 1_000_000).alias("i")))
-        return F.concat(given, own)
-
-    per = lambda column, name: df.select("_key", F.col(order).alias("_o"), F.explode(entries(column, name)).alias("e")).select("_key", "_o", "e.*")
-    urls = per("source_urls", "url").where(F.coalesce(F.col("url"), F.lit("")) != "").groupBy("_key", "source").agg(F.min_by("url", F.struct("_o", "i")).alias("url"))
-    ranks = per("source_ranks", "rank").groupBy("_key", "source").agg(F.min("rank").alias("rank"))
-    own = df.select("_key", F.explode("_sources").alias("source")).distinct().withColumn("own", F.lit(True))
-    sources = ranks.join(urls, ["_key", "source"], "full").join(own, ["_key", "source"], "full")
+    def given(column: str, place: str) -> Column:
+        """A record's map as (source, url, rank, own, i) with canonical names, in its order."""
+        at = {"url": F.lit(None).cast("string"), "rank": F.lit(None).cast("int")}
+        entry = lambda e, i: F.struct(L.source_name(e["key"]).alias("source"), *((e["value"].cast(k) if n == place else at[n]).alias(n) for n, k in (("url", "string"), ("rank", "int"))), F.lit(False).alias("own"), i.alias("i"))
+        return F.when(F.size(column) > 0, F.transform(F.map_entries(column), entry)).otherwise(F.array().cast("array<struct<source:string,url:string,rank:int,own:boolean,i:int>>"))
+
+    own = F.transform("_sources", lambda s, i: F.struct(s.alias("source"), F.col("source_url").alias("url"), F.col("source_rank").cast("int").alias("rank"), F.lit(True).alias("own"), (i + 1_000_000).alias("i")))
+    per = df.select("_key", F.col(order).alias("_o"), F.inline(F.concat(given("source_urls", "url"), given("source_ranks", "rank"), own)))
+    sources = per.groupBy("_key", "source").agg(F.min_by("url", F.when(F.coalesce(F.col("url"), F.lit("")) != "", F.struct("_o", "i"))).alias("url"), F.min("rank").alias("rank"), F.bool_or("own").alias("own"))
     of = lambda value: F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col(value).isNotNull(), F.struct("source", value)))))
     sources = sources.groupBy("_key").agg(F.array_sort(F.collect_list(F.when(F.col("own"), F.col("source")))).alias("atomic_source_names"), of("url").alias("source_urls"), of("rank").alias("source_ranks"), F.min("rank").alias("source_rank"))
     said = df.select("_key", F.col(order).alias("_o"), F.explode("evidence").alias("field", "value")).groupBy("_key", "field").agg(F.max_by("value", "_o").alias("value"))
     said = said.groupBy("_key").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "value")))).alias("evidence"))
-    out = merged.join(sources, "_key", "left").join(said, "_key", "left").drop("_key")
-    out = out.withColumn("evidence", F.coalesce("evidence", F.create_map().cast("map<string,string>"))).withColumn("atomic_source_names", F.coalesce("atomic_source_names", F.array().cast("array<string>")))
-    out = out.withColumn("source", F.array_join("atomic_source_names", "+")).withColumn("source_count", F.size("atomic_source_names"))
-    out = out.withColumn("brand", L.brand(F.col("brand"), F.col("title"))).withColumn("cpu", L.cpu_model(F.col("cpu"))).withColumn("cpu_voltage_type", voltage_of())
-    out = out.withColumn("identity_key", key_of(out, F.col("atomic_source_names")))
+    out = merged.join(sources, "_key", "left").join(said, "_key", "left")
+    names = F.coalesce("atomic_source_names", F.array().cast("array<string>"))
+    new = {"evidence": F.coalesce("evidence", F.create_map().cast("map<string,string>")), "atomic_source_names": names, "source": F.array_join(names, "+"), "source_count": F.size(names), "brand": L.brand(F.col("brand"), F.col("title")), "cpu": L.cpu_model(F.col("cpu"))}
+    out = staged(out.select(*(c for c in out.columns if c not in new and c != "_key"), *(v.alias(k) for k, v in new.items())), "merged-groups")
+    out = with_key(out.withColumn("cpu_voltage_type", voltage_of()), "merged").withColumnRenamed("_key", "identity_key").drop("_sources")
+    out = staged(out, "merged-listings")
     out = apply_facts(out, facts) if facts is not None else out
-    return out.withColumn("rejection_reasons", reasons_of()).withColumn("publish_eligible", F.size("rejection_reasons") == 0)
+    reasons = reasons_of()
+    return out.select("*", reasons.alias("rejection_reasons")).withColumn("publish_eligible", F.size("rejection_reasons") == 0)
 
 
 def _apart_from(*names: str):
