@@ -163,21 +163,34 @@ def edited(docs: DataFrame, links: DataFrame) -> DataFrame:
     nxt = docs.select(F.col("id").alias("next_id"), "text").join(links, "next_id").select("id", F.expr("substring(text, 1, need)").alias("head"))
     nxt = nxt.groupBy("id").agg(F.min("head").alias("head"))
     quarter = F.floor(F.length("text") / 4).cast("int")
-    return docs.join(nxt, "id").select(*docs.columns, F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 4) as int))"), F.substring("head", F.lit(1), quarter)).alias("edited"))
+    return docs.join(nxt, "id").select("id", "text", F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 4) as int))"), F.substring("head", F.lit(1), quarter)).alias("edited"))
+
+
+def _unused_id(docs: DataFrame) -> int | None:
+    """An id for rows that have none, if there are any: one more than the largest; or, where that is the last of all, the next below it that no row has."""
+    last, none = docs.agg(F.max("doc_id"), F.count_if(F.col("doc_id").isNull())).first()
+    if not none:
+        return None
+    if last is None or last < 2**63 - 1:
+        return 0 if last is None else last + 1
+    while not docs.where(F.col("doc_id") == last).isEmpty():
+        last -= 1
+    return last
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """The digest columns of the query: each document's fingerprint beside those of its edited text and the next document.
 
-    Documents without a doc_id come after all others, and the first follows them. Of rows with one doc_id, or none, the smallest head of a text,
+    Documents without a doc_id come after all others (before those of the largest possible id, if there are such), and the first follows them. Of rows with one doc_id, or none, the smallest head of a text,
     and the smallest fingerprint, stand for the next document.
     """
-    docs = docs.select(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), F.coalesce("text", F.lit("")).alias("text"), F.col("doc_id").isNull().alias("nameless"))
+    stand_in = _unused_id(docs)
+    docs = docs.select(F.coalesce("doc_id", F.lit(stand_in)).alias("id") if stand_in is not None else F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     needs = materialise(docs.groupBy("id").agg(F.floor(F.max(F.length("text")) / 4).cast("int").alias("need")), "fingerprint-needs")  # each level of next_ids reads it anew
     links = materialise(next_ids(needs).join(needs, "id"), "fingerprint-links")
     pairs = edited(docs, links)
-    both = pairs.select("id", "nameless", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), canonical(F.col("text")).alias("a"), canonical(F.col("edited")).alias("b"))
-    done = materialise(both.select("id", "nameless", "n_chars", "edited_sha256", *(h.alias(f"a_{n}") for h, n in zip(wide(F.col("a")), ("h1", "h2"))), *(h.alias(f"b_{n}") for h, n in zip(wide(F.col("b")), ("h1", "h2")))), "fingerprint-digests")
+    both = pairs.select("id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), canonical(F.col("text")).alias("a"), canonical(F.col("edited")).alias("b"))
+    done = materialise(both.select("id", "n_chars", "edited_sha256", *(h.alias(f"a_{n}") for h, n in zip(wide(F.col("a")), ("h1", "h2"))), *(h.alias(f"b_{n}") for h, n in zip(wide(F.col("b")), ("h1", "h2")))), "fingerprint-digests")
     rows = done.select("id", F.col("a_h1").alias("h1"), F.col("a_h2").alias("h2")).unionAll(done.select("id", "b_h1", "b_h2"))
     keys = repeated_buckets(rows.select("h1", "h2"))
     # Only documents with a repeated digest are read again to compare their bytes.
@@ -196,11 +209,11 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
             texts = texts.join(split.withColumnsRenamed({"h1": f"{k}_h1", "h2": f"{k}_h2", "canon": k, "ordinal": f"{k}_ord"}), [f"{k}_h1", f"{k}_h2", k], "left")
         keys4 = ["id", "a_h1", "a_h2", "b_h1", "b_h2"]
         done = done.join(texts.select(*keys4, "a_ord", "b_ord"), keys4, "left")
-    done = done.select("id", "nameless", "n_chars", "edited_sha256", suffixed(F.col("a_h1"), F.col("a_h2"), F.col("a_ord")).alias("fingerprint"), suffixed(F.col("b_h1"), F.col("b_h2"), F.col("b_ord")).alias("edited_fingerprint"))
+    done = done.select("id", "n_chars", "edited_sha256", suffixed(F.col("a_h1"), F.col("a_h2"), F.col("a_ord")).alias("fingerprint"), suffixed(F.col("b_h1"), F.col("b_h2"), F.col("b_ord")).alias("edited_fingerprint"))
     heads = done.groupBy("id").agg(F.min("fingerprint").alias("next_fingerprint")).withColumnRenamed("id", "next_id")
     out = done.join(links.select("id", "next_id"), "id").join(heads, "next_id")
     like = lambda a, b: F.when(F.col(a) == F.col(b), 1.0).otherwise(0.0)
-    return out.select(F.when(~F.col("nameless"), F.col("id")).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", like("fingerprint", "edited_fingerprint").alias("near_edited"), like("fingerprint", "next_fingerprint").alias("near_next"))
+    return out.select((F.when(F.col("id") != stand_in, F.col("id")) if stand_in is not None else F.col("id")).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", like("fingerprint", "edited_fingerprint").alias("near_edited"), like("fingerprint", "next_fingerprint").alias("near_next"))
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:

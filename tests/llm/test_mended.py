@@ -79,6 +79,13 @@ def test_fingerprints_keep_rows_without_ids(spark):
     assert sha[9, 19] == digest("nine nine nine nine"[:15])  # of two rows without an id, the empty text is the smaller head
 
 
+def test_an_id_for_rows_without_one(spark):
+    of = lambda *ids: fingerprints._unused_id(spark.createDataFrame([(i,) for i in ids], "doc_id long"))
+    assert of(1, 2) is None and of(1, None) == 2 and of(None) == 0 and of(2**63 - 1, 2**63 - 2, None) == 2**63 - 3
+    out = fingerprints.edited_fingerprints(spark.createDataFrame([(2**63 - 1, "a"), (None, "b")], "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in out} == {2**63 - 1, None}
+
+
 def test_near_dedup_keeps_rows_without_ids(spark):
     text = "one two three four five six seven eight nine ten"
     rows = [(3, text), (1, text), (None, text), (None, text), (4, "another text of quite other words than those"), (4, "another text of quite other words than those"), (None, None)]
