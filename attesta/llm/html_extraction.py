@@ -41,9 +41,9 @@ BLOCK = frozenset("address article aside blockquote body center dd details dialo
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 APART = frozenset("nav footer form button dialog".split())
 #: Class names and ids of parts that are not the article, each a whole name.
-NAMED = re.compile(r"ads?|adverts?|advertisements?|adsense|sponsor(?:ed|s)?|promos?|banner|sidebars?|side-?bar|widgets?|menus?|nav|navbar|navigation|breadcrumbs?|pagination|pager|site-?header|masthead|footer|site-?footer|(?:cookie-?)?(?:consent|notices?|banner)|cookies?|alerts?|gdpr|newsletter|subscribe|signup|login|share|sharing|social|comments?|comment-?list|replies|disqus|respond|popup|modal|overlay|copyright|search", re.I)
+NAMED = re.compile(r"ads?|adverts?|advertisements?|adsense|sponsor(?:ed|s)?|promos?|banner|sidebars?|side-?bar|widgets?|menus?|nav|navbar|navigation|breadcrumbs?|pagination|pager|site-?header|masthead|footer|site-?footer|(?:cookie-?)?(?:consent|notices?|banner)|cookies?|alerts?|gdpr|newsletter|subscribe|signup|login|share|sharing|social|comments?|comment-?list|replies|disqus|respond|popup|modal|overlay|copyright|search|(?:related|recommended)[-_]?(?:posts?|articles?|stories|links)", re.I)
 #: Words that make a name of several such (parted by hyphens, underscores or capitals) one of these parts, and words that tell of something else.
-NAMING = frozenset("ad ads advert adverts advertisement advertisements adsense sponsor sponsors sponsored promo promos promotion banner sidebar sidebars widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs pagination pager masthead footer consent notice notices cookie cookies gdpr newsletter subscribe signup login share sharing social comment comments replies disqus respond popup modal overlay copyright related recommended".split())
+NAMING = frozenset("ad ads advert adverts advertisement advertisements adsense sponsor sponsors sponsored promo promos promotion banner sidebar sidebars widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs pagination pager masthead footer consent notice notices cookie cookies gdpr newsletter subscribe signup login share sharing social comment comments replies disqus respond popup modal overlay copyright".split())
 ELSE = frozenset("no not non without with has category tag topic type format".split())
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 ROLES = frozenset("navigation banner contentinfo complementary search alert dialog form menu menubar".split())

@@ -63,7 +63,7 @@ def test_parts_that_are_not_the_article(name):
     assert html_extraction.text_of(page, set(), None) == "First block.\n\nLast block."
 
 
-@pytest.mark.parametrize("name", ["post-body", "page-with-sidebar", "no-ads", "category-social", "adventure", "commentary", "navy", "shared", "story-header", "admin"])
+@pytest.mark.parametrize("name", ["post-body", "page-with-sidebar", "no-ads", "category-social", "adventure", "commentary", "navy", "shared", "story-header", "admin", "related-work"])
 def test_parts_that_are(name):
     page = f"<body><div class='{name}'><p>This one.</p></div></body>"
     assert html_extraction.text_of(page, set(), None) == "This one."
