@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import browse as B
 from ..operators import pool as O
 from ..operators.staging import scratch
+from ..sources import payload as S
 from ..streaming import lists
 from ..streaming.keyed import KeyedTable
 from .catalogue import query, t
@@ -61,3 +62,21 @@ SELECT event_id, n_name AS node FROM turns JOIN ring USING (k)""")
 def dealt_requests(spark, d):
     """All events as requests, dealt round robin over the nations in one pass."""
     return O.dealt(t(spark, d, "events").select("event_id"), "event_id", t(spark, d, "nation"), "n_name").select("event_id", "node")
+
+
+#: So many orders' keys are one document.
+IN_DOCUMENT = 1 << 20
+
+
+@query(f"SELECT o_orderkey, o_custkey, o_orderstatus, CAST(row_number() OVER (PARTITION BY o_orderkey // {IN_DOCUMENT} ORDER BY o_orderkey) AS BIGINT) AS pos FROM orders")
+def payload_in_splits(spark, d):
+    """All orders written as JSON documents with their records under ``items``, and read back in splits; the first record of a document is a heading."""
+    orders = t(spark, d, "orders").withColumn("doc", F.floor(F.col("o_orderkey") / IN_DOCUMENT))
+    line = F.concat(F.lit(","), F.to_json(F.struct("o_orderkey", "o_custkey", "o_orderstatus", F.lit('a "}" ,{[').alias("note"))))
+    docs = orders.select("doc").distinct()
+    head, tail = docs.select("doc", F.lit(-1).alias("o"), F.lit('{"made": {"by": "[orders"}, "items": [{}').alias("value")), docs.select("doc", F.lit(2**62).alias("o"), F.lit('], "data": [{}, {}]}').alias("value"))
+    lines = orders.select("doc", F.col("o_orderkey").alias("o"), line.alias("value")).unionAll(head).unionAll(tail)
+    where = scratch(spark, "orders-json")
+    lines.repartition("doc").sortWithinPartitions("doc", "o").drop("o").write.partitionBy("doc").text(where)
+    records = S.read_payload(spark, where).where("n_keys > 0").select("pos", F.from_json("raw", "o_orderkey long, o_custkey long, o_orderstatus string").alias("r"))
+    return records.select("r.*", F.col("pos").cast("long").alias("pos"))

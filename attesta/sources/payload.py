@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .arrays import Document, json_document
+
 ENVELOPES = ("items", "laptops", "records", "data")
 
 
@@ -15,16 +17,18 @@ def _array(v: Column, names: tuple[str, ...]) -> Column:
 
 
 def read_payload(spark: SparkSession, path: str, names: tuple[str, ...] = ENVELOPES, strict: bool = True) -> DataFrame:
-    """(pos, raw, n_keys): the records of a JSON array, or of the first of the named members; ``raw`` keeps which keys are present.
+    """(path, pos, raw, n_keys): the records of a JSON array, or of the first of the named members; ``raw`` keeps which keys are present.
 
-    Without ``strict``, what holds no list gives no rows.
+    Documents are read in splits. Without ``strict``, what holds no list gives no rows.
     """
-    doc = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("v"))
-    rows = doc.select(_array(F.col("v"), names).alias("a"))
-    if strict and not rows.where("a IS NOT NULL").take(1):
+    return _records(Document(spark, path), path, names, strict)
+
+
+def _records(doc: Document, path: str, names: tuple[str, ...], strict: bool = True) -> DataFrame:
+    lists = doc.outline.select("path", _array(F.col("v"), names).alias("a"))
+    if strict and not lists.where("a IS NOT NULL").take(1):
         raise ValueError(f"{path} holds no list of records")
-    exploded = rows.where("a IS NOT NULL").createOrReplaceTempView("_payload") or spark.sql("SELECT t.pos, to_json(t.value) AS raw FROM _payload, LATERAL variant_explode(a) AS t")
-    return exploded.withColumn("n_keys", F.size(F.json_object_keys("raw")))
+    return doc.records(lists).withColumn("n_keys", F.size(F.json_object_keys("raw")))
 
 
 class PayloadError(ValueError):
@@ -33,14 +37,14 @@ class PayloadError(ValueError):
 
 def read_rows(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
     """The rows of a list, or of an object's ``items`` or ``data``, and which of the three it was; anything else, no rows, or a row that is no object is an error."""
-    doc = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("v"))
+    doc = Document(spark, path)
     shape = F.when(F.schema_of_variant("v").startswith("ARRAY"), "list")
     for n in ("items", "data"):
         shape = shape.when(F.schema_of_variant(F.try_variant_get("v", f"$.{n}", "variant")).startswith("ARRAY"), n)
-    found = doc.select(shape.alias("s")).first()
+    found = doc.outline.select(shape.alias("s")).first()
     if found is None or found["s"] is None:
         raise PayloadError(f"{path} is neither a list nor an object of items or data")
-    rows = read_payload(spark, path, () if found["s"] == "list" else (found["s"],))
+    rows = _records(doc, path, () if found["s"] == "list" else (found["s"],))
     odd, n = rows.agg(F.count_if(F.col("n_keys").isNull()), F.count(F.lit(1))).first()
     if not n or odd:
         raise PayloadError(f"{path} has no rows" if not n else f"{path} has {odd} rows that are no objects")
@@ -69,7 +73,7 @@ def read_facts(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def object_or_empty(text: Column) -> Column:
     """A JSON object as a variant; what is missing, broken or no object is an empty one."""
-    v = F.try_parse_json(text)
+    v = json_document(text)
     return F.coalesce(F.when(F.schema_of_variant(v).startswith("OBJECT"), v), F.parse_json(F.lit("{}")))
 
 
@@ -79,7 +83,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def objects(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.schema_of_variant(F.try_parse_json(column)).startswith("OBJECT")).select("*", F.trim(column).alias("raw"))
+    return df.where(F.schema_of_variant(json_document(F.col(column))).startswith("OBJECT")).select("*", F.trim(column).alias("raw"))
 
 
 #: A JSON string, without backtracking.
@@ -89,7 +93,7 @@ STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 def strict_json(text: Column) -> Column:
     """True where a text is JSON without repeated keys and without numbers that are not finite; what strings hold is not looked at."""
     bare = F.regexp_replace(text, STRING, '""')
-    return F.try_parse_json(text).isNotNull() & ~bare.rlike(r"NaN|Infinity|\d[eE]\+?(?:[4-9]\d\d|3[1-9]\d|309|\d{4,})")
+    return json_document(text).isNotNull() & ~bare.rlike(r"NaN|Infinity|\d[eE]\+?(?:[4-9]\d\d|3[1-9]\d|309|\d{4,})")
 
 
 def append_lines(df: DataFrame, path: str) -> None:

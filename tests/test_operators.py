@@ -82,6 +82,7 @@ def test_payloads(spark, tmp_path):
     assert sorted((r["pos"], r["n_keys"]) for r in payload.read_payload(spark, str(tmp_path / "a.json")).collect()) == [(0, 2), (1, 1)]
     (tmp_path / "x.jsonl").write_text('{"a": 1}\n\nbroken\n[1]\n{"a": 2}\n')
     assert payload.read_lines(spark, str(tmp_path / "x.jsonl")).count() == 2
+    assert [bool(one(spark, j, payload.strict_json)) for j in ('{"a": 1} x', '[1]]', '{"a": 1}}', '1, 2', '1, "k": 2', "", " [1] ", "null")] == [False] * 6 + [True] * 2
     assert [one(spark, j, payload.strict_json) for j in ('{"a": 1}', '{"a": 1e309}', '{"a": 1, "a": 2}')] == [True, False, False]
 
 
