@@ -191,6 +191,14 @@ def preserve(candidate: DataFrame, baseline: DataFrame | None, order: str, facts
     return merged, {"candidate_count": candidate.count(), "baseline_count": n, "preserved_count": kept}
 
 
+def _write(lines: DataFrame, path: str) -> None:
+    lines.write.mode("overwrite").text(path)
+
+
+def _lines(df: DataFrame, path: str) -> None:
+    _write(df.select(F.to_json(F.struct("*")).alias("value")), path)
+
+
 def publish(merged: DataFrame, folder: str, generated_at: str, baseline: DataFrame | None = None, least: int = 0, schema_version: int = 1, config: str | None = None) -> DataFrame:
     """Writes items, rejected, manifest, envelope and, if given, the configuration (JSON) under ``folder`` and returns the manifest; a payload that fails the audit, or of fewer than ``least`` items, is refused before anything is written.
 
@@ -201,7 +209,7 @@ def publish(merged: DataFrame, folder: str, generated_at: str, baseline: DataFra
         out = _publish(merged, folder, generated_at, baseline, least, schema_version)
         if config is not None:
             spark = merged.sparkSession
-            spark.createDataFrame([(json.dumps(json.loads(config), ensure_ascii=False, separators=(",", ":")),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/filter_conditions")
+            _write(spark.createDataFrame([(json.dumps(json.loads(config), ensure_ascii=False, separators=(",", ":")),)], "value string").coalesce(1), f"{folder}/filter_conditions")
         return out
     finally:
         merged.unpersist()
@@ -216,13 +224,14 @@ def _publish(merged: DataFrame, folder: str, generated_at: str, baseline: DataFr
         raise PublishGuardError("; ".join(wrong))
     spark = merged.sparkSession
     in_order = items.orderBy(F.desc("source_count"), F.coalesce(F.col("source_rank"), F.lit(10**9)), F.coalesce("title", F.lit("")))
-    in_order.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(f"{folder}/items")
-    rejected.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(f"{folder}/rejected")
+    _lines(in_order, f"{folder}/items")
+    _lines(rejected, f"{folder}/rejected")
     counts = items.select(F.explode("atomic_source_names").alias("source")).groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
     by_source = F.map_from_entries(F.array_sort(F.collect_list(F.struct("source", "rows"))))
     head = counts.agg(by_source.alias("sourceCounts")).select(F.lit(schema_version).alias("schemaVersion"), F.lit(generated_at).alias("updatedAt"), F.lit(n).alias("rowCount"), "sourceCounts")
-    head.select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.mode("overwrite").text(f"{folder}/manifest")
+    _lines(head.coalesce(1), f"{folder}/manifest")
     pipeline = json.dumps({"rejected_count": rejected.count(), "requirements": REQUIREMENTS})
     envelope = head.select(F.to_json(F.struct(F.lit(schema_version).alias("schema_version"), F.lit(generated_at).alias("generated_at"), F.lit(n).alias("count"), F.map_keys("sourceCounts").alias("sources"), F.lit("items").alias("items"))).alias("e"))
-    envelope.select(F.concat(F.expr("substring(e, 1, length(e) - 1)"), F.lit(f', "pipeline": {pipeline}}}')).alias("value")).coalesce(1).write.mode("overwrite").text(f"{folder}/payload")
+    last = envelope.select(F.concat(F.expr("substring(e, 1, length(e) - 1)"), F.lit(f', "pipeline": {pipeline}}}')).alias("value")).coalesce(1)
+    _write(last, f"{folder}/payload")
     return spark.read.json(f"{folder}/manifest")

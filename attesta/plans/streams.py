@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import browse as B
 from ..operators import pool as O
+from ..operators.protect import PublishGuardError
+from ..operators.publication import Publication
 from ..operators.staging import scratch
 from ..sources import payload as S
 from ..streaming import lists
@@ -80,3 +82,28 @@ def payload_in_splits(spark, d):
     lines.repartition("doc").sortWithinPartitions("doc", "o").drop("o").write.partitionBy("doc").text(where)
     records = S.read_payload(spark, where).where("n_keys > 0").select("pos", F.from_json("raw", "o_orderkey long, o_custkey long, o_orderstatus string").alias("r"))
     return records.select("r.*", F.col("pos").cast("long").alias("pos"))
+
+
+RELEASED_SQL = "SELECT p_partkey, p_size, 'key' || printf('%07d', p_partkey) AS identity_key FROM part WHERE p_partkey % 3 <> 0"
+
+
+@query(f"""WITH ok AS ({RELEASED_SQL}) SELECT 1 AS version, identity_key FROM ok UNION ALL SELECT 2, identity_key FROM ok WHERE p_size > 10
+UNION ALL SELECT 3, identity_key FROM ok UNION ALL SELECT 4, identity_key FROM ok WHERE p_size > 20""")
+def publication_versions(spark, d):
+    """All parts released, then fewer, then a release refused for a source that it lost, then the first version again, then fewer still: what each version holds."""
+    k, ok = F.col("p_partkey"), F.col("p_partkey") % 3 != 0
+    parts = t(spark, d, "part").select(
+        "p_size", F.concat(F.lit("key"), F.format_string("%07d", k)).alias("identity_key"), F.col("p_name").alias("title"), F.when(ok, True).alias("numeric_keypad"), F.lit(True).alias("keyboard_backlight"), F.lit("standard_performance").alias("cpu_voltage_type"),
+        F.lit("zol+jd").alias("source"), F.array(F.lit("JD"), F.lit("ZOL")).alias("atomic_source_names"), F.lit(2).alias("source_count"), k.cast("int").alias("source_rank"),
+        F.filter(F.array(F.when(~ok, "numeric_keypad_not_confirmed")), lambda r: r.isNotNull()).alias("rejection_reasons"), ok.alias("publish_eligible"),
+    )
+    p = Publication(spark, scratch(spark, "publication"))
+    p.release(parts, "first")
+    p.release(parts.where("p_size > 10"), "second")
+    try:
+        p.release(parts.withColumns({"source": F.lit("zol"), "atomic_source_names": F.array(F.lit("ZOL")), "source_count": F.lit(1)}), "third")
+    except PublishGuardError:
+        p.roll_back()
+    p.release(parts.where("p_size > 20"), "fourth")
+    out = [p.items(v).select(F.lit(v).alias("version"), "identity_key") for v in p.versions()]
+    return out[0].unionAll(out[1]).unionAll(out[2]).unionAll(out[3])

@@ -17,11 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-SEQ = "_seq"
-
+from ..sources.files import Versions
 
-class Conflict(RuntimeError):
-    """Another writer has committed the version meanwhile."""
+SEQ = "_seq"
 
 
 class KeyedTable:
@@ -29,55 +27,24 @@ class KeyedTable:
 
     def __init__(self, spark: SparkSession, root: str, key: str, buckets: int = 16, compact_after: int = 8):
         self.spark, self.root, self.key, self.buckets, self.compact_after = spark, root.rstrip("/"), key, buckets, compact_after
-        self._jvm, self._conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        self._manifests = Versions(spark, f"{self.root}/manifests")
 
     # Manifests: {"schema": ..., "buckets": n, "batch": last id, "base": {bucket: folder}, "deltas": {bucket: [folders, oldest first]}, "seq": n}
 
-    def _fs(self):
-        where = self._jvm.org.apache.hadoop.fs.Path(self.root)
-        return where.getFileSystem(self._conf)
-
     def _path(self, *parts: str):
-        return self._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts)))
+        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts)))
 
     def versions(self) -> list[int]:
-        fs, where = self._fs(), self._path("manifests")
-        return sorted(int(x.getPath().getName().removesuffix(".json")) for x in (fs.listStatus(where) if fs.exists(where) else []) if x.getPath().getName().endswith(".json"))
+        return self._manifests.numbers()
 
     def manifest(self, version: int | None = None) -> dict | None:
-        known = self.versions()
-        if not known or version is not None and version not in known:
-            return None
-        r = self._fs().open(self._path("manifests", f"{known[-1] if version is None else version:010d}.json"))
-        try:
-            return json.loads(bytes(self._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(r)).decode())
-        finally:
-            r.close()
-
-    def _commit(self, version: int, manifest: dict) -> None:
-        fs, temp = self._fs(), self._path("manifests", f".{uuid.uuid4().hex}")
-        w = fs.create(temp)
-        try:
-            w.write(bytearray(json.dumps(manifest).encode()))
-        finally:
-            w.close()
-        to = self._path("manifests", f"{version:010d}.json")
-        options = self._jvm.org.apache.hadoop.fs.Options.Rename
-        none = self.spark.sparkContext._gateway.new_array(options, 1)
-        none[0] = options.NONE
-        try:
-            self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self._conf).rename(temp, to, none)
-        except Exception as e:
-            fs.delete(temp, False)
-            if "FileAlreadyExists" in str(e):
-                raise Conflict(f"version {version} is there already") from None
-            raise
+        return self._manifests.read(version)
 
     def _write(self, rows: DataFrame, kind: str) -> tuple[str, list[str]]:
         """Writes rows (with _bucket) and gives the folder and the buckets that it has."""
         folder = f"{kind}-{uuid.uuid4().hex}"
         rows.write.option("compression", "zstd").partitionBy("_bucket").parquet(f"{self.root}/{folder}")
-        found = [x.getPath().getName() for x in self._fs().listStatus(self._path(folder))]
+        found = [x.getPath().getName() for x in self._manifests.fs().listStatus(self._path(folder))]
         return folder, sorted(n.partition("=")[2] for n in found if n.startswith("_bucket="))
 
     def _bucketed(self, rows: DataFrame, n: int) -> DataFrame:
@@ -109,7 +76,7 @@ class KeyedTable:
         for b in touched:
             m["deltas"].setdefault(b, []).append(folder)
         m |= {"schema": json.loads(known.json()), "seq": seq, "batch": m["batch"] if batch_id is None else batch_id}
-        self._commit(version, m)
+        self._manifests.put(version, m)
         if any(len(d) >= self.compact_after for d in m["deltas"].values()):
             return self.compact() or version
         return version
@@ -126,7 +93,7 @@ class KeyedTable:
         for b in many:
             m["base"][b] = folder
             del m["deltas"][b]
-        self._commit(version, m)
+        self._manifests.put(version, m)
         return version
 
     def read(self, version: int | None = None) -> DataFrame | None:
@@ -142,9 +109,9 @@ class KeyedTable:
 
     def vacuum(self, keep: int = 2) -> list[str]:
         """Deletes the manifests before the last ``keep``, and the folders that none of those that are left names."""
-        known, fs = self.versions(), self._fs()
+        known, fs = self.versions(), self._manifests.fs()
         for v in known[:-keep]:
-            fs.delete(self._path("manifests", f"{v:010d}.json"), False)
+            self._manifests.drop(v)
         used = {f for v in known[-keep:] if (m := self.manifest(v)) for f in [*m["base"].values(), *(x for d in m["deltas"].values() for x in d)]}
         gone = [n for x in fs.listStatus(self._path()) if (n := x.getPath().getName()).startswith(("delta-", "base-")) and n not in used]
         for n in gone:

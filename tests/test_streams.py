@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from attesta.operators import browse, pool
 from attesta.streaming import lists
-from attesta.streaming.keyed import Conflict, KeyedTable
+from attesta.sources.files import Conflict
+from attesta.streaming.keyed import KeyedTable
 
 
 def write_pages(root, source, pages):
@@ -72,7 +73,7 @@ def test_keyed_table(spark, tmp_path):
     assert old <= 12 and max(len(d) for d in table.manifest()["deltas"].values() or [[]]) < 3
     assert table.vacuum(1) and table.read().count() == len(want) and table.read(1) is None
     with pytest.raises(Conflict):
-        table._commit(table.versions()[-1], table.manifest())
+        table._manifests.put(table.versions()[-1], table.manifest())
 
 
 def test_a_small_batch_writes_little(spark, tmp_path):
