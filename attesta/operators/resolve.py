@@ -97,7 +97,9 @@ def fact_for(df: DataFrame, facts: DataFrame, key: str, title: Column) -> DataFr
     The title's series must contain the fact's, both without spaces, figures and edition words; a fact with a size asks for that size. Of several, the first with a size,
     else the first. ``facts`` has fact_id (its place), series, size_inch and what is to be known.
     """
+    # Of facts with one name and size only the first can be chosen: many facts leave few names to be found.
     named = facts.withColumn("name", L.normal_series(F.col("series"))).where(F.coalesce("series", F.lit("")) != "")
+    named = named.groupBy("name", F.coalesce("size_inch", F.lit("")).alias("_inch")).agg(F.min_by(F.struct(*facts.columns), "fact_id").alias("f")).select("name", "f.*")
     texts = df.select(F.col(key), L.normal_series(title).alias("_s"), L.screen_of_title(title).alias("_size"))
     found = contained(texts, named.select("fact_id", "name"), key, F.col("_s")).select(key, "fact_id")
     # A series of figures alone is in every title: by size, or the first without one.
@@ -106,7 +108,7 @@ def fact_for(df: DataFrame, facts: DataFrame, key: str, title: Column) -> DataFr
     if (first := bare.where(F.coalesce("size_inch", F.lit("")) == "").agg(F.min("fact_id")).first()[0]) is not None:
         found = found.unionAll(texts.select(key, F.lit(first)))
     size = F.coalesce("size_inch", F.lit(""))
-    fits = found.join(texts.select(key, "_size"), key).join(facts, "fact_id").where((size == "") | (size == F.col("_size")))
+    fits = found.join(texts.select(key, "_size"), key).join(named, "fact_id").where((size == "") | (size == F.col("_size")))
     order = F.struct((size == "").alias("unsized"), F.col("fact_id").alias("f"))
     return fits.groupBy(key).agg(F.min_by(F.struct(*facts.columns), order).alias("fact"))
 

@@ -54,7 +54,7 @@ def record_merge(spark, d):
 
 # Facts are the first words of part names, by size every third, the other sizes open.
 TITLED_SQL = "titled AS (SELECT p_partkey, p_name || ' ' || (10 + p_size % 8) || '英寸 x' AS title, replace(p_name, ' ', '') || 'x' AS series, (10 + p_size % 8) || '英寸' AS size FROM part)"
-FACTS_SQL = "facts AS (SELECT w AS series, CASE WHEN k % 3 = 0 THEN '' ELSE (10 + k % 8) || '英寸' END AS size_inch, k AS fact_id FROM (SELECT string_split(p_name, ' ')[1 + p_partkey % 2] AS w, p_partkey AS k FROM part WHERE p_partkey < 40))"
+FACTS_SQL = "facts AS (SELECT w AS series, CASE WHEN k % 3 = 0 THEN '' ELSE (10 + k % 8) || '英寸' END AS size_inch, k AS fact_id FROM (SELECT string_split(p_name, ' ')[1 + p_partkey % 2] AS w, p_partkey AS k FROM part))"
 
 
 def titled(spark, d):
@@ -64,7 +64,7 @@ def titled(spark, d):
 def known_facts(spark, d):
     k = F.col("p_partkey")
     size = F.when(k % 3 == 0, "").otherwise(F.concat((k % 8 + 10).cast(S), F.lit("英寸")))
-    return t(spark, d, "part").where("p_partkey < 40").select(k.alias("fact_id"), F.element_at(F.split("p_name", " "), (k % 2 + 1).cast("int")).alias("series"), size.alias("size_inch"))
+    return t(spark, d, "part").select(k.alias("fact_id"), F.element_at(F.split("p_name", " "), (k % 2 + 1).cast("int")).alias("series"), size.alias("size_inch"))
 
 
 @query(f"WITH {TITLED_SQL}, {FACTS_SQL} SELECT p_partkey, arg_min(fact_id, row((size_inch = '')::INT, fact_id)) AS fact_id FROM titled JOIN facts ON contains(titled.series, facts.series) AND (size_inch = '' OR size_inch = size) GROUP BY p_partkey")
@@ -90,7 +90,7 @@ UNION ALL SELECT 3, place, 'ineligible item ' || name || ': ' || why FROM named
 UNION ALL SELECT 6, '', 'source regression: missing PConline'""")
 def payload_audit(spark, d):
     items = payload(spark, d)
-    return X.audit_payload(items, 5, items.limit(1).withColumn("source", F.lit("pconline+zol")), "place").select(F.col("check_ord").cast("int").alias("check_ord"), "row_ord", "error")
+    return X.audit_payload(items, 5, items.withColumn("source", F.lit("pconline+zol")), "place").select(F.col("check_ord").cast("int").alias("check_ord"), "row_ord", "error")
 
 
 @query("SELECT unnest(['JD', 'OTHER', 'ZOL']) AS source")
@@ -201,14 +201,15 @@ def drift_classes(spark, d):
     return finished(spark, d).select("id", Z.drift_class(F.col("name"), F.col("text"), F.col("ts"))["class"].alias("class"))
 
 
-@query("""WITH a AS (SELECT l_suppkey AS route, CASE WHEN l_quantity < 40 THEN 'rate_limited' WHEN l_quantity < 45 THEN 'availability_error' WHEN l_quantity < 48 THEN 'request_error' ELSE 'auth_error' END AS kind FROM lineitem WHERE l_orderkey % 40 = 0),
+@query("""WITH a AS (SELECT l_orderkey AS route, CASE WHEN l_quantity < 40 THEN 'rate_limited' WHEN l_quantity < 45 THEN 'availability_error' WHEN l_quantity < 48 THEN 'request_error' ELSE 'auth_error' END AS kind FROM lineitem),
 p AS (SELECT route, bool_and(kind = 'rate_limited') AS lim, bool_or(kind = 'auth_error') AS au, bool_or(kind = 'request_error') AS rq, count(*) AS n FROM a GROUP BY route)
-SELECT s_suppkey AS route, CASE WHEN lim THEN 'all_free_429' WHEN s_suppkey % 5 = 0 THEN 'no_credentials' WHEN au THEN 'auth_error' WHEN rq THEN 'request_error' WHEN n > 0 THEN 'free_unavailable' ELSE 'no_credentials' END AS status FROM supplier LEFT JOIN p ON s_suppkey = route""")
+SELECT o_orderkey AS route, CASE WHEN lim THEN 'all_free_429' WHEN o_orderkey % 5 = 0 THEN 'no_credentials' WHEN au THEN 'auth_error' WHEN rq THEN 'request_error' WHEN n > 0 THEN 'free_unavailable' ELSE 'no_credentials' END AS status FROM orders LEFT JOIN p ON o_orderkey = route""")
 def route_statuses(spark, d):
+    """Orders as routes, their lines as what was tried."""
     q = F.col("l_quantity")
     kind = Z.attempt_kind(F.when(q < 40, 429).when(q < 45, 503).when(q < 48, 404).otherwise(401))
-    tries = t(spark, d, "lineitem").where("l_orderkey % 40 = 0").select(F.col("l_suppkey").alias("route"), kind.alias("kind"))
-    return Z.route_status(tries, "route", "kind", t(spark, d, "supplier").select(F.col("s_suppkey").alias("route"), (F.col("s_suppkey") % 5 != 0).alias("configured"))).select("route", "status")
+    tries = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("route"), kind.alias("kind"))
+    return Z.route_status(tries, "route", "kind", t(spark, d, "orders").select(F.col("o_orderkey").alias("route"), (F.col("o_orderkey") % 5 != 0).alias("configured"))).select("route", "status")
 
 
 ASSET_SQL = "SELECT o_custkey, o_orderkey, lower('App-Linux-amd64' || CASE WHEN o_orderkey % 3 = 0 THEN '-compatible' ELSE '' END || '-' || o_orderkey || CASE WHEN o_orderkey % 4 = 0 THEN '.deb' ELSE '.gz' END) AS name FROM orders"
@@ -252,11 +253,11 @@ def browse_cards(spark, d):
     return shown.select(F.col("rank").cast("long").alias("p_partkey"), "price", "memory", "link", F.array_join("tags", ",").alias("tags"))
 
 
-@query("WITH u AS (SELECT l_suppkey, count(*) FILTER (l_returnflag <> 'R') AS success, count(*) FILTER (l_returnflag = 'R') AS fail FROM lineitem GROUP BY l_suppkey), n AS (SELECT s_suppkey, s_name, coalesce(success, 0) AS success, coalesce(fail, 0) AS fail FROM supplier LEFT JOIN u ON s_suppkey = l_suppkey AND l_suppkey % 9 <> 0) SELECT s_name, CASE WHEN success + fail > 0 THEN success || '/' || (success + fail) ELSE 'N/A' END AS rate FROM n WHERE fail::DOUBLE / greatest(success + fail, 1) < 0.8 ORDER BY s_suppkey LIMIT 50")
+@query("WITH u AS (SELECT o_custkey, count(*) FILTER (o_orderstatus <> 'F') AS success, count(*) FILTER (o_orderstatus = 'F') AS fail FROM orders GROUP BY o_custkey), n AS (SELECT c_custkey, c_name, coalesce(success, 0) AS success, coalesce(fail, 0) AS fail FROM customer LEFT JOIN u ON c_custkey = o_custkey) SELECT c_name, CASE WHEN success + fail > 0 THEN success || '/' || (success + fail) ELSE 'N/A' END AS rate FROM n WHERE fail::DOUBLE / greatest(success + fail, 1) < 0.8 ORDER BY c_custkey LIMIT 50")
 def pool_listing(spark, d):
-    x = t(spark, d, "lineitem").where("l_suppkey % 9 <> 0")
-    stats = O.counters(x, "l_suppkey", F.col("l_returnflag") != "R", "l_shipdate").withColumnRenamed("l_suppkey", "s_suppkey")
-    return O.listing(O.available(O.with_stats(t(spark, d, "supplier").select("s_suppkey", "s_name"), stats, "s_suppkey")), "s_name", "s_suppkey")
+    """Customers as nodes, their orders as uses; those without orders have no rate. The first 50 are what a listing shows."""
+    stats = O.counters(t(spark, d, "orders"), "o_custkey", F.col("o_orderstatus") != "F", "o_orderdate").withColumnRenamed("o_custkey", "c_custkey")
+    return O.listing(O.available(O.with_stats(t(spark, d, "customer").select("c_custkey", "c_name"), stats, "c_custkey")), "c_name", "c_custkey")
 
 
 @query("SELECT event_id, '{\"event_id\":' || event_id || ',\"event_type\":' || coalesce('\"' || event_type || '\"', 'null') || ',\"user_id\":' || user_id || '}' AS line FROM events")
