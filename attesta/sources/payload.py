@@ -113,15 +113,20 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
-def read_logs(spark: SparkSession, paths: list[str]) -> str:
-    """The texts of the logs that are there, joined in the order given; others are passed over. A handful of files of one run."""
-    found = []
-    for p in paths:
+def read_logs(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(ord, path, text) of the logs that are there, numbered in the order given; others are passed over. A handful of files of one run."""
+    out = spark.createDataFrame([], "ord int, path string, text string")
+    for k, p in enumerate(paths):
         where = spark._jvm.org.apache.hadoop.fs.Path(p)
         fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
         if fs.exists(where) and fs.getFileStatus(where).isFile():
-            found += [r["text"] for r in read_log(spark, p).collect()]
-    return "\n".join(found)
+            out = out.unionAll(read_log(spark, p).select(F.lit(k), "path", "text"))
+    return out
+
+
+def joined(logs: DataFrame) -> DataFrame:
+    """(text): the logs of one run in their order, a line apart."""
+    return logs.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda x: x["text"]), "\n").alias("text"))
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:

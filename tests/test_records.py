@@ -267,7 +267,7 @@ def test_cursors_and_upserts(spark, tmp_path):
     assert spark.read.json(f"file://{tmp_path}/few").count() == 3
     (tmp_path / "l1").write_text("one")
     (tmp_path / "l2").write_text("two")
-    assert payload.read_logs(spark, [f"file://{tmp_path}/{n}" for n in ("l2", "gone", "l1")]) == "two\none" and len(payload.file_digests(spark, f"file://{tmp_path}/l1").first()["sha256"]) == 64
+    assert payload.joined(payload.read_logs(spark, [f"file://{tmp_path}/{n}" for n in ("l2", "gone", "l1")])).first()["text"] == "two\none" and len(payload.file_digests(spark, f"file://{tmp_path}/l1").first()["sha256"]) == 64
     assert one(spark, "A\\.GIT\\x.py", lambda c: validate.skipped(c, [r"\.git/"])) is True and one(spark, "a/b.py", lambda c: validate.skipped(c, [r"\.git/"])) is False
 
 
