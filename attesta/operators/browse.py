@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions import text as T
+from .postings import Postings
 from .staging import staged
 
 
@@ -95,8 +96,10 @@ def active_filters(spec: dict[str, Any]) -> int:
     return sum(len(v) if isinstance(v, (dict, list)) else 1 for v in spec.values())
 
 
-def browse(df: DataFrame, spec: dict[str, Any], order: list[tuple[str, bool, Any]] = (), tie: str | None = None, limit: int | None = None) -> DataFrame:
-    """The rows that pass, in order: (column, descending, what a missing value counts as)."""
+def browse(df: DataFrame, spec: dict[str, Any], order: list[tuple[str, bool, Any]] = (), tie: str | None = None, limit: int | None = None, index: Postings | None = None) -> DataFrame:
+    """The rows that pass, in order: (column, descending, what a missing value counts as). With an index of the columns searched, only what it finds is looked at."""
+    if index is not None and "search" in spec:
+        df = index.containing(spec["search"][1])
     for p in compile_filters(spec):
         df = df.where(p)
     keys = [(lambda c: c.desc() if down else c.asc())(F.coalesce(F.col(c), F.lit(v))) for c, down, v in order]

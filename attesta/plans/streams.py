@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import browse as B
 from ..operators import pool as O
+from ..operators.postings import Postings
 from ..operators.protect import PublishGuardError
 from ..operators.publication import Publication
 from ..operators.staging import scratch
@@ -107,3 +108,33 @@ def publication_versions(spark, d):
     p.release(parts.where("p_size > 20"), "fourth")
     out = [p.items(v).select(F.lit(v).alias("version"), "identity_key") for v in p.versions()]
     return out[0].unionAll(out[1]).unionAll(out[2]).unionAll(out[3])
+
+
+@query("""WITH asked AS (SELECT DISTINCT needle FROM (SELECT substr(s_name, 14) AS needle FROM supplier UNION ALL SELECT lower(substr(c_mktsegment, 3, 5)) FROM customer UNION ALL SELECT substr(n_name, 1, 2) FROM nation))
+SELECT needle, c_custkey FROM asked JOIN customer ON contains(lower(c_name || ' ' || c_mktsegment), lower(needle))""")
+def index_search(spark, d):
+    """Customers indexed in two segments, and searched for the numbers of suppliers, parts of segments' names, and the first two letters of nations."""
+    customers, said = t(spark, d, "customer"), F.concat("c_name", F.lit(" "), F.col("c_mktsegment"))
+    index = Postings(spark, scratch(spark, "customers"))
+    for k in range(2):
+        index.add(customers.where(F.col("c_custkey") % 2 == k).select("c_custkey", "c_name", "c_mktsegment"), said, f"part{k}")
+    asked = t(spark, d, "supplier").select(F.substring("s_name", 14, 99).alias("needle")).unionAll(customers.select(F.lower(F.substring("c_mktsegment", 3, 5)))).unionAll(t(spark, d, "nation").select(F.substring("n_name", 1, 2)))
+    return index.search(asked).select("needle", "row.c_custkey")
+
+
+@query("""WITH asked AS (SELECT DISTINCT substr(text, 10, 24) AS needle FROM conversations WHERE conv_id % 100 = 0 AND text IS NOT NULL)
+SELECT needle, conv_id, turn FROM asked JOIN conversations ON contains(coalesce(text, ''), needle)""")
+def index_search_turns(spark, d):
+    """All turns of all conversations indexed, and searched for 24 characters of each turn of every hundredth conversation."""
+    turns = t(spark, d, "conversations").select("conv_id", "turn", "text")
+    index = Postings(spark, scratch(spark, "turns"), fold=False)
+    index.add(turns.select("conv_id", "turn", "text"), F.col("text"), "all")
+    return index.search(turns.where("conv_id % 100 = 0").select(F.substring("text", 10, 24))).select("needle", "row.conv_id", "row.turn")
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name || ' ' || p_type), 'st') AND p_size >= 10")
+def browse_search_indexed(spark, d):
+    parts = t(spark, d, "part")
+    index = Postings(spark, scratch(spark, "parts"))
+    index.add(parts, F.concat("p_name", F.lit(" "), F.col("p_type")), "all")
+    return B.browse(parts, {"search": (["p_name", "p_type"], "St "), "least": {"p_size": 10}}, index=index).select("p_partkey", "p_name")
