@@ -1,8 +1,9 @@
 """Ranked list pages as a stream: ``spark.readStream.format("attesta_list_pages")``, and the rules by which a scan of them stops.
 
 An offset says of each source how many of its pages were taken, so that the checkpoint is the cursor: a scan that stopped after some
-pages goes on behind them, each page in a partition of its own. What the pages hold never leaves the executors; the keys that a source
-has shown are state of the stream, and so is each source's streak of pages that bring nothing new.
+pages goes on behind them. A partition is some pages of a source that follow each other; pages may lie one by one, or many in a file (a
+block). What the pages hold never leaves the executors; the keys that a source has shown are state of the stream, and so is each source's
+streak of pages that bring nothing new.
 
 ``scan`` runs one batch up to the pages asked for; ``goal`` says how far the next one goes: no further in sources that have ended.
 """
@@ -13,6 +14,7 @@ import json
 from collections.abc import Callable, Iterator
 from typing import TYPE_CHECKING
 from urllib.parse import quote
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,12 @@ EVENTS = "source string, page_no int, kind string, place int, key string"
 REPEATS = 3
 #: Statuses of pages that are not there: beyond the last.
 GONE = (404, 410)
+#: So many pages of a list lie in a block where its address has ``{block}``: lines of a page's number, a tab and its body.
+IN_BLOCK = 1000
+#: Pages that lie one by one are read by about so many tasks at most.
+TASKS = 2000
+#: A source's keys are kept as so many sets, each read and written whole: a call for each key costs far more than the key.
+SETS = 4096
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -48,6 +56,14 @@ def read_address(address: str, timeout: float = 25) -> tuple[int | None, str | N
     return 200, "".join(store.open_input_stream(n).read().decode() for n in names)
 
 
+def _runs(first: int, last: int, size: int) -> Iterator[tuple[int, int]]:
+    """The pages from ``first`` to ``last``, cut at multiples of ``size``."""
+    while first <= last:
+        end = min(last, first // size * size + size - 1)
+        yield first, end
+        first = end + 1
+
+
 class _PageStream(DataSourceStreamReader):
     def __init__(self, options):
         self.addresses, self.upto = json.loads(options["addresses"]), json.loads(options["upto"])
@@ -59,18 +75,28 @@ class _PageStream(DataSourceStreamReader):
         return {s: int(self.upto.get(s, 0)) for s in self.addresses}
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
-        return [InputPartition((s, p)) for s in end for p in range(start.get(s, 0) + 1, end[s] + 1)]
+        each = max(1, sum(max(0, end[s] - start.get(s, 0)) for s in end) // TASKS)
+        return [InputPartition((s, *run)) for s in end for run in _runs(start.get(s, 0) + 1, end[s], IN_BLOCK if "{block}" in self.addresses[s] else each)]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        source, page = partition.value
-        yield (source, page, *read_address(self.addresses[source].format(page=page)))
+        source, first, last = partition.value
+        address = self.addresses[source]
+        if "{block}" not in address:
+            for page in range(first, last + 1):
+                yield (source, page, *read_address(address.format(page=page)))
+            return
+        status, text = read_address(address.format(block=first // IN_BLOCK))
+        bodies = dict(line.split("\t", 1) for line in (text or "").split("\n") if line)
+        for page in range(first, last + 1):
+            body = bodies.get(str(page))
+            yield (source, page, 404 if status == 200 and body is None else status, body)
 
     def commit(self, end: dict) -> None:
         """The checkpoint has it; sources keep nothing for their readers."""
 
 
 class ListPages(DataSource):
-    """Options: ``addresses``, a JSON object of each source's address with ``{page}``; ``upto``, one of the pages that each may be read to, counted from 1."""
+    """Options: ``addresses``, a JSON object of each source's address with ``{page}`` or ``{block}``; ``upto``, one of the pages that each may be read to, counted from 1."""
 
     @classmethod
     def name(cls):
@@ -96,7 +122,7 @@ class StopRule(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.at = handle.getValueState("at", "stale int, ended boolean")
-        self.shown = handle.getMapState("shown", "key string", "page_no int")
+        self.shown = handle.getMapState("sets", "set int", "keys array<string>")
         self.waiting = handle.getMapState("waiting", "page_no int", "status int")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -104,6 +130,8 @@ class StopRule(StatefulProcessor):
 
         source, out = key[0], []
         stale, ended = self.at.get() if self.at.exists() else (0, False)
+        sets: dict[int, set[str]] = {}
+        changed: set[int] = set()
         pages = sorted(((int(r.page_no), r.status, r.keys) for part in rows for r in part.itertuples()), key=lambda x: x[0])
         for page, status, keys in pages:
             if ended:
@@ -116,8 +144,13 @@ class StopRule(StatefulProcessor):
                 continue
             added = 0
             for place, k in enumerate(keys if keys is not None else ()):
-                if k and not self.shown.containsKey((k,)):
-                    self.shown.updateValue((k,), (page,))
+                if not k:
+                    continue
+                if (n := crc32(k.encode("utf-8", "surrogatepass")) % SETS) not in sets:
+                    sets[n] = set(self.shown.getValue((n,))[0]) if self.shown.containsKey((n,)) else set()
+                if k not in sets[n]:
+                    sets[n].add(k)
+                    changed.add(n)
                     out.append((source, page, "item", place, k))
                     added += 1
             stale = 0 if added else stale + 1
@@ -126,6 +159,8 @@ class StopRule(StatefulProcessor):
             if reason:
                 ended = True
                 out.append((source, page, "end", None, reason))
+        for n in changed:
+            self.shown.updateValue((n,), (list(sets[n]),))
         self.at.update((stale, ended))
         yield pd.DataFrame(out, columns=["source", "page_no", "kind", "place", "key"]).astype({"page_no": "Int32", "place": "Int32"})
 
@@ -173,11 +208,12 @@ def goal(spark: SparkSession, addresses: dict[str, str], step: int, done: dict[s
 
 
 def pages_of(items: DataFrame, source: str, order: str, key: str, size: int, folder: str) -> dict[str, str]:
-    """Writes a table as list pages of ``size`` items, as JSON, and gives their addresses by source."""
+    """Writes a table as list pages of ``size`` items, as JSON, in blocks, and gives their addresses by source."""
     from pyspark.sql.window import Window as W
 
     numbered = items.select(F.col(source).cast("string").alias("source"), F.col(order).alias("o"), F.col(key).cast("string").alias("key")).withColumn("n", F.row_number().over(W.partitionBy("source").orderBy("o")) - 1)
     pages = numbered.groupBy("source", F.floor(F.col("n") / size + 1).cast("int").alias("page")).agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("n", "key"))), lambda x: F.struct(x["key"].alias("key")))).alias("value"))
-    named = pages.withColumn("list", F.md5("source"))  # names of any letters
-    named.select("list", "page", "value").write.mode("overwrite").partitionBy("list", "page").text(folder)
-    return {r["source"]: f"{folder}/list={r['list']}/page={{page}}" for r in named.where("source IS NOT NULL").select("source", "list").distinct().collect()}  # a row for each source
+    named = pages.select(F.md5("source").alias("list"), F.floor(F.col("page") / IN_BLOCK).alias("block"), F.concat(F.col("page").cast("string"), F.lit("\t"), "value").alias("value"))  # names of any letters
+    named.repartition("list", "block").write.mode("overwrite").partitionBy("list", "block").text(folder)
+    names = items.select(F.col(source).cast("string").alias("source")).where("source IS NOT NULL").distinct().withColumn("list", F.md5("source"))
+    return {r["source"]: f"{folder}/list={r['list']}/block={{block}}" for r in names.collect()}  # a row for each source

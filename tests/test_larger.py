@@ -1,11 +1,14 @@
 """Queries against their oracles on keys and sizes that the small tables don't have."""
 
+import json
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from attesta.functions import listings as L
 from attesta.plans import catalogue
+from attesta.streaming import lists
 from tests.test_catalogue import TABLES, D, plain
 from tests.test_listings import run
 
@@ -39,3 +42,17 @@ def test_names_with_long_numbers(spark):
     given = ["Intel Core i7-100008HX", "酷睿i7 100008 HX", "i7-13650HX", "N100"]
     assert run(spark, given, lambda c: L.cpu_identity(c, F.lit(""), F.lit(""))) == ["intelcorei7100008hx", "酷睿i7100008hx", "intel-i7-13650hx", "n100"]
     assert run(spark, given, lambda c: L.cpu_identity(c, F.lit(""), F.lit(""), any_number=True)) == ["intel-i7-100008hx", "intel-i7-100008hx", "intel-i7-13650hx", "n100"]
+
+
+def test_list_pages_lie_in_blocks(spark, tmp_path):
+    items = spark.range(3000).select(F.when(F.col("id") % 3 > 0, "a").otherwise("b/ b").alias("s"), F.col("id").alias("o"), F.concat(F.lit('k\n\t"'), (F.col("id") % 2999).cast("string")).alias("k"))
+    addresses = lists.pages_of(items, "s", "o", "k", 1, f"file://{tmp_path}/pages")
+    assert len([p for p in (tmp_path / "pages").rglob("part-*")]) == 5 and len(lists._PageStream({"addresses": json.dumps(addresses), "upto": "{}"}).partitions({}, {"a": 2001, "b/ b": 1001})) == 5
+    done = {}
+    for step in (3, 1500, 1000):
+        done = lists.goal(spark, addresses, step, done, f"file://{tmp_path}/events" if done else None)
+        lists.scan(spark, addresses, done, f"file://{tmp_path}/events", f"file://{tmp_path}/state")
+    got = spark.read.schema(lists.EVENTS).parquet(f"file://{tmp_path}/events")
+    want = {("a" if k % 3 else "b/ b", (k // 3) * 2 + k % 3 if k % 3 else k // 3 + 1, f'k\n\t"{k % 2999}') for k in range(3000)}
+    assert {(r["source"], r["page_no"], r["key"]) for r in got.where("kind = 'item'").collect()} == want
+    assert {(r["source"], r["page_no"], r["key"]) for r in got.where("kind = 'end'").collect()} == {("a", 2001, "empty"), ("b/ b", 1001, "empty")}
