@@ -2,7 +2,9 @@
 
 A text that contains another has all its trigrams. The index is rows (gram, id) dealt by ranges and sorted, so that a gram of a third of all texts is
 many tasks' work, the files of other grams are skipped by their statistics, and ids lie as differences (DELTA_BINARY_PACKED) in a few
-bits each. A search joins the rarest grams of what is sought with the postings, counts, and compares what is left whole.
+bits each. A search joins the rarest grams of what is sought with the postings, counts, and compares what is left whole. Where that
+would read more postings than the indexed texts have longer pieces, as with thousands of needles of few letters, the texts are cut into
+pieces as long as the needles and joined with those.
 
 Rows come in segments: ``add`` writes a new one beside the others, and a small file, put in place by one rename, names those that count.
 """
@@ -24,13 +26,16 @@ RAREST = 4
 NAMED = 1000
 #: Rows of needles and grams, or of numbers found, that are broadcast at most; more are joined by sorting.
 BOUND = 1_000_000
+#: Lengths of the pieces: a needle's is the longest that it has.
+PIECES = (3, 4, 5, 6, 8, 12, 16, 24, 32)
 #: Written behind each text, so that each of its characters begins a gram, and short needles are beginnings of grams.
 END = "\0\0"
 
 
-def grams(text: Column) -> Column:
-    """The different trigrams of a text, as they are."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit("(?s)(?=(.{3}))"), 1))
+def grams(text: Column, *sizes: int) -> Column:
+    """The different trigrams (or pieces of other sizes) of a text, as they are."""
+    each = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), 1) for n in sizes or (3,)]
+    return F.array_distinct(F.concat(*each))
 
 
 def looked_up(large: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
@@ -89,7 +94,22 @@ class Postings:
 
     def candidates(self, asked: DataFrame) -> DataFrame:
         """(needle, seg, id) of the rows that have the grams looked up."""
-        chosen, postings = staged(self.chosen(asked), "grams"), self._read("postings")
+        chosen = staged(self.chosen(asked), "grams")
+        long = F.length("sought") >= PIECES[0]
+        length = F.coalesce(*(F.when(F.length("sought") >= n, n) for n in reversed(PIECES)))
+        sizes = sorted(r[0] for r in asked.where(long).select(length).distinct().collect())  # no more than PIECES
+        if not sizes or self._reads(chosen) <= len(sizes) * (self._read("texts").agg(F.sum(F.length("text"))).first()[0] or 0):
+            return self._by_grams(chosen)
+        pieces = staged(asked.where(long).select("needle", F.substr("sought", F.lit(1), length).alias("piece")), "pieces")
+        found = looked_up(self._read("texts").select("seg", "id", F.explode(grams(F.col("text"), *sizes)).alias("piece")), pieces, ["piece"])
+        return found.select("needle", "seg", "id").unionAll(self._by_grams(staged(self.chosen(asked.where(~long)), "grams")))
+
+    def _reads(self, chosen: DataFrame) -> int:
+        """How many rows the join of the chosen grams with the postings has."""
+        return chosen.join(self._read("grams"), "gram").agg(F.sum("n")).first()[0] or 0
+
+    def _by_grams(self, chosen: DataFrame) -> DataFrame:
+        postings = self._read("postings")
         few = [r[0] for r in chosen.select("gram").distinct().limit(NAMED + 1).collect()]
         if len(few) <= NAMED:
             postings = postings.where(F.col("gram").isin(few))

@@ -1,12 +1,15 @@
 """Queries against their oracles on keys and sizes that the small tables don't have."""
 
 import json
+import random
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from attesta.functions import listings as L
+from attesta.operators import postings
+from attesta.operators.postings import Postings
 from attesta.plans import catalogue
 from attesta.streaming import lists
 from tests.test_catalogue import TABLES, D, plain
@@ -56,3 +59,28 @@ def test_list_pages_lie_in_blocks(spark, tmp_path):
     want = {("a" if k % 3 else "b/ b", (k // 3) * 2 + k % 3 if k % 3 else k // 3 + 1, f'k\n\t"{k % 2999}') for k in range(3000)}
     assert {(r["source"], r["page_no"], r["key"]) for r in got.where("kind = 'item'").collect()} == want
     assert {(r["source"], r["page_no"], r["key"]) for r in got.where("kind = 'end'").collect()} == {("a", 2001, "empty"), ("b/ b", 1001, "empty")}
+
+
+def test_many_needles_of_digits(spark, tmp_path, monkeypatch):
+    rows = [(k, f"Customer#{k:09d}") for k in range(0, 20_000, 10)]
+    needles = [f"{k:05d}" for k in range(500)] + ["00", "", "\U0001f600", "Customer#000019990 and more", "customer#00001", "mer#00000019"]
+    index = Postings(spark, f"file://{tmp_path}/i")
+    index.add(spark.createDataFrame(rows, "key int, text string"), F.col("text"), "one")
+    joined, old = [], postings.looked_up
+    monkeypatch.setattr(postings, "looked_up", lambda *x: (out := old(*x), joined.append(out.count()))[0])
+    got = sorted((r.needle, r.row.key) for r in index.search(spark.createDataFrame([(n,) for n in needles], "needle string")).collect())
+    assert got == sorted((n, k) for n in needles for k, x in rows if n.lower() in x.lower())
+    assert max(joined) < 1.2 * len(got)  # by trigrams it was far more than what is found
+
+
+def test_pieces_of_other_lengths(spark, tmp_path):
+    r = random.Random(5)
+    rows = [(k, "".join(r.choices("ab\U0001f600é", k=r.randint(0, 60)))) for k in range(300)]
+    rows += [(1000 + k, x) for k, x in rows[:20]]
+    needles = list({x[i : i + n] for _, x in rows[:200] for i in (0, 7) for n in (1, 2, 3, 5, 7, 9, 13, 25, 33, 40)})
+    index = Postings(spark, f"file://{tmp_path}/i", fold=False)
+    for k in range(2):
+        index.add(spark.createDataFrame(rows[k::2], "key int, text string"), F.col("text"), f"s{k}")
+    asked = spark.createDataFrame([(n,) for n in needles], "needle string")
+    assert index._reads(index.chosen(asked.withColumn("sought", F.col("needle")))) > 9 * sum(len(x) for _, x in rows)  # so that pieces are joined
+    assert sorted((r.needle, r.row.key) for r in index.search(asked).collect()) == sorted((n, k) for n in needles for k, x in rows if n in x)
