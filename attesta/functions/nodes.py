@@ -164,9 +164,8 @@ SCHEMES = {
 
 def parse_node(link: Column, schemes: tuple[str, ...] = tuple(SCHEMES)) -> Column:
     """The node of a link of any of the schemes; null for others and for broken ones."""
-    t = F.trim(link)
-    node = F.coalesce(*(F.when(t.startswith(f"{s}://"), SCHEMES[s](t)) for s in schemes))
-    return let(node, lambda n: F.when(F.coalesce(n["server"], F.lit("")) != "", n))
+    node = lambda t: F.coalesce(*(F.when(t.startswith(f"{s}://"), SCHEMES[s](t)) for s in schemes))
+    return let(let(F.trim(link), node), lambda n: F.when(F.coalesce(n["server"], F.lit("")) != "", n))
 
 
 def subscription_links(body: Column) -> Column:

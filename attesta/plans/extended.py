@@ -320,7 +320,7 @@ def node_schemes(spark, d):
     vmess = b64(F.to_json(F.struct(F.col("c_name").alias("ps"), host.alias("add"), port.alias("port"), key.alias("id"))))
     links = [c("vless://", key, at, "?security=tls&sni=s#", name), c("ss://", b64(c("aes:", key)), at, "#", name), c("hysteria2://", key, at, "?sni=s.example#", name), c("tuic://", key, ":pw", at, "#", name), c("vmess://", vmess), c("wireguard://", key, at, "#", name)]
     link = F.element_at(F.array(*links), (k % 6 + 1).cast("int"))
-    n = t(spark, d, "customer").select("c_custkey", P.parse_node(link).alias("n")).where("n IS NOT NULL").select("c_custkey", "n.*")
+    n = t(spark, d, "customer").select("c_custkey", F.inline(F.filter(F.array(P.parse_node(link)), lambda x: x.isNotNull())))  # a generator reads each link once for all its columns
     first = lambda *names: F.coalesce(*(F.try_element_at("opts", F.lit(x)) for x in names))
     more = F.when(F.col("type") == "vless", first("tls")).when(F.col("type").isin("ss", "vmess"), first("cipher")).when(F.col("type") == "hysteria2", first("sni")).when(F.col("type") == "tuic", first("congestion-controller")).otherwise(first("mtu"))
     return n.select("c_custkey", "type", "name", "server", "port", F.when(F.col("type") == "wireguard", first("private-key")).otherwise(first("uuid", "password")).alias("secret"), more.alias("more"))

@@ -84,3 +84,8 @@ def test_pieces_of_other_lengths(spark, tmp_path):
     asked = spark.createDataFrame([(n,) for n in needles], "needle string")
     assert index._reads(index.chosen(asked.withColumn("sought", F.col("needle")))) > 9 * sum(len(x) for _, x in rows)  # so that pieces are joined
     assert sorted((r.needle, r.row.key) for r in index.search(asked).collect()) == sorted((n, k) for n in needles for k, x in rows if n in x)
+
+
+def test_links_are_read_once_a_row(spark):
+    plan = catalogue.QUERIES["node_schemes"](spark, D)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("wireguard://") == 2  # where links are made and where they are read; before, for each column anew
