@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions import text as T
-from .postings import Postings
+from .postings import BOUND, Postings
 from .staging import staged
 
 
@@ -155,6 +155,12 @@ def listing_spec(filters: dict[str, Any]) -> dict[str, Any]:
     return {k: v for k, v in out.items() if v}
 
 
+def _counted(small: DataFrame) -> DataFrame:
+    """A table of groups, written and counted, to be broadcast if it is small: joined by sorting, all rows of a group would be one task's."""
+    laid = staged(small, "groups")
+    return F.broadcast(laid) if laid.count() <= BOUND else laid
+
+
 def numbered(df: DataFrame, groups: list[str], orders: list[str]) -> DataFrame:
     """``df`` with the place of each row in its group, from 1, in the order of ``orders``.
 
@@ -170,11 +176,11 @@ def numbered(df: DataFrame, groups: list[str], orders: list[str]) -> DataFrame:
     same = F.col("_task") == F.col("_t")
     for g in groups:
         same &= F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    return laid.join(side, same).withColumn("place", F.col("_at") + F.col("_add")).select(*df.columns, "place")
+    return laid.join(_counted(side), same).withColumn("place", F.col("_at") + F.col("_add")).select(*df.columns, "place")
 
 
 def grouped(df: DataFrame, group: str, rank: str, order: str) -> DataFrame:
     """Rows with their place in their group (unranked last) and the group's first appearance."""
     out = numbered(df.withColumn("_r", F.coalesce(F.nullif(F.col(rank), F.lit(0)), F.lit(9999))), [group], ["_r", order])
-    first = out.groupBy(F.col(group).alias("_g")).agg(F.min(order).alias("group_ord"))
-    return out.join(first, F.col(group).eqNullSafe(F.col("_g"))).select(*df.columns, F.col("place").cast("int").alias("place"), "group_ord")
+    first = df.groupBy(F.col(group).alias("_g")).agg(F.min(order).alias("group_ord"))
+    return out.join(_counted(first), F.col(group).eqNullSafe(F.col("_g"))).select(*df.columns, F.col("place").cast("int").alias("place"), "group_ord")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from attesta.functions import listings as L
-from attesta.operators import postings
+from attesta.operators import browse, postings
 from attesta.operators.postings import Postings
 from attesta.plans import catalogue
 from attesta.streaming import lists
@@ -89,3 +89,13 @@ def test_pieces_of_other_lengths(spark, tmp_path):
 def test_links_are_read_once_a_row(spark):
     plan = catalogue.QUERIES["node_schemes"](spark, D)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("wireguard://") == 2  # where links are made and where they are read; before, for each column anew
+
+
+def test_places_shuffle_rows_once(spark):
+    rows = spark.range(5000).select((F.col("id") % 3).alias("g"), (F.col("id") % 7).alias("r"), F.col("id").alias("o"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if all tables were large
+    try:
+        plan = browse.grouped(rows, "g", "r", "o")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
