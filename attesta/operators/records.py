@@ -41,19 +41,14 @@ def key_of(df: DataFrame, sources: Column | None = None) -> Column:
     return of(sources) if sources is not None else let(L.atomic_sources(F.col("atomic_source_names"), F.col("source")), of)
 
 
-INPUTS = ("brand", "model", "title", "cpu", "model_identity", "atomic_source_names", "source")
+#: What an identity is derived from.
+TEXTS, SOURCES = ("brand", "model", "title", "cpu", "model_identity"), ("atomic_source_names", "source")
 
 
-def with_key(df: DataFrame, name: str) -> DataFrame:
-    """``df`` with its canonical ``_sources`` and its identity ``_key``: derived once for each different input, which is dear, and joined."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:  # a few large splits
-        df = df.repartition(cores)
-    told = df.withColumn("_in", F.sha2(F.to_json(F.struct(*INPUTS)), 256))
-    once = told.groupBy("_in").agg(F.first(F.struct(*INPUTS)).alias("x")).select("_in", "x.*").repartition(cores, "_in")
-    named = staged(once.select("_in", *INPUTS, L.atomic_sources(F.col("atomic_source_names"), F.col("source")).alias("_sources")), f"{name}-inputs").repartition(cores, "_in")
-    keys = staged(named.select("_in", "_sources", key_of(named, F.col("_sources")).alias("_key")), f"{name}-keys")
-    return told.join(keys, "_in").drop("_in")
+def _least(value: Column, kind: T.DataType, *by: Column) -> Column:
+    """The struct of ``by`` and the value ``v`` that comes first; maps have no order themselves."""
+    packed = F.struct(*by, value.alias("v"))
+    return F.min_by(packed, F.struct(*by)) if "map<" in kind.simpleString() else F.min(packed)
 
 
 def _quality(df: DataFrame, name: str) -> Column:
@@ -81,31 +76,60 @@ def merge_records(records: DataFrame, order: str, facts: DataFrame | None = None
     """
     df = completed(records)
     names = [c for c in df.columns if c not in RULED and c != order]
+    varied = [c for c in names if c in records.columns and c not in TEXTS]  # within the records of one input
+    kind = {f.name: f.dataType for f in df.schema.fields}
     fields = sum((F.col(c).isNotNull().cast("int") for c in records.columns if c != order), F.lit(0))
-    keyed = with_key(df, "listings")
-    df = staged(keyed.withColumn("_ord", F.struct((-F.size("_sources")).alias("s"), (-fields).alias("f"), F.col(order).alias("o"))), "keyed-listings")  # read by each of the folds
-    best = (F.min_by(c, F.struct((-_quality(df, c)).alias("q"), F.col("_ord").alias("o"))).alias(c) for c in names)
-    flags = (F.bool_and(c).alias(c) for c in ("numeric_keypad", "keyboard_backlight"))
-    merged = df.groupBy("_key").agg(*best, *flags, F.count(F.lit(1)).alias("records"))
+    if df.rdd.getNumPartitions() < (cores := df.sparkSession.sparkContext.defaultParallelism):  # a few large splits
+        df = df.repartition(cores)
+    df = df.withColumn("_in", F.struct(*TEXTS, *SOURCES)).withColumns({"_h": F.xxhash64("_in"), "_f": -fields, "_o": F.col(order)})
+    q = lambda c: (-_quality(df, c)).alias("q")
+    said_url = F.coalesce(F.col("source_url"), F.lit("")) != ""
+
+    # Records of one input are folded first: they are many, and have one identity, which is dear to derive, and the same sources.
+    best = (_least(F.col(c), kind[c], q(c), F.col("_f").alias("f"), F.col("_o").alias("o")).alias(c) for c in varied)
+    flags = [F.bool_and(c).alias(c) for c in ("numeric_keypad", "keyboard_backlight")]
+    own = (F.min(F.struct("_f", "_o")).alias("_ord"), F.min(F.when(said_url, F.struct(F.col("_o").alias("o"), F.col("source_url").alias("url")))).alias("_url"), F.min(F.col("source_rank").cast("int")).alias("_rank"))
+    folded = df.groupBy("_h", "_in").agg(*best, *flags, *own, F.count(F.lit(1)).alias("records"))
+    folded = folded.select("*", *(F.col(f"_in.{c}") for c in TEXTS), L.atomic_sources(F.col("_in.atomic_source_names"), F.col("_in.source")).alias("_sources"))
+    keyed = staged(folded.withColumn("_key", key_of(folded, F.col("_sources"))), "keyed-records")  # read by each of the folds
+
+    s = (-F.size("_sources")).alias("s")
+    best = {c: _least(F.col(f"{c}.v"), kind[c], F.col(f"{c}.q"), s, F.col(f"{c}.f"), F.col(f"{c}.o")) for c in varied}
+    best |= {c: _least(F.col(c), kind[c], q(c), s, F.col("_ord._f"), F.col("_ord._o")) for c in names if c in TEXTS and c in records.columns}
+    merged = keyed.groupBy("_key").agg(*(v.alias(c) for c, v in best.items()), *flags, F.sum("records").alias("records"))
+    merged = merged.select("_key", *(F.col(f"{c}.v").alias(c) if c in best else F.lit(None).cast(kind[c]).alias(c) for c in names), "numeric_keypad", "keyboard_backlight", "records")
 
     def given(column: str, place: str) -> Column:
-        """A record's map as (source, url, rank, own, i) with canonical names, in its order."""
+        """A record's map as (source, url, rank, i) with canonical names, in its order."""
         at = {"url": F.lit(None).cast("string"), "rank": F.lit(None).cast("int")}
-        entry = lambda e, i: F.struct(L.source_name(e["key"]).alias("source"), *((e["value"].cast(k) if n == place else at[n]).alias(n) for n, k in (("url", "string"), ("rank", "int"))), F.lit(False).alias("own"), i.alias("i"))
-        return F.when(F.size(column) > 0, F.transform(F.map_entries(column), entry)).otherwise(F.array().cast("array<struct<source:string,url:string,rank:int,own:boolean,i:int>>"))
-
-    own = F.transform("_sources", lambda s, i: F.struct(s.alias("source"), F.col("source_url").alias("url"), F.col("source_rank").cast("int").alias("rank"), F.lit(True).alias("own"), (i + 1_000_000).alias("i")))
-    per = df.select("_key", F.col(order).alias("_o"), F.inline(F.concat(given("source_urls", "url"), given("source_ranks", "rank"), own)))
-    sources = per.groupBy("_key", "source").agg(F.min_by("url", F.when(F.coalesce(F.col("url"), F.lit("")) != "", F.struct("_o", "i"))).alias("url"), F.min("rank").alias("rank"), F.bool_or("own").alias("own"))
+        entry = lambda e, i: F.struct(L.source_name(e["key"]).alias("source"), *((e["value"].cast(k) if n == place else at[n]).alias(n) for n, k in (("url", "string"), ("rank", "int"))), i.alias("i"))
+        return F.when(F.size(column) > 0, F.transform(F.map_entries(column), entry)).otherwise(F.array().cast("array<struct<source:string,url:string,rank:int,i:int>>"))
+
+    def of_key(rows: DataFrame) -> DataFrame:
+        return rows.join(keyed.select("_h", "_in", "_key"), ["_h", "_in"]).drop("_h", "_in")
+
+    # Of a source: the first address as (record, place in it, url); the record's own stands behind those that it maps.
+    own = F.transform("_sources", lambda x, i: F.struct(x.alias("source"), F.when(F.col("_url").isNotNull(), F.struct(F.col("_url.o").alias("o"), (i + 1_000_000).alias("i"), F.col("_url.url").alias("url"))).alias("at"), F.col("_rank").alias("rank"), F.lit(True).alias("own")))
+    per = keyed.select("_key", F.inline(own))
+    maps = [(c, n) for c, n in (("source_urls", "url"), ("source_ranks", "rank")) if c in records.columns]
+    if maps:
+        more = df.select("_h", "_in", "_o", F.inline(F.concat(*(given(c, n) for c, n in maps))))
+        at = F.min(F.when(F.coalesce(F.col("url"), F.lit("")) != "", F.struct(F.col("_o").alias("o"), "i", "url"))).alias("at")
+        more = of_key(more.groupBy("_h", "_in", "source").agg(at, F.min("rank").alias("rank")))
+        per = per.unionByName(more.withColumn("own", F.lit(False)))
+    sources = per.groupBy("_key", "source").agg(F.min("at")["url"].alias("url"), F.min("rank").alias("rank"), F.bool_or("own").alias("own"))
     of = lambda value: F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col(value).isNotNull(), F.struct("source", value)))))
     sources = sources.groupBy("_key").agg(F.array_sort(F.collect_list(F.when(F.col("own"), F.col("source")))).alias("atomic_source_names"), of("url").alias("source_urls"), of("rank").alias("source_ranks"), F.min("rank").alias("source_rank"))
-    said = df.select("_key", F.col(order).alias("_o"), F.explode("evidence").alias("field", "value")).groupBy("_key", "field").agg(F.max_by("value", "_o").alias("value"))
-    said = said.groupBy("_key").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "value")))).alias("evidence"))
-    out = merged.join(sources, "_key", "left").join(said, "_key", "left")
+    out, evidence = merged.join(sources, "_key", "left"), F.create_map().cast("map<string,string>")
+    if "evidence" in records.columns:
+        last = F.max(F.struct(F.col("_o").alias("o"), "value")).alias("last")
+        said = of_key(df.select("_h", "_in", "_o", F.explode("evidence").alias("field", "value")).groupBy("_h", "_in", "field").agg(last)).groupBy("_key", "field").agg(F.max("last")["value"].alias("value"))
+        said = said.groupBy("_key").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "value")))).alias("evidence"))
+        out, evidence = out.join(said, "_key", "left"), F.coalesce("evidence", evidence)
     names = F.coalesce("atomic_source_names", F.array().cast("array<string>"))
-    new = {"evidence": F.coalesce("evidence", F.create_map().cast("map<string,string>")), "atomic_source_names": names, "source": F.array_join(names, "+"), "source_count": F.size(names), "brand": L.brand(F.col("brand"), F.col("title")), "cpu": L.cpu_model(F.col("cpu"))}
-    out = staged(out.select(*(c for c in out.columns if c not in new and c != "_key"), *(v.alias(k) for k, v in new.items())), "merged-groups")
-    out = with_key(out.withColumn("cpu_voltage_type", voltage_of()), "merged").withColumnRenamed("_key", "identity_key").drop("_sources")
+    new = {"evidence": evidence, "atomic_source_names": names, "source": F.array_join(names, "+"), "source_count": F.size(names), "brand": L.brand(F.col("brand"), F.col("title")), "cpu": L.cpu_model(F.col("cpu"))}
+    out = out.select(*(c for c in out.columns if c not in new and c != "_key"), *(v.alias(k) for k, v in new.items()))
+    out = out.withColumn("cpu_voltage_type", voltage_of()).withColumn("identity_key", key_of(out))
     out = staged(out, "merged-listings")
     out = apply_facts(out, facts) if facts is not None else out
     reasons = reasons_of()

@@ -39,6 +39,33 @@ def test_merge_folds_every_field(spark):
     assert out["联想 Y9000P"]["publish_eligible"] and records.merge_records(listings(spark, rows).limit(0), "ord").count() == 0
 
 
+def test_records_of_one_input_are_folded_before_identities_are_derived(spark, monkeypatch):
+    import random
+
+    rng = random.Random(5)
+    rows = [{"title": f"联想 Y{rng.randrange(4)}", "source": rng.choice(["zol", "京东", "jd+zol"]), "price": rng.choice([None, 1.0, 2.0]), "source_url": rng.choice([None, "", f"u{i}"]), "source_rank": rng.choice([None, i]),
+             "source_urls": rng.choice([None, {"zol": f"m{i}", "太平洋": ""}]), "evidence": rng.choice([None, {"cpu": f"e{i}"}, {f"x{i % 3}": f"y{i}"}]), "numeric_keypad": rng.choice([None, True])} for i in range(300)]
+    written, staged = [], records.staged
+    monkeypatch.setattr(records, "staged", lambda df, name: (out := staged(df, name), written.append(out.count()))[0])
+    got = {r["title"]: r for r in records.merge_records(listings(spark, rows), "ord").collect()}
+    assert written and max(written) <= 12 and len(got) == 4
+    names = {"zol": ["ZOL"], "京东": ["JD"], "jd+zol": ["JD", "ZOL"]}
+    for title, out in got.items():
+        mine = [(i, r) for i, r in enumerate(rows) if r["title"] == title]
+        filled = lambda r: sum(v is not None for v in r.values())
+        base = sorted(mine, key=lambda x: (-(3 if x[1]["price"] else 0), -len(names[x[1]["source"]]), -filled(x[1]), x[0]))[0][1]
+        urls, ranks, said = {}, {}, {}
+        for i, r in mine:
+            for source, url in [("ZOL", (r["source_urls"] or {}).get("zol"))] + [(s, r["source_url"]) for s in names[r["source"]]]:
+                if url:
+                    urls.setdefault(source, url)
+            for source in names[r["source"]]:
+                if r["source_rank"] is not None:
+                    ranks[source] = min(ranks.get(source, 10**9), r["source_rank"])
+            said |= r["evidence"] or {}
+        assert (out["records"], out["price"], out["source_urls"], out["source_ranks"], out["evidence"]) == (len(mine), base["price"], urls, ranks, said)
+
+
 def test_facts_fill_what_sources_leave_open(spark):
     facts = spark.createDataFrame([(0, "暗影精灵", "", True, None, "t0", "u0", "s"), (1, "暗影精灵 Pro", "16英寸", True, True, "t1", "u1", None), (2, "", "", True, True, "", "", ""), (3, "拯救者", "15英寸", True, True, "t3", "u3", "s")], FACTS)
     rows = [{"title": "惠普 暗影精灵Pro 16英寸", "keyboard_backlight": False}, {"title": "暗影精灵 15英寸"}, {"title": "拯救者 16英寸"}, {"title": "暗影精灵PRO 16英寸", "numeric_keypad": False, "cpu": "i5-12500H"}]
