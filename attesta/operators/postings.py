@@ -26,6 +26,8 @@ RAREST = 4
 NAMED = 1000
 #: Rows of needles and grams, or of numbers found, that are broadcast at most; more are joined by sorting.
 BOUND = 1_000_000
+#: Rows found by grams that a task groups in memory.
+GROUPED = 1_000_000
 #: Lengths of the pieces: a needle's is the longest that it has.
 PIECES = (3, 4, 5, 6, 8, 12, 16, 24, 32)
 #: Written behind each text, so that each of its characters begins a gram, and short needles are beginnings of grams.
@@ -113,7 +115,9 @@ class Postings:
         few = [r[0] for r in chosen.select("gram").distinct().limit(NAMED + 1).collect()]
         if len(few) <= NAMED:
             postings = postings.where(F.col("gram").isin(few))
-        found = looked_up(postings, chosen, ["gram"]).groupBy("needle", "seg", "id").agg(F.count(F.lit(1)).alias("n"), F.first("least").alias("least"))
+        # A row's grams lie in different files, so that grouping before rows are dealt would only fill memory.
+        found = looked_up(postings, chosen, ["gram"]).repartition(max(self.spark.sparkContext.defaultParallelism, self._reads(chosen) // GROUPED), "needle", "id")
+        found = found.groupBy("needle", "seg", "id").agg(F.count(F.lit(1)).alias("n"), F.first("least").alias("least"))
         return found.where("n >= least").select("needle", "seg", "id")
 
     def search(self, needles: DataFrame) -> DataFrame:

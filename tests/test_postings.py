@@ -70,3 +70,15 @@ def test_browse_by_index(spark, tmp_path):
     index.add(rows, F.col("title"), "one")
     spec = {"search": (["title"], " alpha "), "least": {"size": 5}}
     assert [x.key for x in B.browse(rows, spec, index=index).collect()] == [x.key for x in B.browse(rows, spec).collect()] == [2]
+
+
+def test_rows_found_by_grams_are_dealt_before_they_are_grouped(spark, tmp_path, monkeypatch):
+    from attesta.operators import postings
+
+    monkeypatch.setattr(postings, "GROUPED", 50)
+    rows = [(i, f"{'abc' * (i % 7)}needle{i % 5}") for i in range(300)]
+    index = Postings(spark, f"file://{tmp_path}/i")
+    index.add(spark.createDataFrame(rows, ROWS), F.col("text"), "one")
+    assert found(spark, index, ["needle1", "abcneedle2"]) == plain(rows, ["needle1", "abcneedle2"])
+    chosen = postings.staged(index.chosen(spark.createDataFrame([("needle1", "needle1")], "needle string, sought string")), "grams")
+    assert index._by_grams(chosen).rdd.getNumPartitions() == index._reads(chosen) // 50 > spark.sparkContext.defaultParallelism
