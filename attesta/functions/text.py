@@ -137,15 +137,28 @@ def source_tokens(text: Column, nulls: tuple[str, ...] = ("", "-", "none", "null
     return F.array_distinct(F.filter(parts, lambda x: ~F.lower(x).isin(*nulls)))
 
 
+#: Letters and digits of Unicode 14 and 15, which the classes of Java 17 lack.
+LATER = """870-887 889-88E 8B5 8C8-8C9 C5D CDD 170D 171F 1B4C 2C2F 2C5F 9FFD-9FFF A7C0-A7C1 A7D0-A7D1 A7D3 A7D5-A7D9 A7F2-A7F4
+10570-1057A 1057C-1058A 1058C-10592 10594-10595 10597-105A1 105A3-105B1 105B3-105B9 105BB-105BC 10780-10785 10787-107B0 107B2-107BA
+10F70-10F81 11071-11072 11075 1123F-11240 11740-11746 11AB0-11ABF 11F02 11F04-11F10 11F12-11F33 11F50-11F59 12F90-12FF0 1342F
+13441-13446 16A70-16ABE 16AC0-16AC9 1AFF0-1AFF3 1AFF5-1AFFB 1AFFD-1AFFE 1B11F-1B122 1B132 1B155 1D2C0-1D2D3 1DF00-1DF1E 1DF25-1DF2A
+1E030-1E06D 1E290-1E2AD 1E4D0-1E4EB 1E4F0-1E4F9 1E7E0-1E7E6 1E7E8-1E7EB 1E7ED-1E7EE 1E7F0-1E7FE 2A6DE-2A6DF 2B735-2B739 31350-323AF"""
+
+#: Neither letters nor digits; what comes before all of LATER is not compared with it.
+MARKS = r"[\P{L}&&\P{N}&&[\x00-\x{86F}[^" + "".join("-".join(rf"\x{{{c}}}" for c in r.split("-")) for r in LATER.split()) + "]]]+"
+
+
 def identity_text(text: Column) -> Column:
-    """Lower case, letters and digits only."""
-    return F.lower(F.regexp_replace(text, r"[^\p{L}\p{N}]+", ""))
+    """Lower case, letters and digits only; each character has one lower case, wherever it is (Σ is σ at the end of a word too, İ is i)."""
+    bare = F.regexp_replace(text, MARKS, "")
+    return F.lower(F.replace(F.replace(bare, F.lit("Σ"), F.lit("σ")), F.lit("İ"), F.lit("i")))
 
 
-def identity_key(*parts: Column) -> Column:
-    """24 hex digits of the SHA-256 of the parts; null where all are empty."""
+def identity_key(*parts: Column, empty: bool = False) -> Column:
+    """24 hex digits of the SHA-256 of the parts; null where all are empty (``empty``: only where all are null)."""
     joined = F.concat_ws("|", *(F.coalesce(p, F.lit("")) for p in parts))
-    return F.when(F.length(F.replace(joined, F.lit("|"), F.lit(""))) > 0, F.substring(F.sha2(joined, 256), 1, 24))
+    known = F.coalesce(*parts).isNotNull() if empty else F.length(F.replace(joined, F.lit("|"), F.lit(""))) > 0
+    return F.when(known, F.substring(F.sha2(joined, 256), 1, 24))
 
 
 def quality(c: Column, kind: str) -> Column:

@@ -35,6 +35,15 @@ def test_numbers_that_no_model_has(spark, tmp_path, name):
     assert same(spark, name, tmp_path, part=FAR_PARTS)
 
 
+ODD_TEXTS = ["", "!", " -- ", "ΟΔΟΣ", "ΟΔΟΣ Α", "İstanbul", "I\u0307", "x \u0870", "\U00031350", "\U0001E4F0!", "\u2C2F", "\U000105BC", "\U0002EBF0"]
+
+
+@pytest.mark.parametrize("name", ["identity_key", "identity_groups", "publish_pipeline", "rejected_ledger", "merge_gaps"])
+def test_keys_of_odd_texts(spark, tmp_path, name):
+    texts = ", ".join([f"'{x}'" for x in ODD_TEXTS] + ["NULL"])
+    assert same(spark, name, tmp_path, documents=f"SELECT * REPLACE (CASE WHEN doc_id % 3 = 0 THEN [{texts}][1 + (doc_id // 3 % {len(ODD_TEXTS) + 1})::INT] ELSE text END AS text) FROM old")
+
+
 def test_suffixes_behind_long_numbers(spark):
     given = ["Intel Core i7-100008HX", "i7 1234567 U", "i7-13650HX", "锐龙 7 77777HS", "some HX", "i9-14900K"]
     assert run(spark, given, L.cpu_voltage) == ["high_performance", "low_power", "high_performance", "standard_performance", "high_performance", "desktop_performance"]
